@@ -47,18 +47,15 @@ def temporal_join(
     return joined.select(*keys, *merged, *rest_l, *rest_r)
 
 
-def with_ledger(
-    df: DataFrame,
-    ledger: DataFrame,
-    on: str = "csv_file",
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def with_ledger(df: DataFrame, ledger: DataFrame, on: str = "csv_file") -> DataFrame:
     """Left-join rows to their ledger entry by file name.
 
     The ledger must be unique on ``on`` (a duplicated name would fan rows
-    out); it is broadcast only when its size is checked to be small.
+    out).  No broadcast hint: the ledger grows with the number of files, so
+    the planner's size estimate and AQE's runtime shuffle statistics decide
+    between a broadcast and a sort-merge join.
     """
-    return df.join(broadcast_if_small(ledger, max_rows), on=on, how="left")
+    return df.join(ledger, on=on, how="left")
 
 
 def new_only(df: DataFrame, existing: DataFrame, key: str, existing_key: str | None = None) -> DataFrame:

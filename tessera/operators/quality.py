@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,29 @@ def check_not_null(df: DataFrame, cols: Sequence[str]) -> dict:
     return res
 
 
+# Supersets of the text Spark can cast to a number: anything outside them is
+# certainly uncastable and skips `try_cast` (which pays an exception per
+# non-numeric row).  Whitespace is what Spark trims (chars <= ' ').
+_INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]*\.?[0-9]*[\x00-\x20]*$"
+_FRACTIONAL_TEXT = r"(?i)[0-9]|nan|inf"
+_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
+
+
+def uncastable(c, target: str, source: str = "string"):
+    """Column: True where ``c`` is non-NULL and does not cast to ``target``."""
+    col = F.col(c) if isinstance(c, str) else c
+    failed = col.isNotNull() & col.try_cast(target).isNull()
+    if source != "string":
+        return failed
+    if target in _INTEGRAL:
+        screen = _INTEGRAL_TEXT
+    elif target in {"float", "double"} or target.startswith("decimal"):
+        screen = _FRACTIONAL_TEXT
+    else:
+        return failed
+    return F.when(col.isNull(), F.lit(False)).when(~col.rlike(screen), F.lit(True)).otherwise(failed)
+
+
 def _type_name(t: T.DataType | str) -> str:
     return t if isinstance(t, str) else t.simpleString()
 
@@ -74,7 +97,6 @@ def schema_contract(df: DataFrame, expected: Mapping[str, T.DataType | str]) ->
     type — all such counts come from one aggregate pass over the data.
     The metadata side has one row per column (bounded by the schema width).
     """
-    spark: SparkSession = df.sparkSession
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     exp = {c: _type_name(t) for c, t in expected.items()}
     rows = []
@@ -86,21 +108,35 @@ def schema_contract(df: DataFrame, expected: Mapping[str, T.DataType | str]) ->
         else:
             rows.append((c, "ok", actual[c], t))
     rows += [(c, "extra", a, None) for c, a in actual.items() if c not in exp]
-    meta = spark.createDataFrame(
-        rows, "column string, status string, actual string, expected string"
+    # Built in the JVM from literals (no Python worker): one row per column.
+    meta = df.sparkSession.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        F.lit(s).alias("status"),
+                        F.lit(a).cast("string").alias("actual"),
+                        F.lit(t).cast("string").alias("expected"),
+                    )
+                    for c, s, a, t in rows
+                ]
+            )
+        )
     )
     wrong = [(c, t) for c, s, _, t in rows if s == "wrong_type"]
     if not wrong:
         return meta.withColumn("n_uncastable", F.lit(None).cast("bigint"))
     counts = df.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"_u{i}")
+            F.count_if(uncastable(c, t, actual[c])).alias(f"_u{i}")
             for i, (c, t) in enumerate(wrong)
         ]
     )
     stack = ", ".join(f"'{c}', _u{i}" for i, (c, _) in enumerate(wrong))
-    uncastable = counts.selectExpr(f"stack({len(wrong)}, {stack}) as (`column`, n_uncastable)")
-    return meta.join(F.broadcast(uncastable), on="column", how="left").select(
+    per_column = counts.selectExpr(f"stack({len(wrong)}, {stack}) as (`column`, n_uncastable)")
+    # per_column has one row per wrong-typed column: bounded by the schema width.
+    return meta.join(F.broadcast(per_column), on="column", how="left").select(
         "column", "status", "actual", "expected", "n_uncastable"
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import content_hash
+from tessera.session import materialize
 from tessera.functions.parse import (
     file_basename,
     format_ptbr_number,
@@ -139,10 +140,17 @@ CTE_DAILY = f"""DY AS (SELECT event_type AS series, CAST(ts AS DATE) AS data,
                   {mean_cents('value')} AS valor FROM events GROUP BY 1, 2)"""
 
 
-def _joined(spark: SparkSession, sf: str) -> DataFrame:
+def _joined(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
+    """Gold-prep join of P and I.
+
+    ``materialized``: checkpoint the (calendar-sized) joined series once, so
+    the gold windows and the global-metrics subquery read it instead of
+    re-scanning the fact tables per branch.
+    """
     p = price_series(spark, sf)
     i = index_series(spark, sf).drop("series_id")
-    return temporal_join(p, i, on=["data"], how="inner", coalesce_cols=["ano", "mes"])
+    j = temporal_join(p, i, on=["data"], how="inner", coalesce_cols=["ano", "mes"])
+    return materialize(j) if materialized else j
 
 
 # ------------------------------------------------------------ gold (flagship)
@@ -242,7 +250,7 @@ def q_dashboard_view(spark, sf):
 SELECT data, ano, mes, {r6('preco_boi_gordo')} AS preco_boi_gordo, {r6('ipca_mensal')} AS ipca_mensal FROM J""",
 )
 def q_temporal_join(spark, sf):
-    return _joined(spark, sf)
+    return _joined(spark, sf, materialized=False)
 
 
 @register(
@@ -269,7 +277,7 @@ SELECT p.data, coalesce(p.ano, x.ano) AS ano, coalesce(p.mes, x.mes) AS mes,
 FROM P p JOIN X x ON p.data = x.data""",
 )
 def q_gold_prep(spark, sf):
-    return gold_prep(price_series(spark, sf), index_series(spark, sf, by_line=True), how="inner")
+    return gold_prep(price_series(spark, sf), materialize(index_series(spark, sf, by_line=True)), how="inner")
 
 
 @register(
@@ -281,7 +289,7 @@ SELECT data, ano, mes, {r6('ipca_mensal')} AS ipca_mensal, series_id
 FROM I7 WHERE series_id IN (SELECT series_id FROM CH)""",
 )
 def q_dominant_series(spark, sf):
-    return dominant_series(index_series(spark, sf, by_line=True), "series_id")
+    return dominant_series(materialize(index_series(spark, sf, by_line=True)), "series_id")
 
 
 @register(
@@ -303,7 +311,7 @@ SELECT data, {r6('ipca_mensal')} AS ipca_mensal,
        {r6('(ipca_mensal - prev) / nullif(prev, 0) * 100')} AS variacao_ipca FROM L""",
 )
 def q_pct_change(spark, sf):
-    i = index_series(spark, sf).select("data", "ipca_mensal")
+    i = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
     return gold.pct_change(i, {"variacao_ipca": "ipca_mensal"})
 
 
@@ -386,7 +394,7 @@ def q_layer_counts(spark, sf):
             "bronze_index": table(spark, sf, "lineitem"),
             "silver_price": price_series(spark, sf),
             "silver_index": index_series(spark, sf),
-            "gold": _joined(spark, sf),
+            "gold": _joined(spark, sf, materialized=False),
         }
     )
 
@@ -727,7 +735,7 @@ SELECT data, {r6('ipca_mensal')} AS ipca_mensal,
        {r6('CASE WHEN n = 12 THEN (exp(s) - 1) * 100 END')} AS acumulado_12m FROM A""",
 )
 def q_accum_12m(spark, sf):
-    i = index_series(spark, sf).select("data", "ipca_mensal")
+    i = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
     return panel.accumulate(i, "ipca_mensal", k=12)
 
 
@@ -759,7 +767,7 @@ M AS (SELECT *, count(*) OVER w AS n, avg(valor) OVER w AS a FROM DY
 SELECT series, data, {r6('valor')} AS valor, {r6('CASE WHEN n = 3 THEN a END')} AS media_movel_3 FROM M""",
 )
 def q_moving_avg(spark, sf):
-    return panel.moving_avg(daily_events(spark, sf), "valor", k=3, by=["series"])
+    return panel.moving_avg(materialize(daily_events(spark, sf)), "valor", k=3, by=["series"])
 
 
 @register(
@@ -772,7 +780,7 @@ SELECT series, data, {r6('valor')} AS valor,
 FROM C""",
 )
 def q_volatility(spark, sf):
-    return panel.volatility(daily_events(spark, sf), "valor", k=7, by=["series"])
+    return panel.volatility(materialize(daily_events(spark, sf)), "valor", k=7, by=["series"])
 
 
 @register(
@@ -809,7 +817,7 @@ SELECT a.series, a.data, {r6('a.valor')} AS valor,
 FROM PN a LEFT JOIN PN b ON a.series = b.series AND a.data = CAST(b.data + INTERVAL 12 MONTH AS DATE)""",
 )
 def q_yoy_change(spark, sf):
-    return panel.yoy_change(priority_panel(spark, sf), "valor", by=["series"])
+    return panel.yoy_change(materialize(priority_panel(spark, sf)), "valor", by=["series"])
 
 
 @register(
@@ -819,7 +827,7 @@ L AS (SELECT *, lag(valor) OVER (PARTITION BY series ORDER BY data) AS prev FROM
 SELECT series, data, {r6('valor')} AS valor, {r6('(valor - prev) / nullif(prev, 0) * 100')} AS variacao FROM L""",
 )
 def q_panel_pct_change(spark, sf):
-    return panel.panel_pct_change(priority_panel(spark, sf), "valor", "series")
+    return panel.panel_pct_change(materialize(priority_panel(spark, sf)), "valor", "series")
 
 
 @register(
@@ -836,5 +844,5 @@ SELECT series, {r6('covar_pop(a, b) / nullif(stddev_pop(a) * stddev_pop(b), 0)')
        COUNT(a) AS n_pares FROM X GROUP BY series""",
 )
 def q_panel_corr(spark, sf):
-    ref = index_series(spark, sf).select("data", "ipca_mensal")
-    return panel.panel_corr(priority_panel(spark, sf), ref, "valor", "ipca_mensal", "series")
+    ref = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
+    return panel.panel_corr(materialize(priority_panel(spark, sf)), ref, "valor", "ipca_mensal", "series")

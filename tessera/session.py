@@ -46,6 +46,7 @@ def get_session(
         builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         **SQL_CONF,
         **(extra or {}),
@@ -77,3 +78,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    Used for small derived tables (calendar-grained series) that several
+    branches of a plan consume: without it every branch would re-scan and
+    re-aggregate the fact tables.  Files go to ``spark.checkpoint.dir`` (a
+    shared folder on a cluster), so a lost executor does not lose them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
