@@ -113,32 +113,45 @@ def payload_hash(df: DataFrame, cols: Sequence[str], batch: Sequence[str] = ())
     return df.groupBy(*batch).agg(*aggs) if batch else df.agg(*aggs)
 
 
+def new_rows(
+    df: DataFrame,
+    existing: DataFrame | None,
+    hash_col: str = "file_hash",
+    dedupe_on: Sequence[str] = ("mes_ano", "file_hash"),
+) -> DataFrame:
+    """Rows whose ``hash_col`` is absent from ``existing``, de-duplicated (J3 + A4)."""
+    fresh = df if existing is None else new_only(df, existing, hash_col)
+    return dedupe_any(fresh, list(dedupe_on))
+
+
 def ingest_new(
     df: DataFrame,
     existing: DataFrame | None,
-    target: str | None = None,
+    target: str,
     hash_col: str = "file_hash",
     dedupe_on: Sequence[str] = ("mes_ano", "file_hash"),
     fmt: str = "parquet",
     by: Sequence[str] = ("ano", "mes"),
     check_month: str | None = "mes_ano",
-) -> DataFrame:
-    """Idempotent append of rows whose ``hash_col`` is not in ``existing`` (Q2).
+) -> int:
+    """Idempotent append of rows whose ``hash_col`` is not yet in the target (Q2).
 
-    Returns the rows that were (or, with ``target=None``, would be)
-    appended.  Nothing new -> nothing is written.  Running it twice with the
-    same input appends nothing the second time.
+    One aggregate pass counts the new rows and the invalid month texts; the
+    append is the second pass.  Nothing new -> nothing written.  Returns the
+    number of appended rows; a second run with the same input appends 0.
     """
-    fresh = df if existing is None else new_only(df, existing, hash_col)
-    fresh = dedupe_any(fresh, list(dedupe_on))
-    if target is not None:
-        if check_month:
-            bad = fresh.filter(F.col(check_month).isNotNull() & ~F.col(check_month).rlike(MONTH_TEXT))
-            if not bad.isEmpty():
-                raise DataQualityError(f"invalid {check_month} values")
-        if not fresh.isEmpty():
-            append_partitioned(fresh, target, fmt, by)
-    return fresh
+    fresh = new_rows(df, existing, hash_col, dedupe_on)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if check_month:
+        c = F.col(check_month)
+        aggs.append(F.count_if(c.isNotNull() & ~c.rlike(MONTH_TEXT)).alias("bad"))
+    stats = fresh.agg(*aggs).first()
+    if check_month and stats["bad"] > 0:
+        raise DataQualityError(f"{stats['bad']} row(s) with invalid {check_month}")
+    if stats["n"] == 0:
+        return 0
+    append_partitioned(fresh, target, fmt, by)
+    return int(stats["n"])
 
 
 def ingest_payload(

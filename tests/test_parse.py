@@ -1,0 +1,73 @@
+"""Column parsers on the edge rows of FIXTURES.md §3."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tessera.functions import parse as P
+
+
+def one_col(spark, values, expr, dtype="string"):
+    df = spark.createDataFrame([(v,) for v in values], f"x {dtype}")
+    return [r[0] for r in df.select(expr(F.col("x"))).collect()]
+
+
+def test_ptbr_number(spark):
+    got = one_col(spark, ["1.234,56", " 310,5 ", "abc", "", None, "310.5", " 1.000 ", "1.234"], P.parse_ptbr_number)
+    assert got == [1234.56, 310.5, None, None, None, 310.5, 1000.0, 1234.0]
+
+
+def test_comma_decimal(spark):
+    assert one_col(spark, ["0,42", "-0,11", "x", None], P.parse_comma_decimal) == [0.42, -0.11, None, None]
+
+
+def test_parse_month(spark):
+    got = one_col(spark, ["01/2025", "1/2025", "13/2025", "Data", " 7/1999 ", None], P.parse_month)
+    assert got == ["01/2025", "01/2025", None, None, "07/1999", None]
+
+
+def test_parse_br_date(spark):
+    got = one_col(spark, ["01/02/2025", "31/31/2025", "x", None], P.parse_br_date)
+    assert got == [dt.date(2025, 2, 1), None, None, None]
+
+
+def test_year_month_of(spark):
+    df = spark.createDataFrame([("03/2025", "15/04/2024")], "a string, b string")
+    r = df.select(
+        P.year_of("a"), P.month_of("a"), P.year_of("b", "dd/MM/yyyy"), P.month_of("b", "dd/MM/yyyy")
+    ).first()
+    assert tuple(r) == (2025, 3, 2024, 4)
+
+
+def test_month_key(spark):
+    df = spark.createDataFrame([(2025, 1), (2025, None), (2025, 13), (None, 1)], "y int, m int")
+    got = [r[0] for r in df.select(P.month_key("y", "m")).collect()]
+    assert got == [dt.date(2025, 1, 1), None, None, None]
+
+
+def test_file_basename(spark):
+    got = one_col(spark, ["file:/x/c%20x/a%20b.csv", "/a/b+c.csv", "s3://b/k/x.csv"], P.file_basename)
+    assert got == ["a b.csv", "b+c.csv", "x.csv"]
+
+
+def test_parse_utc_zone_free(spark):
+    got = one_col(spark, ["2025-03-01T10:20:30Z", "2025-13-01T00:00:00Z", "2025-03-01 10:20:30"], P.parse_utc)
+    assert got == [dt.datetime(2025, 3, 1, 10, 20, 30), None, None]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert one_col(spark, ["2018-11-04T00:30:00Z"], P.parse_utc) == [dt.datetime(2018, 11, 4, 0, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(min_value=-10**12, max_value=10**12), min_size=1, max_size=20))
+def test_ptbr_roundtrip(spark, cents):
+    """format -> parse of pt-BR numbers is the identity on 2-decimal values."""
+    vals = [c / 100 for c in cents]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(P.parse_ptbr_number(P.format_ptbr_number("x"))).collect()]
+    assert got == vals

@@ -1,0 +1,50 @@
+"""Gold rules and the guarded correlation."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions.rules import (
+    DEFAULT_LABELS as L,
+    impact_class,
+    leader_flag,
+    mean_change,
+    pct_change_expr,
+    safe_corr,
+)
+
+
+def test_leader_flag(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (1.0, 1.0), (None, 1.0)], "p double, i double")
+    got = [r[0] for r in df.select(leader_flag("p", "i")).collect()]
+    assert got == [L.index_leads, L.price_leads, L.tie, L.tie]
+
+
+def test_impact_class(spark):
+    df = spark.createDataFrame([(5.0,), (5.01,), (2.0,), (1.99,), (None,), (float("nan"),)], "d double")
+    got = [r[0] for r in df.select(impact_class(F.col("d"), F.lit(0.0))).collect()]
+    assert got == [L.medium, L.high, L.medium, L.low, L.low, L.high]
+
+
+def test_pct_change(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (0.48, -0.11), (1.31, 0.16), (1.0, None)], "c double, p double")
+    got = [r[0] for r in df.select(pct_change_expr("c", "p")).collect()]
+    assert got[0] is None and got[3] is None
+    assert got[1] == pytest.approx(-536.363636, abs=1e-6)
+    assert got[2] == pytest.approx(718.75)
+
+
+def test_mean_change_half_up(spark):
+    df = spark.createDataFrame([(1.0, 1.01), (-1.0, -1.01)], "a double, b double")
+    assert [r[0] for r in df.select(mean_change("a", "b", 2)).collect()] == [1.01, -1.01]
+
+
+def corr_of(spark, rows):
+    df = spark.createDataFrame(rows, "a double, b double")
+    return df.agg(safe_corr("a", "b")).first()[0]
+
+
+def test_safe_corr_edges(spark):
+    assert corr_of(spark, []) is None
+    assert corr_of(spark, [(1.0, 2.0)]) is None
+    assert corr_of(spark, [(1.0, 2.0), (1.0, 3.0), (1.0, 5.0)]) is None  # constant series
+    assert corr_of(spark, [(1.0, 2.0), (None, 5.0), (3.0, 4.0)]) == pytest.approx(1.0)
