@@ -45,8 +45,14 @@ def read_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFr
     """Read the ledger CSV.
 
     ``strict`` (bronze): a missing file or column raises.  Non-strict
-    (landing): a missing file is an empty ledger.
+    (landing): a missing file is an empty ledger.  ``path`` may be one CSV
+    file or a directory of CSV parts (as :func:`append_manifest` writes).
+    Spark's file sources skip names starting with ``_`` or ``.``, so the
+    ledger must not be named like that.
     """
+    base = path.rstrip("/").rsplit("/", 1)[-1]
+    if base.startswith(("_", ".")):
+        raise SourceError(f"ledger name {base!r} is hidden from Spark file sources; rename it")
     try:
         df = spark.read.option("header", True).csv(path)
         cols = set(df.columns)
