@@ -14,6 +14,10 @@ the small block-total table (see :func:`running_sum`).
 Work per task is bounded by ``block_rows + k``; the only tables that are
 windowed whole per series are the bucket and block summaries (one row per
 bucket / block).
+
+Lag by one row (the most common frame) has a cheaper exact form,
+:func:`_lag_bucketed`: lag inside (series, calendar bucket), then fill each
+bucket's first row from the previous bucket's last row — one large shuffle.
 """
 
 from __future__ import annotations
@@ -149,13 +153,21 @@ def with_lag(
     offset: int = 1,
     block_rows: int = 4096,
     bucket: Column | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """Add ``{out: lag(src, offset)}`` columns ordered by ``order`` within ``by``.
 
     Equal to ``lag(src).over(Window.partitionBy(*by).orderBy(order))`` (the
     previous *row*, so calendar gaps are bridged) without the single-task
-    stage.
+    stage.  ``method``: "bucketed" (offset 1 only, one large shuffle),
+    "blocks" (any offset, via :func:`sequence_frame`), "auto" picks.
     """
+    if method == "auto":
+        method = "bucketed" if offset == 1 else "blocks"
+    if method == "bucketed":
+        if offset != 1:
+            raise ValueError("bucketed lag supports offset 1 only")
+        return _lag_bucketed(df, order, values, by, bucket)
     w = frame_window(by)
     return with_rolling(
         df,
@@ -168,6 +180,46 @@ def with_lag(
     )
 
 
+def _lag_bucketed(
+    df: DataFrame,
+    order: str,
+    values: dict[str, str],
+    by: Sequence[str],
+    bucket: Column | None,
+) -> DataFrame:
+    """Lag by one row: lag inside (series, bucket), then the first row of each
+    bucket takes the last row of the previous non-empty bucket.
+
+    The per-bucket "last row" table is aggregated on the window's own
+    partitioning (no extra shuffle) and has one row per (series, bucket); the
+    lag over it bridges empty buckets.
+    """
+    by = list(by)
+    srcs = list(dict.fromkeys(values.values()))
+    bk = bucket if bucket is not None else default_bucket(order)
+    w = Window.partitionBy(*by, _BK).orderBy(F.col(order).asc())
+    lagged = df.withColumn(_BK, bk).withColumns(
+        {
+            **{f"_l_{i}": F.lag(src).over(w) for i, src in enumerate(srcs)},
+            "_first": F.row_number().over(w) == F.lit(1),
+        }
+    )
+    last = lagged.groupBy(*by, _BK).agg(
+        F.max_by(F.struct(*[F.col(s).alias(f"v{i}") for i, s in enumerate(srcs)]), F.col(order)).alias("_last")
+    )
+    prev = last.select(
+        *by, _BK, F.lag("_last").over(Window.partitionBy(*by).orderBy(_BK)).alias("_prev")
+    )
+    joined = lagged.join(prev, on=[*by, _BK], how="inner")
+    filled = {
+        out: F.when(F.col("_first"), F.col(f"_prev.v{srcs.index(src)}")).otherwise(
+            F.col(f"_l_{srcs.index(src)}")
+        )
+        for out, src in values.items()
+    }
+    return joined.withColumns(filled).select(*df.columns, *values.keys())
+
+
 def running_sum(
     df: DataFrame,
     order: str,

@@ -26,13 +26,15 @@ def as_set(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-@pytest.mark.parametrize("block_rows", [1, 3, 7, 4096])
+@pytest.mark.parametrize(
+    "method,block_rows", [("blocks", 1), ("blocks", 3), ("blocks", 7), ("blocks", 4096), ("bucketed", 0)]
+)
 @pytest.mark.parametrize("by", [[], ["series"]])
-def test_lag_equals_plain_lag(spark, block_rows, by):
+def test_lag_equals_plain_lag(spark, method, block_rows, by):
     df = gapped_series(spark)
     if not by:
         df = df.filter(F.col("series") == "s1").drop("series")
-    ours = with_lag(df, "data", {"prev": "valor"}, by=by, block_rows=block_rows)
+    ours = with_lag(df, "data", {"prev": "valor"}, by=by, block_rows=max(block_rows, 1), method=method)
     plain = df.withColumn("prev", F.lag("valor").over(Window.partitionBy(*by).orderBy("data")))
     cols = [*by, "data", "valor", "prev"]
     assert as_set(ours, cols) == as_set(plain, cols)
@@ -71,6 +73,23 @@ def test_running_sum_equals_plain(spark, block_rows):
         assert (a[key] is None and b[key] is None) or a[key] == pytest.approx(b[key], abs=1e-9)
 
 
+def test_lag_offset_two(spark):
+    df = gapped_series(spark, n_series=2, n=40)
+    ours = with_lag(df, "data", {"p2": "valor"}, by=["series"], offset=2, block_rows=3)
+    plain = df.withColumn("p2", F.lag("valor", 2).over(Window.partitionBy("series").orderBy("data")))
+    cols = ["series", "data", "p2"]
+    assert as_set(ours, cols) == as_set(plain, cols)
+
+
+def test_bucketed_lag_two_columns(spark):
+    df = gapped_series(spark).withColumn("w", F.col("valor") * 2)
+    ours = with_lag(df, "data", {"a": "valor", "b": "w"}, by=["series"], method="bucketed")
+    w = Window.partitionBy("series").orderBy("data")
+    plain = df.withColumn("a", F.lag("valor").over(w)).withColumn("b", F.lag("w").over(w))
+    cols = ["series", "data", "a", "b"]
+    assert as_set(ours, cols) == as_set(plain, cols)
+
+
 def test_first_row_lag_is_null_and_gap_bridged(spark):
     df = spark.createDataFrame(
         [(dt.date(2025, 1, 1), 1.0), (dt.date(2025, 3, 1), 3.0)], "data date, valor double"
