@@ -84,6 +84,25 @@ def period_agg(
     )
 
 
+def period_rollup(df: DataFrame, value: str, date: str = "data") -> DataFrame:
+    """Quarterly rows plus yearly subtotals in one aggregate pass (X3, ``rollup``).
+
+    ``trimestre`` is NULL on the yearly rows; the grand total is dropped.
+    """
+    v = F.col(value)
+    return (
+        df.rollup(F.year(date).alias("ano"), F.quarter(date).alias("trimestre"))
+        .agg(
+            F.avg(v).alias("media"),
+            F.min(v).alias("minimo"),
+            F.max(v).alias("maximo"),
+            F.max_by(v, F.col(date)).alias("ultimo"),
+            F.count(F.lit(1)).alias("n_meses"),
+        )
+        .filter(F.col("ano").isNotNull())
+    )
+
+
 def moving_avg(
     df: DataFrame, value: str, k: int = 3, order: str = "data", by: Sequence[str] = (), out: str | None = None
 ) -> DataFrame:

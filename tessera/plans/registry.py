@@ -759,6 +759,19 @@ def q_yearly_agg(spark, sf):
     return panel.period_agg(price_series(spark, sf), "year", "preco_boi_gordo")
 
 
+@register(
+    "period_rollup",
+    f"""WITH {CTE_P}
+SELECT CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre,
+       {r6('avg(preco_boi_gordo)')} AS media, {r6('min(preco_boi_gordo)')} AS minimo,
+       {r6('max(preco_boi_gordo)')} AS maximo, {r6('arg_max(preco_boi_gordo, data)')} AS ultimo,
+       COUNT(*) AS n_meses
+FROM P GROUP BY ROLLUP (1, 2) HAVING CAST(year(data) AS INTEGER) IS NOT NULL""",
+)
+def q_period_rollup(spark, sf):
+    return panel.period_rollup(price_series(spark, sf), "preco_boi_gordo")
+
+
 @register(
     "moving_avg",
     f"""WITH {CTE_DAILY},

@@ -150,8 +150,7 @@ def ingest_new(
         raise DataQualityError(f"{stats['bad']} row(s) with invalid {check_month}")
     if stats["n"] == 0:
         return 0
-    append_partitioned(fresh, target, fmt, by)
-    return int(stats["n"])
+    return append_partitioned(fresh, target, fmt, by)
 
 
 def ingest_payload(

@@ -157,3 +157,60 @@ def test_stream_landing_incremental(spark, tmp_dir):
     assert stream_landing(spark, **args) == 1  # only the new file
     assert stream_landing(spark, **args) == 0  # nothing landed
     assert spark.read.parquet(args["target"]).count() == 3
+
+
+def test_raw_pairs_table_and_landing_roundtrip(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "raw.txt")
+    write_csv(src, ["Data;Valor;extra", "01/2025;1.234,56;x", "02/2025;310,5;y"])
+    raw = files.read_raw_pairs(spark, src, sep=";")
+    assert raw.columns == ["data_raw", "valor_raw"]
+    canon = ingest.canonicalize(raw)
+    out = os.path.join(tmp_dir, "landing")
+    sinks.write_landing(canon, out)
+    back = files.read_landing(spark, out).select("mes_ano", "valor")
+    assert sorted(tuple(r) for r in back.collect()) == [("01/2025", 1234.56), ("02/2025", 310.5)]
+    sinks.overwrite_table(canon, os.path.join(tmp_dir, "t"), sort_by=["mes_ano"])
+    assert files.read_table(spark, os.path.join(tmp_dir, "t")).count() == 2
+
+
+def test_rebalanced_append_counts_hot_partition(spark, tmp_dir):
+    # one month holds most rows: the append still writes everything and reports it
+    df = spark.range(3000).select(
+        F.lit(2025).alias("ano"), F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 12 + 1).alias("mes"),
+        F.col("id").cast("double").alias("valor"),
+    )
+    assert sinks.append_partitioned(df, os.path.join(tmp_dir, "hot")) == 3000
+    assert spark.read.parquet(os.path.join(tmp_dir, "hot")).count() == 3000
+
+
+def test_silver_conform_latest_version(spark):
+    from tessera.operators.basic import keep_series
+    from tessera.operators.silver import silver_index, silver_price
+
+    t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
+    bronze_index = spark.createDataFrame(
+        [
+            (dt.date(2025, 1, 1), 0.16, "api", 433, "h1", "r1", t1, 2025, 1),
+            (dt.date(2025, 1, 1), 0.17, "api", 433, "h2", "r2", t2, 2025, 1),  # re-appended month
+            (None, 0.5, "api", 433, "h2", "r2", t2, 2025, 2),  # unparseable date
+            (dt.date(2025, 1, 1), 9.0, "api", 7, "h1", "r1", t1, 2025, 1),
+        ],
+        "data_ref date, valor double, source string, series_id int, payload_hash string, "
+        "ingest_run_id string, ingested_at_utc timestamp_ntz, ano int, mes int",
+    )
+    si = silver_index(bronze_index)
+    assert si.columns == ["data", "ano", "mes", "ipca_mensal", "series_id", "source", "payload_hash",
+                          "ingest_run_id", "ingested_at_utc"]
+    got = sorted((r["series_id"], r["ipca_mensal"]) for r in si.collect())
+    assert got == [(7, 9.0), (433, 0.17)]
+    assert [r["ipca_mensal"] for r in keep_series(si, "series_id", 433).collect()] == [0.17]
+
+    bronze_price = spark.createDataFrame(
+        [("a.csv", "01/2025", 10.0, "a.xlsx", "h1", t1, "r1", t1, 1, 2025),
+         ("b.csv", "01/2025", 11.0, "b.xlsx", "h2", t1, "r2", t2, 1, 2025),
+         ("b.csv", "13/2025", 12.0, "b.xlsx", "h2", t1, "r2", t2, 13, 2025)],
+        "csv_file string, mes_ano string, valor double, source_file string, file_hash string, "
+        "converted_at_utc timestamp_ntz, ingest_run_id string, ingested_at_utc timestamp_ntz, mes int, ano int",
+    )
+    sp = silver_price(bronze_price).collect()
+    assert [(r["data"], r["preco_boi_gordo"]) for r in sp] == [(dt.date(2025, 1, 1), 11.0)]
