@@ -8,8 +8,9 @@ fixed-size blocks.  Each block also receives a *halo*: copies of the ``k - 1``
 rows that precede it.  Any row frame of at most ``k`` rows (lag, moving
 average, rolling std/corr) is then evaluated exactly with
 ``Window.partitionBy(*by, "_blk").orderBy("_g")``, after which halo rows are
-dropped.  Running (unbounded-preceding) sums add per-block offsets taken from
-the small block-total table (see :func:`running_sum`).
+dropped.  Running (unbounded-preceding) sums need no positions: a running
+sum inside (series, bucket) plus the totals of earlier buckets
+(:func:`running_sum`).
 
 Work per task is bounded by ``block_rows + k``; the only tables that are
 windowed whole per series are the bucket and block summaries (one row per
@@ -226,30 +227,34 @@ def running_sum(
     value: Column,
     out: str,
     by: Sequence[str] = (),
-    block_rows: int = 4096,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows up to the current one.
 
-    Per-block running sums plus the total of all earlier blocks of the series
-    (a window over the small block-total table).  NULL values add nothing.
+    Running sum inside (series, bucket) plus the total of all earlier buckets
+    of the series, taken from the per-bucket totals table (one row per
+    bucket; aggregated on the window's own partitioning).  Like SQL's running
+    sum: NULL until the first non-NULL value.
     """
-    framed = sequence_frame(df, order, by, k=1, block_rows=block_rows, bucket=bucket)
-    framed = framed.withColumn("_v", value.cast("double"))
-    earlier = Window.partitionBy(*by).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    by = list(by)
+    bk = bucket if bucket is not None else default_bucket(order)
+    w = Window.partitionBy(*by, _BK).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = df.withColumn(_BK, bk).withColumn("_v", value.cast("double")).withColumns(
+        {"_in": F.sum("_v").over(w), "_in_n": F.count("_v").over(w)}
+    )
+    earlier = Window.partitionBy(*by).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        framed.groupBy(*by, BLK)
+        inside.groupBy(*by, _BK)
         .agg(F.sum("_v").alias("_t"), F.count("_v").alias("_c"))
-        .withColumn("_before", F.coalesce(F.sum("_t").over(earlier), F.lit(0.0)))
-        .withColumn("_before_n", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
-        .drop("_t", "_c")
+        .select(
+            *by,
+            _BK,
+            F.coalesce(F.sum("_t").over(earlier), F.lit(0.0)).alias("_before"),
+            F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before_n"),
+        )
     )
-    upto = frame_window(by).rowsBetween(Window.unboundedPreceding, 0)
-    # Like SQL's running sum: NULL until the first non-NULL value.
     return (
-        framed.withColumn("_in", F.sum("_v").over(upto))
-        .withColumn("_in_n", F.count("_v").over(upto))
-        .join(totals, on=[*by, BLK], how="inner")
+        inside.join(totals, on=[*by, _BK], how="inner")
         .withColumn(
             out,
             F.when(
@@ -257,7 +262,5 @@ def running_sum(
                 F.col("_before") + F.coalesce(F.col("_in"), F.lit(0.0)),
             ),
         )
-        .drop("_v", "_in", "_in_n", "_before", "_before_n")
-        .transform(finish)
         .select(*df.columns, out)
     )

@@ -60,11 +60,13 @@ def test_rolling_equals_plain_frame(spark, block_rows):
         assert (a[key] is None and b[key] is None) or a[key] == pytest.approx(b[key], abs=1e-9)
 
 
-@pytest.mark.parametrize("block_rows", [3, 4096])
-def test_running_sum_equals_plain(spark, block_rows):
+@pytest.mark.parametrize("by", [[], ["series"]])
+def test_running_sum_equals_plain(spark, by):
     df = gapped_series(spark, n_series=2, n=60)
-    ours = running_sum(df, "data", F.col("valor"), "cum", by=["series"], block_rows=block_rows)
-    w = Window.partitionBy("series").orderBy("data").rowsBetween(Window.unboundedPreceding, 0)
+    if not by:
+        df = df.filter(F.col("series") == "s1")
+    ours = running_sum(df, "data", F.col("valor"), "cum", by=by)
+    w = Window.partitionBy(*by).orderBy("data").rowsBetween(Window.unboundedPreceding, 0)
     plain = df.withColumn("cum", F.sum("valor").over(w))
     a = {(r[0], r[1]): r[2] for r in ours.select("series", "data", "cum").collect()}
     b = {(r[0], r[1]): r[2] for r in plain.select("series", "data", "cum").collect()}
