@@ -47,15 +47,24 @@ def temporal_join(
     return joined.select(*keys, *merged, *rest_l, *rest_r)
 
 
-def with_ledger(df: DataFrame, ledger: DataFrame, on: str = "csv_file") -> DataFrame:
+def with_ledger(
+    df: DataFrame,
+    ledger: DataFrame,
+    on: str = "csv_file",
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """Left-join rows to their ledger entry by file name.
 
-    The ledger must be unique on ``on`` (a duplicated name would fan rows
-    out).  No broadcast hint: the ledger grows with the number of files, so
-    the planner's size estimate and AQE's runtime shuffle statistics decide
-    between a broadcast and a sort-merge join.
+    The ledger (one narrow row per landed file) must be unique on ``on``.
+    It is broadcast only after a bounded count proves it small; a larger
+    ledger joins as a shuffled hash join on the file name (AQE splits a file
+    that holds a large share of the rows).  The planner's own broadcast
+    choice is not relied on: it estimates from compressed column sizes, and
+    the ledger's hash/name strings are far wider than that.
     """
-    return df.join(ledger, on=on, how="left")
+    if ledger.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(ledger), on=on, how="left")
+    return df.join(ledger.hint("shuffle_hash"), on=on, how="left")
 
 
 def new_only(df: DataFrame, existing: DataFrame, key: str, existing_key: str | None = None) -> DataFrame:

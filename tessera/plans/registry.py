@@ -38,6 +38,7 @@ from tessera.operators.basic import (
 from tessera.operators.joins import new_only, temporal_join
 from tessera.operators.silver import conform, dominant_series, gold_prep
 from tessera.plans.series import (
+    ntz_text,
     daily_events,
     index_series,
     price_series,
@@ -510,7 +511,7 @@ PAYLOAD_META = {
 def q_bronze_payload(spark, sf):
     li = table(spark, sf, "lineitem")
     payload = li.select(
-        F.date_format("l_shipdate", "dd/MM/yyyy").alias("data"),
+        ntz_text("l_shipdate", "dd/MM/yyyy").alias("data"),
         F.replace(F.col("l_discount").cast("string"), F.lit("."), F.lit(",")).alias("valor"),
         F.col("l_linenumber").alias("series_id"),
     )
@@ -536,7 +537,7 @@ def q_bronze_lineage(spark, sf):
     o = table(spark, sf, "orders")
     rows = li.select(
         F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
-        F.date_format("l_shipdate", "MM/yyyy").alias("mes_ano"),
+        ntz_text("l_shipdate", "MM/yyyy").alias("mes_ano"),
         F.col("l_extendedprice").alias("valor"),
     )
     ledger = o.select(
@@ -545,7 +546,7 @@ def q_bronze_lineage(spark, sf):
         F.sha2(
             F.concat_ws("|", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").cast("string")), 256
         ).alias("file_hash"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("converted_at_utc"),
+        ntz_text("o_orderdate", "yyyy-MM-ddTHH:mm:ssZ").alias("converted_at_utc"),
     )
     return with_lineage(rows, ledger, RUN_ID, run_ts=RUN_TS)
 
@@ -560,7 +561,7 @@ def q_bronze_lineage(spark, sf):
 def q_landing_canonical(spark, sf):
     o = table(spark, sf, "orders")
     raw = o.select(
-        F.date_format("o_orderdate", "M/yyyy").alias("data_raw"),
+        ntz_text("o_orderdate", "M/yyyy").alias("data_raw"),
         format_ptbr_number("o_totalprice").alias("valor_raw"),
     )
     return canonicalize(raw)
@@ -588,7 +589,7 @@ def q_parse_comma_decimal(spark, sf):
 @register("parse_br_date", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS data FROM orders""")
 def q_parse_br_date(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", parse_br_date(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("data"))
+    return o.select("o_orderkey", parse_br_date(ntz_text("o_orderdate", "dd/MM/yyyy")).alias("data"))
 
 
 @register(
@@ -598,8 +599,8 @@ def q_parse_br_date(spark, sf):
 )
 def q_derive_partitions(spark, sf):
     o = table(spark, sf, "orders")
-    ma = F.date_format("o_orderdate", "MM/yyyy")
-    dma = F.date_format("o_orderdate", "dd/MM/yyyy")
+    ma = ntz_text("o_orderdate", "MM/yyyy")
+    dma = ntz_text("o_orderdate", "dd/MM/yyyy")
     return o.select(
         "o_orderkey",
         year_of(ma, "MM/yyyy").alias("ano"),
@@ -648,7 +649,7 @@ GROUP BY o_orderpriority""",
 )
 def q_dq_month_format(spark, sf):
     o = table(spark, sf, "orders").select(
-        "o_orderpriority", F.date_format("o_orderdate", "M/yyyy").alias("t")
+        "o_orderpriority", ntz_text("o_orderdate", "M/yyyy").alias("t")
     )
     return quality.pattern_report(o, "t", by=["o_orderpriority"])
 

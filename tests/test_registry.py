@@ -84,3 +84,19 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
     assert "ReadSchema: struct<l_discount:double,l_shipdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["bronze_lineage", "landing_canonical", "silver_conform", "dedupe_latest", "analytic", "bronze_payload"]
+)
+def test_results_independent_of_session_zone(spark, con, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        df = E.queries()[name](spark, SF001)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    res = con.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert canon(df.columns, srows) == canon(dcols, res.fetchall())
