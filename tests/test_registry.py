@@ -100,3 +100,25 @@ def test_results_independent_of_session_zone(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert canon(df.columns, srows) == canon(dcols, res.fetchall())
+
+
+def test_dedupe_and_series_preaggregate_map_side(spark):
+    plan = plan_of(E.queries()["dedupe_latest"](spark, SF001))
+    assert "partial_max_by" in plan
+    plan = plan_of(E.queries()["temporal_join"](spark, SF001))
+    assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_ledger_join_fallback_is_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.joins import with_ledger
+
+    rows = spark.range(200).select((F.col("id") % 20).cast("string").alias("csv_file"), "id")
+    ledger = spark.range(20).select(F.col("id").cast("string").alias("csv_file"), (F.col("id") * 10).alias("h"))
+    small = with_ledger(rows, ledger)
+    big = with_ledger(rows, ledger, max_rows=5)
+    assert "BroadcastHashJoin" in plan_of(small)
+    p = plan_of(big)
+    assert "ShuffledHashJoin" in p and "BroadcastHashJoin" not in p
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
