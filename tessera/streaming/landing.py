@@ -16,14 +16,19 @@ from pyspark.sql import functions as F
 
 from tessera.functions.parse import file_basename
 from tessera.sources.files import LANDING_SCHEMA, read_manifest
+from tessera.operators.joins import new_only
 from tessera.sources.ingest import ingest_new, with_lineage
 
 
-def _existing(spark: SparkSession, target: str, fmt: str) -> DataFrame | None:
-    try:
-        return spark.read.format(fmt).load(target).select("file_hash")
-    except Exception:  # first run: no target yet
-        return None
+def _known_hashes(spark: SparkSession, hash_ledger: str, target: str, fmt: str) -> DataFrame | None:
+    """Hashes already ingested: the compact hash ledger (one row per file),
+    falling back to the target's hash column when no ledger exists yet."""
+    for path, f in ((hash_ledger, "parquet"), (target, fmt)):
+        try:
+            return spark.read.format(f).load(path).select("file_hash")
+        except Exception:  # not created yet
+            continue
+    return None
 
 
 def stream_landing(
@@ -36,8 +41,17 @@ def stream_landing(
     fmt: str = "parquet",
     run_ts=None,
     max_files_per_trigger: int | None = None,
+    hash_ledger: str | None = None,
 ) -> int:
-    """Ingest every landing CSV not yet seen; returns the number of rows appended."""
+    """Ingest every landing CSV not yet seen; returns the number of rows appended.
+
+    ``hash_ledger`` (default ``<target>_ingested_hashes``) holds one row per
+    ingested file hash, so the per-batch anti-join reads O(files), not the
+    whole bronze table.  It is appended after the bronze write; a failure in
+    between makes a retry re-append that batch, which the latest-wins silver
+    de-duplication absorbs.
+    """
+    hash_ledger = hash_ledger or f"{target.rstrip('/')}_ingested_hashes"
     reader = (
         spark.readStream.schema(LANDING_SCHEMA)
         .option("header", True)
@@ -52,7 +66,13 @@ def stream_landing(
     def batch(df: DataFrame, batch_id: int) -> None:
         ledger = read_manifest(spark, manifest_path, strict=True)
         enriched = with_lineage(df, ledger, run_id, run_ts)
-        appended["n"] += ingest_new(enriched, _existing(spark, target, fmt), target=target, fmt=fmt)
+        known = _known_hashes(spark, hash_ledger, target, fmt)
+        n = ingest_new(enriched, known, target=target, fmt=fmt)
+        if n:
+            fresh_hashes = new_only(enriched.select("file_hash").where(F.col("file_hash").isNotNull()),
+                                    known, "file_hash") if known is not None else enriched.select("file_hash")
+            fresh_hashes.distinct().write.mode("append").parquet(hash_ledger)
+        appended["n"] += n
 
     query = (
         rows.writeStream.foreachBatch(batch)

@@ -157,6 +157,8 @@ def test_stream_landing_incremental(spark, tmp_dir):
     assert stream_landing(spark, **args) == 1  # only the new file
     assert stream_landing(spark, **args) == 0  # nothing landed
     assert spark.read.parquet(args["target"]).count() == 3
+    hashes = sorted(r[0] for r in spark.read.parquet(args["target"] + "_ingested_hashes").collect())
+    assert hashes == ["h1", "h2"]
 
 
 def test_raw_pairs_table_and_landing_roundtrip(spark, tmp_dir):
