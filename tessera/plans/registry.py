@@ -410,8 +410,12 @@ def earlier():
 
 
 def _docs_hashed(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id", "source", "lang", content_hash("text").alias("file_hash")
+    """Hash every text once; the narrow (doc_id, source, lang, hash) table is
+    materialized so the batch branches do not re-read and re-hash the texts."""
+    return materialize(
+        table(spark, sf, "documents").select(
+            "doc_id", "source", "lang", content_hash("text").alias("file_hash")
+        )
     )
 
 
