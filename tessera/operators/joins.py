@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan);
-    beyond the bound the caller's join stays a shuffle join, which AQE may
-    still turn into a broadcast from runtime statistics.
+    Reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
+    the check itself stays bounded.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def temporal_join(
@@ -62,7 +60,7 @@ def with_ledger(
     choice is not relied on: it estimates from compressed column sizes, and
     the ledger's hash/name strings are far wider than that.
     """
-    if ledger.limit(max_rows + 1).count() <= max_rows:
+    if is_small(ledger, max_rows):
         return df.join(F.broadcast(ledger), on=on, how="left")
     return df.join(ledger.hint("shuffle_hash"), on=on, how="left")
 

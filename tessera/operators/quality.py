@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.basic import duplicate_keys
 
+# Fixed value: the month-text rule of the bronze check ("MM/YYYY", month 01-12).
 MONTH_TEXT = r"^(0[1-9]|1[0-2])/[0-9]{4}$"
 
 

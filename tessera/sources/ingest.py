@@ -22,6 +22,9 @@ from tessera.operators.joins import new_only, with_ledger
 from tessera.operators.quality import MONTH_TEXT, DataQualityError
 from tessera.sources.sinks import append_partitioned
 
+# Header texts of a repeated header row in the raw sheets.
+HEADER_NAMES = {"data_raw": "data", "valor_raw": "valor"}
+
 BRONZE_PRICE_COLUMNS = (
     "csv_file", "mes_ano", "valor", "source_file", "file_hash", "converted_at_utc",
     "ingest_run_id", "ingested_at_utc", "mes", "ano",
@@ -38,7 +41,7 @@ def canonicalize(raw: DataFrame) -> DataFrame:
     Header rows dropped, pt-BR number parsed, month re-rendered "MM/yyyy",
     rows with any NULL dropped.
     """
-    clean = drop_header_rows(raw, {"data_raw": "data", "valor_raw": "valor"})
+    clean = drop_header_rows(raw, HEADER_NAMES)
     return clean.select(
         parse_month("data_raw").alias("mes_ano"),
         parse_ptbr_number("valor_raw").alias("valor"),
