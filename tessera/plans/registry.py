@@ -430,8 +430,13 @@ SELECT doc_id, file_hash, source FROM (
 def q_idempotent_ingest(spark, sf):
     d = _docs_hashed(spark, sf)
     known = d.filter(earlier())
-    fresh = new_only(d.filter(~earlier()), known, "file_hash").select("doc_id", "file_hash", "source")
-    return dedupe_earliest(fresh.filter(F.col("file_hash").isNotNull()), ["file_hash"], ["doc_id"])
+    # one row per hash first (copies collapse map-side), then the anti-join
+    batch = dedupe_earliest(
+        d.filter(~earlier() & F.col("file_hash").isNotNull()).select("doc_id", "file_hash", "source"),
+        ["file_hash"],
+        ["doc_id"],
+    )
+    return new_only(batch, known, "file_hash")
 
 
 @register(
@@ -471,8 +476,12 @@ SELECT file_hash, source AS source_file, 'doc_' || CAST(doc_id AS VARCHAR) || '.
 def q_manifest_union(spark, sf):
     d = _docs_hashed(spark, sf)
     old = _ledger_rows(d.filter(earlier()))
-    fresh = new_only(d.filter(~earlier()), d.filter(earlier()), "file_hash").filter(F.col("file_hash").isNotNull())
-    fresh = dedupe_earliest(fresh.select("doc_id", "file_hash", "source"), ["file_hash"], ["doc_id"])
+    batch = dedupe_earliest(
+        d.filter(~earlier() & F.col("file_hash").isNotNull()).select("doc_id", "file_hash", "source"),
+        ["file_hash"],
+        ["doc_id"],
+    )
+    fresh = new_only(batch, d.filter(earlier()), "file_hash")
     return union_ledger(old, _ledger_rows(fresh))
 
 

@@ -122,9 +122,14 @@ def new_rows(
     hash_col: str = "file_hash",
     dedupe_on: Sequence[str] = ("mes_ano", "file_hash"),
 ) -> DataFrame:
-    """Rows whose ``hash_col`` is absent from ``existing``, de-duplicated (J3 + A4)."""
-    fresh = df if existing is None else new_only(df, existing, hash_col)
-    return dedupe_any(fresh, list(dedupe_on))
+    """Rows whose ``hash_col`` is absent from ``existing``, de-duplicated (J3 + A4).
+
+    De-duplication runs first: ``dedupe_on`` contains the hash, so the two
+    steps commute, and copies of one file (however many) collapse map-side
+    before the anti-join shuffles rows by hash.
+    """
+    deduped = dedupe_any(df, list(dedupe_on))
+    return deduped if existing is None else new_only(deduped, existing, hash_col)
 
 
 def ingest_new(
