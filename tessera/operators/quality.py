@@ -85,26 +85,42 @@ def uncastable(c, target: str, source: str = "string"):
     return F.when(col.isNull(), F.lit(False)).when(~col.rlike(screen), F.lit(True)).otherwise(failed)
 
 
-def _type_name(t: T.DataType | str) -> str:
-    return t if isinstance(t, str) else t.simpleString()
+def _type_name(t) -> str:
+    """Type text of an expected type: a name, a DataType, or a DataType class."""
+    if isinstance(t, str):
+        return t
+    if isinstance(t, type) and issubclass(t, T.DataType):
+        return t().simpleString()
+    return t.simpleString()
 
 
-def schema_contract(df: DataFrame, expected: Mapping[str, T.DataType | str]) -> DataFrame:
+def _matches(actual: T.DataType, expected) -> bool:
+    """A DataType *class* matches any parameters (decimal(12,2) is a DecimalType);
+    a name or instance must match exactly."""
+    if isinstance(expected, type) and issubclass(expected, T.DataType):
+        return isinstance(actual, expected)
+    return actual.simpleString() == _type_name(expected)
+
+
+def schema_contract(df: DataFrame, expected: Mapping[str, object]) -> DataFrame:
     """Compare ``df`` with an expected {column: type} contract (Q6).
 
+    ``expected`` values are type names ("int"), DataType instances, or
+    DataType classes (``T.DecimalType`` matches any precision and scale).
     Returns one row per column: ``column, status (ok|missing|extra|wrong_type),
     actual, expected, n_uncastable``.  For a wrong-typed column
     ``n_uncastable`` counts non-NULL values that do not cast to the expected
     type — all such counts come from one aggregate pass over the data.
     The metadata side has one row per column (bounded by the schema width).
     """
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    actual = {c: t.simpleString() for c, t in types.items()}
     exp = {c: _type_name(t) for c, t in expected.items()}
     rows = []
     for c, t in exp.items():
         if c not in actual:
             rows.append((c, "missing", None, t))
-        elif actual[c] != t:
+        elif not _matches(types[c], expected[c]):
             rows.append((c, "wrong_type", actual[c], t))
         else:
             rows.append((c, "ok", actual[c], t))

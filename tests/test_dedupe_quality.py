@@ -80,3 +80,13 @@ def test_layer_counts(spark):
     a = spark.range(3)
     b = spark.range(5)
     assert sorted(tuple(r) for r in layer_counts({"a": a, "b": b}).collect()) == [("a", 3), ("b", 5)]
+
+
+def test_schema_contract_type_classes(spark):
+    from pyspark.sql import types as T
+
+    df = spark.range(1).selectExpr("cast(1 as decimal(12,2)) as a", "'2.5' as b")
+    rep = {r["column"]: r["status"] for r in schema_contract(df, {"a": T.DecimalType, "b": T.DoubleType}).collect()}
+    assert rep == {"a": "ok", "b": "wrong_type"}
+    rep = {r["column"]: r["status"] for r in schema_contract(df, {"a": "decimal(10,2)"}).collect()}
+    assert rep["a"] == "wrong_type"
