@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,38 @@ def uncastable(c, target: str, source: str = "string"):
     return F.when(col.isNull(), F.lit(False)).when(~col.rlike(screen), F.lit(True)).otherwise(failed)
 
 
+def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """(rule, n_violations, n_rows): every rule counted in ONE aggregate pass.
+
+    ``rules`` maps a name to a boolean Column that is True on a violating
+    row (NULL counts as no violation).
+    """
+    names = list(rules)
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.coalesce(rules[n], F.lit(False))).alias(f"_r{i}") for i, n in enumerate(names)],
+    )
+    stack = ", ".join(f"'{n}', _r{i}" for i, n in enumerate(names))
+    return counts.selectExpr(f"stack({len(names)}, {stack}) as (rule, n_violations)", "_rows as n_rows")
+
+
+def bronze_rules(month_col: str = "mes_ano", lineage: Sequence[str] = ("file_hash", "source_file")) -> dict:
+    """The bronze price rules: month text format, plus NULL lineage columns."""
+    m = F.col(month_col)
+    rules = {f"{month_col}_format": m.isNotNull() & ~m.rlike(MONTH_TEXT), f"{month_col}_null": m.isNull()}
+    rules.update({f"{c}_null": F.col(c).isNull() for c in lineage})
+    return rules
+
+
+def check_rules(df: DataFrame, rules: Mapping[str, Column]) -> dict:
+    """Raise :class:`DataQualityError` listing every violated rule; one pass."""
+    res = {r["rule"]: r["n_violations"] for r in rule_report(df, rules).collect()}
+    bad = {k: v for k, v in res.items() if v}
+    if bad:
+        raise DataQualityError(f"rule violations: {bad}")
+    return res
+
+
 def _type_name(t) -> str:
     """Type text of an expected type: a name, a DataType, or a DataType class."""
     if isinstance(t, str):

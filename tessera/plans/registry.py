@@ -564,6 +564,44 @@ def q_bronze_lineage(spark, sf):
     return with_lineage(rows, ledger, RUN_ID, run_ts=RUN_TS)
 
 
+@register(
+    "dq_bronze_rules",
+    f"""WITH R AS (SELECT 'orders_' || CAST(l_orderkey AS VARCHAR) || '.csv' AS csv_file,
+       CAST(month(l_shipdate) AS VARCHAR) || '/' || strftime(l_shipdate, '%Y') AS mes_ano FROM lineitem),
+M AS (SELECT 'orders_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS csv_file,
+       sha256(o_orderstatus || '|' || o_orderpriority || '|' || CAST(o_orderkey AS VARCHAR)) AS file_hash,
+       'orders_' || CAST(o_orderkey AS VARCHAR) || '.xlsx' AS source_file
+      FROM orders WHERE o_orderpriority <> '1-URGENT'),
+B AS (SELECT R.mes_ano, M.file_hash, M.source_file FROM R LEFT JOIN M ON R.csv_file = M.csv_file)
+SELECT 'mes_ano_format' AS rule,
+       COUNT(*) FILTER (WHERE mes_ano IS NOT NULL AND NOT regexp_matches(mes_ano, '^(0[1-9]|1[0-2])/[0-9]{{4}}$')) AS n_violations,
+       COUNT(*) AS n_rows FROM B
+UNION ALL SELECT 'mes_ano_null', COUNT(*) FILTER (WHERE mes_ano IS NULL), COUNT(*) FROM B
+UNION ALL SELECT 'file_hash_null', COUNT(*) FILTER (WHERE file_hash IS NULL), COUNT(*) FROM B
+UNION ALL SELECT 'source_file_null', COUNT(*) FILTER (WHERE source_file IS NULL), COUNT(*) FROM B""",
+)
+def q_dq_bronze_rules(spark, sf):
+    """Bronze rules in one pass over landed rows whose ledger misses some files
+    (urgent orders never got a ledger entry) and whose month text is 'M/yyyy'."""
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders").filter(F.col("o_orderpriority") != "1-URGENT")
+    rows = li.select(
+        F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
+        ntz_text("l_shipdate", "M/yyyy").alias("mes_ano"),
+        F.col("l_extendedprice").alias("valor"),
+    )
+    ledger = o.select(
+        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
+        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".xlsx")).alias("source_file"),
+        F.sha2(
+            F.concat_ws("|", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").cast("string")), 256
+        ).alias("file_hash"),
+        ntz_text("o_orderdate", "yyyy-MM-ddTHH:mm:ssZ").alias("converted_at_utc"),
+    )
+    bronze = with_lineage(rows, ledger, RUN_ID, run_ts=RUN_TS)
+    return quality.rule_report(bronze, quality.bronze_rules())
+
+
 # ------------------------------------------------------- parsing functions
 
 

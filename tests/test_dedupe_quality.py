@@ -90,3 +90,17 @@ def test_schema_contract_type_classes(spark):
     assert rep == {"a": "ok", "b": "wrong_type"}
     rep = {r["column"]: r["status"] for r in schema_contract(df, {"a": "decimal(10,2)"}).collect()}
     assert rep["a"] == "wrong_type"
+
+
+def test_rule_report_one_pass(spark):
+    from tessera.operators.quality import bronze_rules, check_rules, rule_report
+
+    df = spark.createDataFrame(
+        [("01/2025", "h", "a.xls"), ("1/2025", None, "b.xls"), (None, "h", None)],
+        "mes_ano string, file_hash string, source_file string",
+    )
+    rep = {r["rule"]: (r["n_violations"], r["n_rows"]) for r in rule_report(df, bronze_rules()).collect()}
+    assert rep == {"mes_ano_format": (1, 3), "mes_ano_null": (1, 3), "file_hash_null": (1, 3), "source_file_null": (1, 3)}
+    with pytest.raises(DataQualityError):
+        check_rules(df, bronze_rules())
+    assert set(check_rules(df.limit(1), bronze_rules()).values()) == {0}
