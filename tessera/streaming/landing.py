@@ -64,15 +64,22 @@ def stream_landing(
     appended = {"n": 0}
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        ledger = read_manifest(spark, manifest_path, strict=True)
-        enriched = with_lineage(df, ledger, run_id, run_ts)
-        known = _known_hashes(spark, hash_ledger, target, fmt)
-        n = ingest_new(enriched, known, target=target, fmt=fmt)
-        if n:
-            fresh_hashes = new_only(enriched.select("file_hash").where(F.col("file_hash").isNotNull()),
-                                    known, "file_hash") if known is not None else enriched.select("file_hash")
-            fresh_hashes.distinct().write.mode("append").parquet(hash_ledger)
-        appended["n"] += n
+        # The micro-batch is used by the check pass, the append and the
+        # hash-ledger update: keep it for the batch instead of re-reading files.
+        df = df.persist()
+        try:
+            ledger = read_manifest(spark, manifest_path, strict=True)
+            enriched = with_lineage(df, ledger, run_id, run_ts)
+            known = _known_hashes(spark, hash_ledger, target, fmt)
+            n = ingest_new(enriched, known, target=target, fmt=fmt)
+            if n:
+                hashes = enriched.select("file_hash").where(F.col("file_hash").isNotNull())
+                if known is not None:
+                    hashes = new_only(hashes, known, "file_hash")
+                hashes.distinct().write.mode("append").parquet(hash_ledger)
+            appended["n"] += n
+        finally:
+            df.unpersist()
 
     query = (
         rows.writeStream.foreachBatch(batch)
