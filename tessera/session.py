@@ -27,9 +27,32 @@ SQL_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SQL_CONF` to an existing session (runtime SQL options only)."""
-    for key, value in SQL_CONF.items():
+MiB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * MiB) -> dict[str, str]:
+    """Partition sizing for a given input volume and cluster size.
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``partition_bytes`` (fits executor memory without spilling), never fewer
+    than two tasks per core; AQE then coalesces small shuffles and splits
+    skewed ones.  E.g. 100 TB on 1000 executors x 8 cores -> 64k-100k
+    partitions of ~256 MiB, advisory 128 MiB.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    parts = min(parts, 100_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
+def configure(spark: SparkSession, sizing: dict[str, str] | None = None) -> SparkSession:
+    """Apply :data:`SQL_CONF` (and optional :func:`scale_conf` sizing) to a session."""
+    for key, value in {**SQL_CONF, **(sizing or {})}.items():
         spark.conf.set(key, value)
     return spark
 

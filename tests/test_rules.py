@@ -48,3 +48,13 @@ def test_safe_corr_edges(spark):
     assert corr_of(spark, [(1.0, 2.0)]) is None
     assert corr_of(spark, [(1.0, 2.0), (1.0, 3.0), (1.0, 5.0)]) is None  # constant series
     assert corr_of(spark, [(1.0, 2.0), (None, 5.0), (3.0, 4.0)]) == pytest.approx(1.0)
+
+
+def test_scale_conf_sizes_partitions():
+    from tessera.session import scale_conf
+
+    c = scale_conf(100 * 1024**4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024**2
+    small = scale_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # >= 2 tasks per core
