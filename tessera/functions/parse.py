@@ -98,9 +98,46 @@ def parse_utc(c) -> Column:
     return F.when(c.rlike(_UTC_TEXT), text.try_cast("timestamp_ntz"))
 
 
+def _p2(c):
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def ntz_text(c, layout: str) -> Column:
+    """Render a timestamp_ntz from its fields, without the session time zone.
+
+    (``date_format`` converts through the session zone; a midnight in a zone
+    whose DST starts at midnight would render as 01:00.)
+    Layouts: "M/yyyy", "MM/yyyy", "dd/MM/yyyy", "yyyy-MM-ddTHH:mm:ssZ".
+    """
+    t = as_col(c)
+    y = F.lpad(F.year(t).cast("string"), 4, "0")
+    if layout == "M/yyyy":
+        return F.concat_ws("/", F.month(t).cast("string"), y)
+    if layout == "MM/yyyy":
+        return F.concat_ws("/", _p2(F.month(t)), y)
+    if layout == "dd/MM/yyyy":
+        return F.concat_ws("/", _p2(F.dayofmonth(t)), _p2(F.month(t)), y)
+    if layout == "yyyy-MM-ddTHH:mm:ssZ":
+        return F.concat(
+            F.concat_ws("-", y, _p2(F.month(t)), _p2(F.dayofmonth(t))), F.lit("T"),
+            F.concat_ws(":", _p2(F.hour(t)), _p2(F.minute(t)), _p2(F.second(t))), F.lit("Z"),
+        )
+    raise ValueError(layout)
+
+
+def utc_now() -> Column:
+    """Current time as a timestamp_ntz holding the UTC wall time (any session zone)."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+
+
 def format_utc(c) -> Column:
-    """timestamp -> ISO-8601 UTC text (session zone is UTC)."""
-    return F.date_format(as_col(c), UTC_ISO)
+    """timestamp_ntz (UTC wall time) -> ISO-8601 "yyyy-MM-ddTHH:mm:ssZ", zone-free."""
+    return ntz_text(c, "yyyy-MM-ddTHH:mm:ssZ")
+
+
+def decoded_path(path) -> Column:
+    """Percent-decoded file URI (``_metadata.file_path`` is encoded, binaryFile's ``path`` is not)."""
+    return F.try_url_decode(F.replace(as_col(path), F.lit("+"), F.lit("%2B")))
 
 
 def file_basename(path) -> Column:

@@ -48,7 +48,7 @@ def temporal_join(
 def with_ledger(
     df: DataFrame,
     ledger: DataFrame,
-    on: str = "csv_file",
+    on: str | Sequence[str] = "csv_file",
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left-join rows to their ledger entry by file name.

@@ -15,15 +15,27 @@ from pyspark.sql import functions as F
 from tessera.operators import gold
 from tessera.operators.silver import gold_prep, silver_index, silver_price
 from tessera.sources import catalog
-from tessera.sources.files import read_landing, read_manifest, read_payload
+from tessera.functions.parse import decoded_path, format_utc
+from tessera.operators.basic import dedupe_earliest
+from tessera.operators.joins import new_only
+from tessera.sources.files import (
+    MANIFEST_COLUMNS,
+    hash_files,
+    read_landing,
+    read_landing_root,
+    read_manifest,
+    read_payload,
+)
 from tessera.sources.ingest import (
+    canonicalize,
     bronze_from_payload,
     ingest_new,
     ingest_payload,
     payload_hash,
+    run_ts_col,
     with_lineage,
 )
-from tessera.sources.sinks import overwrite_table
+from tessera.sources.sinks import append_manifest, overwrite_table
 
 
 @dataclass(frozen=True)
@@ -49,6 +61,76 @@ class Lakehouse:
             return False
 
 
+def run_landing(
+    spark: SparkSession,
+    raw_path: str,
+    landing_root: str,
+    ledger_path: str,
+    glob: str = "*.csv",
+    sep: str = ",",
+    run_ts=None,
+) -> int:
+    """Raw two-column sheets -> canonical landing rows + ledger entries (landing step).
+
+    Every raw file is hashed (``binaryFile``, spread over tasks); files whose
+    content hash is already in the ledger are skipped — a renamed copy too.
+    Rows of the new files are selected with a join on the file path (no
+    driver-side file list), canonicalized, and appended under
+    ``csv_file=<name>.csv/file_hash=<sha256>/``.  The ledger gets one row per
+    new file.  Returns the number of new files.
+    """
+    hashes = hash_files(spark, raw_path, glob)
+    fresh = new_only(hashes, read_manifest(spark, ledger_path, strict=False), "file_hash")
+    # identical copies: the first file name wins (deterministic)
+    fresh = dedupe_earliest(fresh.select("path", "file_name", "file_hash"), ["file_hash"], ["file_name"])
+    fresh = fresh.withColumn(
+        "csv_file", F.concat(F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv"))
+    )
+    raw = (
+        spark.read.option("sep", sep)
+        .option("header", False)
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .csv(raw_path)
+    )
+    a, b = raw.columns[:2]
+    rows = raw.select(
+        F.col(a).alias("data_raw"),
+        F.col(b).alias("valor_raw"),
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
+    ).join(fresh.select("path", "csv_file", "file_hash"), on="path", how="inner")
+    canon = canonicalize(rows, keep=("csv_file", "file_hash"))
+    canon.write.mode("append").option("header", True).partitionBy("csv_file", "file_hash").csv(landing_root)
+    ts = run_ts_col(run_ts)
+    ledger_rows = fresh.select(
+        "file_hash",
+        F.col("file_name").alias("source_file"),
+        "csv_file",
+        format_utc(ts).alias("converted_at_utc"),
+    ).select(*MANIFEST_COLUMNS)
+    return append_manifest(ledger_rows, ledger_path)
+
+
+def run_bronze_from_landing(
+    spark: SparkSession,
+    lake: Lakehouse,
+    landing_root: str,
+    ledger_path: str,
+    run_id: str,
+    run_ts=None,
+) -> int:
+    """Landing root (``run_landing`` layout) -> bronze price; lineage joined on (name, hash)."""
+    rows = read_landing_root(spark, landing_root)
+    ledger = read_manifest(spark, ledger_path, strict=True)
+    enriched = with_lineage(rows, ledger, run_id, run_ts, on=("csv_file", "file_hash"))
+    existing = (
+        lake.read(spark, "bronze", lake.price_table).select("file_hash")
+        if lake.exists(spark, "bronze", lake.price_table)
+        else None
+    )
+    return ingest_new(enriched, existing, lake.path("bronze", lake.price_table), fmt=lake.fmt)
+
+
 def run_bronze_price(
     spark: SparkSession,
     lake: Lakehouse,

@@ -21,6 +21,7 @@ from tessera.functions.parse import (
     format_ptbr_number,
     month_key,
     month_of,
+    ntz_text,
     parse_br_date,
     parse_comma_decimal,
     parse_ptbr_number,
@@ -38,7 +39,6 @@ from tessera.operators.basic import (
 from tessera.operators.joins import new_only, temporal_join
 from tessera.operators.silver import conform, dominant_series, gold_prep
 from tessera.plans.series import (
-    ntz_text,
     daily_events,
     index_series,
     price_series,

@@ -25,33 +25,6 @@ def month_of_ts(c: str):
     return F.trunc(F.col(c).cast("date"), "month")
 
 
-def _p2(c):
-    return F.lpad(c.cast("string"), 2, "0")
-
-
-def ntz_text(c: str, layout: str):
-    """Render a timestamp_ntz from its fields, without the session time zone.
-
-    (``date_format`` converts through the session zone; a midnight in a zone
-    whose DST starts at midnight would render as 01:00.)
-    Layouts: "M/yyyy", "MM/yyyy", "dd/MM/yyyy", "yyyy-MM-ddTHH:mm:ssZ".
-    """
-    t = F.col(c)
-    y = F.lpad(F.year(t).cast("string"), 4, "0")
-    if layout == "M/yyyy":
-        return F.concat_ws("/", F.month(t).cast("string"), y)
-    if layout == "MM/yyyy":
-        return F.concat_ws("/", _p2(F.month(t)), y)
-    if layout == "dd/MM/yyyy":
-        return F.concat_ws("/", _p2(F.dayofmonth(t)), _p2(F.month(t)), y)
-    if layout == "yyyy-MM-ddTHH:mm:ssZ":
-        return F.concat(
-            F.concat_ws("-", y, _p2(F.month(t)), _p2(F.dayofmonth(t))), F.lit("T"),
-            F.concat_ws(":", _p2(F.hour(t)), _p2(F.minute(t)), _p2(F.second(t))), F.lit("Z"),
-        )
-    raise ValueError(layout)
-
-
 def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P: monthly mean order price -> (data, ano, mes, preco_boi_gordo)."""
     o = table(spark, sf_dir, "orders")

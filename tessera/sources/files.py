@@ -13,6 +13,14 @@ from tessera.functions.parse import file_basename
 LANDING_SCHEMA = T.StructType(
     [T.StructField("mes_ano", T.StringType()), T.StructField("valor", T.DoubleType())]
 )
+# Landing root written by `run_landing`: csv_file=<name>/file_hash=<sha256>/part-*.csv
+LANDING_PARTITIONED_SCHEMA = T.StructType(
+    [
+        *LANDING_SCHEMA.fields,
+        T.StructField("csv_file", T.StringType()),
+        T.StructField("file_hash", T.StringType()),
+    ]
+)
 MANIFEST_COLUMNS = ("file_hash", "source_file", "csv_file", "converted_at_utc")
 MANIFEST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in MANIFEST_COLUMNS])
 PAYLOAD_SCHEMA = T.StructType(
@@ -89,6 +97,18 @@ def read_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return df.withColumn("csv_file", file_basename(F.col("_metadata.file_path")))
 
 
+def read_landing_root(spark: SparkSession, root: str) -> DataFrame:
+    """Landing rows under ``csv_file=/file_hash=`` directories (as written by
+    ``run_landing``): both keys come from the directory names, typed as
+    strings by the schema (no partition type inference on hashes)."""
+    return (
+        spark.read.schema(LANDING_PARTITIONED_SCHEMA)
+        .option("header", True)
+        .option("mode", "FAILFAST")
+        .csv(root)
+    )
+
+
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of ``{data, valor}`` strings (S5); an empty payload is an error."""
     df = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(path)

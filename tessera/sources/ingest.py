@@ -15,6 +15,7 @@ from tessera.functions.parse import (
     parse_month,
     parse_ptbr_number,
     parse_utc,
+    utc_now,
     year_of,
 )
 from tessera.operators.basic import dedupe_any, drop_header_rows, hash_exists, with_constants
@@ -35,23 +36,24 @@ BRONZE_INDEX_COLUMNS = (
 )
 
 
-def canonicalize(raw: DataFrame) -> DataFrame:
+def canonicalize(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw ``data_raw, valor_raw`` text -> canonical ``mes_ano, valor`` (Q1).
 
     Header rows dropped, pt-BR number parsed, month re-rendered "MM/yyyy",
-    rows with any NULL dropped.
+    rows with a NULL month or value dropped.  ``keep`` columns ride along.
     """
     clean = drop_header_rows(raw, HEADER_NAMES)
     return clean.select(
         parse_month("data_raw").alias("mes_ano"),
         parse_ptbr_number("valor_raw").alias("valor"),
-    ).na.drop()
+        *keep,
+    ).na.drop(subset=["mes_ano", "valor"])
 
 
 def run_ts_col(run_ts) -> Column:
     """Injected run time (reproducible reruns) or the current UTC wall time."""
     if run_ts is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return utc_now()
     return F.lit(run_ts).cast("timestamp_ntz")
 
 
@@ -60,21 +62,27 @@ def with_lineage(
     ledger: DataFrame,
     run_id: str,
     run_ts=None,
+    on: Sequence[str] = ("csv_file",),
 ) -> DataFrame:
     """Landed rows + ledger lineage + run constants + partition columns (Q8).
 
     ``rows`` carries ``csv_file, mes_ano, valor``; ``ledger`` carries
     ``csv_file, source_file, file_hash, converted_at_utc`` (unique per
     ``csv_file``).  Rows whose file is not in the ledger keep NULL lineage
-    (reported by the not-null check).
+    (reported by the not-null check).  With ``on=("csv_file", "file_hash")``
+    (landing rows that carry their file hash) the join is unique even when
+    one name was landed twice with different content.
     """
+    on = list(on)
     led = ledger.select(
         F.col("csv_file").cast("string"),
         F.col("source_file").cast("string"),
         F.col("file_hash").cast("string"),
         F.col("converted_at_utc").cast("string"),
     )
-    joined = with_ledger(rows.select("csv_file", "mes_ano", "valor"), led, on="csv_file")
+    if "file_hash" in on:
+        led = led.dropDuplicates(on)
+    joined = with_ledger(rows.select(*dict.fromkeys([*on, "csv_file", "mes_ano", "valor"])), led, on=on)
     return with_constants(
         joined,
         {

@@ -70,3 +70,33 @@ def test_layer_jobs_end_to_end(spark, tmp_dir):
     finally:
         for db in ("gold", "silver"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_landing_job(spark, tmp_dir):
+    """Raw pt-BR sheets -> landing + ledger; copies and re-runs are skipped; bronze lineage is unique."""
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    sheet_a = "Data,Valor\n01/2025,\"1.234,56\"\nData,Valor\n2/2025,\"310,5\"\n13/2025,\"9,9\"\n"
+    sheet_b = "Data,Valor\n03/2025,\"1.000,00\"\n"
+    for name, body in (("a.csv", sheet_a), ("a copy.csv", sheet_a), ("b.csv", sheet_b)):
+        with open(os.path.join(raw, name), "w") as f:
+            f.write(body)
+    landing = os.path.join(tmp_dir, "landing")
+    ledger = os.path.join(tmp_dir, "ledger")
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 2  # copy skipped
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 0  # nothing new
+    # b.csv re-landed with new content: same name, new hash
+    with open(os.path.join(raw, "b.csv"), "w") as f:
+        f.write("Data,Valor\n04/2025,\"7,5\"\n")
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 1
+
+    lake = layers.Lakehouse(os.path.join(tmp_dir, "lake"))
+    assert layers.run_bronze_from_landing(spark, lake, landing, ledger, "r1", RUN_TS) == 4
+    assert layers.run_bronze_from_landing(spark, lake, landing, ledger, "r2", RUN_TS) == 0
+    bronze = lake.read(spark, "bronze", lake.price_table)
+    got = sorted((r["mes_ano"], r["valor"], r["csv_file"], r["file_hash"] is not None) for r in bronze.collect())
+    assert [g[:3] for g in got] == [  # "a copy.csv" < "a.csv": the first name wins
+        ("01/2025", 1234.56, "a copy.csv"), ("02/2025", 310.5, "a copy.csv"),
+        ("03/2025", 1000.0, "b.csv"), ("04/2025", 7.5, "b.csv"),
+    ]
+    assert all(g[3] for g in got)

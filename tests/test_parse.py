@@ -71,3 +71,16 @@ def test_ptbr_roundtrip(spark, cents):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in df.select(P.parse_ptbr_number(P.format_ptbr_number("x"))).collect()]
     assert got == vals
+
+
+def test_format_utc_and_now_zone_free(spark):
+    df = spark.createDataFrame([(dt.datetime(2018, 11, 4, 0, 30, 5),)], "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(P.format_utc("t")).first()[0] == "2018-11-04T00:30:05Z"
+            now = spark.range(1).select(P.utc_now()).first()[0]
+            assert abs((now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
