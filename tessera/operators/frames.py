@@ -23,7 +23,7 @@ bucket's first row from the previous bucket's last row — one large shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,7 +130,7 @@ def with_rolling(
     order: str,
     by: Sequence[str],
     k: int,
-    columns: dict[str, "callable"],
+    columns: dict[str, Callable[[Window], Column]],
     block_rows: int = 4096,
     bucket: Column | None = None,
 ) -> DataFrame:
