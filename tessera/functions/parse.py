@@ -42,9 +42,24 @@ def format_ptbr_number(c, digits: int = 2) -> Column:
     return F.translate(F.format_number(as_col(c), digits), ",.", ".,")
 
 
+_MONTH_IN = r"^([0-9]{1,2})/([0-9]{4})$"
+
+
 def parse_month(c) -> Column:
-    """Tolerant "M/yyyy" parse re-rendered as "MM/yyyy"; invalid -> NULL."""
-    return F.date_format(F.try_to_date(F.trim(as_col(c)), "M/yyyy"), "MM/yyyy")
+    """Tolerant "M/yyyy" or "MM/yyyy" (trimmed) re-rendered as "MM/yyyy"; invalid -> NULL.
+
+    Plain string work (regex + range check), no date formatter per row.
+    """
+    v = F.trim(as_col(c))
+    m = F.regexp_extract(v, _MONTH_IN, 1)
+    y = F.regexp_extract(v, _MONTH_IN, 2)
+    mi = m.try_cast("int")
+    in_range = mi.between(1, 12) & (y.try_cast("int") >= 1)
+    # the casts only run on rows whose text already has the digit layout
+    return F.when(
+        v.rlike(_MONTH_IN),
+        F.when(in_range, F.concat(F.lpad(mi.cast("string"), 2, "0"), F.lit("/"), y)),
+    )
 
 
 def parse_br_date(c) -> Column:
