@@ -30,22 +30,29 @@ SQL_CONF = {
 MiB = 1024 * 1024
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * MiB) -> dict[str, str]:
+def scale_conf(
+    input_bytes: int, total_cores: int, partition_bytes: int | None = None
+) -> dict[str, str]:
     """Partition sizing for a given input volume and cluster size.
 
-    Scan splits and shuffle partitions are sized so one task handles about
-    ``partition_bytes`` (fits executor memory without spilling), never fewer
-    than two tasks per core; AQE then coalesces small shuffles and splits
-    skewed ones.  E.g. 100 TB on 1000 executors x 8 cores -> 64k-100k
-    partitions of ~256 MiB, advisory 128 MiB.
+    A task should handle about ``partition_bytes``: by default the input
+    spread over two waves of the cluster's cores, clamped to [1 MiB,
+    256 MiB] — big enough to amortise task start-up, small enough to fit
+    executor memory without spilling.  Scan splits and shuffle partitions
+    follow; AQE then coalesces small shuffles to the advisory size and
+    splits skewed ones.  E.g. 100 TB on 1000 executors x 8 cores -> 256 MiB
+    tasks, 100k (capped) shuffle partitions, advisory 128 MiB; 40 MB on 8
+    cores -> ~2.5 MiB tasks, so a mid-sized shuffle still uses every core.
     """
+    if partition_bytes is None:
+        partition_bytes = min(256 * MiB, max(MiB, input_bytes // (2 * total_cores)))
     parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
     parts = min(parts, 100_000)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max(MiB // 2, partition_bytes // 2)),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
     }
 

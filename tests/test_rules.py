@@ -56,5 +56,6 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024**4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100_000  # capped
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024**2
-    small = scale_conf(10 * 1024**2, 8)
+    small = scale_conf(40 * 1024**2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # >= 2 tasks per core
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == int(2.5 * 1024**2)
