@@ -191,9 +191,9 @@ def _lag_bucketed(
     """Lag by one row: lag inside (series, bucket), then the first row of each
     bucket takes the last row of the previous non-empty bucket.
 
-    The per-bucket "last row" table is aggregated on the window's own
-    partitioning (no extra shuffle) and has one row per (series, bucket); the
-    lag over it bridges empty buckets.
+    The per-bucket "last row" table (one row per series and bucket) is a
+    partial, map-side ``max_by`` aggregate — Catalyst prunes the window out
+    of that branch — and the lag over it bridges empty buckets.
     """
     by = list(by)
     srcs = list(dict.fromkeys(values.values()))
@@ -233,8 +233,8 @@ def running_sum(
 
     Running sum inside (series, bucket) plus the total of all earlier buckets
     of the series, taken from the per-bucket totals table (one row per
-    bucket; aggregated on the window's own partitioning).  Like SQL's running
-    sum: NULL until the first non-NULL value.
+    bucket, a partial map-side aggregate).  Like SQL's running sum: NULL
+    until the first non-NULL value.
     """
     by = list(by)
     bk = bucket if bucket is not None else default_bucket(order)
