@@ -532,6 +532,27 @@ def q_bronze_payload(spark, sf):
     return bronze_from_payload(payload, meta, run_ts=RUN_TS)
 
 
+def _landed_rows(spark, sf, month_layout: str) -> DataFrame:
+    """lineitem rows as landed CSV rows: one "file" per order, month text, value."""
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
+        ntz_text("l_shipdate", month_layout).alias("mes_ano"),
+        F.col("l_extendedprice").alias("valor"),
+    )
+
+
+def _orders_ledger(orders: DataFrame) -> DataFrame:
+    """orders as the file ledger: one entry (name, source, content hash, time) per order."""
+    name = F.col("o_orderkey").cast("string")
+    return orders.select(
+        F.concat(F.lit("orders_"), name, F.lit(".csv")).alias("csv_file"),
+        F.concat(F.lit("orders_"), name, F.lit(".xlsx")).alias("source_file"),
+        F.sha2(F.concat_ws("|", "o_orderstatus", "o_orderpriority", name), 256).alias("file_hash"),
+        ntz_text("o_orderdate", "yyyy-MM-ddTHH:mm:ssZ").alias("converted_at_utc"),
+    )
+
+
 @register(
     "bronze_lineage",
     f"""WITH R AS (SELECT 'orders_' || CAST(l_orderkey AS VARCHAR) || '.csv' AS csv_file,
@@ -546,22 +567,8 @@ SELECT R.csv_file, R.mes_ano, {r6('R.valor')} AS valor, M.source_file, M.file_ha
 FROM R LEFT JOIN M ON R.csv_file = M.csv_file""",
 )
 def q_bronze_lineage(spark, sf):
-    li = table(spark, sf, "lineitem")
-    o = table(spark, sf, "orders")
-    rows = li.select(
-        F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
-        ntz_text("l_shipdate", "MM/yyyy").alias("mes_ano"),
-        F.col("l_extendedprice").alias("valor"),
-    )
-    ledger = o.select(
-        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
-        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".xlsx")).alias("source_file"),
-        F.sha2(
-            F.concat_ws("|", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").cast("string")), 256
-        ).alias("file_hash"),
-        ntz_text("o_orderdate", "yyyy-MM-ddTHH:mm:ssZ").alias("converted_at_utc"),
-    )
-    return with_lineage(rows, ledger, RUN_ID, run_ts=RUN_TS)
+    rows = _landed_rows(spark, sf, "MM/yyyy")
+    return with_lineage(rows, _orders_ledger(table(spark, sf, "orders")), RUN_ID, run_ts=RUN_TS)
 
 
 @register(
@@ -583,22 +590,8 @@ UNION ALL SELECT 'source_file_null', COUNT(*) FILTER (WHERE source_file IS NULL)
 def q_dq_bronze_rules(spark, sf):
     """Bronze rules in one pass over landed rows whose ledger misses some files
     (urgent orders never got a ledger entry) and whose month text is 'M/yyyy'."""
-    li = table(spark, sf, "lineitem")
-    o = table(spark, sf, "orders").filter(F.col("o_orderpriority") != "1-URGENT")
-    rows = li.select(
-        F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
-        ntz_text("l_shipdate", "M/yyyy").alias("mes_ano"),
-        F.col("l_extendedprice").alias("valor"),
-    )
-    ledger = o.select(
-        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
-        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".xlsx")).alias("source_file"),
-        F.sha2(
-            F.concat_ws("|", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").cast("string")), 256
-        ).alias("file_hash"),
-        ntz_text("o_orderdate", "yyyy-MM-ddTHH:mm:ssZ").alias("converted_at_utc"),
-    )
-    bronze = with_lineage(rows, ledger, RUN_ID, run_ts=RUN_TS)
+    ledger = _orders_ledger(table(spark, sf, "orders").filter(F.col("o_orderpriority") != "1-URGENT"))
+    bronze = with_lineage(_landed_rows(spark, sf, "M/yyyy"), ledger, RUN_ID, run_ts=RUN_TS)
     return quality.rule_report(bronze, quality.bronze_rules())
 
 
