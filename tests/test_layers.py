@@ -100,3 +100,28 @@ def test_landing_job(spark, tmp_dir):
         ("03/2025", 1000.0, "b.csv"), ("04/2025", 7.5, "b.csv"),
     ]
     assert all(g[3] for g in got)
+
+
+def test_cli_steps(spark, tmp_dir):
+    from tessera.__main__ import main
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "jan.csv"), "w") as f:
+        f.write("Data,Valor\n01/2025,\"10,5\"\n02/2025,\"11,0\"\n")
+    root = os.path.join(tmp_dir, "lake")
+    landing, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    payload = os.path.join(tmp_dir, "p.json")
+    with open(payload, "w") as f:
+        json.dump([{"data": "01/01/2025", "valor": "0,16"}, {"data": "01/02/2025", "valor": "1,31"}], f)
+    meta = json.dumps({"source": "api", "series_id": 433, "data_inicial": "01/01/2025",
+                       "data_final": "31/12/2025", "request_url": "file:p.json"})
+    try:
+        assert main(["--root", root, "landing", "--raw", raw, "--landing", landing, "--ledger", ledger]) == {"new_files": 1}
+        assert main(["--root", root, "bronze-price", "--landing", landing, "--ledger", ledger]) == {"rows": 2}
+        assert main(["--root", root, "bronze-index", "--payload", payload, "--meta", meta]) == {"appended": True}
+        main(["--root", root, "silver"])
+        assert main(["--root", root, "gold"]) == {"dashboard_rows": 2}
+    finally:
+        for db in ("gold", "silver"):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
