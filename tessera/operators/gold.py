@@ -78,27 +78,40 @@ def classify(df: DataFrame, spec: GoldSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def global_metrics(df: DataFrame, spec: GoldSpec = DEFAULT_SPEC) -> DataFrame:
-    """One-row correlation, means and combined mean of the two changes.
+    """Correlation, means and combined mean of the two changes.
 
     Rows where either change is NULL are excluded first.  One aggregate pass,
-    partial-aggregated on the map side.
+    partial-aggregated on the map side: one row overall, or one row per
+    series when ``spec.by`` names a series key (panel).
     """
     i, p = F.col(spec.index_change), F.col(spec.price_change)
     base = df.filter(i.isNotNull() & p.isNotNull())
-    return base.agg(
+    aggs = [
         safe_corr(i, p).alias("correlacao_global"),
         F.avg(i).alias("media_ipca_global"),
         F.avg(p).alias("media_boi_global"),
-    ).withColumn(
+    ]
+    grouped = base.groupBy(*spec.by).agg(*aggs) if spec.by else base.agg(*aggs)
+    return grouped.withColumn(
         "media_combinada_global",
         F.round((F.col("media_ipca_global") + F.col("media_boi_global")) / F.lit(2.0), 4),
     )
 
 
 def analytic(joined: DataFrame, spec: GoldSpec = DEFAULT_SPEC) -> DataFrame:
-    """Gold analytic table (G6): insights + rules + global metrics, one lazy plan."""
+    """Gold analytic table (G6): insights + rules + global metrics, one lazy plan.
+
+    Single series: the metrics row is attached by a scalar subquery.  Panel
+    (``spec.by``): per-series metrics are equi-joined on the series key (one
+    row per series, so the join never fans out); a series whose changes are
+    all NULL gets NULL metrics.
+    """
     ins = classify(insights(joined, spec), spec)
-    return attach_globals(ins, global_metrics(ins, spec))
+    metrics = global_metrics(ins, spec)
+    if not spec.by:
+        return attach_globals(ins, metrics)
+    cols = [c for c in metrics.columns if c not in spec.by]
+    return ins.join(metrics, on=list(spec.by), how="left").select(*ins.columns, *cols)
 
 
 DASHBOARD_COLS = ("data", "variacao_ipca", "variacao_boi", "destaque", "classe_impacto")

@@ -888,6 +888,35 @@ def q_panel_pct_change(spark, sf):
     return panel.panel_pct_change(materialize(priority_panel(spark, sf)), "valor", "series")
 
 
+@register(
+    "panel_analytic",
+    f"""WITH {CTE_PANEL}, {CTE_I},
+J AS (SELECT p.series, p.data, p.valor AS preco_boi_gordo, i.ipca_mensal FROM PN p JOIN I i ON p.data = i.data),
+L AS (SELECT *, lag(ipca_mensal) OVER w AS ipca_ant, lag(preco_boi_gordo) OVER w AS boi_ant
+      FROM J WINDOW w AS (PARTITION BY series ORDER BY data)),
+INS AS (SELECT series, data, preco_boi_gordo, ipca_mensal,
+               (ipca_mensal - ipca_ant) / nullif(ipca_ant, 0) * 100 AS variacao_ipca,
+               (preco_boi_gordo - boi_ant) / nullif(boi_ant, 0) * 100 AS variacao_boi FROM L),
+B AS (SELECT series, variacao_ipca AS i, variacao_boi AS p FROM INS
+      WHERE variacao_ipca IS NOT NULL AND variacao_boi IS NOT NULL),
+G0 AS (SELECT series, covar_pop(i, p) / nullif(stddev_pop(i) * stddev_pop(p), 0) AS correlacao_global,
+              avg(i) AS media_ipca_global, avg(p) AS media_boi_global FROM B GROUP BY series),
+G AS (SELECT *, {hu('(media_ipca_global + media_boi_global) / 2', 4)} AS media_combinada_global FROM G0)
+SELECT INS.series, INS.data, {r6('preco_boi_gordo')} AS preco_boi_gordo, {r6('ipca_mensal')} AS ipca_mensal,
+       {r6('variacao_ipca')} AS variacao_ipca, {r6('variacao_boi')} AS variacao_boi,
+       {r6(SQL_MEDIA)} AS media_variacoes, {SQL_DESTAQUE} AS destaque, {SQL_CLASSE} AS classe_impacto,
+       {r6('correlacao_global')} AS correlacao_global, {r6('media_ipca_global')} AS media_ipca_global,
+       {r6('media_boi_global')} AS media_boi_global, {r6('media_combinada_global')} AS media_combinada_global
+FROM INS LEFT JOIN G ON INS.series = G.series""",
+)
+def q_panel_analytic(spark, sf):
+    """Every gold operator keyed by series (X9): each order-priority price series vs the index."""
+    pn = priority_panel(spark, sf).withColumnRenamed("valor", "preco_boi_gordo")
+    i = index_series(spark, sf).select("data", "ipca_mensal")
+    j = materialize(temporal_join(pn, i, on=["data"], how="inner"))
+    return gold.analytic(j, gold.GoldSpec(by=("series",)))
+
+
 @register(
     "panel_corr",
     f"""WITH {CTE_PANEL}, {CTE_I},
