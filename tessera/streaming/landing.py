@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import file_basename
-from tessera.sources.files import LANDING_SCHEMA, read_manifest
+from tessera.sources.files import LANDING_PARTITIONED_SCHEMA, LANDING_SCHEMA, read_manifest
 from tessera.operators.joins import new_only
 from tessera.sources.ingest import ingest_new, with_lineage
 
@@ -42,6 +42,7 @@ def stream_landing(
     run_ts=None,
     max_files_per_trigger: int | None = None,
     hash_ledger: str | None = None,
+    layout: str = "files",
 ) -> int:
     """Ingest every landing CSV not yet seen; returns the number of rows appended.
 
@@ -50,17 +51,25 @@ def stream_landing(
     whole bronze table.  It is appended after the bronze write; a failure in
     between makes a retry re-append that batch, which the latest-wins silver
     de-duplication absorbs.
+
+    ``layout``: "files" (flat CSVs, the file name is the ledger key) or
+    "partitioned" (the ``csv_file=/file_hash=`` root written by
+    ``run_landing``; lineage joins on name and hash).
     """
     hash_ledger = hash_ledger or f"{target.rstrip('/')}_ingested_hashes"
+    partitioned = layout == "partitioned"
     reader = (
-        spark.readStream.schema(LANDING_SCHEMA)
+        spark.readStream.schema(LANDING_PARTITIONED_SCHEMA if partitioned else LANDING_SCHEMA)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", "*.csv")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(landing_dir).withColumn("csv_file", file_basename(F.col("_metadata.file_path")))
+    rows = reader.csv(landing_dir)
+    if not partitioned:
+        rows = rows.withColumn("csv_file", file_basename(F.col("_metadata.file_path")))
+    lineage_on = ("csv_file", "file_hash") if partitioned else ("csv_file",)
     appended = {"n": 0}
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -69,7 +78,7 @@ def stream_landing(
         df = df.persist()
         try:
             ledger = read_manifest(spark, manifest_path, strict=True)
-            enriched = with_lineage(df, ledger, run_id, run_ts)
+            enriched = with_lineage(df, ledger, run_id, run_ts, on=lineage_on)
             known = _known_hashes(spark, hash_ledger, target, fmt)
             n = ingest_new(enriched, known, target=target, fmt=fmt)
             if n:

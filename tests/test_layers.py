@@ -125,3 +125,25 @@ def test_cli_steps(spark, tmp_dir):
     finally:
         for db in ("gold", "silver"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_landing_then_stream_bronze(spark, tmp_dir):
+    from tessera.streaming.landing import stream_landing
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "a.csv"), "w") as f:
+        f.write("Data,Valor\n01/2025,\"1,5\"\n02/2025,\"2,5\"\n")
+    landing, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 1
+    args = dict(landing_dir=landing, manifest_path=ledger, target=os.path.join(tmp_dir, "bronze"),
+                checkpoint=os.path.join(tmp_dir, "chk"), run_id="s1", run_ts=RUN_TS, layout="partitioned")
+    assert stream_landing(spark, **args) == 2
+    with open(os.path.join(raw, "b.csv"), "w") as f:
+        f.write("Data,Valor\n03/2025,\"3,5\"\n")
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 1
+    assert stream_landing(spark, **args) == 1
+    rows = spark.read.parquet(args["target"]).collect()
+    assert sorted((r["mes_ano"], r["csv_file"]) for r in rows) == [
+        ("01/2025", "a.csv"), ("02/2025", "a.csv"), ("03/2025", "b.csv")]
+    assert all(r["file_hash"] and r["source_file"] for r in rows)
