@@ -8,13 +8,33 @@ combined before the shuffle.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[tuple[str, float], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the given parquet tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one of the given parquet tables.
+
+    The schema is inferred once per file (and file version) and then passed
+    to the reader, so later reads skip the footer-inference job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        key = (path, os.path.getmtime(path))
+    except OSError:  # not a local path: let Spark infer every time
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def cents(c: str):
