@@ -21,11 +21,16 @@ def register_table(
     """Register an external table over an existing path.
 
     A partitioned parquet table reads 0 rows until its partitions are
-    recovered, so ``partitioned=True`` runs ``RECOVER PARTITIONS``.
+    recovered, so ``partitioned=True`` runs ``RECOVER PARTITIONS``.  An
+    existing registration is refreshed (its files may have been rewritten).
     """
+    existed = spark.catalog.tableExists(name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(name)} USING {fmt} LOCATION '{path}'")
     if partitioned:
         spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
+    if existed:
+        # the files under LOCATION were rewritten: drop the cached listing
+        spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

@@ -58,6 +58,9 @@ def test_layer_jobs_end_to_end(spark, tmp_dir):
         assert dash.count() == 80
         assert spark.table("gold.vw_gold_dashboard").count() == 80
 
+        layers.run_silver(spark, lake)  # a rerun rewrites the files under registered tables
+        layers.run_gold(spark, lake)
+        assert spark.table("gold.vw_gold_dashboard").count() == 80
         got = {r["data"]: r for r in spark.table("gold.analitico").collect()}
         want = {r["data"]: r for r in QUERIES["analytic"](spark, SF01).collect()}
         assert got.keys() == want.keys()
