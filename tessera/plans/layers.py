@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import gold
+from tessera.operators.quality import schema_contract
 from tessera.operators.silver import gold_prep, silver_index, silver_price
 from tessera.sources import catalog
 from tessera.functions.parse import decoded_path, format_utc
@@ -164,10 +165,37 @@ def run_bronze_index(
     return ingest_payload(spark, rows, lake.path("bronze", lake.index_table), lake.fmt)
 
 
-def _publish(spark: SparkSession, lake: Lakehouse, layer: str, table: str, register: bool) -> None:
+def _publish(
+    spark: SparkSession, lake: Lakehouse, layer: str, table: str, register: bool, partitioned: bool = False
+) -> None:
     if register:
         catalog.ensure_database(spark, layer, lake.path(layer, "")[:-1])
-        catalog.register_table(spark, f"{layer}.{table}", lake.path(layer, table), lake.fmt)
+        catalog.register_table(spark, f"{layer}.{table}", lake.path(layer, table), lake.fmt, partitioned)
+
+
+# The bronze layer schemas (column -> type) the layer jobs write.
+BRONZE_PRICE_CONTRACT = {
+    "csv_file": "string", "mes_ano": "string", "valor": "double", "source_file": "string",
+    "file_hash": "string", "converted_at_utc": "timestamp_ntz", "ingest_run_id": "string",
+    "ingested_at_utc": "timestamp_ntz", "mes": "int", "ano": "int",
+}
+BRONZE_INDEX_CONTRACT = {
+    "data_ref": "date", "valor": "double", "source": "string", "series_id": "int",
+    "data_inicial": "string", "data_final": "string", "request_url": "string",
+    "payload_hash": "string", "ingest_run_id": "string", "ingested_at_utc": "timestamp_ntz",
+    "ano": "int", "mes": "int",
+}
+
+
+def run_validate_bronze(spark: SparkSession, lake: Lakehouse, register: bool = True) -> DataFrame:
+    """Schema contract of both bronze tables (one report, ``table`` column first);
+    registers them as ``bronze.*`` (partitions recovered)."""
+    reports = []
+    for table, contract in ((lake.price_table, BRONZE_PRICE_CONTRACT), (lake.index_table, BRONZE_INDEX_CONTRACT)):
+        rep = schema_contract(lake.read(spark, "bronze", table), contract)
+        reports.append(rep.select(F.lit(table).alias("table"), *rep.columns))
+        _publish(spark, lake, "bronze", table, register, partitioned=True)
+    return reports[0].unionByName(reports[1])
 
 
 def run_silver(spark: SparkSession, lake: Lakehouse, register: bool = True) -> dict[str, str]:

@@ -51,6 +51,10 @@ def test_layer_jobs_end_to_end(spark, tmp_dir):
         assert layers.run_bronze_price(spark, lake, land, manifest, "r2", RUN_TS) == 0  # idempotent
         assert layers.run_bronze_index(spark, lake, pfile, meta, RUN_TS) is True
         assert layers.run_bronze_index(spark, lake, pfile, meta, RUN_TS) is False
+        report = layers.run_validate_bronze(spark, lake)
+        assert {r["status"] for r in report.collect()} == {"ok"}
+        assert spark.table("bronze.boi_gordo").count() == 80
+        assert spark.table("bronze.ipca").count() == 83
         layers.run_silver(spark, lake)
         assert spark.table("silver.boi_gordo").count() == 80
         assert spark.table("silver.ipca").count() == 83
@@ -71,7 +75,7 @@ def test_layer_jobs_end_to_end(spark, tmp_dir):
             for c in ("variacao_ipca", "variacao_boi", "correlacao_global", "media_combinada_global"):
                 assert (g[c] is None and w[c] is None) or round(g[c], 6) == w[c]
     finally:
-        for db in ("gold", "silver"):
+        for db in ("gold", "silver", "bronze"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
