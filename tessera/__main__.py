@@ -1,6 +1,7 @@
 """Command line for the layer jobs: ``python -m tessera <step> --root <lakehouse> ...``.
 
-Steps: ``landing``, ``bronze-price``, ``bronze-index``, ``silver``, ``gold``.
+Steps: ``landing``, ``bronze-price``, ``bronze-index``, ``validate-bronze``,
+``silver``, ``gold``.
 The master is whatever the submitting environment sets (spark-submit or
 ``--master``); run ids default to a fresh UUID.
 """
@@ -38,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--payload", required=True)
     s.add_argument("--meta", required=True, help="JSON object: source, series_id, data_inicial, ...")
 
+    sub.add_parser("validate-bronze", help="schema contracts of the bronze tables (+ catalog)")
     sub.add_parser("silver", help="bronze -> silver (+ catalog)")
     s = sub.add_parser("gold", help="silver -> gold tables + dashboard view")
     s.add_argument("--how", default="inner", choices=["inner", "left"])
@@ -57,6 +59,9 @@ def main(argv: list[str] | None = None) -> dict:
         meta = json.loads(args.meta)
         meta.setdefault("ingest_run_id", str(uuid.uuid4()))
         out = {"appended": layers.run_bronze_index(spark, lake, args.payload, meta)}
+    elif args.step == "validate-bronze":
+        rows = layers.run_validate_bronze(spark, lake).collect()
+        out = {"not_ok": [r.asDict() for r in rows if r["status"] not in ("ok", "extra")]}
     elif args.step == "silver":
         out = layers.run_silver(spark, lake)
     else:

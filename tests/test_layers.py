@@ -127,10 +127,11 @@ def test_cli_steps(spark, tmp_dir):
         assert main(["--root", root, "landing", "--raw", raw, "--landing", landing, "--ledger", ledger]) == {"new_files": 1}
         assert main(["--root", root, "bronze-price", "--landing", landing, "--ledger", ledger]) == {"rows": 2}
         assert main(["--root", root, "bronze-index", "--payload", payload, "--meta", meta]) == {"appended": True}
+        assert main(["--root", root, "validate-bronze"]) == {"not_ok": []}
         main(["--root", root, "silver"])
         assert main(["--root", root, "gold"]) == {"dashboard_rows": 2}
     finally:
-        for db in ("gold", "silver"):
+        for db in ("gold", "silver", "bronze"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
