@@ -104,3 +104,65 @@ def test_rule_report_one_pass(spark):
     with pytest.raises(DataQualityError):
         check_rules(df, bronze_rules())
     assert set(check_rules(df.limit(1), bronze_rules()).values()) == {0}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 2), st.floats(-1e6, 1e6)),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_dedupe_latest_matches_python(spark, rows):
+    """Latest version per key equals a plain Python reference (NULL keys group together)."""
+    data = [(k, j, i, v) for i, (k, j, v) in enumerate(rows)]  # i = unique order value
+    df = spark.createDataFrame(data, "k int, j int, t int, v double")
+    want = {}
+    for k, j, t, v in data:
+        if (k, j) not in want or t > want[(k, j)][2]:
+            want[(k, j)] = (k, j, t, v)
+    def key(r):
+        return tuple((x is None, x if x is not None else 0) for x in r)
+
+    got = sorted((tuple(r) for r in dedupe_latest(df, ["k", "j"], ["t"]).collect()), key=key)
+    assert got == sorted(want.values(), key=key)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-50, 50)), st.one_of(st.none(), st.integers(-50, 50))),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_safe_corr_matches_python(spark, rows):
+    """Per-group correlation over complete pairs equals a direct Pearson computation."""
+    import math
+
+    from tessera.functions.rules import safe_corr
+
+    df = spark.createDataFrame([(g, a, b) for g, a, b in rows], "g int, a int, b int").selectExpr(
+        "g", "cast(a as double) a", "cast(b as double) b"
+    )
+    got = {r["g"]: r["c"] for r in df.groupBy("g").agg(safe_corr("a", "b").alias("c")).collect()}
+    for g in got:
+        pairs = [(a, b) for gg, a, b in rows if gg == g and a is not None and b is not None]
+        n = len(pairs)
+        want = None
+        if n >= 2:
+            ma = sum(a for a, _ in pairs) / n
+            mb = sum(b for _, b in pairs) / n
+            sa = math.sqrt(sum((a - ma) ** 2 for a, _ in pairs) / n)
+            sb = math.sqrt(sum((b - mb) ** 2 for _, b in pairs) / n)
+            if sa > 0 and sb > 0:
+                want = sum((a - ma) * (b - mb) for a, b in pairs) / n / (sa * sb)
+        if want is None:
+            assert got[g] is None
+        else:
+            assert got[g] == pytest.approx(want, abs=1e-9)
