@@ -34,7 +34,7 @@ def parse_ptbr_number(c) -> Column:
 
 def parse_comma_decimal(c) -> Column:
     """Comma-decimal text without thousands grouping: "0,42" -> 0.42."""
-    return F.regexp_replace(as_col(c), ",", ".").try_cast("double")
+    return F.translate(as_col(c), ",", ".").try_cast("double")
 
 
 def format_ptbr_number(c, digits: int = 2) -> Column:
@@ -118,21 +118,19 @@ def _p2(c):
 
 
 def ntz_text(c, layout: str) -> Column:
-    """Render a timestamp_ntz from its fields, without the session time zone.
+    """Render a timestamp_ntz without the session time zone shifting it.
 
-    (``date_format`` converts through the session zone; a midnight in a zone
-    whose DST starts at midnight would render as 01:00.)
+    Date-only layouts format the *date* of the value: a DST jump at
+    midnight can move the time of day of the intermediate timestamp, never
+    its calendar date.  The time layout is built from the value's own fields
+    (``date_format`` would render a non-existent local midnight as 01:00).
     Layouts: "M/yyyy", "MM/yyyy", "dd/MM/yyyy", "yyyy-MM-ddTHH:mm:ssZ".
     """
     t = as_col(c)
-    y = F.lpad(F.year(t).cast("string"), 4, "0")
-    if layout == "M/yyyy":
-        return F.concat_ws("/", F.month(t).cast("string"), y)
-    if layout == "MM/yyyy":
-        return F.concat_ws("/", _p2(F.month(t)), y)
-    if layout == "dd/MM/yyyy":
-        return F.concat_ws("/", _p2(F.dayofmonth(t)), _p2(F.month(t)), y)
+    if layout in ("M/yyyy", "MM/yyyy", "dd/MM/yyyy"):
+        return F.date_format(t.cast("date"), layout)
     if layout == "yyyy-MM-ddTHH:mm:ssZ":
+        y = F.lpad(F.year(t).cast("string"), 4, "0")
         return F.concat(
             F.concat_ws("-", y, _p2(F.month(t)), _p2(F.dayofmonth(t))), F.lit("T"),
             F.concat_ws(":", _p2(F.hour(t)), _p2(F.minute(t)), _p2(F.second(t))), F.lit("Z"),
