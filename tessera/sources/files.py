@@ -36,6 +36,8 @@ def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     """SHA-256 of every file under ``path`` matching ``glob``.
 
     ``binaryFile`` spreads files over tasks; only the hash leaves the task.
+    Each file's bytes are held by one task (Spark caps a binaryFile row at
+    2 GiB), which suits landed sheets and payloads, not multi-GB blobs.
     Output: ``path, file_name, file_hash, length``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -122,3 +122,23 @@ def test_ledger_join_fallback_is_shuffled(spark):
     p = plan_of(big)
     assert "ShuffledHashJoin" in p and "BroadcastHashJoin" not in p
     assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
+
+
+def test_results_unchanged_under_scaled_partitioning(spark, con):
+    """Sizing the session for the input (tiny tasks, many partitions) does not change results."""
+    from tessera.session import configure, scale_conf
+
+    keep = {k: spark.conf.get(k, None) for k in scale_conf(1, 1)}
+    try:
+        configure(spark, scale_conf(2 * 1024**2, 16))
+        for name in ("analytic", "dedupe_latest", "bronze_lineage", "panel_analytic"):
+            df = E.queries()[name](spark, SF001)
+            res = con.execute(E.oracle_sql()[name])
+            dcols = [d[0] for d in res.description]
+            assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(dcols, res.fetchall())
+    finally:
+        for k, v in keep.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
