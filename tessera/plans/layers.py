@@ -32,7 +32,9 @@ from tessera.sources.ingest import (
     bronze_from_payload,
     ingest_new,
     ingest_payload,
+    known_hashes,
     payload_hash,
+    record_hashes,
     run_ts_col,
     with_lineage,
 )
@@ -124,12 +126,7 @@ def run_bronze_from_landing(
     rows = read_landing_root(spark, landing_root)
     ledger = read_manifest(spark, ledger_path, strict=True)
     enriched = with_lineage(rows, ledger, run_id, run_ts, on=("csv_file", "file_hash"))
-    existing = (
-        lake.read(spark, "bronze", lake.price_table).select("file_hash")
-        if lake.exists(spark, "bronze", lake.price_table)
-        else None
-    )
-    return ingest_new(enriched, existing, lake.path("bronze", lake.price_table), fmt=lake.fmt)
+    return _append_new(spark, lake, enriched)
 
 
 def run_bronze_price(
@@ -143,12 +140,18 @@ def run_bronze_price(
     """Landing CSVs + ledger -> bronze price rows not yet ingested; returns rows appended."""
     rows = read_landing(spark, landing_paths)
     enriched = with_lineage(rows, read_manifest(spark, manifest_path, strict=True), run_id, run_ts)
-    existing = (
-        lake.read(spark, "bronze", lake.price_table).select("file_hash")
-        if lake.exists(spark, "bronze", lake.price_table)
-        else None
-    )
-    return ingest_new(enriched, existing, lake.path("bronze", lake.price_table), fmt=lake.fmt)
+    return _append_new(spark, lake, enriched)
+
+
+def _append_new(spark: SparkSession, lake: Lakehouse, enriched: DataFrame) -> int:
+    """Anti-join against the compact hash ledger (O(files), not O(rows)),
+    append the new rows, then record their hashes."""
+    target = lake.path("bronze", lake.price_table)
+    known = known_hashes(spark, target, lake.fmt)
+    n = ingest_new(enriched, known, target, fmt=lake.fmt)
+    if n:
+        record_hashes(enriched, known, target)
+    return n
 
 
 def run_bronze_index(

@@ -140,6 +140,34 @@ def new_rows(
     return deduped if existing is None else new_only(deduped, existing, hash_col)
 
 
+def hash_ledger_path(target: str) -> str:
+    """Default compact ledger of ingested file hashes next to a bronze table."""
+    return f"{target.rstrip('/')}_ingested_hashes"
+
+
+def known_hashes(spark: SparkSession, target: str, fmt: str = "parquet", ledger: str | None = None) -> DataFrame | None:
+    """Hashes already ingested into ``target``: its compact hash ledger (one row
+    per file), else the target's own hash column, else None (first run)."""
+    for path, f in ((ledger or hash_ledger_path(target), "parquet"), (target, fmt)):
+        try:
+            return spark.read.format(f).load(path).select("file_hash")
+        except Exception:  # not created yet
+            continue
+    return None
+
+
+def record_hashes(rows: DataFrame, known: DataFrame | None, target: str, ledger: str | None = None) -> None:
+    """Append the hashes of ``rows`` not yet in ``known`` to the hash ledger.
+
+    Call after the bronze append; if a failure falls in between, a retry
+    re-appends that batch and the latest-wins silver de-duplication absorbs it.
+    """
+    hashes = rows.select("file_hash").where(F.col("file_hash").isNotNull())
+    if known is not None:
+        hashes = new_only(hashes, known, "file_hash")
+    hashes.distinct().write.mode("append").parquet(ledger or hash_ledger_path(target))
+
+
 def ingest_new(
     df: DataFrame,
     existing: DataFrame | None,

@@ -16,19 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.parse import file_basename
 from tessera.sources.files import LANDING_PARTITIONED_SCHEMA, LANDING_SCHEMA, read_manifest
-from tessera.operators.joins import new_only
-from tessera.sources.ingest import ingest_new, with_lineage
-
-
-def _known_hashes(spark: SparkSession, hash_ledger: str, target: str, fmt: str) -> DataFrame | None:
-    """Hashes already ingested: the compact hash ledger (one row per file),
-    falling back to the target's hash column when no ledger exists yet."""
-    for path, f in ((hash_ledger, "parquet"), (target, fmt)):
-        try:
-            return spark.read.format(f).load(path).select("file_hash")
-        except Exception:  # not created yet
-            continue
-    return None
+from tessera.sources.ingest import hash_ledger_path, ingest_new, known_hashes, record_hashes, with_lineage
 
 
 def stream_landing(
@@ -56,7 +44,7 @@ def stream_landing(
     "partitioned" (the ``csv_file=/file_hash=`` root written by
     ``run_landing``; lineage joins on name and hash).
     """
-    hash_ledger = hash_ledger or f"{target.rstrip('/')}_ingested_hashes"
+    hash_ledger = hash_ledger or hash_ledger_path(target)
     partitioned = layout == "partitioned"
     reader = (
         spark.readStream.schema(LANDING_PARTITIONED_SCHEMA if partitioned else LANDING_SCHEMA)
@@ -79,13 +67,10 @@ def stream_landing(
         try:
             ledger = read_manifest(spark, manifest_path, strict=True)
             enriched = with_lineage(df, ledger, run_id, run_ts, on=lineage_on)
-            known = _known_hashes(spark, hash_ledger, target, fmt)
+            known = known_hashes(spark, target, fmt, hash_ledger)
             n = ingest_new(enriched, known, target=target, fmt=fmt)
             if n:
-                hashes = enriched.select("file_hash").where(F.col("file_hash").isNotNull())
-                if known is not None:
-                    hashes = new_only(hashes, known, "file_hash")
-                hashes.distinct().write.mode("append").parquet(hash_ledger)
+                record_hashes(enriched, known, target, hash_ledger)
             appended["n"] += n
         finally:
             df.unpersist()

@@ -49,6 +49,8 @@ def test_layer_jobs_end_to_end(spark, tmp_dir):
     try:
         assert layers.run_bronze_price(spark, lake, land, manifest, "r1", RUN_TS) == 80
         assert layers.run_bronze_price(spark, lake, land, manifest, "r2", RUN_TS) == 0  # idempotent
+        ledger = spark.read.parquet(lake.path("bronze", lake.price_table) + "_ingested_hashes")
+        assert ledger.count() == ledger.distinct().count() == 7  # one hash per landed year file
         assert layers.run_bronze_index(spark, lake, pfile, meta, RUN_TS) is True
         assert layers.run_bronze_index(spark, lake, pfile, meta, RUN_TS) is False
         report = layers.run_validate_bronze(spark, lake)
