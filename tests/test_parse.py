@@ -84,3 +84,37 @@ def test_format_utc_and_now_zone_free(spark):
             assert abs((now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def _month_ref(x):
+    import re
+
+    if x is None:
+        return None
+    m = re.fullmatch(r"([0-9]{1,2})/([0-9]{4})", x.strip(" "))
+    if not m or not (1 <= int(m.group(1)) <= 12) or int(m.group(2)) < 1:
+        return None
+    return f"{int(m.group(1)):02d}/{m.group(2)}"
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.none(),
+            st.builds(
+                lambda a, b, pad: f"{pad}{a}/{b}{pad}",
+                st.integers(0, 130).map(str) | st.just("0"),
+                st.integers(0, 99999).map(str),
+                st.sampled_from(["", " ", "  "]),
+            ),
+            st.text(alphabet="0123456789/ aX", max_size=9),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_parse_month_matches_spec(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(P.parse_month("x")).collect()]
+    assert got == [_month_ref(t) for t in texts]
