@@ -118,3 +118,25 @@ def test_parse_month_matches_spec(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r[0] for r in df.select(P.parse_month("x")).collect()]
     assert got == [_month_ref(t) for t in texts]
+
+
+def _ptbr_ref(x):
+    import re
+
+    if x is None:
+        return None
+    v = x.replace(" ", " ").strip(" ")
+    if "," in v or re.fullmatch(r"-?[0-9]{1,3}(\.[0-9]{3})+", v):
+        v = v.replace(".", "")
+    v = v.replace(",", ".")
+    if not re.fullmatch(r"-?([0-9]+\.?[0-9]*|\.[0-9]+)", v):
+        return None
+    return float(v)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789.,-  ", max_size=12)), min_size=1, max_size=30))
+def test_parse_ptbr_matches_spec(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(P.parse_ptbr_number("x")).collect()]
+    assert got == [_ptbr_ref(t) for t in texts]
