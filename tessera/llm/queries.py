@@ -4,8 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, simhash
-from tessera.llm.common import read_table
+from tessera.llm import (
+    bpe,
+    exact_dedup,
+    fingerprint,
+    langid,
+    license_scan,
+    packing,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
+from tessera.llm.common import read_table, shared_path
+
+SHARDS = [f"shard-{i:03d}" for i in range(100)]
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -22,7 +41,91 @@ def op2_simhash(spark, sf_dir):
     )
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_simhash": op2_simhash}
+def op3_bpe(spark, sf_dir):
+    rows = bpe.tokenized(read_table(spark, sf_dir, "documents"), tokenizer_path(), digests=True)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.col("ids").alias("ids_sha256"),
+        F.col("decoded").alias("decoded_sha256"),
+    )
+
+
+def op4_license_scan(spark, sf_dir):
+    return license_scan.scan(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "text_digest", "license_id", F.array_join("notice_ids", ",").alias("notice_ids")
+    )
+
+
+def op5_packing(spark, sf_dir):
+    return packing.packed(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_warc(spark, sf_dir):
+    records = warc.round_trip(spark, read_table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_sharding(spark, sf_dir):
+    return sharding.place(read_table(spark, sf_dir, "documents"), SHARDS).select("doc_id", "slot", "shard")
+
+
+def op8_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(toxicity.fold() == 2, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels").filter(~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        F.when(F.col("toxic_flag"), 1).otherwise(0).alias("predicted"),
+        F.col("toxic_evidence").alias("evidence"),
+    )
+
+
+def op9_fingerprint(spark, sf_dir):
+    rows = fingerprint.edited_and_next(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.sketch_hex(F.col("sketch")).alias("fingerprint"),
+        fingerprint.sketch_hex(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        F.col("next_id").alias("next_doc_id"),
+    )
+
+
+def op10_langid(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.fold() == 0, F.lit(False))
+    found = langid.identify(docs.select("doc_id", "text"), docs.filter(~held_out))
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_reliable").alias("reliable"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_simhash,
+        op3_bpe,
+        op4_license_scan,
+        op5_packing,
+        op6_warc,
+        op7_sharding,
+        op8_toxicity,
+        op9_fingerprint,
+        op10_langid,
+    )
+}
 
 ORACLES = {
     "op1_exact_dedup": """
