@@ -3,7 +3,7 @@
 Terms are the 5-character pieces of words (with word ends), so inflected and
 compound forms share terms.  A Spark job counts, over all labelled rows that
 may be learned from, in how many texts of either label a term occurs; the
-terms that speak most for the label (chi-square) form the vocabulary.  A
+terms that speak most for toxicity (chi-square) form the vocabulary.  A
 bounded sample of labelled texts becomes a block-max inverted index: postings
 by term, cut into blocks of examples, with the largest weight of each term per
 block.  A text visits blocks by falling upper bound and stops once no block
@@ -37,6 +37,7 @@ class ToxicParams:
     terms: int = 2000
     min_docs: int = 3
     min_chi2: float = 30.0
+    min_share: float = 0.5  # of the texts with the term, at least this many are toxic
     examples: int = 2000
     calibration: int = 6000
     neighbours: int = 15
@@ -103,7 +104,7 @@ def term_counts(labelled: DataFrame, p: ToxicParams) -> DataFrame:
 
 
 def choose_terms(counts: DataFrame, n: int, n_toxic: int, p: ToxicParams) -> list[tuple[str, float]]:
-    """At most ``p.terms`` terms ``(term, idf)`` that toxic texts have more often, by chi-square."""
+    """At most ``p.terms`` terms ``(term, idf)`` by chi-square, of those that mostly stand in toxic texts."""
     a, docs = F.col("toxic").cast("double"), F.col("docs").cast("double")
     pos, neg = F.lit(float(n_toxic)), F.lit(float(n - n_toxic))
     expected = docs * pos / F.lit(float(n))
@@ -112,7 +113,7 @@ def choose_terms(counts: DataFrame, n: int, n_toxic: int, p: ToxicParams) -> lis
     rows = (
         counts.filter(F.col("docs") >= p.min_docs)
         .withColumn("chi2", chi2)
-        .filter((F.col("chi2") >= p.min_chi2) & (a > expected))
+        .filter((F.col("chi2") >= p.min_chi2) & (a > expected) & (a >= p.min_share * docs))
         .orderBy(F.desc("chi2"), "term")
         .limit(p.terms)
         .collect()

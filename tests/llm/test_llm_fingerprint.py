@@ -1,0 +1,98 @@
+import hashlib
+import random
+import re
+
+import xxhash
+from pyspark.sql import functions as F
+
+from tessera.llm import fingerprint as P
+from tessera.llm.queries import QUERIES
+
+
+def brute_sketch(text, k=5, scale=4):
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", (text or "").lower()) if w]
+    if not words:
+        return []
+    out = set()
+    for i in range(max(1, len(words) - k + 1)):
+        h = 42
+        for w in words[i : i + k]:
+            h = xxhash.xxh64_intdigest(w.encode(), h)  # Spark feeds one word's hash on as the next one's seed
+        if h < 2**64 // scale:
+            out.add(h >> 32)
+    return sorted(out)
+
+
+def near(a, b):
+    if not a and not b:
+        return 1.0
+    return len(set(a) & set(b)) / min(len(a), len(b)) if a and b else 0.0
+
+
+def brute(rows):
+    """rows: (id, text) with distinct ids; null first."""
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0]))
+    out = []
+    for at, (i, t) in enumerate(rows):
+        nxt = rows[(at + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + nxt[:half]
+        a, b, c = brute_sketch(t), brute_sketch(edited), brute_sketch(nxt)
+        hx = ["".join(f"{x:08x}" for x in s) for s in (a, b)]
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), *hx, round(near(a, b), 9), round(near(a, c), 9)))
+    return sorted(out, key=str)
+
+
+def got(df):
+    rows = P.edited_and_next(df).select(
+        "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256), P.sketch_hex(F.col("sketch")),
+        P.sketch_hex(F.col("edited_sketch")), F.round(P.containment(F.col("sketch"), F.col("edited_sketch")), 9),
+        F.round(P.containment(F.col("sketch"), F.col("next_sketch")), 9),
+    )
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+def cases():
+    rng = random.Random(2)
+    rows = [(3 * i - 40, " ".join(rng.choices("alpha beta gamma delta eps zeta".split(), k=rng.randint(1, 200)))) for i in range(60)]
+    rows += [(500, None), (501, ""), (502, "  \n "), (503, "😀é one"), (504, "Same text here"), (505, "same  text\there"), (506, "w " * 20_000), (None, "null id is first in line today")]
+    return rows
+
+
+def test_equals_brute_force(docs):
+    assert got(docs(cases(), extra=True)) == brute(cases())
+
+
+def test_one_row_and_none(docs):
+    assert got(docs([(7, "just one text of six words")])) == brute([(7, "just one text of six words")])
+    assert got(docs([])) == []
+
+
+def test_repeated_rows_all_get_the_documents_result(docs):
+    rows = cases()
+    out = got(docs(rows + [rows[0], rows[0], (None, rows[-1][1])]))
+    one = {r[0]: r for r in brute(rows)}
+    assert len(out) == len(rows) + 3 and all(r == one[r[0]] for r in out)
+
+
+def test_containment_between_unequal_documents_and_merge(spark):
+    rng = random.Random(8)
+    big = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    part = big[3_000:5_000]
+    df = spark.createDataFrame([(" ".join(big), " ".join(part), " ".join(big[:9_000]), " ".join(big[8_996:]))], "a string, b string, c string, d string")
+    s = {c: P.sketch(F.col(c)) for c in "abcd"}
+    r = df.select(P.containment(s["a"], s["b"]).alias("in"), P.jaccard(s["a"], s["b"]).alias("j"), (P.merge(s["c"], s["d"]) == s["a"]).alias("m"), F.size(s["a"]).alias("n")).first()
+    assert r["in"] > 0.999 and abs(r.j - 0.1) < 0.02 and r.m and abs(r.n / 19_996 - 0.25) < 0.02
+
+
+def test_no_python_in_the_plan(docs):
+    plan = P.edited_and_next(docs(cases()))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    src = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    names = "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next".split()
+    rows = QUERIES["op9_fingerprint"](spark, sf).select(*names).collect()
+    assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in rows), key=str) == brute(src)

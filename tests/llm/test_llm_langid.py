@@ -1,0 +1,76 @@
+import random
+import zlib
+
+from pyspark.sql import functions as F
+
+from tessera.llm import langid
+from tessera.llm.queries import QUERIES
+
+SYLLABLES = {
+    "aa": "ka mo ri ta ne su ho wa".split(),
+    "bb": "schl krau burg lich zent wold".split(),
+    "cc": "eau oux ille tion dre que".split(),
+}
+
+
+def text(lang, rng, n):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 3))) for _ in range(n))
+
+
+def corpus(n, seed=0):
+    rng = random.Random(seed)
+    return [(i, text(lang, rng, rng.randint(2, 80)), lang) for i in range(n) for lang in [rng.choice(list(SYLLABLES))]]
+
+
+def test_held_out_accuracy_and_edges(docs):
+    rows = corpus(600)
+    rng = random.Random(9)
+    more = [
+        (1000, None), (1001, ""), (1002, "123 !!! ²"), (1003, text("bb", rng, 30_000)), (1004, text("aa", rng, 30).upper()),
+        (1005, "日本語"), (1006, text("cc", rng, 9)), (1006, text("cc", rng, 9)), (None, text("aa", rng, 9)),
+    ]
+    df = docs(rows + more, extra=True).withColumn("lang_pred", F.lit("clash"))
+    out = langid.identify(df, docs([r for r in rows if r[0] % 5]))
+    assert set(out.columns) == set(df.columns) | {"lang_score", "lang_reliable"}
+    got = {}
+    for r in out.collect():
+        assert 0 <= r.lang_score <= 1
+        got.setdefault(r.doc_id, []).append((r.lang_pred, r.lang_reliable))
+    held = [r for r in rows if r[0] % 5 == 0]
+    assert sum(got[i][0][0] == lang for i, _, lang in held) / len(held) > 0.97
+    assert got[1000] == got[1001] == got[1002] == [("und", False)]
+    assert got[1003] == [("bb", True)] and got[1004] == [("aa", True)] and got[None] == [("aa", True)]
+    assert got[1005][0][0] in SYLLABLES and got[1006] == [("cc", True)] * 2
+
+
+def test_a_mixture_has_a_narrow_margin():
+    rng = random.Random(4)
+    c = langid.Classifier(langid.dictionaries({x: [text(x, rng, 400)] for x in ("aa", "bb")}), langid.LangParams())
+    assert c(text("aa", rng, 50))[0] == "aa" and c(text("aa", rng, 50))[1] > 0.1
+    assert c(text("aa", rng, 50) + " " + text("bb", rng, 50))[1] < 0.1
+
+
+def test_sample_is_bounded_and_of_the_language(docs):
+    rows = corpus(500) + [(900, None, "aa"), (901, "", "bb"), (902, "x", None)]
+    p = langid.LangParams(sample_docs=10, snippet_chars=20)
+    found = langid.sample(docs(rows), p, "doc_id", "text", "lang")
+    assert set(found) == set(SYLLABLES)
+    assert all(0 < len(s) <= 10 and all(len(x) <= 20 for x in s) for s in found.values())
+
+
+def test_nothing_to_learn_from(docs):
+    df = docs([(1, "abc"), (2, None)])
+    assert {r.lang_pred for r in langid.identify(df, docs([])).collect()} == {"und"}
+    only = langid.identify(df, docs([(1, "abc abd", "aa")])).collect()
+    assert {(r.lang_pred, r.lang_score) for r in only} == {("aa", 1.0), ("und", 0.0)}
+    assert langid.identify(docs([]), df).count() == 0
+
+
+def test_query_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.01"
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = QUERIES["op10_langid"](spark, sf).collect()
+    assert sorted(r.doc_id for r in out) == sorted(lang)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
+    held = [r for r in out if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) > 0.97
