@@ -13,7 +13,7 @@ import json
 import uuid
 
 from tessera.plans import layers
-from tessera.session import get_session
+from tessera.session import get_session, size_for
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = get_session(args.master, app_name=f"tessera-{args.step}")
     lake = layers.Lakehouse(args.root, fmt=args.fmt)
+    size_for(spark, *[x for x in (args.root, *map(vars(args).get, ("raw", "landing", "payload"))) if x])
     if args.step == "landing":
         out = {"new_files": layers.run_landing(spark, args.raw, args.landing, args.ledger, args.glob, args.sep)}
     elif args.step == "bronze-price":

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL options every tessera job assumes.
 SQL_CONF = {
@@ -36,18 +37,17 @@ def scale_conf(
     """Partition sizing for a given input volume and cluster size.
 
     A task should handle about ``partition_bytes``: by default the input
-    spread over two waves of the cluster's cores, clamped to [1 MiB,
-    256 MiB] — big enough to amortise task start-up, small enough to fit
-    executor memory without spilling.  Scan splits and shuffle partitions
-    follow; AQE then coalesces small shuffles to the advisory size and
-    splits skewed ones.  E.g. 100 TB on 1000 executors x 8 cores -> 256 MiB
-    tasks, 100k (capped) shuffle partitions, advisory 128 MiB; 40 MB on 8
-    cores -> ~2.5 MiB tasks, so a mid-sized shuffle still uses every core.
+    spread over two waves of the cluster's cores, between 1 MiB (to amortise
+    task start-up) and 256 MiB (to fit executor memory without spilling).
+    Scan splits and shuffle partitions follow, at any volume; AQE then
+    coalesces small shuffles to the advisory size and splits skewed ones.
+    E.g. 100 TB on 1000 executors x 8 cores -> 256 MiB tasks, 400k shuffle
+    partitions, advisory 128 MiB; 40 MB on 8 cores -> ~2.5 MiB tasks, so a
+    mid-sized shuffle still uses every core.
     """
     if partition_bytes is None:
         partition_bytes = min(256 * MiB, max(MiB, input_bytes // (2 * total_cores)))
     parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
-    parts = min(parts, 100_000)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -64,16 +64,40 @@ def configure(spark: SparkSession, sizing: dict[str, str] | None = None) -> Spar
     return spark
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes under ``paths`` in whatever file system they name (a missing path counts 0)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_for(spark: SparkSession, *paths: str) -> SparkSession:
+    """Size the session for reading ``paths``; what the submitter has set stays.
+
+    The one sizing path of the command line and the bench.
+    """
+    given = spark.sparkContext.getConf()
+    sizing = scale_conf(stored_bytes(spark, *paths), spark.sparkContext.defaultParallelism)
+    return configure(spark, {k: v for k, v in sizing.items() if not given.contains(k)})
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "tessera",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with tessera's options.
 
     ``master`` is only given for local runs and tests; on a cluster leave it
-    ``None`` so the submitting platform decides.
+    ``None`` so the submitting platform decides.  A number of shuffle
+    partitions is set only where the caller names one (tests); otherwise the
+    submitter's setting, :func:`size_for` or Spark's default holds.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -81,10 +105,11 @@ def get_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         **SQL_CONF,
         **(extra or {}),
     }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -125,3 +150,14 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read again.
+
+    Cuts lineage as :func:`materialize` does; later steps read only the
+    columns they need, and Spark knows the table's size.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -54,8 +54,33 @@ def test_scale_conf_sizes_partitions():
     from tessera.session import scale_conf
 
     c = scale_conf(100 * 1024**4, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024**2
     small = scale_conf(40 * 1024**2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # >= 2 tasks per core
     assert int(small["spark.sql.files.maxPartitionBytes"]) == int(2.5 * 1024**2)
+
+
+def test_a_given_number_of_shuffle_partitions_stays():
+    """In a JVM of its own, as a submitted job: what the submitter set holds, else sizing or Spark's default."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+from tessera.session import get_session, size_for
+s = get_session(None)
+print("FIRST", s.conf.get("spark.sql.shuffle.partitions"))
+print("SIZED", size_for(s, "/root/testdata/sf0.001").conf.get("spark.sql.shuffle.partitions"))
+"""
+
+    def run(*conf):
+        args = " ".join(f"--conf {c}" for c in ("spark.master=local[2]", "spark.ui.enabled=false", *conf))
+        env = os.environ | {"PYSPARK_SUBMIT_ARGS": f"{args} pyspark-shell"}
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=120)
+        return [x.split()[1] for x in out.stdout.splitlines() if x.startswith(("FIRST", "SIZED"))]
+
+    assert run("spark.sql.shuffle.partitions=4000") == ["4000", "4000"]
+    first, sized = run()
+    assert first == "200" and int(sized) == 4
