@@ -25,21 +25,24 @@ def row_hash(cols: Sequence[str]) -> Column:
     return F.sha2(row_json(cols), 256)
 
 
-def row_hash_int(cols: Sequence[str]) -> Column:
-    """First 60 bits of :func:`row_hash` as a non-negative bigint."""
-    return F.conv(F.substring(row_hash(cols), 1, 15), 16, 10).cast("bigint")
+# A SHA-256 as limbs that fit a bigint: (first hex digit, digits); all 64 digits are covered.
+LIMBS = tuple((1 + at, min(15, 64 - at)) for at in range(0, 64, 15))
+
+
+def row_limbs(cols: Sequence[str]) -> list[Column]:
+    """All 256 bits of :func:`row_hash` as non-negative bigints."""
+    h = row_hash(cols)
+    return [F.conv(F.substring(h, at, n), 16, 10).cast("bigint") for at, n in LIMBS]
 
 
 def batch_hash_aggs(cols: Sequence[str]) -> list[Column]:
     """Aggregates of an order-insensitive batch hash.
 
-    Combines per-row hashes with count, exact sum and xor, all of which are
-    partial-aggregated on the map side, so a batch is never gathered into one
-    task or one group.  Returns ``[n_rows, payload_hash]``.
+    Combines the whole row hashes with the count and one exact sum per limb,
+    all partial-aggregated on the map side, so a batch is never gathered into
+    one task or one group.  Returns ``[n_rows, payload_hash]``.
     """
-    h = row_hash_int(cols)
     n = F.count(F.lit(1))
-    s = F.sum(h.cast("decimal(38,0)"))
-    x = F.bit_xor(h)
-    digest = F.sha2(F.concat_ws(":", n.cast("string"), s.cast("string"), x.cast("string")), 256)
+    sums = [F.coalesce(F.sum(x.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")) for x in row_limbs(cols)]
+    digest = F.sha2(F.concat_ws(":", n.cast("string"), *[x.cast("string") for x in sums]), 256)
     return [n.alias("n_rows"), digest.alias("payload_hash")]

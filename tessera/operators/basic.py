@@ -64,7 +64,10 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key when rows are identical on the other columns (A4)."""
+    """One row per key when rows are identical on the other columns (A4).
+
+    Rows that differ need :func:`dedupe_latest` with an order that decides.
+    """
     return df.dropDuplicates(list(keys))
 
 
@@ -91,11 +94,6 @@ def dedupe_earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(winner).select(*keys, "_w.*").select(*df.columns)
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:
-    """First ``n`` rows by ``order`` (O2); planned as TakeOrderedAndProject."""
-    return df.orderBy(*order).limit(n)
-
-
 def union_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
     """Union all by column name."""
     return old.unionByName(new)
@@ -113,11 +111,6 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness test that stays in the JVM."""
-    return df.isEmpty()
-
-
 def hash_exists(df: DataFrame, col: str, value) -> bool:
     """Point probe: does ``col == value`` occur (P9)?  Filter + limit 1."""
     return not df.filter(F.col(col) == F.lit(value)).limit(1).isEmpty()

@@ -1,25 +1,12 @@
-"""Join operators (J1-J4) and the size-checked broadcast they share."""
+"""Join operators."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after counting at most this many + 1 of its rows.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so
-    the check itself stays bounded.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def temporal_join(
     left: DataFrame,
     right: DataFrame,
@@ -45,34 +32,25 @@ def temporal_join(
     return joined.select(*keys, *merged, *rest_l, *rest_r)
 
 
-def with_ledger(
-    df: DataFrame,
-    ledger: DataFrame,
-    on: str | Sequence[str] = "csv_file",
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Left-join rows to their ledger entry by file name.
+def with_ledger(df: DataFrame, ledger: DataFrame, on: str | Sequence[str] = "csv_file", how: str = "left") -> DataFrame:
+    """Join rows to their ledger entry.
 
-    The ledger (one narrow row per landed file) must be unique on ``on``.
-    It is broadcast only after a bounded count proves it small; a larger
-    ledger joins as a shuffled hash join on the file name (AQE splits a file
-    that holds a large share of the rows).  The planner's own broadcast
-    choice is not relied on: it estimates from compressed column sizes, and
-    the ledger's hash/name strings are far wider than that.
+    The ledger must be unique on ``on`` (see
+    :func:`tessera.sources.ingest.current_entries`).  Spark chooses the join
+    from measured sizes at run time, and AQE splits a file that holds a large
+    share of the rows.
     """
-    if is_small(ledger, max_rows):
-        return df.join(F.broadcast(ledger), on=on, how="left")
-    return df.join(ledger.hint("shuffle_hash"), on=on, how="left")
+    return df.join(ledger, on=on, how=how)
 
 
 def new_only(df: DataFrame, existing: DataFrame, key: str, existing_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is absent from ``existing``.
 
-    A left-anti join: nothing is collected to the driver, and the known-key
-    side is de-duplicated by the join itself.
+    A left-anti join: nothing is collected to the driver.  Copies of a known
+    key collapse in their own tasks before the shuffle.
     """
     ek = existing_key or key
-    known = existing.select(F.col(ek).alias("_known")).where(F.col("_known").isNotNull())
+    known = existing.select(F.col(ek).alias("_known")).where(F.col("_known").isNotNull()).distinct()
     return df.join(known, df[key] == known["_known"], "left_anti")
 
 
@@ -86,7 +64,3 @@ def attach_globals(df: DataFrame, metrics: DataFrame) -> DataFrame:
     packed = metrics.select(F.struct(*cols).alias("_m")).scalar()
     return df.withColumn("_m", packed).select(*df.columns, *[F.col(f"_m.{c}").alias(c) for c in cols])
 
-
-def scalar_of(metrics: DataFrame, col: str) -> Column:
-    """One column of a one-row frame as a scalar-subquery Column."""
-    return metrics.select(col).scalar()

@@ -7,39 +7,46 @@ the landing files) and each job is one short plan.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.parse import decoded_path
 from tessera.operators import gold
-from tessera.operators.quality import schema_contract
-from tessera.operators.silver import gold_prep, silver_index, silver_price
-from tessera.sources import catalog
-from tessera.functions.parse import decoded_path, format_utc
 from tessera.operators.basic import dedupe_earliest
 from tessera.operators.joins import new_only
+from tessera.operators.quality import DataQualityError, schema_contract
+from tessera.operators.silver import gold_prep, silver_index, silver_price
+from tessera.session import shared_copy
+from tessera.sources import catalog
 from tessera.sources.files import (
     MANIFEST_COLUMNS,
     hash_files,
+    listed_files,
+    load_if_exists,
     read_landing,
-    read_landing_root,
+    read_landing_batches,
     read_manifest,
     read_payload,
 )
 from tessera.sources.ingest import (
-    canonicalize,
+    HashLedger,
     bronze_from_payload,
-    ingest_new,
+    canonicalize,
+    current_entries,
+    ingest_files,
     ingest_payload,
-    known_hashes,
     payload_hash,
-    record_hashes,
-    run_ts_col,
     with_lineage,
 )
 from tessera.sources.sinks import append_manifest, overwrite_table
 
+# New landing files opened by one append; their names are all that the driver holds of them.
+FILES_PER_APPEND = 10_000
+
 
 @dataclass(frozen=True)
 class Lakehouse:
@@ -57,11 +64,12 @@ class Lakehouse:
         return spark.read.format(self.fmt).load(self.path(layer, table))
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
-        try:
-            self.read(spark, layer, table).schema
-            return True
-        except Exception:
-            return False
+        return load_if_exists(spark, self.path(layer, table), self.fmt) is not None
+
+
+def landing_batch(converted_at_utc):
+    """Name of the landing run's directory: the digits of its UTC time."""
+    return F.regexp_replace(converted_at_utc, "[^0-9]", "")
 
 
 def run_landing(
@@ -78,16 +86,20 @@ def run_landing(
     Every raw file is hashed (``binaryFile``, spread over tasks); files whose
     content hash is already in the ledger are skipped — a renamed copy too.
     Rows of the new files are selected with a join on the file path (no
-    driver-side file list), canonicalized, and appended under
-    ``csv_file=<name>.csv/file_hash=<sha256>/``.  The ledger gets one row per
-    new file.  Returns the number of new files.
+    driver-side file list), canonicalized, and written as a few large files
+    under ``lote=<time of this run>/``, with ``csv_file`` and ``file_hash`` as
+    columns.  The ledger gets one row per new file; its ``converted_at_utc``
+    names the directory.  A run that stops before that leaves a directory
+    which no entry names.  Returns the number of new files.
     """
+    at = datetime.now(timezone.utc) if run_ts is None else datetime.fromisoformat(str(run_ts))
+    stamp = at.strftime("%Y-%m-%dT%H:%M:%SZ")
     hashes = hash_files(spark, raw_path, glob)
     fresh = new_only(hashes, read_manifest(spark, ledger_path, strict=False), "file_hash")
     # identical copies: the first file name wins (deterministic)
     fresh = dedupe_earliest(fresh.select("path", "file_name", "file_hash"), ["file_hash"], ["file_name"])
-    fresh = fresh.withColumn(
-        "csv_file", F.concat(F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv"))
+    fresh = shared_copy(
+        fresh.withColumn("csv_file", F.concat(F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv"))), "new-files"
     )
     raw = (
         spark.read.option("sep", sep)
@@ -102,18 +114,28 @@ def run_landing(
         F.col(b).alias("valor_raw"),
         decoded_path(F.col("_metadata.file_path")).alias("path"),
     ).join(fresh.select("path", "csv_file", "file_hash"), on="path", how="inner")
-    canon = canonicalize(rows, keep=("csv_file", "file_hash"))
-    canon.write.mode("append").option("header", True).partitionBy("csv_file", "file_hash").csv(landing_root)
-    ts = run_ts_col(run_ts)
+    canon = canonicalize(rows, keep=("csv_file", "file_hash")).withColumn("lote", landing_batch(F.lit(stamp)))
+    canon.write.mode("append").option("header", True).partitionBy("lote").csv(landing_root)
     ledger_rows = fresh.select(
         "file_hash",
         F.col("file_name").alias("source_file"),
         "csv_file",
-        format_utc(ts).alias("converted_at_utc"),
+        F.lit(stamp).alias("converted_at_utc"),
     ).select(*MANIFEST_COLUMNS)
     return append_manifest(ledger_rows, ledger_path)
 
 
+def price_ledger(spark: SparkSession, lake: Lakehouse) -> HashLedger:
+    return HashLedger(spark, lake.path("bronze", lake.price_table), lake.fmt)
+
+
+def _new_entries(spark: SparkSession, lake: Lakehouse, entries: DataFrame) -> DataFrame:
+    """Ledger entries not yet in bronze; an entry without a hash is an error."""
+    if not entries.filter(F.col("file_hash").isNull()).isEmpty():
+        raise DataQualityError("ledger entries without file_hash")
+    return price_ledger(spark, lake).new(entries)
+
+
 def run_bronze_from_landing(
     spark: SparkSession,
     lake: Lakehouse,
@@ -122,35 +144,63 @@ def run_bronze_from_landing(
     run_id: str,
     run_ts=None,
 ) -> int:
-    """Landing root (``run_landing`` layout) -> bronze price; lineage joined on (name, hash)."""
-    rows = read_landing_root(spark, landing_root)
-    ledger = read_manifest(spark, ledger_path, strict=True)
-    enriched = with_lineage(rows, ledger, run_id, run_ts, on=("csv_file", "file_hash"))
-    return _append_new(spark, lake, enriched)
+    """Landing root (``run_landing`` layout) -> bronze price, new files first.
+
+    The ledger says which files are new; only the landing runs that hold them
+    are read, and rows meet their entry by name and hash.
+    """
+    fresh = _new_entries(spark, lake, read_manifest(spark, ledger_path, strict=True))
+    batches = [r[0] for r in fresh.select(landing_batch("converted_at_utc")).distinct().collect()]
+    if not batches:
+        return 0
+    rows = read_landing_batches(spark, landing_root, sorted(batches))
+    enriched = with_lineage(rows, fresh, run_id, run_ts, on=("csv_file", "file_hash"), how="inner")
+    return ingest_files(enriched, fresh, price_ledger(spark, lake))
+
+
+def unlisted_files(spark: SparkSession, landing_dir: str, manifest_path: str) -> DataFrame:
+    """Landing files that no ledger entry names (they are never read); contents are not opened."""
+    known = read_manifest(spark, manifest_path, strict=True)
+    return new_only(listed_files(spark, landing_dir, "*.csv"), known, "file_name", "csv_file")
+
+
+def _chunks(names: Iterator[str], size: int) -> Iterator[list[str]]:
+    part: list[str] = []
+    for name in names:
+        part.append(name)
+        if len(part) == size:
+            yield part
+            part = []
+    if part:
+        yield part
 
 
 def run_bronze_price(
     spark: SparkSession,
     lake: Lakehouse,
-    landing_paths,
+    landing_dir: str,
     manifest_path: str,
     run_id: str,
     run_ts=None,
+    on_unlisted: str = "ignore",
 ) -> int:
-    """Landing CSVs + ledger -> bronze price rows not yet ingested; returns rows appended."""
-    rows = read_landing(spark, landing_paths)
-    enriched = with_lineage(rows, read_manifest(spark, manifest_path, strict=True), run_id, run_ts)
-    return _append_new(spark, lake, enriched)
-
-
-def _append_new(spark: SparkSession, lake: Lakehouse, enriched: DataFrame) -> int:
-    """Anti-join against the compact hash ledger (O(files), not O(rows)),
-    append the new rows, then record their hashes."""
-    target = lake.path("bronze", lake.price_table)
-    known = known_hashes(spark, target, lake.fmt)
-    n = ingest_new(enriched, known, target, fmt=lake.fmt)
-    if n:
-        record_hashes(enriched, known, target)
+    """Flat landing CSVs + ledger -> bronze price rows not yet ingested; returns rows appended.
+
+    The ledger drives it: its current entries minus those in bronze are the
+    new files, and only these are opened (in groups of
+    :data:`FILES_PER_APPEND`).  A file that no entry names is not read;
+    ``on_unlisted="raise"`` makes it an error.
+    """
+    if on_unlisted == "raise" and not unlisted_files(spark, landing_dir, manifest_path).isEmpty():
+        raise DataQualityError(f"files under {landing_dir} are not in the ledger")
+    fresh = _new_entries(spark, lake, current_entries(read_manifest(spark, manifest_path, strict=True)))
+    names = (r[0] for r in fresh.select("csv_file").toLocalIterator())
+    n = 0
+    for part in _chunks(names, FILES_PER_APPEND):
+        entries = fresh.filter(F.col("csv_file").isin(part))
+        rows = read_landing(spark, [f"{landing_dir.rstrip('/')}/{name}" for name in part])
+        enriched = with_lineage(rows, entries, run_id, run_ts, how="inner")
+        n += ingest_files(enriched, entries, price_ledger(spark, lake))
     return n
 
 

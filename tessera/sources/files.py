@@ -4,34 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.parse import file_basename
 
+# Column names of the landed files, the file ledger and the payload.
 LANDING_SCHEMA = T.StructType(
     [T.StructField("mes_ano", T.StringType()), T.StructField("valor", T.DoubleType())]
 )
-# Landing root written by `run_landing`: csv_file=<name>/file_hash=<sha256>/part-*.csv
-LANDING_PARTITIONED_SCHEMA = T.StructType(
+MANIFEST_COLUMNS = ("file_hash", "source_file", "csv_file", "converted_at_utc")
+MANIFEST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in MANIFEST_COLUMNS])
+PAYLOAD_SCHEMA = T.StructType(
+    [T.StructField("data", T.StringType()), T.StructField("valor", T.StringType())]
+)
+# Landing root written by `run_landing`: lote=<landing run>/part-*.csv, file name and hash as columns
+LANDING_BATCH_SCHEMA = T.StructType(
     [
         *LANDING_SCHEMA.fields,
         T.StructField("csv_file", T.StringType()),
         T.StructField("file_hash", T.StringType()),
+        T.StructField("lote", T.StringType()),
     ]
 )
-MANIFEST_COLUMNS = ("file_hash", "source_file", "csv_file", "converted_at_utc")
-MANIFEST_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in MANIFEST_COLUMNS])
-PAYLOAD_SCHEMA = T.StructType(
-    [T.StructField("data", T.StringType()), T.StructField("valor", T.StringType())]
-)
 
 
 class SourceError(ValueError):
     """A source is missing, malformed or empty where that is an error."""
 
 
+def landing_line(c) -> Column:
+    """One canonical landing line ("MM/yyyy,valor") that arrives as a column; FAILFAST like the file scan."""
+    return F.from_csv(F.col(c), LANDING_SCHEMA.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "FAILFAST"})
+
+
+def payload_items(c) -> Column:
+    """The ``{data, valor}`` items of a JSON payload text that arrives as a column."""
+    return F.from_json(F.col(c), T.ArrayType(PAYLOAD_SCHEMA), {"mode": "FAILFAST"})
+
+
+def load_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table under ``path``, or None if there is no such path; any other failure is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """SHA-256 of every file under ``path`` matching ``glob``.
 
@@ -54,27 +77,26 @@ def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 def read_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Read the ledger CSV.
 
-    ``strict`` (bronze): a missing file or column raises.  Non-strict
-    (landing): a missing file is an empty ledger.  ``path`` may be one CSV
-    file or a directory of CSV parts (as :func:`append_manifest` writes).
-    Spark's file sources skip names starting with ``_`` or ``.``, so the
-    ledger must not be named like that.
+    ``strict`` (bronze): a missing file raises.  Non-strict (landing): a
+    missing file is an empty ledger.  Anything else that is wrong with the
+    ledger raises either way.  ``path`` may be one CSV file or a directory of
+    CSV parts (as :func:`append_manifest` writes).  Spark's file sources skip
+    names starting with ``_`` or ``.``, so the ledger must not be named so.
     """
     base = path.rstrip("/").rsplit("/", 1)[-1]
     if base.startswith(("_", ".")):
         raise SourceError(f"ledger name {base!r} is hidden from Spark file sources; rename it")
     try:
         df = spark.read.option("header", True).csv(path)
-        cols = set(df.columns)
-    except Exception as exc:  # path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         if strict:
-            raise SourceError(f"manifest not found: {path}") from exc
+            raise SourceError(f"manifest not found: {path}") from e
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    missing = [c for c in MANIFEST_COLUMNS if c not in cols]
+    missing = [c for c in MANIFEST_COLUMNS if c not in df.columns]
     if missing:
-        if strict:
-            raise SourceError(f"manifest lacks columns {missing}")
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+        raise SourceError(f"manifest lacks columns {missing}")
     return df.select(*[F.col(c).cast("string") for c in MANIFEST_COLUMNS])
 
 
@@ -99,18 +121,25 @@ def read_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return df.withColumn("csv_file", file_basename(F.col("_metadata.file_path")))
 
 
-def read_landing_root(spark: SparkSession, root: str) -> DataFrame:
-    """Landing rows under ``csv_file=/file_hash=`` directories (as written by
-    ``run_landing``): both keys come from the directory names, typed as
-    strings by the schema (no partition type inference on hashes)."""
+def read_landing_batches(spark: SparkSession, root: str, batches: Sequence[str]) -> DataFrame:
+    """Rows of the given landing runs (``lote=`` directories of ``run_landing``) only."""
     return (
-        spark.read.schema(LANDING_PARTITIONED_SCHEMA)
+        spark.read.schema(LANDING_BATCH_SCHEMA)
         .option("header", True)
         .option("mode", "FAILFAST")
-        .csv(root)
+        .option("basePath", root)
+        .csv([f"{root.rstrip('/')}/lote={b}" for b in batches])
     )
 
 
+def listed_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``path, file_name, length`` of the files under ``path``; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select("path", file_basename("path").alias("file_name"), "length")
+
+
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of ``{data, valor}`` strings (S5); an empty payload is an error."""
     df = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(path)

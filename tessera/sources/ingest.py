@@ -18,14 +18,15 @@ from tessera.functions.parse import (
     utc_now,
     year_of,
 )
-from tessera.operators.basic import dedupe_any, drop_header_rows, hash_exists, with_constants
+from tessera.operators.basic import dedupe_latest, with_constants
 from tessera.operators.joins import new_only, with_ledger
 from tessera.operators.quality import MONTH_TEXT, DataQualityError
+from tessera.session import shared_copy
+from tessera.sources.files import MANIFEST_COLUMNS, load_if_exists
 from tessera.sources.sinks import append_partitioned
 
-# Header texts of a repeated header row in the raw sheets.
+# Header texts of a repeated header row in the raw sheets, and the bronze columns.
 HEADER_NAMES = {"data_raw": "data", "valor_raw": "valor"}
-
 BRONZE_PRICE_COLUMNS = (
     "csv_file", "mes_ano", "valor", "source_file", "file_hash", "converted_at_utc",
     "ingest_run_id", "ingested_at_utc", "mes", "ano",
@@ -39,15 +40,16 @@ BRONZE_INDEX_COLUMNS = (
 def canonicalize(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw ``data_raw, valor_raw`` text -> canonical ``mes_ano, valor`` (Q1).
 
-    Header rows dropped, pt-BR number parsed, month re-rendered "MM/yyyy",
-    rows with a NULL month or value dropped.  ``keep`` columns ride along.
+    pt-BR number parsed, month re-rendered "MM/yyyy", rows with a NULL month
+    or value dropped.  Header rows go with them: "Data" is no month.  The
+    texts are parsed once, in the array below; a filter on plain projected
+    columns would be pushed under the projection and parse them again.
+    ``keep`` columns ride along.
     """
-    clean = drop_header_rows(raw, HEADER_NAMES)
-    return clean.select(
-        parse_month("data_raw").alias("mes_ano"),
-        parse_ptbr_number("valor_raw").alias("valor"),
-        *keep,
-    ).na.drop(subset=["mes_ano", "valor"])
+    parsed = F.array(
+        F.struct(parse_month("data_raw").alias("mes_ano"), parse_ptbr_number("valor_raw").alias("valor"))
+    )
+    return raw.select(*keep, F.inline(parsed)).na.drop(subset=["mes_ano", "valor"]).select("mes_ano", "valor", *keep)
 
 
 def run_ts_col(run_ts) -> Column:
@@ -57,32 +59,38 @@ def run_ts_col(run_ts) -> Column:
     return F.lit(run_ts).cast("timestamp_ntz")
 
 
+def current_entries(ledger: DataFrame) -> DataFrame:
+    """One ledger entry per file name: the latest ``(converted_at_utc, file_hash)``.
+
+    A flat landing folder holds one content per name, that of the last
+    conversion; entries it replaced describe files that are gone.
+    """
+    return dedupe_latest(ledger.select(*MANIFEST_COLUMNS), ["csv_file"], ["converted_at_utc", "file_hash"])
+
+
 def with_lineage(
     rows: DataFrame,
     ledger: DataFrame,
     run_id: str,
     run_ts=None,
     on: Sequence[str] = ("csv_file",),
+    how: str = "left",
 ) -> DataFrame:
     """Landed rows + ledger lineage + run constants + partition columns (Q8).
 
-    ``rows`` carries ``csv_file, mes_ano, valor``; ``ledger`` carries
-    ``csv_file, source_file, file_hash, converted_at_utc`` (unique per
-    ``csv_file``).  Rows whose file is not in the ledger keep NULL lineage
-    (reported by the not-null check).  With ``on=("csv_file", "file_hash")``
-    (landing rows that carry their file hash) the join is unique even when
-    one name was landed twice with different content.
+    ``rows`` carries ``csv_file, mes_ano, valor``; ``ledger`` the entries of
+    :func:`read_manifest`.  A row meets one entry at most: by name the current
+    one, and with ``on=("csv_file", "file_hash")`` (landing rows that carry
+    their file's hash) the last of that name and hash.  With ``how="left"``
+    rows of a file that is not in the ledger keep NULL lineage (reported by
+    the not-null check); the ingest joins "inner".
     """
     on = list(on)
-    led = ledger.select(
-        F.col("csv_file").cast("string"),
-        F.col("source_file").cast("string"),
-        F.col("file_hash").cast("string"),
-        F.col("converted_at_utc").cast("string"),
-    )
     if "file_hash" in on:
-        led = led.dropDuplicates(on)
-    joined = with_ledger(rows.select(*dict.fromkeys([*on, "csv_file", "mes_ano", "valor"])), led, on=on)
+        led = dedupe_latest(ledger.select(*MANIFEST_COLUMNS), on, ["converted_at_utc", "source_file"])
+    else:
+        led = current_entries(ledger)
+    joined = with_ledger(rows.select(*dict.fromkeys([*on, "csv_file", "mes_ano", "valor"])), led, on=on, how=how)
     return with_constants(
         joined,
         {
@@ -130,42 +138,57 @@ def new_rows(
     hash_col: str = "file_hash",
     dedupe_on: Sequence[str] = ("mes_ano", "file_hash"),
 ) -> DataFrame:
-    """Rows whose ``hash_col`` is absent from ``existing``, de-duplicated (J3 + A4).
+    """Rows whose ``hash_col`` is absent from ``existing``, one per ``dedupe_on`` (J3 + A4).
 
-    De-duplication runs first: ``dedupe_on`` contains the hash, so the two
-    steps commute, and copies of one file (however many) collapse map-side
-    before the anti-join shuffles rows by hash.
+    Of rows that differ the greatest value wins (the other columns break
+    ties), so every evaluation gives the same rows.  De-duplication runs
+    first: ``dedupe_on`` contains the hash, so the two steps commute, and
+    copies of one file collapse map-side before rows are shuffled by hash.
     """
-    deduped = dedupe_any(df, list(dedupe_on))
+    rest = [c for c in df.columns if c not in dedupe_on]
+    order = sorted(rest, key=lambda c: c != "valor")
+    deduped = dedupe_latest(df, list(dedupe_on), order)
     return deduped if existing is None else new_only(deduped, existing, hash_col)
 
 
-def hash_ledger_path(target: str) -> str:
-    """Default compact ledger of ingested file hashes next to a bronze table."""
-    return f"{target.rstrip('/')}_ingested_hashes"
+class HashLedger:
+    """What a bronze table has taken in, by content hash: one narrow row per file or payload.
+
+    A batch's hashes are noted as *pending* before its rows are appended and
+    as *done* after.  Pending hashes that never got done are in doubt: a run
+    stopped in between, and the table itself is asked about those (only).
+    """
 
+    def __init__(self, spark: SparkSession, target: str, fmt: str = "parquet", hash_col: str = "file_hash", path: str | None = None):
+        self.spark, self.target, self.fmt, self.hash_col = spark, target, fmt, hash_col
+        self.done_path = path or f"{target.rstrip('/')}_ingested_hashes"
+        self.pending_path = f"{self.done_path}_pending"
 
-def known_hashes(spark: SparkSession, target: str, fmt: str = "parquet", ledger: str | None = None) -> DataFrame | None:
-    """Hashes already ingested into ``target``: its compact hash ledger (one row
-    per file), else the target's own hash column, else None (first run)."""
-    for path, f in ((ledger or hash_ledger_path(target), "parquet"), (target, fmt)):
-        try:
-            return spark.read.format(f).load(path).select("file_hash")
-        except Exception:  # not created yet
-            continue
-    return None
+    def known(self) -> DataFrame | None:
+        """Hashes taken in.  Without a ledger the table's own column says it; None on the first run."""
+        done = load_if_exists(self.spark, self.done_path)
+        if done is None and load_if_exists(self.spark, self.pending_path) is None:
+            done = load_if_exists(self.spark, self.target, self.fmt)
+        return None if done is None else done.select(self.hash_col)
 
+    def new(self, hashes: DataFrame) -> DataFrame:
+        known = self.known()
+        fresh = hashes if known is None else new_only(hashes, known, self.hash_col)
+        return shared_copy(fresh, "new-hashes")
 
-def record_hashes(rows: DataFrame, known: DataFrame | None, target: str, ledger: str | None = None) -> None:
-    """Append the hashes of ``rows`` not yet in ``known`` to the hash ledger.
+    def in_doubt(self, hashes: DataFrame) -> DataFrame | None:
+        """Those of ``hashes`` that an earlier run noted as pending; None if there are none."""
+        pending = load_if_exists(self.spark, self.pending_path)
+        if pending is None or load_if_exists(self.spark, self.target, self.fmt) is None:
+            return None
+        found = hashes.select(self.hash_col).join(pending.select(self.hash_col).distinct(), self.hash_col)
+        return None if found.isEmpty() else found
 
-    Call after the bronze append; if a failure falls in between, a retry
-    re-appends that batch and the latest-wins silver de-duplication absorbs it.
-    """
-    hashes = rows.select("file_hash").where(F.col("file_hash").isNotNull())
-    if known is not None:
-        hashes = new_only(hashes, known, "file_hash")
-    hashes.distinct().write.mode("append").parquet(ledger or hash_ledger_path(target))
+    def begin(self, hashes: DataFrame) -> None:
+        hashes.select(self.hash_col).distinct().write.mode("append").parquet(self.pending_path)
+
+    def commit(self, hashes: DataFrame) -> None:
+        hashes.select(self.hash_col).distinct().write.mode("append").parquet(self.done_path)
 
 
 def ingest_new(
@@ -177,24 +200,46 @@ def ingest_new(
     fmt: str = "parquet",
     by: Sequence[str] = ("ano", "mes"),
     check_month: str | None = "mes_ano",
+    in_doubt: DataFrame | None = None,
 ) -> int:
     """Idempotent append of rows whose ``hash_col`` is not yet in the target (Q2).
 
-    One aggregate pass counts the new rows and the invalid month texts; the
-    append is the second pass.  Nothing new -> nothing written.  Returns the
-    number of appended rows; a second run with the same input appends 0.
+    The sources are read once: the new rows go to the shared folder, where
+    invalid month texts and missing hashes are counted, and only a clean batch
+    is appended from there.  Rows of ``in_doubt`` hashes that the target
+    already has (a run stopped during or after its append) are left out.
+    Returns the number of appended rows; a second run appends 0.
     """
-    fresh = new_rows(df, existing, hash_col, dedupe_on)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    staged = shared_copy(new_rows(df, existing, hash_col, dedupe_on), "staged")
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(hash_col).isNull()).alias("unhashed")]
     if check_month:
         c = F.col(check_month)
-        aggs.append(F.count_if(c.isNotNull() & ~c.rlike(MONTH_TEXT)).alias("bad"))
-    stats = fresh.agg(*aggs).first()
+        aggs.append(F.count_if(c.isNull() | ~c.rlike(MONTH_TEXT)).alias("bad"))
+    stats = staged.agg(*aggs).first()
+    if stats["unhashed"] > 0:
+        raise DataQualityError(f"{stats['unhashed']} row(s) without {hash_col}: their file is not in the ledger")
     if check_month and stats["bad"] > 0:
         raise DataQualityError(f"{stats['bad']} row(s) with invalid {check_month}")
-    if stats["n"] == 0:
-        return 0
-    return append_partitioned(fresh, target, fmt, by)
+    n = stats["n"]
+    if in_doubt is not None:
+        there = df.sparkSession.read.format(fmt).load(target).select(*dedupe_on)
+        there = there.join(in_doubt.select(hash_col).distinct(), hash_col, "left_semi").distinct()
+        staged = shared_copy(staged.join(there, list(dedupe_on), "left_anti"), "staged")
+        n = staged.count()
+    return append_partitioned(staged, target, fmt, by) if n else 0
+
+
+def ingest_files(rows: DataFrame, entries: DataFrame, ledger: HashLedger) -> int:
+    """Append the rows of the ledger entries that :meth:`HashLedger.new` gave; returns their number.
+
+    Safe to run again after any stop: before the append nothing is in the
+    table, during or after it the rows in doubt are compared with the table.
+    """
+    doubt = ledger.in_doubt(entries)
+    ledger.begin(entries)
+    n = ingest_new(rows, None, ledger.target, ledger.hash_col, fmt=ledger.fmt, in_doubt=doubt)
+    ledger.commit(entries)
+    return n
 
 
 def ingest_payload(
@@ -203,21 +248,20 @@ def ingest_payload(
     target: str,
     fmt: str = "parquet",
 ) -> bool:
-    """Append a typed payload unless its ``payload_hash`` is already in ``target`` (Q3).
+    """Append a typed payload unless its ``payload_hash`` was taken in before (Q3).
 
-    ``bronze_rows`` all carry one payload hash.  Returns True when appended.
+    ``bronze_rows`` all carry one payload hash, which is looked up in the
+    compact ledger, not in the table.  Returns True when appended.
     """
-    h = bronze_rows.select("payload_hash").first()
-    if h is None:
-        return False
-    try:
-        existing = spark.read.format(fmt).load(target)
-    except Exception:
-        existing = None
-    if existing is not None and hash_exists(existing, "payload_hash", h[0]):
+    ledger = HashLedger(spark, target, fmt, "payload_hash")
+    entry = ledger.new(bronze_rows.select("payload_hash").limit(1))
+    if entry.isEmpty():
         return False
     if bronze_rows.filter(F.col("data_ref").isNull()).limit(1).count() > 0:
         raise DataQualityError("payload rows with unparseable data_ref")
-    rows = dedupe_any(bronze_rows, ["series_id", "data_ref", "payload_hash"])
-    append_partitioned(rows, target, fmt, ("ano", "mes"))
+    doubt = ledger.in_doubt(entry)
+    ledger.begin(entry)
+    keys = ("series_id", "data_ref", "payload_hash")
+    ingest_new(bronze_rows, None, target, "payload_hash", keys, fmt, check_month=None, in_doubt=doubt)
+    ledger.commit(entry)
     return True

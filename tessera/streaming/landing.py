@@ -2,9 +2,9 @@
 
 The file stream source records every processed file in its checkpoint, so a
 file is read once even across restarts; each micro-batch then goes through
-the same lineage + hash anti-join + partitioned append as the batch path
-(:func:`tessera.sources.ingest.ingest_new`), which keeps a retried batch or a
-re-landed copy of an already ingested file from adding rows twice.
+the same steps as the batch jobs (:func:`tessera.sources.ingest.ingest_files`):
+ledger entries not yet in bronze, pending note, one checked append, done note.
+A retried batch or a re-landed copy of an ingested file adds nothing.
 ``trigger(availableNow=True)`` processes what has landed and stops, which is
 how a scheduled ingest job runs it.
 """
@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import file_basename
-from tessera.sources.files import LANDING_PARTITIONED_SCHEMA, LANDING_SCHEMA, read_manifest
-from tessera.sources.ingest import hash_ledger_path, ingest_new, known_hashes, record_hashes, with_lineage
+from tessera.sources.files import LANDING_BATCH_SCHEMA, LANDING_SCHEMA, read_manifest
+from tessera.sources.ingest import HashLedger, current_entries, ingest_files, with_lineage
+
+
+def quarantine_path(target: str) -> str:
+    return f"{target.rstrip('/')}_quarantine"
 
 
 def stream_landing(
@@ -35,19 +39,15 @@ def stream_landing(
     """Ingest every landing CSV not yet seen; returns the number of rows appended.
 
     ``hash_ledger`` (default ``<target>_ingested_hashes``) holds one row per
-    ingested file hash, so the per-batch anti-join reads O(files), not the
-    whole bronze table.  It is appended after the bronze write; a failure in
-    between makes a retry re-append that batch, which the latest-wins silver
-    de-duplication absorbs.
-
-    ``layout``: "files" (flat CSVs, the file name is the ledger key) or
-    "partitioned" (the ``csv_file=/file_hash=`` root written by
-    ``run_landing``; lineage joins on name and hash).
+    ingested file hash.  ``layout``: "files" (flat CSVs, the file name is the
+    ledger key) or "partitioned" (the ``lote=`` root written by
+    ``run_landing``; lineage joins on name and hash).  The stream passes each
+    file once, so rows of a file that the ledger does not name are kept under
+    ``<target>_quarantine`` (a retried batch may repeat them there).
     """
-    hash_ledger = hash_ledger or hash_ledger_path(target)
     partitioned = layout == "partitioned"
     reader = (
-        spark.readStream.schema(LANDING_PARTITIONED_SCHEMA if partitioned else LANDING_SCHEMA)
+        spark.readStream.schema(LANDING_BATCH_SCHEMA if partitioned else LANDING_SCHEMA)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", "*.csv")
@@ -57,21 +57,24 @@ def stream_landing(
     rows = reader.csv(landing_dir)
     if not partitioned:
         rows = rows.withColumn("csv_file", file_basename(F.col("_metadata.file_path")))
-    lineage_on = ("csv_file", "file_hash") if partitioned else ("csv_file",)
+    on = ["csv_file", "file_hash"] if partitioned else ["csv_file"]
     appended = {"n": 0}
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        # The micro-batch is used by the check pass, the append and the
-        # hash-ledger update: keep it for the batch instead of re-reading files.
+        ledger = HashLedger(spark, target, fmt, path=hash_ledger)
+        # files of this batch are few; the rows are read again for the append and the quarantine
         df = df.persist()
         try:
-            ledger = read_manifest(spark, manifest_path, strict=True)
-            enriched = with_lineage(df, ledger, run_id, run_ts, on=lineage_on)
-            known = known_hashes(spark, target, fmt, hash_ledger)
-            n = ingest_new(enriched, known, target=target, fmt=fmt)
-            if n:
-                record_hashes(enriched, known, target, hash_ledger)
-            appended["n"] += n
+            entries = read_manifest(spark, manifest_path, strict=True)
+            entries = entries if partitioned else current_entries(entries)
+            here = entries.join(df.select(*on).distinct(), on, "left_semi")
+            fresh = ledger.new(here)
+            if not fresh.isEmpty():
+                enriched = with_lineage(df, fresh, run_id, run_ts, on=on, how="inner")
+                appended["n"] += ingest_files(enriched, fresh, ledger)
+            unknown = df.join(entries.select(*on).distinct(), on, "left_anti")
+            if not unknown.isEmpty():
+                unknown.write.mode("append").parquet(quarantine_path(target))
         finally:
             df.unpersist()
 

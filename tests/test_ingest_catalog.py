@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators.quality import DataQualityError
 from tessera.sources import catalog, files, ingest, sinks
 from tessera.streaming.landing import stream_landing
 
@@ -58,14 +59,124 @@ def test_lineage_and_idempotent_ingest(spark, tmp_dir):
     assert got["orphan.csv"]["file_hash"] is None  # kept, lineage NULL
 
     target = os.path.join(tmp_dir, "bronze")
-    with_hash = bronze.filter(F.col("file_hash").isNotNull())
-    assert ingest.ingest_new(with_hash, None, target) == 2
+    with pytest.raises(DataQualityError):  # rows without a hash could never be recognised again
+        ingest.ingest_new(bronze, None, target)
+    assert not os.path.exists(target)
+    listed = ingest.with_lineage(rows, ledger, "run-1", run_ts=RUN_TS, how="inner")
+    assert ingest.ingest_new(listed, None, target) == 2
     existing = spark.read.parquet(target)
-    assert ingest.ingest_new(with_hash, existing, target) == 0  # second run appends nothing
+    assert ingest.ingest_new(listed, existing, target) == 0  # second run appends nothing
     assert spark.read.parquet(target).count() == 2
     assert [d for d in os.listdir(target) if not d.startswith((".", "_"))] == ["ano=2025"]
 
 
+def test_a_repeated_file_name_has_one_entry(spark):
+    rows = spark.createDataFrame([("a.csv", "01/2025", 1.0), ("a.csv", "02/2025", 2.0)], "csv_file string, mes_ano string, valor double")
+    led = spark.createDataFrame(
+        [("h1", "old.xlsx", "a.csv", "2025-01-01T00:00:00Z"), ("h2", "new.xlsx", "a.csv", "2025-01-02T00:00:00Z")],
+        files.MANIFEST_SCHEMA,
+    )
+    got = ingest.with_lineage(rows, led, "r", run_ts=RUN_TS).collect()
+    assert [r["file_hash"] for r in got] == ["h2", "h2"]
+
+
+def test_the_ingest_winner_is_decided(spark):
+    df = spark.createDataFrame([("01/2025", "h", v, f"f{v}") for v in (3.0, 9.0, 1.0)], "mes_ano string, file_hash string, valor double, csv_file string")
+    got = [tuple(r) for n in (1, 3) for r in ingest.new_rows(df.repartition(n), None).select("valor", "csv_file").collect()]
+    assert got == [(9.0, "f9.0")] * 2
+
+
+def price_job(spark, tmp, **kw):
+    from tessera.plans import layers
+
+    lake = layers.Lakehouse(os.path.join(tmp, "lake"))
+    ledger = os.path.join(tmp, "ledger", "manifest.csv")
+    return lake, lambda: layers.run_bronze_price(spark, lake, os.path.join(tmp, "csv"), ledger, "r", RUN_TS, **kw)
+
+
+def bronze_rows(spark, lake):
+    return sorted(tuple(r) for r in lake.read(spark, "bronze", lake.price_table).select("mes_ano", "valor", "csv_file", "file_hash").collect())
+
+
+def test_price_ingest_takes_listed_files_once(spark, tmp_dir):
+    from tessera.plans import layers
+
+    for name, month in (("a.csv", "01/2025"), ("b.csv", "02/2025"), ("c.csv", "01/2025")):
+        landing(tmp_dir, name, [(month, "1.0"), ("03/2025", "2.0")])
+    manifest(tmp_dir, [("h1", "a.xlsx", "a.csv")])
+    lake, run = price_job(spark, tmp_dir)
+    assert [run(), run(), run()] == [2, 0, 0]
+    path = os.path.join(tmp_dir, "ledger", "manifest.csv")
+    unlisted = layers.unlisted_files(spark, os.path.join(tmp_dir, "csv"), path)
+    assert sorted(r["file_name"] for r in unlisted.collect()) == ["b.csv", "c.csv"]
+    with pytest.raises(DataQualityError):
+        price_job(spark, tmp_dir, on_unlisted="raise")[1]()
+    # a file that is listed later comes in then; the old one is not opened again (it would fail to parse)
+    landing(tmp_dir, "a.csv", [("broken", "not a number")])
+    manifest(tmp_dir, [("h1", "a.xlsx", "a.csv"), ("h2", "b.xlsx", "b.csv"), ("h3", "c.xlsx", "c.csv")])
+    assert [run(), run()] == [4, 0]
+    assert len(bronze_rows(spark, lake)) == 6 and {r[3] for r in bronze_rows(spark, lake)} == {"h1", "h2", "h3"}
+
+
+def test_price_ingest_in_groups_of_files(spark, tmp_dir, monkeypatch):
+    from tessera.plans import layers
+
+    monkeypatch.setattr(layers, "FILES_PER_APPEND", 2)
+    for i in range(5):
+        landing(tmp_dir, f"f{i}.csv", [(f"0{i + 1}/2025", "1.0")])
+    manifest(tmp_dir, [(f"h{i}", "x", f"f{i}.csv") for i in range(5)])
+    lake, run = price_job(spark, tmp_dir)
+    assert [run(), run()] == [5, 0] and len(bronze_rows(spark, lake)) == 5
+
+
+@pytest.mark.parametrize("stop", ["before_append", "after_append"])
+def test_a_stopped_price_ingest_loses_and_repeats_nothing(spark, tmp_dir, monkeypatch, stop):
+    landing(tmp_dir, "a.csv", [("01/2025", "1.0"), ("02/2025", "2.0")])
+    manifest(tmp_dir, [("h1", "a.xlsx", "a.csv")])
+    lake, run = price_job(spark, tmp_dir)
+
+    def crash(*args, **kw):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        if stop == "before_append":
+            m.setattr(ingest, "append_partitioned", crash)
+        else:
+            m.setattr(ingest.HashLedger, "commit", crash)
+        with pytest.raises(RuntimeError):
+            run()
+    first = run()
+    assert first == (2 if stop == "before_append" else 0)
+    assert run() == 0
+    assert bronze_rows(spark, lake) == [("01/2025", 1.0, "a.csv", "h1"), ("02/2025", 2.0, "a.csv", "h1")]
+
+
+def test_a_table_without_a_ledger_is_asked_itself(spark, tmp_dir):
+    import shutil
+
+    landing(tmp_dir, "a.csv", [("01/2025", "1.0")])
+    manifest(tmp_dir, [("h1", "a.xlsx", "a.csv")])
+    lake, run = price_job(spark, tmp_dir)
+    assert run() == 1
+    target = lake.path("bronze", lake.price_table)
+    for name in ("_ingested_hashes", "_ingested_hashes_pending"):
+        shutil.rmtree(target + name)
+    assert run() == 0
+
+
+def test_a_damaged_table_is_no_first_run(spark, tmp_dir):
+    landing(tmp_dir, "a.csv", [("01/2025", "1.0")])
+    manifest(tmp_dir, [("h1", "a.xlsx", "a.csv")])
+    lake, run = price_job(spark, tmp_dir)
+    target = lake.path("bronze", lake.price_table)
+    os.makedirs(target)
+    with open(os.path.join(target, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        run()
+    assert os.listdir(target) == ["part-0.parquet"]
+
+
 def test_manifest_strictness(spark, tmp_dir):
     with pytest.raises(files.SourceError):
         files.read_manifest(spark, os.path.join(tmp_dir, "_manifest.csv"))
@@ -159,6 +270,10 @@ def test_stream_landing_incremental(spark, tmp_dir):
     assert spark.read.parquet(args["target"]).count() == 3
     hashes = sorted(r[0] for r in spark.read.parquet(args["target"] + "_ingested_hashes").collect())
     assert hashes == ["h1", "h2"]
+    landing(tmp_dir, "unlisted.csv", [("04/2025", "13.0")])
+    assert stream_landing(spark, **args) == 0
+    assert spark.read.parquet(args["target"]).count() == 3
+    assert [r["csv_file"] for r in spark.read.parquet(args["target"] + "_quarantine").collect()] == ["unlisted.csv"]
 
 
 def test_raw_pairs_table_and_landing_roundtrip(spark, tmp_dir):
@@ -216,3 +331,25 @@ def test_silver_conform_latest_version(spark):
     )
     sp = silver_price(bronze_price).collect()
     assert [(r["data"], r["preco_boi_gordo"]) for r in sp] == [(dt.date(2025, 1, 1), 11.0)]
+
+
+def test_gold_prep_takes_the_latest_version_of_a_month(spark):
+    from tessera.operators.silver import gold_prep
+
+    t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
+    price = spark.createDataFrame(
+        [(2025, 1, 9.0, t1, "z"), (2025, 1, 0.5, t2, "a"), (2025, 1, 0.25, t2, "A")],
+        "ano int, mes int, preco_boi_gordo double, ingested_at_utc timestamp_ntz, file_hash string",
+    )
+    index = spark.createDataFrame(
+        [(2025, 1, 7.0, 433, t1, "h"), (2025, 1, 0.1, 433, t2, "h")],
+        "ano int, mes int, ipca_mensal double, series_id int, ingested_at_utc timestamp_ntz, payload_hash string",
+    )
+    got = [tuple(r) for r in gold_prep(price, index).collect()]
+    assert got == [(dt.date(2025, 1, 1), 2025, 1, 0.5, 0.1)]
+
+
+def test_payload_hash_covers_the_whole_row_hash(spark):
+    from tessera.functions.hashing import LIMBS
+
+    assert [a for a, _ in LIMBS] == [1, 16, 31, 46, 61] and sum(n for _, n in LIMBS) == 64

@@ -97,7 +97,8 @@ def test_landing_job(spark, tmp_dir):
     # b.csv re-landed with new content: same name, new hash
     with open(os.path.join(raw, "b.csv"), "w") as f:
         f.write("Data,Valor\n04/2025,\"7,5\"\n")
-    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 1
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts="2025-03-02 00:00:00") == 1
+    assert sorted(d for d in os.listdir(landing) if "=" in d) == ["lote=20250301000000", "lote=20250302000000"]
 
     lake = layers.Lakehouse(os.path.join(tmp_dir, "lake"))
     assert layers.run_bronze_from_landing(spark, lake, landing, ledger, "r1", RUN_TS) == 4
