@@ -1,29 +1,29 @@
-"""Row-ordered windows over series without a single-task stage.
-
-A plain ``Window.orderBy(t)`` (no partition) makes Spark move the whole table
-into one task (``Exchange SinglePartition``); ``partitionBy(series)`` puts a
-whole series into one task.  :func:`sequence_frame` instead gives every row
-its gap-free position ``_g`` within its series and cuts the series into
-fixed-size blocks.  Each block also receives a *halo*: copies of the ``k - 1``
-rows that precede it.  Any row frame of at most ``k`` rows (lag, moving
-average, rolling std/corr) is then evaluated exactly with
-``Window.partitionBy(*by, "_blk").orderBy("_g")``, after which halo rows are
-dropped.  Running (unbounded-preceding) sums need no positions: a running
-sum inside (series, bucket) plus the totals of earlier buckets
-(:func:`running_sum`).
-
-Work per task is bounded by ``block_rows + k``; the only tables that are
-windowed whole per series are the bucket and block summaries (one row per
-bucket / block).
-
-Lag by one row (the most common frame) has a cheaper exact form,
-:func:`_lag_bucketed`: lag inside (series, calendar bucket), then fill each
-bucket's first row from the previous bucket's last row — one large shuffle.
+"""Row-ordered frames over series: lag, rolling frames, running sums.
+
+Two exact ways, chosen by the caller for what a row is:
+
+``method="window"`` (default) is Spark's own window per series.  It is meant
+for calendar-grained series (one row per series and period, what the monthly
+and daily aggregates give): a series then has as many rows as the calendar has
+periods, however large the facts are, so one task can hold it, keyed or not.
+One exchange, and the steps of one operator share it.
+
+``method="blocks"`` / ``"bucketed"`` are for raw-grained series, which may be
+of any length.  A row gets its gap-free position within its series (row number
+per calendar bucket, plus the sizes of earlier buckets), the series is cut
+into fixed-size blocks, and each block also gets a *halo*: copies of the rows
+before it that its frames reach.  Lag by one row and running sums have a
+cheaper form: inside the bucket, plus a one-row-per-bucket table for what lies
+before.  Pass a finer ``bucket`` when a calendar year of one series is too
+much for a task.
+
+Keys are compared as structs, so NULL series and NULL order values are kept
+and grouped like any other value (NULL sorts first, as in Spark's windows).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,15 +32,35 @@ G = "_g"
 BLK = "_blk"
 HALO = "_halo"
 _BK = "_bk"
+_SER = "_ser"
+_KEY = "_key"
 _RN = "_rn"
 _OFF = "_off"
 
+Frame = Callable[[Window], Column]
+
 
 def default_bucket(order: str) -> Column:
     """Coarse, monotone bucket of a date/timestamp order column (its year)."""
     return F.year(F.col(order))
 
 
+def _keyed(df: DataFrame, order: str, by: Sequence[str], bucket: Column | None) -> DataFrame:
+    """Add the bucket, and the series and (series, bucket) as non-NULL structs."""
+    series = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    return (
+        df.withColumn(_BK, bucket if bucket is not None else default_bucket(order))
+        .withColumn(_SER, series)
+        .withColumn(_KEY, F.struct(_SER, _BK))
+    )
+
+
+def _earlier_buckets(summary: DataFrame, columns: Mapping[str, Frame]) -> DataFrame:
+    """Columns over the buckets before each one; ``summary`` has one row per (series, bucket)."""
+    w = Window.partitionBy(f"{_KEY}.{_SER}").orderBy(f"{_KEY}.{_BK}")
+    return summary.select(_KEY, *[fn(w).alias(name) for name, fn in columns.items()])
+
+
 def sequence_frame(
     df: DataFrame,
     order: str,
@@ -49,218 +69,164 @@ def sequence_frame(
     block_rows: int = 4096,
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Add ``_g`` (0-based position in series), ``_blk`` and ``_halo`` columns.
+    """Add ``_ser``, ``_g`` (0-based position in series), ``_blk`` and ``_halo`` columns.
 
     ``order`` must be unique within each series (as for ``lag``).  ``bucket``
     must be monotone in ``order`` (default: year of ``order``); it only sizes
-    the first, position-numbering window, so it should hold a bounded number
-    of rows per series (a calendar bucket of a calendar-grained series does).
+    the first, position-numbering window.
     """
-    by = list(by)
     width = max(int(block_rows), k)
-    bk = bucket if bucket is not None else default_bucket(order)
-    base = df.withColumn(_BK, bk)
-
-    # Position inside (series, bucket) ...
-    numbered = base.withColumn(
-        _RN, F.row_number().over(Window.partitionBy(*by, _BK).orderBy(F.col(order).asc()))
+    numbered = _keyed(df, order, by, bucket).withColumn(
+        _RN, F.row_number().over(Window.partitionBy(_KEY).orderBy(F.col(order).asc()))
     )
-    # ... plus the number of rows in earlier buckets of the same series.
-    # One row per (series, bucket): the per-series window runs on that table.
-    # Counting from `numbered` reuses its (series, bucket) partitioning.
-    offsets = (
-        numbered.groupBy(*by, _BK)
-        .agg(F.max(_RN).alias("_n"))
-        .withColumn(
-            _OFF,
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(*by)
-                    .orderBy(_BK)
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_n")
+    # counting from `numbered` reuses its (series, bucket) partitioning
+    sizes = numbered.groupBy(_KEY).agg(F.max(_RN).alias("_n"))
+    offsets = _earlier_buckets(
+        sizes,
+        {_OFF: lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))},
     )
     positioned = (
-        numbered.join(offsets, on=[*by, _BK], how="inner")
+        numbered.join(offsets, on=_KEY, how="inner")
         .withColumn(G, F.col(_OFF) + F.col(_RN) - F.lit(1))
-        .drop(_OFF, _RN, _BK)
+        .drop(_OFF, _RN, _BK, _KEY)
     )
-
     blk = F.floor(F.col(G) / F.lit(width)).cast("bigint")
+    own = F.struct(blk.alias("b"), F.lit(False).alias("h"))
     if k <= 1:
-        return positioned.withColumn(BLK, blk).withColumn(HALO, F.lit(False))
-    # The last k-1 rows of each block are copied into the next block as halo.
+        return positioned.withColumns({BLK: blk, HALO: F.lit(False)})
+    # the last k-1 rows of each block are copied into the next block as halo
     in_tail = (F.col(G) % F.lit(width)) >= F.lit(width - (k - 1))
-    copies = F.when(
-        in_tail,
-        F.array(
-            F.struct(blk.alias("b"), F.lit(False).alias("h")),
-            F.struct((blk + 1).alias("b"), F.lit(True).alias("h")),
-        ),
-    ).otherwise(F.array(F.struct(blk.alias("b"), F.lit(False).alias("h"))))
+    copies = F.when(in_tail, F.array(own, F.struct((blk + 1).alias("b"), F.lit(True).alias("h")))).otherwise(F.array(own))
     return (
         positioned.withColumn("_cp", F.explode(copies))
-        .withColumn(BLK, F.col("_cp.b"))
-        .withColumn(HALO, F.col("_cp.h"))
+        .withColumns({BLK: F.col("_cp.b"), HALO: F.col("_cp.h")})
         .drop("_cp")
     )
 
 
-def frame_window(by: Sequence[str] = ()) -> Window:
-    """Window over a :func:`sequence_frame` output, ordered by position."""
-    return Window.partitionBy(*by, BLK).orderBy(G)
-
-
-def trailing(by: Sequence[str], k: int) -> Window:
-    """Frame of the current row and the ``k - 1`` rows before it."""
-    return frame_window(by).rowsBetween(-(k - 1), 0)
-
-
-def finish(df: DataFrame) -> DataFrame:
-    """Drop halo copies and helper columns."""
-    return df.filter(~F.col(HALO)).drop(G, BLK, HALO)
-
-
 def with_rolling(
     df: DataFrame,
     order: str,
     by: Sequence[str],
     k: int,
-    columns: dict[str, Callable[[Window], Column]],
+    columns: Mapping[str, Frame],
+    before: Mapping[str, Frame] | None = None,
+    method: str = "window",
     block_rows: int = 4096,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Add columns computed over the trailing ``k``-row frame of each row.
 
-    ``columns`` maps output name -> function ``(window) -> Column``, e.g.
-    ``{"prev": lambda w: F.lag("x").over(frame_window(by))}``.  Column order of
-    ``df`` is kept; new columns are appended in the given order.
+    ``columns`` maps output name -> function ``(trailing frame) -> Column``.
+    ``before`` adds columns first that look one row back at most, name ->
+    function ``(ordered window) -> Column`` (e.g. a change from the previous
+    row); the frames of ``columns`` see them, in the same pass.  Column order
+    of ``df`` is kept; new columns are appended in the given order.
     """
-    framed = sequence_frame(df, order, by, k=k, block_rows=block_rows, bucket=bucket)
-    w = trailing(by, k)
-    out = framed.withColumns({name: fn(w) for name, fn in columns.items()})
-    return finish(out).select(*df.columns, *columns.keys())
+    before = dict(before or {})
+    if method == "window":
+        ordered = Window.partitionBy(*by).orderBy(F.col(order).asc())
+        framed = df
+    else:
+        framed = sequence_frame(df, order, by, k=k + bool(before), block_rows=block_rows, bucket=bucket)
+        ordered = Window.partitionBy(_SER, BLK).orderBy(G)
+    for name, fn in before.items():
+        framed = framed.withColumn(name, fn(ordered))
+    out = framed.withColumns({name: fn(ordered.rowsBetween(-(k - 1), 0)) for name, fn in columns.items()})
+    if method != "window":
+        out = out.filter(~F.col(HALO))
+    return out.select(*df.columns, *before, *columns)
 
 
 def with_lag(
     df: DataFrame,
     order: str,
-    values: dict[str, str],
+    values: Mapping[str, str],
     by: Sequence[str] = (),
     offset: int = 1,
+    method: str = "window",
     block_rows: int = 4096,
     bucket: Column | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """Add ``{out: lag(src, offset)}`` columns ordered by ``order`` within ``by``.
 
-    Equal to ``lag(src).over(Window.partitionBy(*by).orderBy(order))`` (the
-    previous *row*, so calendar gaps are bridged) without the single-task
-    stage.  ``method``: "bucketed" (offset 1 only, one large shuffle),
-    "blocks" (any offset, via :func:`sequence_frame`), "auto" picks.
+    The previous *row*, so calendar gaps are bridged.  ``method``: "window",
+    "bucketed" (offset 1 only, one large shuffle) or "blocks" (any offset).
     """
-    if method == "auto":
-        method = "bucketed" if offset == 1 else "blocks"
+    if method == "window":
+        w = Window.partitionBy(*by).orderBy(F.col(order).asc())
+        return df.withColumns({out: F.lag(src, offset).over(w) for out, src in values.items()})
     if method == "bucketed":
         if offset != 1:
             raise ValueError("bucketed lag supports offset 1 only")
         return _lag_bucketed(df, order, values, by, bucket)
-    w = frame_window(by)
-    return with_rolling(
-        df,
-        order,
-        by,
-        offset + 1,
-        {out: (lambda _w, s=src: F.lag(s, offset).over(w)) for out, src in values.items()},
-        block_rows=block_rows,
-        bucket=bucket,
-    )
+    framed = sequence_frame(df, order, by, k=offset + 1, block_rows=block_rows, bucket=bucket)
+    w = Window.partitionBy(_SER, BLK).orderBy(G)
+    out = framed.withColumns({out: F.lag(src, offset).over(w) for out, src in values.items()})
+    return out.filter(~F.col(HALO)).select(*df.columns, *values)
 
 
 def _lag_bucketed(
-    df: DataFrame,
-    order: str,
-    values: dict[str, str],
-    by: Sequence[str],
-    bucket: Column | None,
+    df: DataFrame, order: str, values: Mapping[str, str], by: Sequence[str], bucket: Column | None
 ) -> DataFrame:
     """Lag by one row: lag inside (series, bucket), then the first row of each
-    bucket takes the last row of the previous non-empty bucket.
-
-    The per-bucket "last row" table (one row per series and bucket) is a
-    partial, map-side ``max_by`` aggregate — Catalyst prunes the window out
-    of that branch — and the lag over it bridges empty buckets.
+    bucket takes the last row of the previous non-empty bucket (a table of one
+    row per series and bucket, a partial, map-side ``max_by`` aggregate).
     """
-    by = list(by)
     srcs = list(dict.fromkeys(values.values()))
-    bk = bucket if bucket is not None else default_bucket(order)
-    w = Window.partitionBy(*by, _BK).orderBy(F.col(order).asc())
-    lagged = df.withColumn(_BK, bk).withColumns(
+    w = Window.partitionBy(_KEY).orderBy(F.col(order).asc())
+    lagged = _keyed(df, order, by, bucket).withColumns(
         {
             **{f"_l_{i}": F.lag(src).over(w) for i, src in enumerate(srcs)},
             "_first": F.row_number().over(w) == F.lit(1),
         }
     )
-    last = lagged.groupBy(*by, _BK).agg(
-        F.max_by(F.struct(*[F.col(s).alias(f"v{i}") for i, s in enumerate(srcs)]), F.col(order)).alias("_last")
+    # a struct orders NULL first; max_by itself would skip a NULL order value
+    last = lagged.groupBy(_KEY).agg(
+        F.max_by(F.struct(*[F.col(s).alias(f"v{i}") for i, s in enumerate(srcs)]), F.struct(F.col(order))).alias("_last")
     )
-    prev = last.select(
-        *by, _BK, F.lag("_last").over(Window.partitionBy(*by).orderBy(_BK)).alias("_prev")
-    )
-    joined = lagged.join(prev, on=[*by, _BK], how="inner")
+    prev = _earlier_buckets(last, {"_prev": lambda w: F.lag("_last").over(w)})
+    joined = lagged.join(prev, on=_KEY, how="inner")
     filled = {
-        out: F.when(F.col("_first"), F.col(f"_prev.v{srcs.index(src)}")).otherwise(
-            F.col(f"_l_{srcs.index(src)}")
-        )
+        out: F.when(F.col("_first"), F.col(f"_prev.v{srcs.index(src)}")).otherwise(F.col(f"_l_{srcs.index(src)}"))
         for out, src in values.items()
     }
-    return joined.withColumns(filled).select(*df.columns, *values.keys())
+    return joined.withColumns(filled).select(*df.columns, *values)
 
 
-def running_sum(
+def running_sums(
     df: DataFrame,
     order: str,
-    value: Column,
-    out: str,
+    values: Mapping[str, Column],
     by: Sequence[str] = (),
+    method: str = "window",
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over all rows up to the current one.
+    """Add ``{out: sum of value over all rows up to the current one}``.
 
-    Running sum inside (series, bucket) plus the total of all earlier buckets
-    of the series, taken from the per-bucket totals table (one row per
-    bucket, a partial map-side aggregate).  Like SQL's running sum: NULL
-    until the first non-NULL value.
+    Like SQL's running sum: NULL until the first non-NULL value.  "bucketed":
+    the sum inside (series, bucket) plus the totals of all earlier buckets.
     """
-    by = list(by)
-    bk = bucket if bucket is not None else default_bucket(order)
-    w = Window.partitionBy(*by, _BK).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
-    inside = df.withColumn(_BK, bk).withColumn("_v", value.cast("double")).withColumns(
-        {"_in": F.sum("_v").over(w), "_in_n": F.count("_v").over(w)}
-    )
-    earlier = Window.partitionBy(*by).orderBy(_BK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        inside.groupBy(*by, _BK)
-        .agg(F.sum("_v").alias("_t"), F.count("_v").alias("_c"))
-        .select(
-            *by,
-            _BK,
-            F.coalesce(F.sum("_t").over(earlier), F.lit(0.0)).alias("_before"),
-            F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before_n"),
-        )
+    if method == "window":
+        w = Window.partitionBy(*by).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({out: F.sum(v.cast("double")).over(w) for out, v in values.items()})
+    w = Window.partitionBy(_KEY).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    keyed = _keyed(df, order, by, bucket).withColumns({f"_v_{out}": v.cast("double") for out, v in values.items()})
+    inside = keyed.withColumns({f"_in_{out}": F.sum(f"_v_{out}").over(w) for out in values})
+    totals = inside.groupBy(_KEY).agg(*[F.sum(f"_v_{out}").alias(f"_t_{out}") for out in values])
+    earlier = _earlier_buckets(
+        totals,
+        {
+            f"_b_{out}": (lambda w, out=out: F.sum(f"_t_{out}").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            for out in values
+        },
     )
-    return (
-        inside.join(totals, on=[*by, _BK], how="inner")
-        .withColumn(
-            out,
-            F.when(
-                F.col("_before_n") + F.col("_in_n") > 0,
-                F.col("_before") + F.coalesce(F.col("_in"), F.lit(0.0)),
-            ),
+    zero = F.lit(0.0)
+    both = {
+        out: F.when(
+            F.col(f"_in_{out}").isNotNull() | F.col(f"_b_{out}").isNotNull(),
+            F.coalesce(f"_b_{out}", zero) + F.coalesce(f"_in_{out}", zero),
         )
-        .select(*df.columns, out)
-    )
+        for out in values
+    }
+    return inside.join(earlier, on=_KEY, how="inner").withColumns(both).select(*df.columns, *values)

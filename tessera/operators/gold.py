@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from tessera.operators.frames import with_lag
 from tessera.operators.joins import attach_globals
 
 
+# Column names of the gold tables.
 @dataclass(frozen=True)
 class GoldSpec:
     """Column names of the gold tables (defaults: the layer schemas)."""
@@ -104,14 +105,18 @@ def analytic(joined: DataFrame, spec: GoldSpec = DEFAULT_SPEC) -> DataFrame:
     Single series: the metrics row is attached by a scalar subquery.  Panel
     (``spec.by``): per-series metrics are equi-joined on the series key (one
     row per series, so the join never fans out); a series whose changes are
-    all NULL gets NULL metrics.
+    all NULL gets NULL metrics.  The key is a struct, in which NULL series
+    are equal, and window, aggregate and join share its partitioning.
     """
-    ins = classify(insights(joined, spec), spec)
-    metrics = global_metrics(ins, spec)
     if not spec.by:
-        return attach_globals(ins, metrics)
-    cols = [c for c in metrics.columns if c not in spec.by]
-    return ins.join(metrics, on=list(spec.by), how="left").select(*ins.columns, *cols)
+        ins = classify(insights(joined, spec), spec)
+        return attach_globals(ins, global_metrics(ins, spec))
+    # the key replaces its columns, so that the rows and the metrics read the same shuffled columns
+    key = F.struct(*[F.col(c) for c in spec.by]).alias("_s")
+    keyed, by_key = joined.select(key, *[c for c in joined.columns if c not in spec.by]), replace(spec, by=("_s",))
+    ins = classify(insights(keyed, by_key), by_key)
+    out = ins.join(global_metrics(ins, by_key), on="_s", how="left")
+    return out.select(*[F.col(f"_s.{c}").alias(c) for c in spec.by], *out.drop("_s").columns)
 
 
 DASHBOARD_COLS = ("data", "variacao_ipca", "variacao_boi", "destaque", "classe_impacto")

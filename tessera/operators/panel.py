@@ -1,7 +1,8 @@
 """Roadmap operators on keyed series.
 
-All row-frame operators run through :mod:`tessera.operators.frames`, so a
-series (or a single unkeyed series) is never processed whole in one task.
+The series are calendar-grained (one row per series and period); see
+:mod:`tessera.operators.frames` for what that means and for ``method="blocks"``
+on raw-grained ones.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rules import pct_change_expr, safe_corr
-from tessera.operators.frames import running_sum, with_lag, with_rolling
+from tessera.operators.frames import running_sums, with_lag, with_rolling
 from tessera.operators.joins import temporal_join
 
 
@@ -22,6 +23,11 @@ def _log_factor(rate: str):
     return F.when(r > F.lit(-100.0), F.log1p(r / F.lit(100.0)))
 
 
+def _change(value: str):
+    """% change from the previous row of an ordered window."""
+    return lambda w: pct_change_expr(F.col(value), F.lag(value).over(w))
+
+
 def deflate(
     df: DataFrame,
     price: str,
@@ -30,35 +36,41 @@ def deflate(
     by: Sequence[str] = (),
     index_out: str = "indice_acumulado",
     out: str = "preco_deflacionado",
+    method: str = "window",
 ) -> DataFrame:
     """Price divided by the cumulative index ∏(1 + r/100) up to each period.
 
-    Base = before the first period.  The running product is exp of a
-    distributed running sum of ln(1 + r/100).
+    Base = before the first period.  The running product is exp of a running
+    sum of ln(1 + r/100).  From a gap on (a rate that is NULL or not above
+    -100) the index is unknown: index and deflated price are NULL.
     """
-    summed = running_sum(df, order, _log_factor(rate), "_ls", by=by)
-    return summed.withColumn(index_out, F.exp("_ls")).withColumn(
-        out, F.try_divide(F.col(price), F.col(index_out))
-    ).drop("_ls")
+    lf = _log_factor(rate)
+    gap = F.when(lf.isNull(), F.lit(1.0)).otherwise(F.lit(0.0))
+    summed = running_sums(df, order, {"_ls": F.coalesce(lf, F.lit(0.0)), "_gaps": gap}, by=by, method=method)
+    return (
+        summed.withColumn(index_out, F.when(F.col("_gaps") == 0, F.exp("_ls")))
+        .withColumn(out, F.try_divide(F.col(price), F.col(index_out)))
+        .drop("_ls", "_gaps")
+    )
 
 
 def accumulate(
-    df: DataFrame, rate: str, k: int = 12, order: str = "data", by: Sequence[str] = (), out: str = "acumulado_12m"
+    df: DataFrame,
+    rate: str,
+    k: int = 12,
+    order: str = "data",
+    by: Sequence[str] = (),
+    out: str = "acumulado_12m",
+    method: str = "window",
 ) -> DataFrame:
     """(∏ over the last k rows (1 + r/100) − 1) × 100; NULL before k rows."""
     lf = _log_factor(rate)
-    return with_rolling(
-        df,
-        order,
-        by,
-        k,
-        {
-            out: lambda w: F.when(
-                F.count(lf).over(w) == F.lit(k),
-                (F.exp(F.sum(lf).over(w)) - F.lit(1.0)) * F.lit(100.0),
-            )
-        },
-    )
+    full = {
+        out: lambda w: F.when(
+            F.count(lf).over(w) == F.lit(k), (F.exp(F.sum(lf).over(w)) - F.lit(1.0)) * F.lit(100.0)
+        )
+    }
+    return with_rolling(df, order, by, k, full, method=method)
 
 
 def period_agg(
@@ -84,53 +96,56 @@ def period_agg(
     )
 
 
-def period_rollup(df: DataFrame, value: str, date: str = "data") -> DataFrame:
-    """Quarterly rows plus yearly subtotals in one aggregate pass (X3, ``rollup``).
+def period_rollup(df: DataFrame, value: str, date: str = "data", by: Sequence[str] = ()) -> DataFrame:
+    """Quarterly rows plus yearly subtotals in one aggregate pass (X3, grouping sets).
 
-    ``trimestre`` is NULL on the yearly rows; the grand total is dropped.
+    ``trimestre`` is NULL on the yearly rows (and for NULL dates, whose
+    quarter and year are both NULL); there is no grand total.
     """
     v = F.col(value)
-    return (
-        df.rollup(F.year(date).alias("ano"), F.quarter(date).alias("trimestre"))
-        .agg(
-            F.avg(v).alias("media"),
-            F.min(v).alias("minimo"),
-            F.max(v).alias("maximo"),
-            F.max_by(v, F.col(date)).alias("ultimo"),
-            F.count(F.lit(1)).alias("n_meses"),
-        )
-        .filter(F.col("ano").isNotNull())
+    dated = df.withColumns({"ano": F.year(date), "trimestre": F.quarter(date)})
+    keys = [F.col(c) for c in (*by, "ano", "trimestre")]
+    return dated.groupingSets([keys, keys[:-1]], *keys).agg(
+        F.avg(v).alias("media"),
+        F.min(v).alias("minimo"),
+        F.max(v).alias("maximo"),
+        F.max_by(v, F.col(date)).alias("ultimo"),
+        F.count(F.lit(1)).alias("n_meses"),
     )
 
 
 def moving_avg(
-    df: DataFrame, value: str, k: int = 3, order: str = "data", by: Sequence[str] = (), out: str | None = None
+    df: DataFrame,
+    value: str,
+    k: int = 3,
+    order: str = "data",
+    by: Sequence[str] = (),
+    out: str | None = None,
+    method: str = "window",
 ) -> DataFrame:
     """Trailing k-row mean; NULL until k rows are available."""
     out = out or f"media_movel_{k}"
-    return with_rolling(
-        df,
-        order,
-        by,
-        k,
-        {out: lambda w: F.when(F.count(F.lit(1)).over(w) == F.lit(k), F.avg(value).over(w))},
-    )
+    full = {out: lambda w: F.when(F.count(F.lit(1)).over(w) == F.lit(k), F.avg(value).over(w))}
+    return with_rolling(df, order, by, k, full, method=method)
 
 
 def volatility(
-    df: DataFrame, value: str, k: int = 12, order: str = "data", by: Sequence[str] = (), out: str | None = None
+    df: DataFrame,
+    value: str,
+    k: int = 12,
+    order: str = "data",
+    by: Sequence[str] = (),
+    out: str | None = None,
+    method: str = "window",
 ) -> DataFrame:
     """Trailing k-row sample std-dev of the % change of ``value``.
 
     The change of the first row is NULL, so a frame needs two non-NULL
-    changes for a value.
+    changes for a value.  Change and frame share one pass.
     """
     out = out or f"volatilidade_{k}"
-    chg = with_lag(df, order, {"_prev": value}, by=by).withColumn(
-        "_chg", pct_change_expr(value, "_prev")
-    ).drop("_prev")
-    res = with_rolling(chg, order, by, k, {out: lambda w: F.stddev_samp("_chg").over(w)})
-    return res.drop("_chg")
+    std = {out: lambda w: F.stddev_samp("_chg").over(w)}
+    return with_rolling(df, order, by, k, std, before={"_chg": _change(value)}, method=method).drop("_chg")
 
 
 def trend_slope(
@@ -143,28 +158,51 @@ def trend_slope(
 
 
 def rolling_corr(
-    df: DataFrame, a: str, b: str, k: int = 12, order: str = "data", by: Sequence[str] = (), out: str | None = None
+    df: DataFrame,
+    a: str,
+    b: str,
+    k: int = 12,
+    order: str = "data",
+    by: Sequence[str] = (),
+    out: str | None = None,
+    method: str = "window",
 ) -> DataFrame:
     """Correlation of a and b over the trailing k rows, NULL-safe."""
     out = out or f"correlacao_{k}"
-    return with_rolling(df, order, by, k, {out: lambda w: safe_corr(a, b, w)})
+    return with_rolling(df, order, by, k, {out: lambda w: safe_corr(a, b, w)}, method=method)
+
+
+def rolling_change_corr(
+    df: DataFrame,
+    changes: tuple[tuple[str, str], tuple[str, str]],
+    k: int = 12,
+    order: str = "data",
+    by: Sequence[str] = (),
+    out: str | None = None,
+    method: str = "window",
+) -> DataFrame:
+    """% changes of two columns, ``((out, src), (out, src))``, and their rolling correlation, in one pass."""
+    out = out or f"correlacao_{k}"
+    (a, src_a), (b, src_b) = changes
+    before = {a: _change(src_a), b: _change(src_b)}
+    return with_rolling(df, order, by, k, {out: lambda w: safe_corr(a, b, w)}, before=before, method=method)
 
 
 def yoy_change(
     df: DataFrame, value: str, date: str = "data", by: Sequence[str] = (), out: str = "variacao_12m"
 ) -> DataFrame:
-    """% change vs the same calendar month one year earlier.
+    """% change vs the same calendar day one year earlier.
 
-    A self equi-join on (series, month − 12 months): each row matches at most
-    one earlier row, so the join never fans out.
+    A self equi-join on (series, year - 1, month, day): each row matches at
+    most one earlier row (29 February only one of the year before: none), so
+    the join never fans out.  NULL series match each other; NULL dates nothing.
     """
-    earlier = df.select(
-        *by,
-        F.add_months(F.col(date), 12).alias(date),
-        F.col(value).alias("_prev_year"),
-    )
-    j = df.join(earlier, on=[*by, date], how="left")
-    return j.withColumn(out, pct_change_expr(value, "_prev_year")).drop("_prev_year")
+    day = [F.month(date).alias("_m"), F.dayofmonth(date).alias("_d")]
+    series = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+    now = df.select("*", series.alias("_s"), F.year(date).alias("_y"), *day)
+    earlier = df.select(series.alias("_s"), (F.year(date) + 1).alias("_y"), *day, F.col(value).alias("_prev_year"))
+    j = now.join(earlier, on=["_s", "_y", "_m", "_d"], how="left")
+    return j.withColumn(out, pct_change_expr(value, "_prev_year")).select(*df.columns, out)
 
 
 def panel_pct_change(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.hashing import content_hash
+from tessera.functions.hashing import LIMBS, content_hash
 from tessera.session import materialize
 from tessera.functions.parse import (
     file_basename,
@@ -29,14 +29,15 @@ from tessera.functions.parse import (
 )
 from tessera.operators import gold, panel, quality
 from tessera.operators.basic import (
-    dedupe_earliest,
     dedupe_latest,
     distinct_values,
+    drop_header_rows,
     duplicate_keys,
-    layer_counts,
+    hash_exists,
+    keep_series,
     union_ledger,
 )
-from tessera.operators.joins import new_only, temporal_join
+from tessera.operators.joins import temporal_join
 from tessera.operators.silver import conform, dominant_series, gold_prep
 from tessera.plans.series import (
     daily_events,
@@ -45,8 +46,9 @@ from tessera.plans.series import (
     priority_panel,
     table,
 )
-from tessera.sources.files import hash_files
-from tessera.sources.ingest import bronze_from_payload, canonicalize, payload_hash, with_lineage
+from tessera.functions.rules import DEFAULT_LABELS as LABELS
+from tessera.sources.files import hash_files, landing_line, payload_items
+from tessera.sources.ingest import HEADER_NAMES, bronze_from_payload, canonicalize, payload_hash, with_lineage
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -122,11 +124,11 @@ INS AS (SELECT data, ano, mes, preco_boi_gordo, ipca_mensal,
                (ipca_mensal - ipca_ant) / nullif(ipca_ant, 0) * 100 AS variacao_ipca,
                (preco_boi_gordo - boi_ant) / nullif(boi_ant, 0) * 100 AS variacao_boi FROM L)"""
 
-SQL_DESTAQUE = """CASE WHEN variacao_boi > variacao_ipca THEN 'Preço do boi cresce mais'
-       WHEN variacao_ipca > variacao_boi THEN 'Inflação cresce mais' ELSE 'Empate' END"""
-SQL_CLASSE = """CASE WHEN abs(variacao_boi - variacao_ipca) > 5 THEN 'Alta divergência'
-       WHEN abs(variacao_boi - variacao_ipca) BETWEEN 2 AND 5 THEN 'Média divergência'
-       ELSE 'Baixa divergência' END"""
+SQL_DESTAQUE = f"""CASE WHEN variacao_boi > variacao_ipca THEN '{LABELS.price_leads}'
+       WHEN variacao_ipca > variacao_boi THEN '{LABELS.index_leads}' ELSE '{LABELS.tie}' END"""
+SQL_CLASSE = f"""CASE WHEN abs(variacao_boi - variacao_ipca) > {LABELS.hi} THEN '{LABELS.high}'
+       WHEN abs(variacao_boi - variacao_ipca) BETWEEN {LABELS.lo} AND {LABELS.hi} THEN '{LABELS.medium}'
+       ELSE '{LABELS.low}' END"""
 SQL_MEDIA = hu("(variacao_ipca + variacao_boi) / 2", 2)
 
 CTE_GLOBAL = f"""B AS (SELECT variacao_ipca AS i, variacao_boi AS p FROM INS
@@ -141,17 +143,11 @@ CTE_DAILY = f"""DY AS (SELECT event_type AS series, CAST(ts AS DATE) AS data,
                   {mean_cents('value')} AS valor FROM events GROUP BY 1, 2)"""
 
 
-def _joined(spark: SparkSession, sf: str, materialized: bool = True) -> DataFrame:
-    """Gold-prep join of P and I.
-
-    ``materialized``: checkpoint the (calendar-sized) joined series once, so
-    the gold windows and the global-metrics subquery read it instead of
-    re-scanning the fact tables per branch.
-    """
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold-prep join of P and I; branches of a plan that both read it reuse its shuffled aggregates."""
     p = price_series(spark, sf)
     i = index_series(spark, sf).drop("series_id")
-    j = temporal_join(p, i, on=["data"], how="inner", coalesce_cols=["ano", "mes"])
-    return materialize(j) if materialized else j
+    return temporal_join(p, i, on=["data"], how="inner", coalesce_cols=["ano", "mes"])
 
 
 # ------------------------------------------------------------ gold (flagship)
@@ -251,7 +247,7 @@ def q_dashboard_view(spark, sf):
 SELECT data, ano, mes, {r6('preco_boi_gordo')} AS preco_boi_gordo, {r6('ipca_mensal')} AS ipca_mensal FROM J""",
 )
 def q_temporal_join(spark, sf):
-    return _joined(spark, sf, materialized=False)
+    return _joined(spark, sf)
 
 
 @register(
@@ -278,7 +274,10 @@ SELECT p.data, coalesce(p.ano, x.ano) AS ano, coalesce(p.mes, x.mes) AS mes,
 FROM P p JOIN X x ON p.data = x.data""",
 )
 def q_gold_prep(spark, sf):
-    return gold_prep(price_series(spark, sf), materialize(index_series(spark, sf, by_line=True)), how="inner")
+    at = F.lit(RUN_TS).cast("timestamp_ntz").alias("ingested_at_utc")
+    price = price_series(spark, sf).select("*", at, F.lit("orders").alias("file_hash"))
+    index = materialize(index_series(spark, sf, by_line=True)).select("*", at, F.lit("lineitem").alias("payload_hash"))
+    return gold_prep(price, index, how="inner")
 
 
 @register(
@@ -312,7 +311,7 @@ SELECT data, {r6('ipca_mensal')} AS ipca_mensal,
        {r6('(ipca_mensal - prev) / nullif(prev, 0) * 100')} AS variacao_ipca FROM L""",
 )
 def q_pct_change(spark, sf):
-    i = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
+    i = index_series(spark, sf).select("data", "ipca_mensal")
     return gold.pct_change(i, {"variacao_ipca": "ipca_mensal"})
 
 
@@ -389,72 +388,93 @@ UNION ALL SELECT 'silver_index', COUNT(*) FROM I
 UNION ALL SELECT 'gold', COUNT(*) FROM J""",
 )
 def q_layer_counts(spark, sf):
-    return layer_counts(
-        {
-            "bronze_price": table(spark, sf, "orders"),
-            "bronze_index": table(spark, sf, "lineitem"),
-            "silver_price": price_series(spark, sf),
-            "silver_index": index_series(spark, sf),
-            "gold": _joined(spark, sf, materialized=False),
-        }
+    """Two fact scans: the monthly aggregates carry their row counts, and one join meets them all."""
+    p = price_series(spark, sf, rows="p_rows").select("data", "p_rows")
+    i = index_series(spark, sf, rows="i_rows").select("data", "i_rows")
+    both = p.join(i, "data", "full").agg(
+        F.coalesce(F.sum("p_rows"), F.lit(0)).alias("bronze_price"),
+        F.coalesce(F.sum("i_rows"), F.lit(0)).alias("bronze_index"),
+        F.count("p_rows").alias("silver_price"),
+        F.count("i_rows").alias("silver_index"),
+        F.count_if(F.col("p_rows").isNotNull() & F.col("i_rows").isNotNull()).alias("gold"),
     )
+    return both.unpivot([], both.columns, "layer", "n")
 
 
 # ------------------------------------------------------ ingestion stand-ins
-# Two ingest batches of `documents`: an earlier one (lang 'en') already in the
-# ledger, and the rest arriving now.  Both are read whole.
+# Two ingest batches of `documents`, both read whole: documents with an even
+# number are in the ledger already, those with an odd one (or none) arrive now.
+
 
-def earlier():
-    """Rows of the earlier (already ledgered) batch."""
-    return F.col("lang") == F.lit("en")
+def ledgered():
+    """True for rows of the batch that the ledger has."""
+    return F.coalesce(F.pmod("doc_id", F.lit(2)) == 0, F.lit(False))
+
+
+SQL_BATCHES = """D AS (SELECT doc_id, sha256(text) AS file_hash, source, coalesce(doc_id % 2 = 0, false) AS old FROM documents)"""
 
 
 def _docs_hashed(spark, sf):
-    """Hash every text once; the narrow (doc_id, source, lang, hash) table is
-    materialized so the batch branches do not re-read and re-hash the texts."""
-    return materialize(
-        table(spark, sf, "documents").select(
-            "doc_id", "source", "lang", content_hash("text").alias("file_hash")
-        )
+    return table(spark, sf, "documents").select(
+        "doc_id", "source", content_hash("text").alias("file_hash"), ledgered().alias("old")
+    )
+
+
+def _new_files(docs: DataFrame) -> DataFrame:
+    """One row per hash that only the arriving batch has: one scan, one aggregate."""
+    first = F.min_by(F.struct("doc_id", "source"), F.struct(F.col("doc_id"), F.col("source")))
+    return (
+        docs.filter(F.col("file_hash").isNotNull())
+        .groupBy("file_hash")
+        .agg(F.bool_or("old").alias("known"), first.alias("first"))
+        .filter(~F.col("known"))
+        .select("first.doc_id", "file_hash", "first.source")
     )
 
 
 @register(
     "idempotent_ingest",
-    """WITH K AS (SELECT sha256(text) AS h FROM documents WHERE lang = 'en'),
-N AS (SELECT doc_id, sha256(text) AS file_hash, source FROM documents WHERE lang <> 'en'),
-F AS (SELECT * FROM N WHERE file_hash IS NOT NULL AND file_hash NOT IN (SELECT h FROM K WHERE h IS NOT NULL))
+    f"""WITH {SQL_BATCHES},
+F AS (SELECT * FROM D WHERE NOT old AND file_hash IS NOT NULL
+      AND file_hash NOT IN (SELECT file_hash FROM D WHERE old AND file_hash IS NOT NULL))
 SELECT doc_id, file_hash, source FROM (
-  SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id) AS rn FROM F) WHERE rn = 1""",
+  SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id, source) AS rn FROM F) WHERE rn = 1""",
 )
 def q_idempotent_ingest(spark, sf):
-    d = _docs_hashed(spark, sf)
-    known = d.filter(earlier())
-    # one row per hash first (copies collapse map-side), then the anti-join
-    batch = dedupe_earliest(
-        d.filter(~earlier() & F.col("file_hash").isNotNull()).select("doc_id", "file_hash", "source"),
-        ["file_hash"],
-        ["doc_id"],
-    )
-    return new_only(batch, known, "file_hash")
+    return _new_files(_docs_hashed(spark, sf))
 
 
 @register(
     "hash_exists",
-    """WITH K AS (SELECT DISTINCT sha256(text) AS h FROM documents WHERE lang = 'en')
-SELECT doc_id, EXISTS (SELECT 1 FROM K WHERE K.h = sha256(d.text)) AS already_ingested
-FROM documents d WHERE lang <> 'en'""",
+    f"""WITH {SQL_BATCHES}
+SELECT doc_id, EXISTS (SELECT 1 FROM D k WHERE k.old AND k.file_hash = d.file_hash) AS already_ingested
+FROM D d WHERE NOT old""",
 )
 def q_hash_exists(spark, sf):
     d = _docs_hashed(spark, sf)
-    known = distinct_values(d.filter(earlier()), "file_hash").withColumnRenamed("file_hash", "_h")
+    known = distinct_values(d.filter("old"), "file_hash").withColumnRenamed("file_hash", "_h")
     return (
-        d.filter(~earlier())
+        d.filter(~F.col("old"))
         .join(known, F.col("file_hash") == F.col("_h"), "left")
         .select("doc_id", F.col("_h").isNotNull().alias("already_ingested"))
     )
 
 
+@register(
+    "hash_probe",
+    f"""WITH {SQL_BATCHES}, L AS (SELECT * FROM D WHERE NOT old ORDER BY doc_id DESC LIMIT 1)
+SELECT doc_id, file_hash, EXISTS (SELECT 1 FROM D k WHERE k.old AND k.file_hash = L.file_hash) AS already_ingested FROM L""",
+)
+def q_hash_probe(spark, sf):
+    """Point probe (P9, O3) of the newest arrival's hash among the ledgered ones."""
+    d = _docs_hashed(spark, sf)
+    newest = d.filter(~F.col("old")).orderBy(F.desc("doc_id")).limit(1)
+    h = newest.first()
+    return newest.select("doc_id", "file_hash").withColumn(
+        "already_ingested", F.lit(h is not None and hash_exists(d.filter("old"), "file_hash", h["file_hash"]))
+    )
+
+
 def _ledger_rows(df: DataFrame) -> DataFrame:
     return df.select(
         "file_hash",
@@ -465,36 +485,34 @@ def _ledger_rows(df: DataFrame) -> DataFrame:
 
 @register(
     "manifest_union",
-    """WITH K AS (SELECT doc_id, sha256(text) AS file_hash, source FROM documents WHERE lang = 'en'),
-N AS (SELECT doc_id, sha256(text) AS file_hash, source FROM documents WHERE lang <> 'en'),
-F AS (SELECT * FROM N WHERE file_hash IS NOT NULL AND file_hash NOT IN (SELECT file_hash FROM K WHERE file_hash IS NOT NULL)),
-NEW AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id) AS rn FROM F) WHERE rn = 1)
-SELECT file_hash, source AS source_file, 'doc_' || CAST(doc_id AS VARCHAR) || '.csv' AS csv_file FROM K
+    f"""WITH {SQL_BATCHES},
+F AS (SELECT * FROM D WHERE NOT old AND file_hash IS NOT NULL
+      AND file_hash NOT IN (SELECT file_hash FROM D WHERE old AND file_hash IS NOT NULL)),
+NEW AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id, source) AS rn FROM F) WHERE rn = 1)
+SELECT file_hash, source AS source_file, 'doc_' || CAST(doc_id AS VARCHAR) || '.csv' AS csv_file FROM D WHERE old
 UNION ALL
 SELECT file_hash, source AS source_file, 'doc_' || CAST(doc_id AS VARCHAR) || '.csv' AS csv_file FROM NEW""",
 )
 def q_manifest_union(spark, sf):
     d = _docs_hashed(spark, sf)
-    old = _ledger_rows(d.filter(earlier()))
-    batch = dedupe_earliest(
-        d.filter(~earlier() & F.col("file_hash").isNotNull()).select("doc_id", "file_hash", "source"),
-        ["file_hash"],
-        ["doc_id"],
-    )
-    fresh = new_only(batch, d.filter(earlier()), "file_hash")
-    return union_ledger(old, _ledger_rows(fresh))
+    return union_ledger(_ledger_rows(d.filter("old")), _ledger_rows(_new_files(d)))
 
 
 PAYLOAD_COLS = ["event_id", "user_id", "event_type", "props"]
 
 
+SQL_LIMBS = [
+    f"CAST(SUM(CAST(('0x' || substr(h, {at}, {n}))::BIGINT AS HUGEINT)) AS VARCHAR)" for at, n in LIMBS
+]
+
+
 @register(
     "payload_hash",
-    """WITH R AS (SELECT event_type,
-    ('0x' || substr(sha256(to_json({'event_id': event_id, 'event_type': event_type, 'props': props, 'user_id': user_id})), 1, 15))::BIGINT AS h
+    f"""WITH R AS (SELECT event_type,
+    sha256(to_json({{'event_id': event_id, 'event_type': event_type, 'props': props, 'user_id': user_id}})) AS h
   FROM events)
 SELECT event_type, COUNT(*) AS n_rows,
-  sha256(CAST(COUNT(*) AS VARCHAR) || ':' || CAST(SUM(CAST(h AS HUGEINT)) AS VARCHAR) || ':' || CAST(bit_xor(h) AS VARCHAR)) AS payload_hash
+  sha256(CAST(COUNT(*) AS VARCHAR) || ':' || {" || ':' || ".join(SQL_LIMBS)}) AS payload_hash
 FROM R GROUP BY event_type""",
 )
 def q_payload_hash(spark, sf):
@@ -532,11 +550,11 @@ def q_bronze_payload(spark, sf):
     return bronze_from_payload(payload, meta, run_ts=RUN_TS)
 
 
-def _landed_rows(spark, sf, month_layout: str) -> DataFrame:
-    """lineitem rows as landed CSV rows: one "file" per order, month text, value."""
+def _landed_rows(spark, sf, month_layout: str, file_key: str = "l_orderkey") -> DataFrame:
+    """lineitem rows as landed CSV rows: one "file" per key, month text, value."""
     li = table(spark, sf, "lineitem")
     return li.select(
-        F.concat(F.lit("orders_"), F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("csv_file"),
+        F.concat(F.lit("orders_"), F.col(file_key).cast("string"), F.lit(".csv")).alias("csv_file"),
         ntz_text("l_shipdate", month_layout).alias("mes_ano"),
         F.col("l_extendedprice").alias("valor"),
     )
@@ -573,12 +591,12 @@ def q_bronze_lineage(spark, sf):
 
 @register(
     "dq_bronze_rules",
-    f"""WITH R AS (SELECT 'orders_' || CAST(l_orderkey AS VARCHAR) || '.csv' AS csv_file,
+    f"""WITH R AS (SELECT 'orders_' || CAST(l_partkey AS VARCHAR) || '.csv' AS csv_file,
        CAST(month(l_shipdate) AS VARCHAR) || '/' || strftime(l_shipdate, '%Y') AS mes_ano FROM lineitem),
 M AS (SELECT 'orders_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS csv_file,
        sha256(o_orderstatus || '|' || o_orderpriority || '|' || CAST(o_orderkey AS VARCHAR)) AS file_hash,
        'orders_' || CAST(o_orderkey AS VARCHAR) || '.xlsx' AS source_file
-      FROM orders WHERE o_orderpriority <> '1-URGENT'),
+      FROM orders),
 B AS (SELECT R.mes_ano, M.file_hash, M.source_file FROM R LEFT JOIN M ON R.csv_file = M.csv_file)
 SELECT 'mes_ano_format' AS rule,
        COUNT(*) FILTER (WHERE mes_ano IS NOT NULL AND NOT regexp_matches(mes_ano, '^(0[1-9]|1[0-2])/[0-9]{{4}}$')) AS n_violations,
@@ -588,27 +606,87 @@ UNION ALL SELECT 'file_hash_null', COUNT(*) FILTER (WHERE file_hash IS NULL), CO
 UNION ALL SELECT 'source_file_null', COUNT(*) FILTER (WHERE source_file IS NULL), COUNT(*) FROM B""",
 )
 def q_dq_bronze_rules(spark, sf):
-    """Bronze rules in one pass over landed rows whose ledger misses some files
-    (urgent orders never got a ledger entry) and whose month text is 'M/yyyy'."""
-    ledger = _orders_ledger(table(spark, sf, "orders").filter(F.col("o_orderpriority") != "1-URGENT"))
-    bronze = with_lineage(_landed_rows(spark, sf, "M/yyyy"), ledger, RUN_ID, run_ts=RUN_TS)
+    """Bronze rules in one pass over landed rows, one "file" per part number and
+    month text 'M/yyyy': files whose number is no order key are not in the ledger."""
+    rows = _landed_rows(spark, sf, "M/yyyy", file_key="l_partkey")
+    bronze = with_lineage(rows, _orders_ledger(table(spark, sf, "orders")), RUN_ID, run_ts=RUN_TS)
     return quality.rule_report(bronze, quality.bronze_rules())
 
 
 # ------------------------------------------------------- parsing functions
 
 
+# Raw sheet cells of every order, dirtied by its key: repeated headers, cells that are no number,
+# months that are none, empty cells; a no-break space and a one-digit month are still good.
+SQL_RAW = f"""RAW AS (SELECT o_orderkey, o_orderdate, o_totalprice, o_orderkey % 16 AS k FROM orders)"""
+
+
+def _raw_pairs(spark, sf) -> DataFrame:
+    k = F.pmod("o_orderkey", F.lit(16))
+    month, price = ntz_text("o_orderdate", "M/yyyy"), format_ptbr_number("o_totalprice")
+    data = (
+        F.when(k == 0, F.lit("Data"))
+        .when(k == 1, F.concat(F.lit("13/"), F.year("o_orderdate").cast("string")))
+        .when(k == 2, F.concat(F.lit("  "), ntz_text("o_orderdate", "MM/yyyy"), F.lit(" ")))
+        .when(k == 3, F.lit(None))
+        .otherwise(month)
+    )
+    valor = (
+        F.when(k == 0, F.lit("VALOR"))
+        .when(k == 4, F.lit("n/d"))
+        .when(k == 5, F.concat(F.lit("\u00a0"), price, F.lit("\u00a0")))
+        .when(k == 6, F.concat(price, F.lit(",00")))
+        .when(k == 7, F.lit(""))
+        .otherwise(price)
+    )
+    return table(spark, sf, "orders").select("o_orderkey", data.alias("data_raw"), valor.alias("valor_raw"))
+
+
 @register(
     "landing_canonical",
-    f"""SELECT strftime(o_orderdate, '%m/%Y') AS mes_ano, {r6('round(o_totalprice, 2)')} AS valor FROM orders""",
+    f"""WITH {SQL_RAW}
+SELECT strftime(o_orderdate, '%m/%Y') AS mes_ano, {r6('round(o_totalprice, 2)')} AS valor
+FROM RAW WHERE k NOT IN (0, 1, 3, 4, 6, 7)""",
 )
 def q_landing_canonical(spark, sf):
-    o = table(spark, sf, "orders")
-    raw = o.select(
-        ntz_text("o_orderdate", "M/yyyy").alias("data_raw"),
-        format_ptbr_number("o_totalprice").alias("valor_raw"),
+    return canonicalize(_raw_pairs(spark, sf))
+
+
+@register(
+    "header_rows",
+    f"""WITH {SQL_RAW} SELECT o_orderkey FROM RAW WHERE k <> 0""",
+)
+def q_header_rows(spark, sf):
+    """The header-row filter by itself (P6): bad cells that are no header stay."""
+    return drop_header_rows(_raw_pairs(spark, sf), HEADER_NAMES).select("o_orderkey")
+
+
+@register(
+    "landing_lines",
+    f"""SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%m/%Y') AS mes_ano, {r6('l_extendedprice')} AS valor FROM lineitem""",
+)
+def q_landing_lines(spark, sf):
+    """Canonical landing lines parsed from text, FAILFAST."""
+    line = F.concat_ws(",", ntz_text("l_shipdate", "MM/yyyy"), F.col("l_extendedprice").cast("string"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", line.alias("line"))
+    return lines.select("l_orderkey", "l_linenumber", landing_line("line").alias("row")).select(
+        "l_orderkey", "l_linenumber", "row.mes_ano", "row.valor"
     )
-    return canonicalize(raw)
+
+
+@register(
+    "payload_items",
+    """SELECT l_orderkey, strftime(l_shipdate, '%d/%m/%Y') AS data,
+       replace(CAST(l_discount AS VARCHAR), '.', ',') AS valor FROM lineitem""",
+)
+def q_payload_items(spark, sf):
+    """One JSON payload text per order, its items read back as rows."""
+    item = F.struct(
+        ntz_text("l_shipdate", "dd/MM/yyyy").alias("data"),
+        F.replace(F.col("l_discount").cast("string"), F.lit("."), F.lit(",")).alias("valor"),
+    )
+    payloads = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(item)).alias("payload"))
+    return payloads.select("l_orderkey", F.inline(payload_items("payload")))
 
 
 @register(
@@ -780,7 +858,7 @@ SELECT data, {r6('ipca_mensal')} AS ipca_mensal,
        {r6('CASE WHEN n = 12 THEN (exp(s) - 1) * 100 END')} AS acumulado_12m FROM A""",
 )
 def q_accum_12m(spark, sf):
-    i = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
+    i = index_series(spark, sf).select("data", "ipca_mensal")
     return panel.accumulate(i, "ipca_mensal", k=12)
 
 
@@ -825,7 +903,7 @@ M AS (SELECT *, count(*) OVER w AS n, avg(valor) OVER w AS a FROM DY
 SELECT series, data, {r6('valor')} AS valor, {r6('CASE WHEN n = 3 THEN a END')} AS media_movel_3 FROM M""",
 )
 def q_moving_avg(spark, sf):
-    return panel.moving_avg(materialize(daily_events(spark, sf)), "valor", k=3, by=["series"])
+    return panel.moving_avg(daily_events(spark, sf), "valor", k=3, by=["series"])
 
 
 @register(
@@ -838,7 +916,7 @@ SELECT series, data, {r6('valor')} AS valor,
 FROM C""",
 )
 def q_volatility(spark, sf):
-    return panel.volatility(materialize(daily_events(spark, sf)), "valor", k=7, by=["series"])
+    return panel.volatility(daily_events(spark, sf), "valor", k=7, by=["series"])
 
 
 @register(
@@ -863,8 +941,9 @@ SELECT data, {r6('variacao_ipca')} AS variacao_ipca, {r6('variacao_boi')} AS var
        {r6('c')} AS correlacao_12 FROM R""",
 )
 def q_rolling_corr(spark, sf):
-    ins = gold.insights(_joined(spark, sf)).select("data", "variacao_ipca", "variacao_boi")
-    return panel.rolling_corr(ins, "variacao_ipca", "variacao_boi", k=12)
+    changes = (("variacao_ipca", "ipca_mensal"), ("variacao_boi", "preco_boi_gordo"))
+    out = panel.rolling_change_corr(_joined(spark, sf), changes, k=12)
+    return out.select("data", "variacao_ipca", "variacao_boi", "correlacao_12")
 
 
 @register(
@@ -875,7 +954,7 @@ SELECT a.series, a.data, {r6('a.valor')} AS valor,
 FROM PN a LEFT JOIN PN b ON a.series = b.series AND a.data = CAST(b.data + INTERVAL 12 MONTH AS DATE)""",
 )
 def q_yoy_change(spark, sf):
-    return panel.yoy_change(materialize(priority_panel(spark, sf)), "valor", by=["series"])
+    return panel.yoy_change(priority_panel(spark, sf), "valor", by=["series"])
 
 
 @register(
@@ -885,7 +964,7 @@ L AS (SELECT *, lag(valor) OVER (PARTITION BY series ORDER BY data) AS prev FROM
 SELECT series, data, {r6('valor')} AS valor, {r6('(valor - prev) / nullif(prev, 0) * 100')} AS variacao FROM L""",
 )
 def q_panel_pct_change(spark, sf):
-    return panel.panel_pct_change(materialize(priority_panel(spark, sf)), "valor", "series")
+    return panel.panel_pct_change(priority_panel(spark, sf), "valor", "series")
 
 
 @register(
@@ -913,7 +992,7 @@ def q_panel_analytic(spark, sf):
     """Every gold operator keyed by series (X9): each order-priority price series vs the index."""
     pn = priority_panel(spark, sf).withColumnRenamed("valor", "preco_boi_gordo")
     i = index_series(spark, sf).select("data", "ipca_mensal")
-    j = materialize(temporal_join(pn, i, on=["data"], how="inner"))
+    j = temporal_join(pn, i, on=["data"], how="inner")
     return gold.analytic(j, gold.GoldSpec(by=("series",)))
 
 
@@ -931,5 +1010,117 @@ SELECT series, {r6('covar_pop(a, b) / nullif(stddev_pop(a) * stddev_pop(b), 0)')
        COUNT(a) AS n_pares FROM X GROUP BY series""",
 )
 def q_panel_corr(spark, sf):
-    ref = materialize(index_series(spark, sf).select("data", "ipca_mensal"))
-    return panel.panel_corr(materialize(priority_panel(spark, sf)), ref, "valor", "ipca_mensal", "series")
+    ref = index_series(spark, sf).select("data", "ipca_mensal")
+    return panel.panel_corr(priority_panel(spark, sf), ref, "valor", "ipca_mensal", "series")
+
+
+# ------------------------------------------- roadmap operators, keyed by series
+
+
+@register(
+    "ordered_index",
+    f"""WITH {CTE_I} SELECT data, {r6('ipca_mensal')} AS ipca_mensal FROM I ORDER BY data DESC""",
+)
+def q_ordered_index(spark, sf):
+    """The index, latest month first (O1)."""
+    return index_series(spark, sf).select("data", "ipca_mensal").orderBy(F.desc("data"))
+
+
+@register(
+    "one_series",
+    f"""WITH {CTE_I7} SELECT data, ano, mes, {r6('ipca_mensal')} AS ipca_mensal, series_id FROM I7 WHERE series_id = 3""",
+)
+def q_one_series(spark, sf):
+    """One series by equality."""
+    return keep_series(index_series(spark, sf, by_line=True), "series_id", 3)
+
+
+CTE_PANEL_RATE = f"""{CTE_PANEL}, {CTE_I},
+PR AS (SELECT p.series, p.data, p.valor, i.ipca_mensal FROM PN p JOIN I i ON p.data = i.data)"""
+
+
+def _panel_rate(spark, sf) -> DataFrame:
+    i = index_series(spark, sf).select("data", "ipca_mensal")
+    return temporal_join(priority_panel(spark, sf), i, on=["data"]).select("series", "data", "valor", "ipca_mensal")
+
+
+@register(
+    "panel_deflated",
+    f"""WITH {CTE_PANEL_RATE},
+D AS (SELECT series, data, valor, ipca_mensal, exp(sum(ln(1 + ipca_mensal / 100)) OVER (PARTITION BY series ORDER BY data
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS x FROM PR)
+SELECT series, data, {r6('valor')} AS valor, {r6('ipca_mensal')} AS ipca_mensal, {r6('x')} AS indice_acumulado,
+       {r6('valor / x')} AS preco_deflacionado FROM D""",
+)
+def q_panel_deflated(spark, sf):
+    return panel.deflate(_panel_rate(spark, sf), "valor", "ipca_mensal", by=["series"])
+
+
+@register(
+    "panel_accum",
+    f"""WITH {CTE_I7},
+A AS (SELECT series_id, data, ipca_mensal, count(ipca_mensal) OVER w AS n, sum(ln(1 + ipca_mensal / 100)) OVER w AS s
+      FROM I7 WINDOW w AS (PARTITION BY series_id ORDER BY data ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))
+SELECT series_id, data, {r6('ipca_mensal')} AS ipca_mensal,
+       {r6('CASE WHEN n = 12 THEN (exp(s) - 1) * 100 END')} AS acumulado_12m FROM A""",
+)
+def q_panel_accum(spark, sf):
+    i = index_series(spark, sf, by_line=True).select("series_id", "data", "ipca_mensal")
+    return panel.accumulate(i, "ipca_mensal", k=12, by=["series_id"])
+
+
+@register(
+    "panel_rolling_corr",
+    f"""WITH {CTE_PANEL_RATE},
+L AS (SELECT series, data, (valor - lag(valor) OVER w) / nullif(lag(valor) OVER w, 0) * 100 AS a0,
+             (ipca_mensal - lag(ipca_mensal) OVER w) / nullif(lag(ipca_mensal) OVER w, 0) * 100 AS b0
+      FROM PR WINDOW w AS (PARTITION BY series ORDER BY data)),
+M AS (SELECT *, CASE WHEN b0 IS NOT NULL THEN a0 END AS a, CASE WHEN a0 IS NOT NULL THEN b0 END AS b FROM L),
+R AS (SELECT series, data, a0, b0, covar_pop(a, b) OVER w / nullif(stddev_pop(a) OVER w * stddev_pop(b) OVER w, 0) AS c
+      FROM M WINDOW w AS (PARTITION BY series ORDER BY data ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))
+SELECT series, data, {r6('a0')} AS variacao, {r6('b0')} AS variacao_ipca, {r6('c')} AS correlacao_12 FROM R""",
+)
+def q_panel_rolling_corr(spark, sf):
+    changes = (("variacao", "valor"), ("variacao_ipca", "ipca_mensal"))
+    out = panel.rolling_change_corr(_panel_rate(spark, sf), changes, k=12, by=["series"])
+    return out.select("series", "data", "variacao", "variacao_ipca", "correlacao_12")
+
+
+@register(
+    "panel_quarterly",
+    f"""WITH {CTE_PANEL}
+SELECT series, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre, {r6('avg(valor)')} AS media,
+       {r6('min(valor)')} AS minimo, {r6('max(valor)')} AS maximo, {r6('arg_max(valor, data)')} AS ultimo, COUNT(*) AS n_meses
+FROM PN GROUP BY 1, 2, 3""",
+)
+def q_panel_quarterly(spark, sf):
+    return panel.period_agg(priority_panel(spark, sf), "quarter", "valor", by=["series"])
+
+
+@register(
+    "panel_rollup",
+    f"""WITH {CTE_PANEL}, Y AS (SELECT *, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre FROM PN)
+SELECT series, ano, trimestre, {r6('avg(valor)')} AS media, {r6('min(valor)')} AS minimo, {r6('max(valor)')} AS maximo,
+       {r6('arg_max(valor, data)')} AS ultimo, COUNT(*) AS n_meses
+FROM Y GROUP BY GROUPING SETS ((series, ano, trimestre), (series, ano))""",
+)
+def q_panel_rollup(spark, sf):
+    return panel.period_rollup(priority_panel(spark, sf), "valor", by=["series"])
+
+
+@register(
+    "panel_null_keys",
+    f"""WITH {CTE_PANEL}, PZ AS (SELECT nullif(series, '5-LOW') AS series, data, valor FROM PN),
+L AS (SELECT *, lag(valor) OVER w AS prev, count(*) OVER f AS n, avg(valor) OVER f AS m
+      FROM PZ WINDOW w AS (PARTITION BY series ORDER BY data),
+                     f AS (PARTITION BY series ORDER BY data ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT a.series, a.data, {r6('a.valor')} AS valor, {r6('(a.valor - a.prev) / nullif(a.prev, 0) * 100')} AS variacao,
+       {r6('CASE WHEN a.n = 3 THEN a.m END')} AS media_movel_3,
+       {r6('(a.valor - b.valor) / nullif(b.valor, 0) * 100')} AS variacao_12m
+FROM L a LEFT JOIN PZ b ON a.series IS NOT DISTINCT FROM b.series AND a.data = CAST(b.data + INTERVAL 12 MONTH AS DATE)""",
+)
+def q_panel_null_keys(spark, sf):
+    """Frames and the yearly join over a panel whose key is NULL for one series."""
+    pn = priority_panel(spark, sf).withColumn("series", F.nullif(F.col("series"), F.lit("5-LOW")))
+    out = panel.moving_avg(panel.panel_pct_change(pn, "valor", "series"), "valor", k=3, by=["series"])
+    return panel.yoy_change(out, "valor", by=["series"])

@@ -45,8 +45,8 @@ def month_of_ts(c: str):
     return F.trunc(F.col(c).cast("date"), "month")
 
 
-def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P: monthly mean order price -> (data, ano, mes, preco_boi_gordo)."""
+def price_series(spark: SparkSession, sf_dir: str, rows: str | None = None) -> DataFrame:
+    """P: monthly mean order price -> (data, ano, mes, preco_boi_gordo); ``rows`` names a count column."""
     o = table(spark, sf_dir, "orders")
     return (
         o.groupBy(month_of_ts("o_orderdate").alias("data"))
@@ -56,11 +56,14 @@ def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.year("data").alias("ano"),
             F.month("data").alias("mes"),
             (F.col("_c") / F.col("_n") / F.lit(100)).alias("preco_boi_gordo"),
+            *([F.col("_n").alias(rows)] if rows else []),
         )
     )
 
 
-def index_series(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
+def index_series(
+    spark: SparkSession, sf_dir: str, by_line: bool = False, rows: str | None = None
+) -> DataFrame:
     """I: monthly mean discount in percent -> (data, ano, mes, ipca_mensal, series_id).
 
     With ``by_line`` each ``l_linenumber`` is its own series (several index
@@ -77,6 +80,7 @@ def index_series(spark: SparkSession, sf_dir: str, by_line: bool = False) -> Dat
             F.month("data").alias("mes"),
             (F.col("_c") / F.col("_n")).alias("ipca_mensal"),
             "series_id",
+            *([F.col("_n").alias(rows)] if rows else []),
         )
     )
 

@@ -1,12 +1,14 @@
 """Every registered query against its DuckDB oracle (sf0.001), plus plan shape checks."""
 
 import math
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from tessera.plans.registry import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -35,11 +37,12 @@ def canon(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 45
+    assert set(QUERIES) == set(ORACLES)
+    assert len(QUERIES) >= 60
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
@@ -86,6 +89,40 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<l_discount:double,l_shipdate:timestamp_ntz>" in plan
 
 
+def exchanges(df):
+    """Shuffles and broadcasts of the plan that ran (reused ones are not run again)."""
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    return len(re.findall(r"[+:]- (?:Broadcast)?Exchange ", plan))
+
+
+@pytest.mark.parametrize(
+    "name,most",
+    [("rolling_corr", 4), ("volatility", 4), ("moving_avg", 4), ("accum_12m", 4), ("panel_corr", 5), ("panel_analytic", 5)],
+)
+def test_rolling_operators_take_few_exchanges(spark, name, most):
+    assert exchanges(QUERIES[name](spark, SF001)) <= most
+
+
+@pytest.mark.parametrize(
+    "name,scans",
+    [("layer_counts", 2), ("idempotent_ingest", 1), ("manifest_union", 2), ("hash_exists", 2), ("landing_canonical", 1)],
+)
+def test_each_table_is_scanned_once_per_branch(spark, name, scans):
+    df = QUERIES[name](spark, SF001)
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == scans and "Scan ExistingRDD" not in plan
+
+
+def test_no_job_runs_while_a_lineage_join_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-lineage", "")
+    QUERIES["bronze_lineage"](spark, SF001)
+    jobs = tracker.getJobIdsForGroup("build-lineage")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # at most the schema inference of the two tables
+    assert len(jobs) <= 2
+
+
 @pytest.mark.parametrize(
     "name", ["bronze_lineage", "landing_canonical", "silver_conform", "dedupe_latest", "analytic", "bronze_payload"]
 )
@@ -109,19 +146,11 @@ def test_dedupe_and_series_preaggregate_map_side(spark):
     assert "partial_sum" in plan and "partial_count" in plan
 
 
-def test_ledger_join_fallback_is_shuffled(spark):
-    from pyspark.sql import functions as F
-
-    from tessera.operators.joins import with_ledger
-
-    rows = spark.range(200).select((F.col("id") % 20).cast("string").alias("csv_file"), "id")
-    ledger = spark.range(20).select(F.col("id").cast("string").alias("csv_file"), (F.col("id") * 10).alias("h"))
-    small = with_ledger(rows, ledger)
-    big = with_ledger(rows, ledger, max_rows=5)
-    assert "BroadcastHashJoin" in plan_of(small)
-    p = plan_of(big)
-    assert "ShuffledHashJoin" in p and "BroadcastHashJoin" not in p
-    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
+def test_landing_text_is_parsed_once(spark):
+    plan = QUERIES["landing_canonical"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") + plan.count("cast(translate") <= 8 and plan.count("format_number") <= 8
+    parsed = [x for x in plan.split("\n") if "Filter" in x and "regexp_extract" in x]
+    assert not parsed
 
 
 def test_results_unchanged_under_scaled_partitioning(spark, con):
