@@ -97,7 +97,7 @@ software.
 
 #: A line that starts with a copyright statement ("Copyright (c) 2020 Someone", "(c) 2020 ...", "© 2020 ...").
 COPYRIGHT_LINE = (
-    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright\b[^\n]*(?:\d{4}|\(c\)|©)|(?:\(c\)|©)\s*(?:copyright\s*)?\d{4})[^\n]*$"
+    r"(?md)^[^\p{L}\p{N}\n(©]*(?:copyright\b[^\n]*(?:\d{4}|\(c\)|©)|(?:\(c\)|©)\s*(?:copyright\s*)?\d{4})[^\n]*$"
 )
 
 

@@ -127,6 +127,33 @@ QUERIES = {
     )
 }
 
+
+def _license_sql() -> str:
+    """The same canonical form in DuckDB: replacements nested in their order."""
+
+    def canonical(text: str) -> str:
+        line = license_scan.COPYRIGHT_LINE.replace("(?md)", "(?m)")
+        t = f"regexp_replace(lower({text}), '{line}', ' ', 'g')"
+        t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
+        for variant, one in license_scan.SPELLINGS:
+            t = f"replace({t}, '{license_scan._words(variant)}', '{license_scan._words(one)}')"
+        return f"nullif(trim({t}, ' '), '')"
+
+    known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in license_scan.KNOWN)
+    return f"""
+        WITH K AS (
+          SELECT sha256({canonical("t")}) AS digest, min(i) AS license_id FROM (VALUES {known}) v(i, t) GROUP BY 1),
+        D AS (SELECT doc_id, coalesce(text, '') AS text, sha256({canonical("coalesce(text, '')")}) AS text_digest FROM documents),
+        L AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM D),
+        N AS (
+          SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS notice_ids
+          FROM (SELECT DISTINCT doc_id, license_id FROM L JOIN K ON sha256({canonical("line")}) = K.digest) GROUP BY 1)
+        SELECT D.doc_id, text_digest, license_id, notice_ids
+        FROM D LEFT JOIN K ON text_digest = digest LEFT JOIN N ON D.doc_id = N.doc_id"""
+
+
+ALPHABET_32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
 ORACLES = {
     "op1_exact_dedup": """
         WITH d AS (
@@ -136,4 +163,16 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op4_license_scan": _license_sql(),
+    "op6_warc": f"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h FROM p),
+        k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keep FROM d)
+        SELECT page_id, payload_bytes,
+               list_reduce(list_transform(range(32), lambda i: substr('{ALPHABET_32}',
+                 CAST((('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1)),
+                 lambda a, b: a || b) AS payload_digest,
+               CASE WHEN page_id IS NOT DISTINCT FROM keep THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM keep THEN keep END AS refers_to
+        FROM k""",
 }
