@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.parse import decoded_path
 from tessera.operators import gold
 from tessera.operators.basic import dedupe_earliest
 from tessera.operators.joins import new_only
@@ -26,11 +25,13 @@ from tessera.sources.files import (
     MANIFEST_COLUMNS,
     hash_files,
     listed_files,
+    literal_path,
     load_if_exists,
     read_landing,
     read_landing_batches,
     read_manifest,
     read_payload,
+    read_raw_pairs,
 )
 from tessera.sources.ingest import (
     HashLedger,
@@ -83,37 +84,41 @@ def run_landing(
 ) -> int:
     """Raw two-column sheets -> canonical landing rows + ledger entries (landing step).
 
-    Every raw file is hashed (``binaryFile``, spread over tasks); files whose
-    content hash is already in the ledger are skipped — a renamed copy too.
-    Rows of the new files are selected with a join on the file path (no
-    driver-side file list), canonicalized, and written as a few large files
-    under ``lote=<time of this run>/``, with ``csv_file`` and ``file_hash`` as
-    columns.  The ledger gets one row per new file; its ``converted_at_utc``
-    names the directory.  A run that stops before that leaves a directory
-    which no entry names.  Returns the number of new files.
+    Raw files that an earlier run has seen (path, length, modification time in
+    ``<ledger>_seen``) are not opened.  The others are hashed, in groups of
+    :data:`FILES_PER_APPEND`; files whose content hash is in the ledger are
+    skipped — a renamed copy too.  Rows of the new files are canonicalized and
+    written as a few large files under ``lote=<time of this run>/``, with
+    ``csv_file`` and ``file_hash`` as columns.  The ledger gets one row per new
+    file; its ``converted_at_utc`` names the directory.  A run that stops
+    before that leaves rows which no entry names.  Returns the number of new
+    files.
     """
     at = datetime.now(timezone.utc) if run_ts is None else datetime.fromisoformat(str(run_ts))
     stamp = at.strftime("%Y-%m-%dT%H:%M:%SZ")
-    hashes = hash_files(spark, raw_path, glob)
-    fresh = new_only(hashes, read_manifest(spark, ledger_path, strict=False), "file_hash")
+    seen_path = f"{ledger_path.rstrip('/')}_seen"
+    files = listed_files(spark, raw_path, glob).drop("file_name")
+    seen = load_if_exists(spark, seen_path)
+    if seen is not None and load_if_exists(spark, ledger_path, "csv") is not None:
+        files = files.join(seen, files.columns, "left_anti")
+    files = shared_copy(files, "raw-files")
+    n = 0
+    for part in _chunks((r[0] for r in files.select("path").toLocalIterator()), FILES_PER_APPEND):
+        n += _land(spark, [literal_path(x) for x in part], landing_root, ledger_path, sep, stamp)
+    if not files.isEmpty():
+        files.write.mode("append").parquet(seen_path)
+    return n
+
+
+def _land(spark: SparkSession, paths: list[str], landing_root: str, ledger_path: str, sep: str, stamp: str) -> int:
+    fresh = new_only(hash_files(spark, paths), read_manifest(spark, ledger_path, strict=False), "file_hash")
     # identical copies: the first file name wins (deterministic)
-    fresh = dedupe_earliest(fresh.select("path", "file_name", "file_hash"), ["file_hash"], ["file_name"])
+    fresh = dedupe_earliest(fresh.select("path", "file_name", "file_hash"), ["file_hash"], ["file_name", "path"])
     fresh = shared_copy(
         fresh.withColumn("csv_file", F.concat(F.regexp_replace("file_name", r"\.csv$", ""), F.lit(".csv"))), "new-files"
     )
-    raw = (
-        spark.read.option("sep", sep)
-        .option("header", False)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .csv(raw_path)
-    )
-    a, b = raw.columns[:2]
-    rows = raw.select(
-        F.col(a).alias("data_raw"),
-        F.col(b).alias("valor_raw"),
-        decoded_path(F.col("_metadata.file_path")).alias("path"),
-    ).join(fresh.select("path", "csv_file", "file_hash"), on="path", how="inner")
+    raw = read_raw_pairs(spark, paths, sep, path_column="path")
+    rows = raw.join(fresh.select("path", "csv_file", "file_hash"), on="path", how="inner")
     canon = canonicalize(rows, keep=("csv_file", "file_hash")).withColumn("lote", landing_batch(F.lit(stamp)))
     canon.write.mode("append").option("header", True).partitionBy("lote").csv(landing_root)
     ledger_rows = fresh.select(
@@ -198,7 +203,7 @@ def run_bronze_price(
     n = 0
     for part in _chunks(names, FILES_PER_APPEND):
         entries = fresh.filter(F.col("csv_file").isin(part))
-        rows = read_landing(spark, [f"{landing_dir.rstrip('/')}/{name}" for name in part])
+        rows = read_landing(spark, [literal_path(f"{landing_dir.rstrip('/')}/{name}") for name in part])
         enriched = with_lineage(rows, entries, run_id, run_ts, how="inner")
         n += ingest_files(enriched, entries, price_ledger(spark, lake))
     return n

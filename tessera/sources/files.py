@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.parse import file_basename
+from tessera.functions.parse import decoded_path, file_basename
 
 # Column names of the landed files, the file ledger and the payload.
 LANDING_SCHEMA = T.StructType(
@@ -55,8 +56,13 @@ def load_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
         raise
 
 
-def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """SHA-256 of every file under ``path`` matching ``glob``.
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that Spark's file sources read as patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def hash_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """SHA-256 of every file under ``path`` (one or several) matching ``glob``.
 
     ``binaryFile`` spreads files over tasks; only the hash leaves the task.
     Each file's bytes are held by one task (Spark caps a binaryFile row at
@@ -100,11 +106,21 @@ def read_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFr
     return df.select(*[F.col(c).cast("string") for c in MANIFEST_COLUMNS])
 
 
-def read_raw_pairs(spark: SparkSession, paths: Sequence[str] | str, sep: str = ",", header: bool = False) -> DataFrame:
-    """First two columns of delimited text files as ``data_raw, valor_raw`` strings (S3)."""
+def read_raw_pairs(
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    sep: str = ",",
+    header: bool = False,
+    path_column: str | None = None,
+) -> DataFrame:
+    """First two columns of delimited text files as ``data_raw, valor_raw`` strings (S3).
+
+    ``path_column`` adds the path of each row's file.
+    """
     df = spark.read.option("sep", sep).option("header", header).csv(paths)
     a, b = df.columns[:2]
-    return df.select(F.col(a).alias("data_raw"), F.col(b).alias("valor_raw"))
+    path = [decoded_path(F.col("_metadata.file_path")).alias(path_column)] if path_column else []
+    return df.select(F.col(a).alias("data_raw"), F.col(b).alias("valor_raw"), *path)
 
 
 def read_landing(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -133,11 +149,11 @@ def read_landing_batches(spark: SparkSession, root: str, batches: Sequence[str])
 
 
 def listed_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, file_name, length`` of the files under ``path``; contents are not read."""
+    """``path, file_name, length, modificationTime`` of the files under ``path``; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", file_basename("path").alias("file_name"), "length")
+    return reader.load(path).select("path", file_basename("path").alias("file_name"), "length", "modificationTime")
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:

@@ -112,6 +112,27 @@ def test_landing_job(spark, tmp_dir):
     assert all(g[3] for g in got)
 
 
+def test_landing_opens_only_files_it_has_not_seen(spark, tmp_dir, monkeypatch):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    names = ["a [1].csv", "b {x}.csv", "c*.csv", "d.csv", "e.csv"]
+    for i, name in enumerate(names):
+        with open(os.path.join(raw, name), "w") as f:
+            f.write(f"Data,Valor\n0{i + 1}/2025,\"{i},5\"\n")
+    landing, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    monkeypatch.setattr(layers, "FILES_PER_APPEND", 2)
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 5
+    at = os.stat(os.path.join(raw, "d.csv"))
+    with open(os.path.join(raw, "d.csv"), "w") as f:
+        f.write("Data,Valor\n09/2025,\"3,5\"\n")  # same length and time: not opened again
+    os.utime(os.path.join(raw, "d.csv"), ns=(at.st_atime_ns, at.st_mtime_ns))
+    assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 0
+    lake = layers.Lakehouse(os.path.join(tmp_dir, "lake"))
+    assert layers.run_bronze_from_landing(spark, lake, landing, ledger, "r", RUN_TS) == 5
+    rows = lake.read(spark, "bronze", lake.price_table).collect()
+    assert sorted((r["mes_ano"], r["csv_file"]) for r in rows) == [(f"0{i + 1}/2025", n) for i, n in enumerate(names)]
+
+
 def test_cli_steps(spark, tmp_dir):
     from tessera.__main__ import main
 
