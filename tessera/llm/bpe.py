@@ -5,7 +5,7 @@ the driver and broadcast; its size does not depend on the data.  In a task a
 text is cut at special tokens and white space, and each piece is normalised,
 cut into words and merged: a priority queue of merge ranks works on a doubly
 linked list of symbols and skips entries whose symbols have merged meanwhile.
-Pieces repeat, so their ids are kept in a bounded cache.  Decoding joins the
+Pieces and words repeat, so their ids are kept in bounded caches.  Decoding joins the
 vocabulary strings the way the file's decoder does (none: with spaces).
 """
 
@@ -15,6 +15,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
 CACHE_CHARS = 48
 #: The white space of the tokenizer's ``\s``.
 SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
@@ -51,42 +52,41 @@ class Bpe:
         self.strings = {i: s for s, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings |= {i: s for s, i in self.special.items()}
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges = {
-            (self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)
-        }
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        # a pair of ids as one number -> rank; rank -> merged id
+        self.ranks = {self.vocab[a] << 32 | self.vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [self.vocab[a + b] for a, b in pairs]
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.space = re.compile(SPACE)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.chars = byte_chars()
         self.cache: dict[str, tuple[bytes, str]] = {}
+        self.word_cache: dict[str, tuple[bytes, str]] = {}
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Merge ranked pairs, lowest rank first, leftmost first among equals."""
-        n = len(symbols)
+        n, ranks = len(symbols), self.ranks
         symbols = list(symbols)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
-
-        def push(i: int) -> None:
-            j = after[i]
-            if j >= 0 and (found := self.merges.get((symbols[i], symbols[j]))):
-                heapq.heappush(queue, (found[0], i, found[1]))
-
-        for i in range(n):
-            push(i)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        # queue entries are rank and position in one number
+        found = ((ranks.get(symbols[i] << 32 | symbols[i + 1]), i) for i in range(n - 1))
+        queue = [rank << 32 | i for rank, i in found if rank is not None]
+        heapq.heapify(queue)
         while queue:
-            rank, i, new = heapq.heappop(queue)
-            j = after[i] if symbols[i] >= 0 else -1
-            if j < 0 or self.merges.get((symbols[i], symbols[j])) != (rank, new):
+            top = heapq.heappop(queue)
+            rank, i = top >> 32, top & 0xFFFFFFFF
+            left, j = symbols[i], after[i]
+            if left < 0 or j == n or ranks.get(left << 32 | symbols[j]) != rank:
                 continue  # stale: one of the symbols has merged with another
-            symbols[i], symbols[j] = new, -1
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            if before[i] >= 0:
-                push(before[i])
-            push(i)
+            symbols[i], symbols[j] = self.merged[rank], -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := ranks.get(symbols[i] << 32 | symbols[k])) is not None:
+                    heapq.heappush(queue, r << 32 | i)
+            h = before[i]
+            if h >= 0 and (r := ranks.get(symbols[h] << 32 | symbols[i])) is not None:
+                heapq.heappush(queue, r << 32 | h)
         return [s for s in symbols if s >= 0]
 
     def word_ids(self, word: str) -> list[int]:
@@ -94,34 +94,43 @@ class Bpe:
         symbols[-1] += self.suffix
         return self.merge([self.vocab[s] for s in symbols if s in self.vocab])
 
+    def _word(self, word: str) -> tuple[bytes, str]:
+        """Ids (little-endian unsigned 32 bits) and joined strings of one word."""
+        found = self.word_cache.get(word)
+        if found is None:
+            ids = self.word_ids(word)
+            found = struct.pack(f"<{len(ids)}I", *ids), " ".join([self.strings[i] for i in ids])
+            if len(word) <= CACHE_CHARS:
+                if len(self.word_cache) >= CACHE_PIECES:
+                    self.word_cache.clear()
+                self.word_cache[word] = found
+        return found
+
     def _piece(self, piece: str) -> tuple[bytes, str]:
-        """Ids (little-endian unsigned 32 bits) and joined strings of text without white space."""
+        """The same of text without white space, which may hold several words."""
         # lower-casing is by character: a capital sigma at a word's end gets no final form
-        text = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-        ids = [i for w in self.words.findall(text) for i in self.word_ids(w)]
-        return np.array(ids, "<u4").tobytes(), " ".join(self.strings[i] for i in ids)
+        text = piece if piece.isascii() else unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+        words = [found for w in self.words.findall(text.lower()) if (found := self._word(w))[0]]
+        return b"".join([w[0] for w in words]), " ".join([w[1] for w in words])
+
+    def _cached(self, piece: str) -> tuple[bytes, str]:
+        found = self._piece(piece)
+        if len(piece) <= CACHE_CHARS:
+            if len(self.cache) >= CACHE_PIECES:
+                self.cache.clear()
+            self.cache[piece] = found
+        return found
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as bytes, and the decoded text."""
-        ids, strings = [], []
-        parts = self.cut.split(text) if "<" in text else [text]
-        for part in parts:
+        get, found = self.cache.get, []
+        for part in self.cut.split(text) if "<" in text else [text]:
             if part in self.special:
-                ids.append(self.special[part].to_bytes(4, "little"))
-                strings.append(part)
-                continue
-            for piece in self.space.split(part):
-                found = self.cache.get(piece)
-                if found is None:
-                    found = self._piece(piece)
-                    if len(piece) <= CACHE_CHARS:
-                        if len(self.cache) >= CACHE_PIECES:
-                            self.cache.clear()
-                        self.cache[piece] = found
-                if found[0]:
-                    ids.append(found[0])
-                    strings.append(found[1])
-        return b"".join(ids), " ".join(strings)
+                found.append((self.special[part].to_bytes(4, "little"), part))
+            else:
+                found += [get(piece) or self._cached(piece) for piece in self.space.split(part)]
+        found = [x for x in found if x[0]]
+        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found])
 
     def decode(self, ids) -> str:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
