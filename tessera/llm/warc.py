@@ -122,8 +122,11 @@ def parse_record(data: bytes) -> dict:
 
 
 def url_key(url: str | None) -> str:
-    """Reversed-host key: ``com,example,m)/path?a=1&b=2``; text that is no URL stands after the bracket."""
-    text = " ".join((url or "").split()).lower()
+    """Reversed-host key: ``com,example,m)/path?a=1&b=2``; text that is no URL stands after the bracket.
+
+    Blanks become ``%20``, so a key is one word of an index line.
+    """
+    text = "%20".join((url or "").split()).lower()
     try:
         parts = urlsplit(text)
         host, port = parts.hostname or "", parts.port
@@ -220,12 +223,13 @@ def write(rows: DataFrame, root: str, level: int = 3) -> DataFrame:
     )
 
 
-def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES) -> list[tuple[str, str]]:
-    """Write the two-level index; returns ``(first key, index file)`` per file, sorted.
+def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES) -> list[tuple[str, str, str]]:
+    """Write the two-level index; returns ``(first key, last key, index file)`` per file, in key order.
 
     One index file per range partition (so the list does not grow with a
     partition's rows): blocks of ``block_lines`` sorted lines, and next to it
-    a directory of one line per block.
+    a directory of one line per block.  Of files that start with the same key,
+    the one that goes on to other keys comes last.
     """
     parts = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "file", "start"]
@@ -233,7 +237,7 @@ def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES)
 
     def run(batches):
         fs, base = _open_fs(root)
-        name, out, at, lines, directory, first = f"cdx-{uuid.uuid4().hex}", None, 0, [], [], None
+        name, out, at, lines, directory, first, key = f"cdx-{uuid.uuid4().hex}", None, 0, [], [], None, None
 
         def block():
             nonlocal at
@@ -245,7 +249,6 @@ def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES)
 
         for b in batches:
             for key, url, digest, file, start, length in zip(*(c.to_pylist() for c in b.columns)):
-                key = key.replace(" ", "%20")
                 if out is None:
                     out, first = fs.open_output_stream(f"{base}/index/{name}.gz", compression=None), key
                 body = {"url": url, "digest": digest, "filename": file, "offset": start, "length": length}
@@ -258,9 +261,9 @@ def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES)
             out.close()
             with fs.open_output_stream(f"{base}/index/{name}.idx", compression=None) as f:
                 f.write("".join(x + "\n" for x in directory).encode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([name])], ["first", "name"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (first, key, name)], ["first", "last", "name"])
 
-    return sorted((r["first"], r["name"]) for r in ordered.mapInArrow(run, "first string, name string").collect())
+    return sorted(map(tuple, ordered.mapInArrow(run, "first string, last string, name string").collect()))
 
 
 # --------------------------------------------------------------------- reading
@@ -269,8 +272,8 @@ def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES)
 class _Index:
     """Captures by key from the index files; keeps the last directory and block."""
 
-    def __init__(self, root: str, files: list[tuple[str, str]]):
-        self.files, self.firsts, self.at = files, [k for k, _ in files], _Files(root)
+    def __init__(self, root: str, files: list[tuple[str, str, str]]):
+        self.files, self.firsts, self.at = files, [f[0] for f in files], _Files(root)
         self.directory, self.block = (None, [], []), (None, [], [])
 
     def _directory(self, name: str):
@@ -290,10 +293,9 @@ class _Index:
 
     def find(self, key: str):
         """Lines of ``key``: they may start in the block before the first that begins with it, and go on."""
-        key = key.replace(" ", "%20")
         f = max(0, bisect_left(self.firsts, key) - 1)
         while f < len(self.files) and self.firsts[f] <= key:
-            name = self.files[f][1]
+            name = self.files[f][2]
             firsts, places = self._directory(name)
             b = max(0, bisect_left(firsts, key) - 1)
             while b < len(firsts) and firsts[b] <= key:
@@ -303,7 +305,7 @@ class _Index:
             f += 1
 
 
-def lookup(urls: DataFrame, root: str, files: list[tuple[str, str]], url_col: str = "url") -> DataFrame:
+def lookup(urls: DataFrame, root: str, files: list[tuple[str, str, str]], url_col: str = "url") -> DataFrame:
     """``(key, file, start, length)`` of all captures of the distinct ``urls``."""
     parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -364,7 +366,7 @@ def read(captures: DataFrame, root: str, with_payload: bool = True) -> DataFrame
     return ordered.sortWithinPartitions("file", "start").mapInArrow(run, schema)
 
 
-def archive(pages: DataFrame, root: str, min_bytes: int = 0) -> list[tuple[str, str]]:
+def archive(pages: DataFrame, root: str, min_bytes: int = 0) -> list[tuple[str, str, str]]:
     """Write pages (``page_id, url, html``) and their index under ``root``; returns the index files.
 
     Null html is an empty payload, a null url an empty target; a null page_id
