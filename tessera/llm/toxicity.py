@@ -1,14 +1,14 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-Terms are the 5-character pieces of words (with word ends), so inflected and
-compound forms share terms.  A Spark job counts, over all labelled rows that
-may be learned from, in how many texts of either label a term occurs; the
-terms that speak most for toxicity (chi-square) form the vocabulary.  A
-bounded sample of labelled texts becomes a block-max inverted index: postings
-by term, cut into blocks of examples, with the largest weight of each term per
-block.  A text visits blocks by falling upper bound and stops once no block
-can beat its k-th best example, so the neighbours are exact.  Their votes,
-weighted by distance, are calibrated on another bounded sample.
+The classifier is fitted on a bounded sample of the labelled texts that may be
+learned from (``ToxicParams.fit_rows``, picked by a hash of the id).  Terms
+are the 5-character pieces of words (with word ends), so inflected and
+compound forms share terms; those that speak most for toxicity (chi-square)
+form the vocabulary.  Part of the sample becomes a block-max inverted index:
+postings by term, cut into blocks of examples, with the largest weight of each
+term per block.  A text visits blocks by falling upper bound and stops once no
+block can beat its k-th best example, so the neighbours are exact.  Their
+votes, weighted by distance, are calibrated on the rest of the sample.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, saved
 
 BLOCK = 64
 CACHE_WORDS = 300_000
@@ -31,15 +31,15 @@ CACHE_WORDS = 300_000
 
 @dataclass(frozen=True)
 class ToxicParams:
-    """``examples`` per label and ``calibration`` texts bound the samples, ``terms`` the vocabulary."""
+    """``fit_rows`` labelled texts, ``examples`` per label and ``terms`` bound the model at any number of rows."""
 
+    fit_rows: int = 25_000
     gram: int = 5
     terms: int = 2000
     min_docs: int = 3
     min_chi2: float = 30.0
     min_share: float = 0.5  # of the texts with the term, at least this many are toxic
     examples: int = 2000
-    calibration: int = 6000
     neighbours: int = 15
     threshold: float = 0.3
 
@@ -266,21 +266,23 @@ def fit(
 ) -> ToxicModel | None:
     """Learn from the rows of ``docs`` that ``labels`` marks; null labels and ids are left out.
 
-    A id with labels of both kinds counts as toxic.  None if there are no
+    An id with labels of both kinds counts as toxic.  None if there are no
     labelled texts.
     """
+    pick = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30))
     marks = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
+        .withColumn("pick", pick)
+        .orderBy("pick", "id")
+        .limit(p.fit_rows)
     )
-    pick = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30))
-    rows = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        .join(marks, "id")
-        .select("id", "text", "toxic", pick.alias("pick"))
-    )
-    sizes = {r.toxic: r.n for r in marks.join(docs.select(F.col(id_col).alias("id")), "id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # at most fit_rows narrow rows: broadcast, so that no text is shuffled for the join
+    marked = texts.join(F.broadcast(saved(marks, "marks")), "id")
+    rows = saved(marked.groupBy("id", "toxic", "pick").agg(F.max("text").alias("text")), "labelled")
+    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n, n_toxic = sum(sizes.values()), sizes.get(1, 0)
     if not n:
         return None
@@ -302,7 +304,11 @@ def fit(
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    vec = materialize(rows.mapInArrow(run, f"id {kind}, toxic int, pick long, terms array<int>, weights array<double>"))
+    vec = materialize(
+        rows.select("id", "text", "toxic", "pick").mapInArrow(
+            run, f"id {kind}, toxic int, pick long, terms array<int>, weights array<double>"
+        )
+    )
     # every fourth row by hash calibrates, the others are examples; texts without terms have no neighbours
     calibrates = F.pmod("pick", F.lit(4)) == 0
     useful = vec.filter(~calibrates & (F.size("terms") > 0))
@@ -315,7 +321,7 @@ def fit(
     model = ToxicModel(terms, examples, (weight[0], weight[1]), ([], []), p)
     scorer = Scorer(model)
     votes, marks_ = [], []
-    for r in vec.filter(calibrates).orderBy("pick", "id").limit(p.calibration).collect():
+    for r in vec.filter(calibrates).orderBy("pick", "id").collect():
         votes.append(scorer.vote_of(np.array(r.terms, np.int32), np.array(r.weights))[0])
         marks_.append(r.toxic)
     model.steps = _isotonic(np.array(votes), np.array(marks_, float))
