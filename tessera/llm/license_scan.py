@@ -9,25 +9,25 @@ mostly stand on a line between others.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_or_empty
-
-#: Spellings that count as equal, (variant, canonical), whole words, applied in this order.
-SPELLINGS = [
-    ("licence", "license"),
-    ("licences", "licenses"),
-    ("licenced", "licensed"),
-    ("licencing", "licensing"),
-    ("sublicence", "sublicense"),
-    ("acknowledgement", "acknowledgment"),
-    ("organisation", "organization"),
-    ("recognise", "recognize"),
-    ("authorised", "authorized"),
+from tessera.llm.common import saved, text_or_empty
+
+#: Spellings that count as equal, (variant, canonical). Stems hold inside words ...
+STEMS = [
+    ("licenc", "licens"),
+    ("organis", "organiz"),
+    ("recognis", "recogniz"),
+    ("authoris", "authoriz"),
     ("favour", "favor"),
-    ("judgement", "judgment"),
-    ("merchantibility", "merchantability"),
+    ("dgement", "dgment"),
+    ("merchantib", "merchantab"),
+]
+#: ... and these are whole words, which may stand on two lines.
+PHRASES = [
     ("non commercial", "noncommercial"),
     ("per cent", "percent"),
     ("copyright holder", "copyright owner"),
@@ -101,31 +101,39 @@ COPYRIGHT_LINE = (
 )
 
 
+EMPTY = hashlib.sha256(b"").hexdigest()
+
+
 def _words(phrase: str) -> str:
     return " " + "  ".join(phrase.split()) + " "
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form; a text of nothing but punctuation and copyright lines becomes empty."""
-    t = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
-    # every word gets a blank of its own on both sides, so a plain replacement hits whole words only
-    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
-    for variant, one in SPELLINGS:
-        t = F.replace(t, F.lit(_words(variant)), F.lit(_words(one)))
-    return F.btrim(t)
+def canonical_lines(text: Column) -> Column:
+    """Canonical text with its line feeds: case, copyright lines, punctuation, stems.
+
+    Every word gets a blank of its own on both sides, so that a plain
+    replacement hits whole words only.
+    """
+    t = F.replace(F.replace(F.lower(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    t = F.regexp_replace(F.regexp_replace(t, COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}\n]+", "  ")
+    for variant, one in STEMS:
+        t = F.replace(t, F.lit(variant), F.lit(one))
+    return F.concat(F.lit(" "), F.replace(t, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form (hex); null if nothing is left of the text."""
-    c = canonical(text)
-    return F.when(c != "", F.sha2(c.cast("binary"), 256))
+def digest(lines: Column) -> Column:
+    """SHA-256 of canonical lines taken as one text; null if nothing but punctuation is left."""
+    t = F.regexp_replace(lines, r"\s+", "  ")
+    for variant, one in PHRASES:
+        t = F.replace(t, F.lit(_words(variant)), F.lit(_words(one)))
+    return F.nullif(F.sha2(F.btrim(t).cast("binary"), 256), F.lit(EMPTY))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """``(digest, license_id)`` of the known texts; the list is a parameter and never grows with the data."""
     rows = spark.createDataFrame(KNOWN if known is None else known, "license_id string, known string")
     return (
-        rows.select("license_id", digest(F.col("known")).alias("digest"))
+        rows.select("license_id", digest(canonical_lines(F.col("known"))).alias("digest"))
         .filter("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.min("license_id").alias("license_id"))
@@ -145,15 +153,25 @@ def scan(
     """
     # the known list does not grow with the data (one short row per licence), so it may be broadcast
     texts = F.broadcast(known_digests(docs.sparkSession, known))
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).withColumn(
-        "h", F.xxhash64("text")
+    text = text_or_empty(text_col)
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), canonical_lines(text).alias("lines")
     )
-    whole = rows.select("id", "h", digest(F.col("text")).alias("text_digest")).join(
-        texts.withColumnRenamed("digest", "text_digest"), "text_digest", "left"
+    # the texts are read and made canonical once; what follows works on digests
+    digests = saved(
+        rows.select(
+            "id",
+            "h",
+            digest(F.col("lines")).alias("text_digest"),
+            F.array_compact(
+                F.transform(F.filter(F.split("lines", "\n"), lambda x: F.btrim(x) != ""), digest)
+            ).alias("line_digests"),
+        ),
+        "license-digests",
     )
-    lines = rows.select("id", "h", F.explode(F.split("text", r"\r\n|\r|\n")).alias("line"))
+    whole = digests.drop("line_digests").join(texts.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
     notices = (
-        lines.select(F.col("id").alias("n_id"), F.col("h").alias("n_h"), digest(F.col("line")).alias("digest"))
+        digests.select(F.col("id").alias("n_id"), F.col("h").alias("n_h"), F.explode("line_digests").alias("digest"))
         .join(texts, "digest")
         .groupBy("n_id", "n_h")
         .agg(F.sort_array(F.collect_set("license_id")).alias("notice_ids"))

@@ -131,23 +131,29 @@ QUERIES = {
 def _license_sql() -> str:
     """The same canonical form in DuckDB: replacements nested in their order."""
 
-    def canonical(text: str) -> str:
-        line = license_scan.COPYRIGHT_LINE.replace("(?md)", "(?m)")
-        t = f"regexp_replace(lower({text}), '{line}', ' ', 'g')"
-        t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
-        for variant, one in license_scan.SPELLINGS:
+    def lines(text: str) -> str:
+        copyright_line = license_scan.COPYRIGHT_LINE.replace("(?md)", "(?m)")
+        t = f"replace(replace(lower({text}), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+        t = f"regexp_replace(regexp_replace({t}, '{copyright_line}', ' ', 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g')"
+        for variant, one in license_scan.STEMS:
+            t = f"replace({t}, '{variant}', '{one}')"
+        return f"(' ' || replace({t}, chr(10), ' ' || chr(10) || ' ') || ' ')"
+
+    def digest(canonical: str) -> str:
+        t = f"regexp_replace({canonical}, '\\s+', '  ', 'g')"
+        for variant, one in license_scan.PHRASES:
             t = f"replace({t}, '{license_scan._words(variant)}', '{license_scan._words(one)}')"
-        return f"nullif(trim({t}, ' '), '')"
+        return f"sha256(nullif(trim({t}, ' '), ''))"
 
     known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in license_scan.KNOWN)
     return f"""
-        WITH K AS (
-          SELECT sha256({canonical("t")}) AS digest, min(i) AS license_id FROM (VALUES {known}) v(i, t) GROUP BY 1),
-        D AS (SELECT doc_id, coalesce(text, '') AS text, sha256({canonical("coalesce(text, '')")}) AS text_digest FROM documents),
-        L AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM D),
+        WITH K AS (SELECT {digest(lines("t"))} AS digest, min(i) AS license_id FROM (VALUES {known}) v(i, t) GROUP BY 1),
+        C AS (SELECT doc_id, {lines("coalesce(text, '')")} AS c FROM documents),
+        D AS (SELECT doc_id, {digest("c")} AS text_digest FROM C),
+        L AS (SELECT doc_id, unnest(string_split(c, chr(10))) AS line FROM C),
         N AS (
           SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS notice_ids
-          FROM (SELECT DISTINCT doc_id, license_id FROM L JOIN K ON sha256({canonical("line")}) = K.digest) GROUP BY 1)
+          FROM (SELECT DISTINCT doc_id, license_id FROM L JOIN K ON {digest("line")} = K.digest) GROUP BY 1)
         SELECT D.doc_id, text_digest, license_id, notice_ids
         FROM D LEFT JOIN K ON text_digest = digest LEFT JOIN N ON D.doc_id = N.doc_id"""
 

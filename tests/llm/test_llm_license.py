@@ -12,6 +12,7 @@ def test_whole_texts_in_any_dress(docs):
     rows = [
         (1, MIT),
         (2, "Copyright (c) 2020 Some One\n(c) 2021 Others\n© 2022 More\n\n" + MIT.upper()),
+        (8, MIT.replace("copyright\nholders", "copyright holders").replace("COPYRIGHT HOLDERS", "COPYRIGHT\r\nHOLDERS")),
         (3, MIT.replace("\n", " ").replace('"', "'").replace("sublicense", "sublicence")),
         (4, MIT + " And more."),
         (5, MIT[:-40]),
@@ -20,6 +21,7 @@ def test_whole_texts_in_any_dress(docs):
     ]
     out = got(docs(rows, extra=True))
     assert [out[i][0] for i in range(1, 8)] == ["MIT", "MIT", "MIT", None, None, "Apache-2.0", None]
+    assert out[8][0] == "MIT"
 
 
 def test_lines_nulls_and_repeats(docs):
