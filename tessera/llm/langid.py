@@ -41,20 +41,22 @@ def letters_only(text: str) -> str:
 
 
 def sample(train: DataFrame, p: LangParams, id_col: str, text_col: str, lang_col: str) -> dict[str, list[str]]:
-    """Bounded sample per language: at most ``sample_docs`` snippets, picked by a hash of the text."""
-    rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).withColumn("lang", F.col(lang_col))
-    # one count per language, as the model has one dictionary per language
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Bounded sample per language: ``sample_docs`` distinct snippets (all, if there are fewer), picked by their hash."""
+    length, span = F.char_length(text_col), F.lit(p.snippet_chars)
+    begin = F.pmod(F.xxhash64(F.col(text_col), F.lit(8)), F.greatest(length - span, F.lit(0)) + 1) + 1
+    rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.substring(text_col, begin.cast("int"), span).alias("snippet")
+    )
+    rows = rows.withColumn("pick", F.pmod(F.xxhash64("snippet", F.lit(7)), F.lit(1 << 30)))
+    # distinct snippets are counted, not rows: copies share one hash and pass or fail together.
+    # Only (language, hash) is shuffled, and one count per language comes back
+    distinct = rows.select("lang", "pick").distinct()
+    sizes = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return {}
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 4.0 * p.sample_docs / n))])
-    pick = F.pmod(F.xxhash64(F.col(text_col), F.lit(7)), F.lit(1 << 30))
-    length, span = F.char_length(text_col), F.lit(p.snippet_chars)
-    begin = F.pmod(F.xxhash64(F.col(text_col), F.lit(8)), F.greatest(length - span, F.lit(0)) + 1) + 1
     # thinned where it is read: only a few times the sample is shuffled by language
-    thinned = rows.filter(pick < share[F.col("lang")] * (1 << 30)).select(
-        "lang", pick.alias("pick"), F.substring(text_col, begin.cast("int"), span).alias("snippet")
-    )
+    thinned = rows.filter(F.col("pick") < share[F.col("lang")] * (1 << 30))
     ranked = thinned.dropDuplicates(["lang", "snippet"]).withColumn(
         "r", F.row_number().over(Window.partitionBy("lang").orderBy("pick", "snippet"))
     )

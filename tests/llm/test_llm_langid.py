@@ -58,6 +58,16 @@ def test_sample_is_bounded_and_of_the_language(docs):
     assert all(0 < len(s) <= 10 and all(len(x) <= 20 for x in s) for s in found.values())
 
 
+def test_copies_do_not_thin_the_sample(docs):
+    rng = random.Random(6)
+    texts = [text("aa", rng, 12) + f" {i}" for i in range(30)]
+    rows = [(i, texts[0] if i >= 30 else texts[i], "aa") for i in range(3000)] + [(9000 + i, "schl burg", "bb") for i in range(1500)]
+    p = langid.LangParams(sample_docs=20)
+    found = langid.sample(docs(rows), p, "doc_id", "text", "lang")
+    assert {lang: len(s) for lang, s in found.items()} == {"aa": 20, "bb": 1}
+    assert len(set(found["aa"])) == 20
+
+
 def test_nothing_to_learn_from(docs):
     df = docs([(1, "abc"), (2, None)])
     assert {r.lang_pred for r in langid.identify(df, docs([])).collect()} == {"und"}
