@@ -67,10 +67,17 @@ def sample(train: DataFrame, p: LangParams, id_col: str, text_col: str, lang_col
 
 
 def dictionaries(samples: dict[str, list[str]]) -> dict[str, bytes]:
+    """One dictionary per language, cut to one size so that the language with more sample text has no advantage.
+
+    The size is that of the shortest among the dictionaries that have at least half the bytes of the
+    longest, so the cut never takes more than half of any.  Shorter ones stay whole beside the others:
+    a rare language costs the large ones nothing, and wins the texts that its own sample still fits best.
+    """
     texts = {lang: " ".join(filter(None, map(letters_only, s))) for lang, s in sorted(samples.items())}
-    size = min((len(t.encode()) for t in texts.values() if t), default=0)
-    # equal sizes: otherwise the language with more sample text would win
-    return {lang: t.encode("utf-8", "replace")[:size] for lang, t in texts.items() if t}
+    whole = {lang: t.encode("utf-8", "replace") for lang, t in texts.items() if t}
+    longest = max(map(len, whole.values()), default=0)
+    size = min((len(d) for d in whole.values() if 2 * len(d) >= longest), default=0)
+    return {lang: d[:size] for lang, d in whole.items()}
 
 
 class Classifier:

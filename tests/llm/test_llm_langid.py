@@ -68,6 +68,19 @@ def test_copies_do_not_thin_the_sample(docs):
     assert len(set(found["aa"])) == 20
 
 
+def test_a_rare_language_does_not_cut_the_others():
+    rng = random.Random(12)
+    samples = {x: [text(x, rng, 40) for _ in range(240)] for x in ("aa", "bb")} | {"cc": [text("cc", rng, 25)]}
+    samples["dd"] = ["zyx wvu"]
+    dicts = langid.dictionaries(samples)
+    assert len(dicts["aa"]) == len(dicts["bb"]) > 20_000 and len(dicts["cc"]) < 400 and dicts["dd"] == b"zyx wvu"
+    assert langid.dictionaries({"aa": samples["aa"], "dd": samples["dd"]})["aa"].startswith(dicts["aa"])
+    c = langid.Classifier(dicts, langid.LangParams())
+    got = {x: [c(text(x, rng, 8)) for _ in range(300)] for x in SYLLABLES}
+    for x, least in (("aa", 0.97), ("bb", 0.97), ("cc", 0.9)):
+        assert sum(lang == x and margin >= 0.005 for lang, margin in got[x]) / 300 > least
+
+
 def test_nothing_to_learn_from(docs):
     df = docs([(1, "abc"), (2, None)])
     assert {r.lang_pred for r in langid.identify(df, docs([])).collect()} == {"und"}
