@@ -22,12 +22,14 @@ from tessera.llm.common import count_rows, lower_ascii, materialize, text_or_emp
 BLOCK_CELLS = 32_768  # cells of one bitmap_construct_agg bitmap
 
 
+def text_digest(text_col: str = "text") -> Column:
+    """SHA-256 of the text with A-Z lower-cased; null text is empty."""
+    return F.unhex(F.sha2(lower_ascii(text_or_empty(text_col)).cast("binary"), 256))
+
+
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, digest)`` per row: SHA-256 of the text with A-Z lower-cased; null text is empty."""
-    return docs.select(
-        F.col(id_col).alias("id"),
-        F.unhex(F.sha2(lower_ascii(text_or_empty(text_col)).cast("binary"), 256)).alias("digest"),
-    )
+    """``(id, digest)`` per row (:func:`text_digest`)."""
+    return docs.select(F.col(id_col).alias("id"), text_digest(text_col).alias("digest"))
 
 
 def _with_cells(hashed: DataFrame, rows: int, bits_per_row: int, k: int) -> DataFrame:
@@ -102,6 +104,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``docs`` without the rows whose text repeats; all columns stay as they are.
 
     Rows that repeat id and text stay as often as they occur (ids count as unique).
+    Rows go by id and digest: another text under the same id, or under a null id, stays.
     """
-    dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("__id"))
-    return docs.join(dropped, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept"))
+    dropped = dropped.select(F.col("id").alias("__id"), F.col("digest").alias("__dropped"))
+    marked = docs.withColumn("__digest", text_digest(text_col))
+    same = marked[id_col].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__dropped"))
+    return marked.join(dropped, same, "left_anti").drop("__digest")

@@ -307,10 +307,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     """``docs`` with one document of each group: that with the smallest id.
 
     Rows with a null id stay (nothing names them); rows that repeat an id stay with it.
+    Rows go by id and text: another text under the same id stays.
     """
+    text = F.xxhash64(F.col(text_col).cast("string"))
+    # the text's hash travels inside the id; nulls last, as a null id is never a component's id
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("text"))
+    keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     dropped = (
-        near_groups(docs, id_col, text_col, k=k, d=d)
-        .filter(F.col("id") != F.col("component_id"))
-        .select(F.col("id").alias("__id"))
+        near_groups(keyed, "key", "text", k=k, d=d)
+        .filter(F.col("id.id") != F.col("component_id.id"))
+        .select(F.col("id.id").alias("__id"), F.col("id.text").alias("__dropped"))
     )
-    return docs.join(dropped, docs[id_col] == F.col("__id"), "left_anti")
+    marked = docs.withColumn("__text", text)
+    same = (marked[id_col] == F.col("__id")) & (F.col("__text") == F.col("__dropped"))
+    return marked.join(dropped, same, "left_anti").drop("__text")

@@ -62,6 +62,15 @@ def test_dedup_keeps_columns_and_one_of_each_text(docs):
     assert sorted(r.doc_id for r in out.collect()) == [2, 3, 5]
 
 
+def test_dedup_removes_rows_not_ids(docs):
+    rows = [(None, "Copied"), (9, "copied"), (None, "only here"), (None, None), (None, "twice"), (None, "twice")]
+    rows += [(5, "copied"), (5, "a text of its own"), (4, "again"), (4, "again")]
+    out = exact_dedup.dedup(docs(rows, extra=True)).collect()
+    expected = [(9, "copied"), (None, "only here"), (None, None), (None, "twice"), (None, "twice")]
+    expected += [(5, "a text of its own"), (4, "again"), (4, "again")]
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(expected, key=str)
+
+
 def test_query_on_the_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     src = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

@@ -117,6 +117,14 @@ def test_empty_table_and_dedup(docs):
     assert out.columns == df.columns and sorted(str(r.doc_id) for r in out.collect()) == ["2", "9", "None"]
 
 
+def test_dedup_removes_rows_not_ids(docs):
+    same = "one text that stands in this table more than once under several ids"
+    rows = [(1, same), (5, same), (5, "quite another story with words of its own about rivers and boats"), (None, same)]
+    out = simhash.dedup(docs(rows, extra=True)).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+
 def test_query_on_the_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     src = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
