@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import file_basename
-from tessera.sources.files import LANDING_BATCH_SCHEMA, LANDING_SCHEMA, read_manifest
+from tessera.plans.layers import landing_batch
+from tessera.sources.files import LANDING_BATCH_SCHEMA, LANDING_SCHEMA, read_landing_batches, read_manifest
 from tessera.sources.ingest import HashLedger, current_entries, ingest_files, with_lineage
 
 
@@ -23,6 +24,16 @@ def quarantine_path(target: str) -> str:
     return f"{target.rstrip('/')}_quarantine"
 
 
+def whole_runs(spark: SparkSession, landing_root: str, entries: DataFrame) -> DataFrame:
+    """All rows of the landing runs that ``entries`` name.
+
+    A file's rows may lie in several part files, of which a micro-batch sees
+    some.  The entry was written after them all, so they are complete here.
+    """
+    batches = [r[0] for r in entries.select(landing_batch("converted_at_utc")).distinct().collect()]
+    return read_landing_batches(spark, landing_root, sorted(batches))
+
+
 def stream_landing(
     spark: SparkSession,
     landing_dir: str,
@@ -41,8 +52,9 @@ def stream_landing(
     ``hash_ledger`` (default ``<target>_ingested_hashes``) holds one row per
     ingested file hash.  ``layout``: "files" (flat CSVs, the file name is the
     ledger key) or "partitioned" (the ``lote=`` root written by
-    ``run_landing``; lineage joins on name and hash).  The stream passes each
-    file once, so rows of a file that the ledger does not name are kept under
+    ``run_landing``; lineage joins on name and hash, and a new entry's landing
+    run is read whole, however its part files fall into micro-batches).  The
+    stream passes each file once, so rows of a file that the ledger does not name are kept under
     ``<target>_quarantine`` (a retried batch may repeat them there).
     """
     partitioned = layout == "partitioned"
@@ -70,7 +82,8 @@ def stream_landing(
             here = entries.join(df.select(*on).distinct(), on, "left_semi")
             fresh = ledger.new(here)
             if not fresh.isEmpty():
-                enriched = with_lineage(df, fresh, run_id, run_ts, on=on, how="inner")
+                taken = whole_runs(spark, landing_dir, fresh) if partitioned else df
+                enriched = with_lineage(taken, fresh, run_id, run_ts, on=on, how="inner")
                 appended["n"] += ingest_files(enriched, fresh, ledger)
             unknown = df.join(entries.select(*on).distinct(), on, "left_anti")
             if not unknown.isEmpty():

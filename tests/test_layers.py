@@ -179,3 +179,26 @@ def test_landing_then_stream_bronze(spark, tmp_dir):
     assert sorted((r["mes_ano"], r["csv_file"]) for r in rows) == [
         ("01/2025", "a.csv"), ("02/2025", "a.csv"), ("03/2025", "b.csv")]
     assert all(r["file_hash"] and r["source_file"] for r in rows)
+
+
+def test_stream_takes_a_file_whose_rows_lie_in_several_parts(spark, tmp_dir):
+    from tessera.streaming.landing import stream_landing
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    months = [f"{m:02d}/{y}" for y in range(1990, 2020) for m in range(1, 13)]
+    with open(os.path.join(raw, "a.csv"), "w") as f:
+        f.write("Data,Valor\n" + "".join(f'{m},"1,5"\n' for m in months))
+    landing, ledger = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ledger")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert layers.run_landing(spark, raw, landing, ledger, run_ts=RUN_TS) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(n.endswith(".csv") for _, _, names in os.walk(landing) for n in names) > 1
+    args = dict(landing_dir=landing, manifest_path=ledger, target=os.path.join(tmp_dir, "bronze"), checkpoint=os.path.join(tmp_dir, "chk"),
+                run_id="s1", run_ts=RUN_TS, layout="partitioned", max_files_per_trigger=1)
+    assert stream_landing(spark, **args) == len(months)
+    assert sorted(r["mes_ano"] for r in spark.read.parquet(args["target"]).collect()) == sorted(months)
+    assert not os.path.exists(args["target"] + "_quarantine")
