@@ -4,7 +4,10 @@ A text is made canonical (case, punctuation and white space, copyright lines,
 equivalent spellings) and its SHA-256 is looked up among the digests of known
 licence texts, made canonical in the same way.  Entire texts are compared: the
 whole document, and each of its lines as a text of its own, since notices
-mostly stand on a line between others.
+mostly stand on a line between others.  The full texts known by default are
+MIT, ISC, Zlib, BSD-2-Clause, BSD-3-Clause, Apache-2.0, MPL-2.0, CC0-1.0,
+GPL-2.0, GPL-3.0, LGPL-2.1 and LGPL-3.0, with and without their titles; others
+are found by their notices only, or by a list that the caller gives.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import saved, text_or_empty
+from tessera.llm.license_texts import with_dress
 
 #: Spellings that count as equal, (variant, canonical). Stems hold inside words ...
 STEMS = [
@@ -130,8 +134,12 @@ def digest(lines: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``(digest, license_id)`` of the known texts; the list is a parameter and never grows with the data."""
-    rows = spark.createDataFrame(KNOWN if known is None else known, "license_id string, known string")
+    """``(digest, license_id)`` of the known texts; the list is a parameter and never grows with the data.
+
+    Default: the notices of ``KNOWN`` and the full texts of :mod:`tessera.llm.license_texts`.
+    """
+    known = KNOWN + with_dress(KNOWN) if known is None else known
+    rows = spark.createDataFrame(known, "license_id string, known string")
     return (
         rows.select("license_id", digest(canonical_lines(F.col("known"))).alias("digest"))
         .filter("digest IS NOT NULL")

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from tessera.llm import license_scan as L
 from tessera.llm.queries import QUERIES
 
@@ -39,6 +41,60 @@ def test_lines_nulls_and_repeats(docs):
     assert got(docs([])) == {}
 
 
+BSD_3 = """BSD 3-Clause License
+
+Copyright (c) 2021, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+* Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+
+* Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation
+  and/or other materials provided with the distribution.
+
+* Neither the name of the copyright holder nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def test_standard_files_as_published(docs):
+    published = {f.stem: f.read_text() for f in (Path(L.__file__).parent / "licenses").glob("*.txt")}
+    apache = published["Apache-2.0"]
+    terms = apache[: apache.index("APPENDIX")]
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Some One\n\n" + MIT),
+        (2, "The MIT License (MIT)\n\nCopyright (c) 2020 Some One\n\n" + MIT),
+        (3, BSD_3),
+        (4, BSD_3.replace("All rights reserved.\n", "").partition("\n")[2]),
+        (5, apache),
+        (6, apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Some One")),
+        (7, terms),
+        (8, apache[apache.index("TERMS AND CONDITIONS FOR USE") :]),
+        (9, BSD_3.replace("DISCLAIMED", "WELCOME")),
+    ]
+    out = got(docs(rows))
+    assert [out[i][0] for i in range(1, 9)] == ["MIT"] * 2 + ["BSD-3-Clause"] * 2 + ["Apache-2.0"] * 4
+    assert out[9][0] is None
+    out = got(docs([(i, t) for i, t in enumerate(published.values())]))
+    assert [out[i][0] for i in range(len(published))] == list(published) and len(published) == 7
+
+
 def test_known_list_is_a_parameter(docs):
     assert got(docs([(1, "My  own\nterms")]), known=[("own", "my own terms.")]) == {1: ("own", None)}
 
