@@ -1,10 +1,11 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
+"""Toxicity from the nearest labelled examples, by TF-IDF cosine over toxic terms.
 
 The classifier is fitted on a bounded sample of the labelled texts that may be
 learned from (``ToxicParams.fit_rows``, picked by a hash of the id).  Terms
 are the 5-character pieces of words (with word ends), so inflected and
 compound forms share terms; those that speak most for toxicity (chi-square)
-form the vocabulary.  Part of the sample becomes a block-max inverted index:
+form the vocabulary, and no others count: the cosine is over a toxic lexicon,
+not over whole texts.  Part of the sample becomes a block-max inverted index:
 postings by term, cut into blocks of examples, with the largest weight of each
 term per block.  A text visits blocks by falling upper bound and stops once no
 block can beat its k-th best example, so the neighbours are exact.  Their
