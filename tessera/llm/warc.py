@@ -31,6 +31,7 @@ DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20
 BLOCK_LINES = 300
 READ_BYTES = 4 << 20
+BATCH_ROWS = 4096
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -291,19 +292,24 @@ class _Index:
             self.block = ((name, offset), [x.split(" ", 1)[0] for x in lines], lines)
         return self.block[1], self.block[2]
 
-    def find(self, key: str):
-        """Lines of ``key``: they may start in the block before the first that begins with it, and go on."""
+    def holders(self, key: str):
+        """Numbers of the index files that may hold ``key``: it may begin at a file's end and go on."""
         f = max(0, bisect_left(self.firsts, key) - 1)
         while f < len(self.files) and self.firsts[f] <= key:
-            name = self.files[f][2]
-            firsts, places = self._directory(name)
-            b = max(0, bisect_left(firsts, key) - 1)
-            while b < len(firsts) and firsts[b] <= key:
-                keys, lines = self._block(name, *places[b])
-                yield from lines[bisect_left(keys, key) : bisect_right(keys, key)]
-                b += 1
+            if key <= self.files[f][1]:
+                yield f
             f += 1
 
+    def find(self, key: str, f: int):
+        """Lines of ``key`` in file ``f``: they may start in the block before the first that begins with it, and go on."""
+        name = self.files[f][2]
+        firsts, places = self._directory(name)
+        b = max(0, bisect_left(firsts, key) - 1)
+        while b < len(firsts) and firsts[b] <= key:
+            keys, lines = self._block(name, *places[b])
+            yield from lines[bisect_left(keys, key) : bisect_right(keys, key)]
+            b += 1
+
 
 def lookup(urls: DataFrame, root: str, files: list[tuple[str, str, str]], url_col: str = "url") -> DataFrame:
     """``(key, file, start, length)`` of all captures of the distinct ``urls``."""
@@ -315,20 +321,35 @@ def lookup(urls: DataFrame, root: str, files: list[tuple[str, str, str]], url_co
 
     wanted = urls.select(F.col(url_col).cast("string").alias("url")).mapInArrow(keys, "key string").distinct()
 
-    def run(batches):
+    def holders(batches):
         index = _Index(root, files)
         for b in batches:
-            found = []
-            for key in b.column(0).to_pylist():
-                for line in index.find(key):
-                    body = json.loads(line.split(" ", 2)[2])
-                    found.append((key, body["filename"], body["offset"], body["length"]))
+            found = [(key, f) for key in b.column(0).to_pylist() for f in index.holders(key)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in found], pa.string() if i < 2 else pa.int64()) for i in range(4)],
-                ["key", "file", "start", "length"],
+                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int32())], ["key", "n"]
             )
 
-    near = wanted.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    def rows(found: list[tuple[str, str, int, int]]):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in found], pa.string() if i < 2 else pa.int64()) for i in range(4)],
+            ["key", "file", "start", "length"],
+        )
+
+    def run(batches):
+        index, found = _Index(root, files), []
+        for b in batches:
+            for key, n in zip(*(c.to_pylist() for c in b.columns)):
+                for line in index.find(key, n):
+                    body = json.loads(line.split(" ", 2)[2])
+                    found.append((key, body["filename"], body["offset"], body["length"]))
+                    if len(found) == BATCH_ROWS:
+                        yield rows(found)
+                        found = []
+        yield rows(found)
+
+    # a key of many captures fills several index files; each task reads files of its own
+    near = wanted.mapInArrow(holders, "key string, n int").repartitionById(parts, F.pmod("n", F.lit(parts)).cast("int"))
+    near = near.sortWithinPartitions("n", "key")
     return near.mapInArrow(run, "key string, file string, start long, length long")
 
 

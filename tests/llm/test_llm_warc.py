@@ -78,6 +78,14 @@ def test_a_key_spread_over_index_files_hides_nothing(spark):
     assert sorted(r.page_id for r in out.collect()) == list(range(400))
 
 
+def test_a_hot_keys_captures_are_found_by_several_tasks(spark):
+    root = shared_path(spark, "warc-test")
+    rows = [(i, "http://h.example/hot", f"t{i}") for i in range(400)]
+    files = warc.write_index(warc.write(warc.with_revisits(pages(spark, rows)), root), root, block_lines=5)
+    out = warc.lookup(pages(spark, rows), root, files).withColumn("p", F.spark_partition_id()).collect()
+    assert len(out) == 400 and len(files) > 1 and len({r.p for r in out}) == len(files)
+
+
 def test_damage_is_noticed():
     record = warc.make_record(1, "http://a/", b"payload", base64.b32encode(hashlib.sha1(b"payload").digest()).decode(), None, False)
     assert warc.parse_record(record)["payload"] == b"payload"
