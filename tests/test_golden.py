@@ -9,7 +9,7 @@ from tessera.operators import gold
 from tessera.operators.joins import temporal_join
 from tessera.plans.series import index_series, price_series
 
-from conftest import SF01
+from table_dirs import SF01
 
 # Index levels Jan-Aug and the published % changes Feb-Aug.
 LEVELS = [0.16, 1.31, 0.56, 0.43, 0.26, 0.24, 0.26, -0.11]

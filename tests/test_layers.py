@@ -8,7 +8,7 @@ from tessera.plans import layers
 from tessera.plans.registry import QUERIES
 from tessera.plans.series import index_series, price_series
 
-from conftest import SF01
+from table_dirs import SF01
 
 RUN_TS = "2025-03-01 00:00:00"
 

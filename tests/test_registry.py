@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from table_dirs import SF001
 from tessera.plans.registry import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
