@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     bpe,
+    divergence,
     exact_dedup,
+    fim,
     fingerprint,
     langid,
     license_scan,
     packing,
+    secrets,
     sharding,
     simhash,
     toxicity,
@@ -111,6 +114,29 @@ def op10_langid(spark, sf_dir):
     )
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark, sf_dir):
+    return secrets.scan(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"
+    )
+
+
+def op13_fim(spark, sf_dir):
+    rows = fim.fill_in_middle(read_table(spark, sf_dir, "documents"), digests=True)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.col("output").alias("output_sha256"),
+        F.col("restored").alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,6 +150,9 @@ QUERIES = {
         op8_toxicity,
         op9_fingerprint,
         op10_langid,
+        op11_divergence,
+        op12_secrets,
+        op13_fim,
     )
 }
 
@@ -158,6 +187,60 @@ def _license_sql() -> str:
         FROM D LEFT JOIN K ON text_digest = digest LEFT JOIN N ON D.doc_id = N.doc_id"""
 
 
+def _audit_sql() -> str:
+    """The whole audit with every kept term of every group, zero counts too."""
+    p = divergence.AuditParams()
+
+    def share(n: str, total: str, terms: str) -> str:
+        return f"1 + ({divergence.SCALE}::HUGEINT * ({n} + {p.smooth})) // ({total} + {p.smooth} * {terms})"
+
+    return f"""
+        WITH D AS (SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          row_number() OVER () AS r FROM documents),
+        T AS (SELECT lang, source, r, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM D),
+        K AS (SELECT lang, term, count(*) AS n FROM T GROUP BY ALL HAVING count(DISTINCT r) >= {p.min_docs}),
+        V AS (SELECT lang, count(*) AS terms, sum(n) AS total FROM K GROUP BY lang),
+        C AS (SELECT T.lang, source, term, count(*) AS n FROM T SEMI JOIN K USING (lang, term) GROUP BY ALL),
+        S AS (SELECT DISTINCT lang, source FROM D),
+        N AS (SELECT S.lang, S.source, coalesce(sum(n), 0) AS total FROM S LEFT JOIN C USING (lang, source) GROUP BY ALL),
+        P AS (SELECT N.lang, N.source, K.term, coalesce(C.n, 0) AS n, {share("coalesce(C.n, 0)", "N.total", "V.terms")} AS p,
+                     {share("K.n", "V.total", "V.terms")} AS q
+              FROM N JOIN K USING (lang) JOIN V USING (lang)
+              LEFT JOIN C ON C.lang = N.lang AND C.source = N.source AND C.term = K.term),
+        R AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+              FROM S a JOIN S b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN P x ON x.lang = a.lang AND x.source = a.source
+              LEFT JOIN P y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+        O AS (SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value FROM R
+              UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM P WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM O)
+        WHERE part = 'pair' OR rank <= {p.top}"""
+
+
+def _fim_sql() -> str:
+    p = fim.FimParams()
+    pre, suf, mid = p.marks
+    held = " OR ".join(f"contains(t, '{m}')" for m in p.marks)
+    number = [f"('0x' || substr(h, {i}, 8))::BIGINT" for i in (1, 9, 17, 25)]
+    return f"""
+        WITH D AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{p.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        L AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines FROM D),
+        N AS (SELECT *, len(lines) AS n, {number[0]} % (len(lines) + 1) AS c1, {number[1]} % (len(lines) + 1) AS c2 FROM L),
+        C AS (SELECT *, coalesce(array_to_string(lines[1:least(c1, c2)], ''), '') AS pre,
+                coalesce(array_to_string(lines[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS mid,
+                coalesce(array_to_string(lines[greatest(c1, c2) + 1:n], ''), '') AS suf,
+                CASE WHEN t = '' OR {held} OR {number[2]} % 100 >= {p.fim_percent} THEN '{fim.PLAIN}'
+                     WHEN {number[3]} % 100 < {p.spm_percent} THEN '{fim.SPM}' ELSE '{fim.PSM}' END AS form FROM N)
+        SELECT doc_id, n, form, CASE WHEN form <> '{fim.PLAIN}' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> '{fim.PLAIN}' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN '{fim.PLAIN}' THEN t WHEN '{fim.PSM}' THEN '{pre}' || pre || '{suf}' || suf || '{mid}' || mid
+                      ELSE '{suf}' || suf || '{pre}' || pre || '{mid}' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM C"""
+
+
 ALPHABET_32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 ORACLES = {
@@ -181,4 +264,6 @@ ORACLES = {
                CASE WHEN page_id IS NOT DISTINCT FROM keep THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id IS DISTINCT FROM keep THEN keep END AS refers_to
         FROM k""",
+    "op11_divergence": _audit_sql(),
+    "op13_fim": _fim_sql(),
 }
