@@ -81,7 +81,7 @@ def test_what_is_no_secret_is_left_alone():
     assert spans(f"bearer {'x' * P.context_chars} {KEY}") == []  # the word stands too far before
     assert spans("bearer password_token_session_client_42, bearer " + "xy12" * 10) == []
     whole = f"id part1_{KEY}_part2 "
-    assert spans(f"{whole * 2} bearer {KEY}_part2") == []  # a part of what stands around is no news
+    assert spans(f"{whole * 2} bearer part9_{KEY}") == []  # a part of what stands around is no news
     assert spans("token expires 2024-01-05T10000000 of internationalisation9") == []
 
 
