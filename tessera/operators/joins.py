@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def temporal_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,6 +55,23 @@ def new_only(df: DataFrame, existing: DataFrame, key: str, existing_key: str | N
     return df.join(known, df[key] == known["_known"], "left_anti")
 
 
+def first_of_new(df: DataFrame, key: str, known: str, order: Sequence[str]) -> DataFrame:
+    """Per ``key`` without a row marked ``known``: its smallest row by ``order``.
+
+    For arrivals and known rows that lie in one table: one scan and one
+    aggregate (combined map-side) instead of an anti-join.  Null keys go.
+    """
+    rest = [c for c in order if c != key]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.bool_or(known).alias("_known"), first)
+        .filter(~F.col("_known"))
+        .select(key, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    )
+
+
 def attach_globals(df: DataFrame, metrics: DataFrame) -> DataFrame:
     """Append every column of a one-row ``metrics`` frame to each row.
 

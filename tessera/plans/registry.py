@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import LIMBS, content_hash
-from tessera.session import materialize
+from tessera.session import materialize, shared_path
 from tessera.functions.parse import (
     file_basename,
     format_ptbr_number,
@@ -29,15 +29,15 @@ from tessera.functions.parse import (
 )
 from tessera.operators import gold, panel, quality
 from tessera.operators.basic import (
+    dedupe_earliest,
     dedupe_latest,
     distinct_values,
     drop_header_rows,
     duplicate_keys,
-    hash_exists,
     keep_series,
     union_ledger,
 )
-from tessera.operators.joins import temporal_join
+from tessera.operators.joins import first_of_new, temporal_join
 from tessera.operators.silver import conform, dominant_series, gold_prep
 from tessera.plans.series import (
     daily_events,
@@ -48,6 +48,7 @@ from tessera.plans.series import (
 )
 from tessera.functions.rules import DEFAULT_LABELS as LABELS
 from tessera.sources.files import hash_files, landing_line, payload_items
+from tessera.sources.hash_index import HashIndex
 from tessera.sources.ingest import HEADER_NAMES, bronze_from_payload, canonicalize, payload_hash, with_lineage
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -420,18 +421,6 @@ def _docs_hashed(spark, sf):
     )
 
 
-def _new_files(docs: DataFrame) -> DataFrame:
-    """One row per hash that only the arriving batch has: one scan, one aggregate."""
-    first = F.min_by(F.struct("doc_id", "source"), F.struct(F.col("doc_id"), F.col("source")))
-    return (
-        docs.filter(F.col("file_hash").isNotNull())
-        .groupBy("file_hash")
-        .agg(F.bool_or("old").alias("known"), first.alias("first"))
-        .filter(~F.col("known"))
-        .select("first.doc_id", "file_hash", "first.source")
-    )
-
-
 @register(
     "idempotent_ingest",
     f"""WITH {SQL_BATCHES},
@@ -441,7 +430,14 @@ SELECT doc_id, file_hash, source FROM (
   SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY doc_id, source) AS rn FROM F) WHERE rn = 1""",
 )
 def q_idempotent_ingest(spark, sf):
-    return _new_files(_docs_hashed(spark, sf))
+    """The ledgered batch becomes a hash index, and the arriving batch's hashes are anti-joined with it."""
+    d = _docs_hashed(spark, sf)
+    index = HashIndex(spark, shared_path(spark, "hash-index"))
+    index.add(d.filter("old"))
+    arriving = dedupe_earliest(
+        d.filter(~F.col("old") & F.col("file_hash").isNotNull()).drop("old"), ["file_hash"], ["doc_id", "source"]
+    )
+    return index.new_only(arriving).select("doc_id", "file_hash", "source")
 
 
 @register(
@@ -466,13 +462,12 @@ def q_hash_exists(spark, sf):
 SELECT doc_id, file_hash, EXISTS (SELECT 1 FROM D k WHERE k.old AND k.file_hash = L.file_hash) AS already_ingested FROM L""",
 )
 def q_hash_probe(spark, sf):
-    """Point probe (P9, O3) of the newest arrival's hash among the ledgered ones."""
+    """Point probe (P9, O3) of the newest arrival's hash among the ledgered ones, in one lazy plan."""
     d = _docs_hashed(spark, sf)
-    newest = d.filter(~F.col("old")).orderBy(F.desc("doc_id")).limit(1)
-    h = newest.first()
-    return newest.select("doc_id", "file_hash").withColumn(
-        "already_ingested", F.lit(h is not None and hash_exists(d.filter("old"), "file_hash", h["file_hash"]))
-    )
+    newest = d.filter(~F.col("old")).orderBy(F.desc("doc_id")).limit(1).select("doc_id", "file_hash")
+    known = d.filter("old").select(F.col("file_hash").alias("_h"))
+    found = newest.join(known, F.col("file_hash") == F.col("_h"), "left")
+    return found.groupBy("doc_id", "file_hash").agg(F.bool_or(F.col("_h").isNotNull()).alias("already_ingested"))
 
 
 def _ledger_rows(df: DataFrame) -> DataFrame:
@@ -495,7 +490,7 @@ SELECT file_hash, source AS source_file, 'doc_' || CAST(doc_id AS VARCHAR) || '.
 )
 def q_manifest_union(spark, sf):
     d = _docs_hashed(spark, sf)
-    return union_ledger(_ledger_rows(d.filter("old")), _ledger_rows(_new_files(d)))
+    return union_ledger(_ledger_rows(d.filter("old")), _ledger_rows(first_of_new(d, "file_hash", "old", ["doc_id", "source"])))
 
 
 PAYLOAD_COLS = ["event_id", "user_id", "event_type", "props"]

@@ -23,6 +23,7 @@ from tessera.operators.joins import new_only, with_ledger
 from tessera.operators.quality import MONTH_TEXT, DataQualityError
 from tessera.session import shared_copy
 from tessera.sources.files import MANIFEST_COLUMNS, load_if_exists
+from tessera.sources.hash_index import HashIndex
 from tessera.sources.sinks import append_partitioned
 
 # Header texts of a repeated header row in the raw sheets, and the bronze columns.
@@ -154,27 +155,33 @@ def new_rows(
 class HashLedger:
     """What a bronze table has taken in, by content hash: one narrow row per file or payload.
 
-    A batch's hashes are noted as *pending* before its rows are appended and
-    as *done* after.  Pending hashes that never got done are in doubt: a run
-    stopped in between, and the table itself is asked about those (only).
+    The hashes taken in are a :class:`HashIndex`: a run's new hashes are found
+    without a shuffle of the known ones.  A batch's hashes are noted as
+    *pending* before its rows are appended and as *done* after.  Pending
+    hashes that never got done are in doubt: a run stopped in between, and the
+    table itself is asked about those (only).
     """
 
     def __init__(self, spark: SparkSession, target: str, fmt: str = "parquet", hash_col: str = "file_hash", path: str | None = None):
         self.spark, self.target, self.fmt, self.hash_col = spark, target, fmt, hash_col
         self.done_path = path or f"{target.rstrip('/')}_ingested_hashes"
         self.pending_path = f"{self.done_path}_pending"
-
-    def known(self) -> DataFrame | None:
-        """Hashes taken in.  Without a ledger the table's own column says it; None on the first run."""
-        done = load_if_exists(self.spark, self.done_path)
-        if done is None and load_if_exists(self.spark, self.pending_path) is None:
-            done = load_if_exists(self.spark, self.target, self.fmt)
-        return None if done is None else done.select(self.hash_col)
+        self.done = HashIndex(spark, self.done_path, hash_col)
+
+    def _adopt(self) -> None:
+        """Index what there is to know already: a ledger of plain files, or (without any ledger) the table's own column."""
+        if self.done.known() is not None:
+            return
+        plain = load_if_exists(self.spark, self.done_path)
+        if plain is None and load_if_exists(self.spark, self.pending_path) is None:
+            plain = load_if_exists(self.spark, self.target, self.fmt)
+        if plain is not None:
+            self.done.add(shared_copy(plain.select(self.hash_col).distinct(), "known-hashes"))
 
     def new(self, hashes: DataFrame) -> DataFrame:
-        known = self.known()
-        fresh = hashes if known is None else new_only(hashes, known, self.hash_col)
-        return shared_copy(fresh, "new-hashes")
+        """Rows of ``hashes`` (few per hash) whose hash was not taken in."""
+        self._adopt()
+        return shared_copy(self.done.new_only(hashes), "new-hashes")
 
     def in_doubt(self, hashes: DataFrame) -> DataFrame | None:
         """Those of ``hashes`` that an earlier run noted as pending; None if there are none."""
@@ -188,7 +195,7 @@ class HashLedger:
         hashes.select(self.hash_col).distinct().write.mode("append").parquet(self.pending_path)
 
     def commit(self, hashes: DataFrame) -> None:
-        hashes.select(self.hash_col).distinct().write.mode("append").parquet(self.done_path)
+        self.done.add(hashes)
 
 
 def ingest_new(

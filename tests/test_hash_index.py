@@ -1,0 +1,109 @@
+"""The hash index: anti-join without an exchange of the known side, pruned probes, appends, compaction."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.sources.hash_index import MARKER, HashIndex
+from tessera.sources.ingest import HashLedger
+
+
+def hashes(spark, lo, hi, col="file_hash"):
+    return spark.range(lo, hi).select(F.sha2(F.col("id").cast("string"), 256).alias(col))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("shuffle_partitions", [3, 200])
+def test_anti_join_shuffles_only_the_arriving_side(spark, tmp_dir, shuffle_partitions):
+    index = HashIndex(spark, f"{tmp_dir}/h", buckets=8)
+    index.add(hashes(spark, 0, 1000))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    try:
+        found = index.new_only(hashes(spark, 900, 1100))
+        plan = plan_of(found)
+        assert found.count() == 100
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange") == 1, plan
+    # the one exchange stands on the first branch, that of the arriving hashes; the second reads the index
+    assert "Exchange" not in plan[plan.index("Range") :] and "Bucketed: true" in plan[plan.index("Range") :]
+
+
+def test_probe_reads_one_bucket_and_skips_row_groups(spark, tmp_dir):
+    index = HashIndex(spark, f"{tmp_dir}/h", buckets=8)
+    index.add(hashes(spark, 0, 20_000))
+    present, absent = (hashes(spark, i, i + 1).first()[0] for i in (77, 20_077))
+    assert index.contains(present) and not index.contains(absent)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {}
+        for value in (present, absent):
+            probe = index.known().filter(F.col("file_hash") == value)
+            plan = probe._jdf.queryExecution().executedPlan()
+            probe._jdf.queryExecution().toRdd().count()
+            leaf = plan.collectLeaves().head()
+            read[value] = leaf.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < read[present] < 20_000 / 8 * 1.3  # one bucket of eight
+    # inside the bucket's range, and yet no row is read: the Bloom filter says no
+    assert read[absent] == 0
+
+
+def test_appends_keep_the_buckets_and_compaction_grows_them(spark, tmp_dir):
+    index = HashIndex(spark, f"{tmp_dir}/h", buckets=2, files_per_bucket=3, rows_per_bucket=20)
+    for i in range(6):
+        index.add(hashes(spark, 10 * i, 10 * i + 15).union(hashes(spark, 0, 1)))
+        assert index.known().distinct().count() == 10 * i + 15
+    (number, buckets), = index._generations()
+    assert number > 1 and buckets > 2
+    assert index.new_only(hashes(spark, 0, 80)).count() == 80 - 65
+    index.compact()
+    assert index.known().count() == 65  # repeats are single again
+
+
+def test_a_stopped_compaction_changes_nothing(spark, tmp_dir, monkeypatch):
+    index = HashIndex(spark, f"{tmp_dir}/h", buckets=2)
+    index.add(hashes(spark, 0, 20))
+    with monkeypatch.context() as m:
+        m.setattr(HashIndex, "_finish", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            index.compact()
+    assert index.known().count() == 20 and len(index._generations()) == 1
+    index.compact()
+    assert index.known().count() == 20
+    folders = [f for f in os.listdir(f"{tmp_dir}/h") if f.startswith("gen=")]
+    assert len(folders) == 1 and os.path.exists(f"{tmp_dir}/h/{folders[0]}/{MARKER}")
+
+
+def test_nulls_copies_and_empty_sides(spark, tmp_dir):
+    index = HashIndex(spark, f"{tmp_dir}/h")
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4)], "file_hash string, n int")
+    assert index.known() is None and not index.contains("a")
+    assert index.new_only(rows).count() == 4
+    index.add(rows.filter("n < 4"))
+    assert sorted(r.n for r in index.new_only(rows).collect()) == [3, 4]
+    index.add(rows.limit(0))
+    assert index.known().count() == 1
+
+
+def test_a_ledger_of_plain_files_is_adopted(spark, tmp_dir):
+    target = f"{tmp_dir}/bronze"
+    hashes(spark, 0, 10).write.parquet(f"{target}_ingested_hashes")
+    ledger = HashLedger(spark, target)
+    assert ledger.new(hashes(spark, 5, 15)).count() == 5
+    ledger.commit(hashes(spark, 10, 15))
+    assert HashLedger(spark, target).new(hashes(spark, 0, 20)).count() == 5
+
+
+def test_the_index_is_found_by_another_session(spark, tmp_dir):
+    HashIndex(spark, f"{tmp_dir}/h").add(hashes(spark, 0, 10))
+    other = spark.newSession()
+    assert HashIndex(other, f"{tmp_dir}/h").new_only(hashes(other, 5, 15)).count() == 5
