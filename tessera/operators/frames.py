@@ -17,6 +17,15 @@ cheaper form: inside the bucket, plus a one-row-per-bucket table for what lies
 before.  Pass a finer ``bucket`` when a calendar year of one series is too
 much for a task.
 
+``method="scan"`` (lag by one row, running sums) is for raw-grained series too
+and needs no bucket: one sort into range partitions and a prefix scan over
+them, see :mod:`tessera.operators.scan`.
+
+Frames of many rows: Spark's sliding frames work through ``k`` rows for each
+row.  :func:`frame_sums` takes a frame as the end of one block of ``k`` rows
+and the beginning of the next, whose sums are running sums, so a row costs the
+same for any ``k``, and nothing large is subtracted.
+
 Keys are compared as structs, so NULL series and NULL order values are kept
 and grouped like any other value (NULL sorts first, as in Spark's windows).
 """
@@ -28,6 +37,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.scan import range_scan
+
 G = "_g"
 BLK = "_blk"
 HALO = "_halo"
@@ -151,8 +162,13 @@ def with_lag(
     """Add ``{out: lag(src, offset)}`` columns ordered by ``order`` within ``by``.
 
     The previous *row*, so calendar gaps are bridged.  ``method``: "window",
-    "bucketed" (offset 1 only, one large shuffle) or "blocks" (any offset).
+    "bucketed" or "scan" (offset 1 only, one large shuffle), or "blocks" (any
+    offset).
     """
+    if method == "scan":
+        if offset != 1:
+            raise ValueError("scan supports offset 1 only")
+        return range_scan(df, [order], by, lags=values)
     if method == "window":
         w = Window.partitionBy(*by).orderBy(F.col(order).asc())
         return df.withColumns({out: F.lag(src, offset).over(w) for out, src in values.items()})
@@ -206,7 +222,10 @@ def running_sums(
 
     Like SQL's running sum: NULL until the first non-NULL value.  "bucketed":
     the sum inside (series, bucket) plus the totals of all earlier buckets.
+    "scan": by range partitions, no bucket needed.
     """
+    if method == "scan":
+        return range_scan(df, [order], by, sums=values)
     if method == "window":
         w = Window.partitionBy(*by).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({out: F.sum(v.cast("double")).over(w) for out, v in values.items()})
@@ -230,3 +249,68 @@ def running_sums(
         for out in values
     }
     return inside.join(earlier, on=_KEY, how="inner").withColumns(both).select(*df.columns, *values)
+
+
+def frame_sums(df: DataFrame, order: str, by: Sequence[str], k: int, values: Mapping[str, Column]) -> DataFrame:
+    """Add ``{out: sum of value over the trailing k rows}`` (NULL if none is known), at a cost that does not grow with ``k``.
+
+    Rows are numbered within their series and cut into blocks of ``k``.  The
+    frame of a row is the rest of the block before, from the row ``k - 1``
+    back on, and its own block up to the row: one running sum from either end.
+    """
+    ordered = Window.partitionBy(*by).orderBy(F.col(order).asc())
+    numbered = df.withColumns({f"_v_{out}": v.cast("double") for out, v in values.items()})
+    numbered = numbered.withColumn(G, F.row_number().over(ordered) - 1)
+    numbered = numbered.withColumn(BLK, F.floor(F.col(G) / F.lit(k)))
+    block = Window.partitionBy(*by, BLK)
+    begin = block.orderBy(F.col(G).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    rest = block.orderBy(F.col(G).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = numbered.withColumns({f"_e_{out}": F.sum(f"_v_{out}").over(rest) for out in values})
+    summed = summed.withColumns({f"_b_{out}": F.sum(f"_v_{out}").over(begin) for out in values})
+    by_row = Window.partitionBy(*by).orderBy(F.col(G).asc())
+    before = summed.withColumns({f"_e_{out}": F.lag(f"_e_{out}", k - 1).over(by_row) for out in values})
+    # the last row of a block: its frame is the block itself; before row k: only what there is
+    own = F.col(G) % F.lit(k) == F.lit(k - 1)
+    first = F.col(BLK) == F.lit(0)
+    sums = {}
+    for out in values:
+        earlier = F.when(own | first, F.lit(None).cast("double")).otherwise(F.col(f"_e_{out}"))
+        here = F.col(f"_b_{out}")
+        sums[out] = F.when(
+            earlier.isNotNull() | here.isNotNull(), F.coalesce(earlier, F.lit(0.0)) + F.coalesce(here, F.lit(0.0))
+        )
+    return before.withColumns(sums).select(*df.columns, *values)
+
+
+def frame_moments(
+    df: DataFrame, order: str, by: Sequence[str], k: int, a: str, b: str | None = None
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Count, means, variances and covariance of the trailing ``k`` rows, from :func:`frame_sums`.
+
+    Returns the rows with the sums and the moments as columns over them:
+    ``n, mean_a, var_a`` and with ``b`` also ``mean_b, var_b, cov``
+    (population moments of the rows where all are known).  Values are centred
+    on their series' mean first; a variance under 1e-12 of the mean square is
+    rounding and counts as zero.
+    """
+    known = F.col(a).isNotNull() if b is None else F.col(a).isNotNull() & F.col(b).isNotNull()
+    series = Window.partitionBy(*by)
+    cols = [a] if b is None else [a, b]
+    centred = df.withColumns({f"_m_{c}": F.avg(F.when(known, F.col(c))).over(series) for c in cols})
+    x = {c: F.when(known, F.col(c) - F.col(f"_m_{c}")) for c in cols}
+    values = {"_n": F.when(known, F.lit(1.0))}
+    for c in cols:
+        values |= {f"_s_{c}": x[c], f"_q_{c}": x[c] * x[c]}
+    if b is not None:
+        values["_p"] = x[a] * x[b]
+    out = frame_sums(centred, order, by, k, values)
+    n = F.col("_n")
+    moments = {"n": F.coalesce(n, F.lit(0.0)).cast("long")}
+    for name, c in zip("ab", cols):
+        square = F.col(f"_q_{c}") / n
+        var = square - (F.col(f"_s_{c}") / n) * (F.col(f"_s_{c}") / n)
+        moments[f"var_{name}"] = F.when(var > square * 1e-12, var).otherwise(F.when(n > 0, F.lit(0.0)))
+        moments[f"mean_{name}"] = F.col(f"_m_{c}") + F.col(f"_s_{c}") / n
+    if b is not None:
+        moments["cov"] = F.col("_p") / n - (F.col(f"_s_{a}") / n) * (F.col(f"_s_{b}") / n)
+    return out, moments

@@ -2,7 +2,8 @@
 
 The series are calendar-grained (one row per series and period); see
 :mod:`tessera.operators.frames` for what that means and for ``method="blocks"``
-on raw-grained ones.
+and ``"scan"`` on raw-grained ones.  The frame operators take
+``method="moments"`` for long frames (a row costs the same for any ``k``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rules import pct_change_expr, safe_corr
-from tessera.operators.frames import running_sums, with_lag, with_rolling
+from tessera.operators.frames import frame_moments, frame_sums, running_sums, with_lag, with_rolling
 from tessera.operators.joins import temporal_join
 
 
@@ -65,6 +66,10 @@ def accumulate(
 ) -> DataFrame:
     """(∏ over the last k rows (1 + r/100) − 1) × 100; NULL before k rows."""
     lf = _log_factor(rate)
+    if method == "moments":
+        summed = frame_sums(df, order, by, k, {"_ls": lf, "_n": F.when(lf.isNotNull(), F.lit(1))})
+        grown = (F.exp("_ls") - F.lit(1.0)) * F.lit(100.0)
+        return summed.withColumn(out, F.when(F.col("_n") == k, grown)).drop("_ls", "_n")
     full = {
         out: lambda w: F.when(
             F.count(lf).over(w) == F.lit(k), (F.exp(F.sum(lf).over(w)) - F.lit(1.0)) * F.lit(100.0)
@@ -125,6 +130,9 @@ def moving_avg(
 ) -> DataFrame:
     """Trailing k-row mean; NULL until k rows are available."""
     out = out or f"media_movel_{k}"
+    if method == "moments":
+        summed = frame_sums(df, order, by, k, {"_rows": F.lit(1), "_s": F.col(value), "_n": F.when(F.col(value).isNotNull(), F.lit(1))})
+        return summed.withColumn(out, F.when(F.col("_rows") == k, F.col("_s") / F.col("_n"))).drop("_rows", "_s", "_n")
     full = {out: lambda w: F.when(F.count(F.lit(1)).over(w) == F.lit(k), F.avg(value).over(w))}
     return with_rolling(df, order, by, k, full, method=method)
 
@@ -144,10 +152,19 @@ def volatility(
     changes for a value.  Change and frame share one pass.
     """
     out = out or f"volatilidade_{k}"
+    if method == "moments":
+        lagged = with_lag(df, order, {"_chg": value}, by).withColumn("_chg", pct_change_expr(F.col(value), F.col("_chg")))
+        summed, m = frame_moments(lagged, order, by, k, "_chg")
+        return summed.withColumn(out, _sample_std(m["var_a"], m["n"])).select(*df.columns, out)
     std = {out: lambda w: F.stddev_samp("_chg").over(w)}
     return with_rolling(df, order, by, k, std, before={"_chg": _change(value)}, method=method).drop("_chg")
 
 
+def _sample_std(variance, n):
+    """Sample standard deviation from the population variance; NULL for fewer than two values."""
+    return F.when(n > 1, F.sqrt(variance * n / (n - F.lit(1))))
+
+
 def trend_slope(
     df: DataFrame, value: str, date: str = "data", by: Sequence[str] = (), out: str = "inclinacao"
 ) -> DataFrame:
@@ -169,6 +186,10 @@ def rolling_corr(
 ) -> DataFrame:
     """Correlation of a and b over the trailing k rows, NULL-safe."""
     out = out or f"correlacao_{k}"
+    if method == "moments":
+        summed, m = frame_moments(df, order, by, k, a, b)
+        spread = m["var_a"] * m["var_b"]
+        return summed.withColumn(out, F.when(spread > 0, m["cov"] / F.sqrt(spread))).select(*df.columns, out)
     return with_rolling(df, order, by, k, {out: lambda w: safe_corr(a, b, w)}, method=method)
 
 
@@ -184,6 +205,10 @@ def rolling_change_corr(
     """% changes of two columns, ``((out, src), (out, src))``, and their rolling correlation, in one pass."""
     out = out or f"correlacao_{k}"
     (a, src_a), (b, src_b) = changes
+    if method == "moments":
+        lagged = with_lag(df, order, {a: src_a, b: src_b}, by)
+        changed = lagged.withColumns({a: pct_change_expr(F.col(src_a), F.col(a)), b: pct_change_expr(F.col(src_b), F.col(b))})
+        return rolling_corr(changed, a, b, k, order, by, out, method)
     before = {a: _change(src_a), b: _change(src_b)}
     return with_rolling(df, order, by, k, {out: lambda w: safe_corr(a, b, w)}, before=before, method=method)
 

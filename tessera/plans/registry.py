@@ -38,8 +38,10 @@ from tessera.operators.basic import (
     union_ledger,
 )
 from tessera.operators.joins import first_of_new, temporal_join
+from tessera.operators.scan import range_scan
 from tessera.operators.silver import conform, dominant_series, gold_prep
 from tessera.plans.series import (
+    cents,
     daily_events,
     index_series,
     price_series,
@@ -47,6 +49,7 @@ from tessera.plans.series import (
     table,
 )
 from tessera.functions.rules import DEFAULT_LABELS as LABELS
+from tessera.functions.rules import pct_change_expr
 from tessera.sources.files import hash_files, landing_line, payload_items
 from tessera.sources.hash_index import HashIndex
 from tessera.sources.ingest import HEADER_NAMES, bronze_from_payload, canonicalize, payload_hash, with_lineage
@@ -1119,3 +1122,83 @@ def q_panel_null_keys(spark, sf):
     pn = priority_panel(spark, sf).withColumn("series", F.nullif(F.col("series"), F.lit("5-LOW")))
     out = panel.moving_avg(panel.panel_pct_change(pn, "valor", "series"), "valor", k=3, by=["series"])
     return panel.yoy_change(out, "valor", by=["series"])
+
+
+# ------------------------------------------------- long frames and raw-grained series
+
+SQL_RAW_EVENTS = """E AS (SELECT event_id, nullif(event_type, 'purchase') AS series, ts,
+        CASE WHEN event_id % 11 <> 0 THEN CAST(round(value * 100) AS BIGINT) END AS cents FROM events),
+S AS (SELECT *, lag(cents) OVER w AS ant, sum(cents) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+      FROM E WINDOW w AS (PARTITION BY series ORDER BY ts, event_id))"""
+
+
+@register(
+    "lag_raw",
+    f"""WITH {SQL_RAW_EVENTS}
+SELECT event_id, series, cents, ant AS cents_ant, {r6('(cents - ant) / nullif(ant, 0) * 100')} AS variacao,
+       CAST(total AS DOUBLE) AS acumulado FROM S""",
+)
+def q_lag_raw(spark, sf):
+    """Lag, change and running sum over raw events, series and values NULL in places (W1, W2, X1): a prefix scan."""
+    e = table(spark, sf, "events").select(
+        "event_id",
+        F.nullif(F.col("event_type"), F.lit("purchase")).alias("series"),
+        "ts",
+        F.when(F.col("event_id") % 11 != 0, F.round(F.col("value") * 100).cast("bigint")).alias("cents"),
+    )
+    out = range_scan(e, ["ts", "event_id"], ["series"], {"cents_ant": "cents"}, {"acumulado": F.col("cents")})
+    change = pct_change_expr(F.col("cents").cast("double"), F.col("cents_ant").cast("double"))
+    return out.select("event_id", "series", "cents", "cents_ant", change.alias("variacao"), "acumulado")
+
+
+LONG = 250
+
+CTE_DAYS = f"""DOR AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS data, {mean_cents('o_totalprice')} AS valor,
+               CAST(COUNT(*) AS DOUBLE) AS pedidos FROM orders GROUP BY 1, 2)"""
+
+
+def _daily_orders(spark, sf) -> DataFrame:
+    """Mean price and number of orders per priority and day: some thousands of days."""
+    days = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("data"))
+    return days.agg(
+        (F.sum(cents("o_totalprice")) / F.count(F.lit(1)) / F.lit(100)).alias("valor"),
+        F.count(F.lit(1)).cast("double").alias("pedidos"),
+    )
+
+
+@register(
+    "long_frames",
+    f"""WITH {CTE_DAYS},
+C AS (SELECT *, (valor - lag(valor) OVER (PARTITION BY series ORDER BY data))
+                / nullif(lag(valor) OVER (PARTITION BY series ORDER BY data), 0) * 100 AS chg FROM DOR),
+M AS (SELECT series, data, valor, count(*) OVER w AS n, avg(valor) OVER w AS m, stddev_samp(chg) OVER w AS v,
+             sum(ln(1 + valor / 1000000 / 100)) OVER w AS s
+      FROM C WINDOW w AS (PARTITION BY series ORDER BY data ROWS BETWEEN {LONG - 1} PRECEDING AND CURRENT ROW))
+SELECT series, data, {r6('valor')} AS valor, {r6(f'CASE WHEN n = {LONG} THEN m END')} AS media_movel,
+       {r6('v')} AS volatilidade, {r6(f'CASE WHEN n = {LONG} THEN (exp(s) - 1) * 100 END')} AS acumulado FROM M""",
+)
+def q_long_frames(spark, sf):
+    """Moving mean, volatility and accumulated rate over many rows, at a cost per row that k does not change."""
+    d = _daily_orders(spark, sf).drop("pedidos")
+    out = panel.moving_avg(d, "valor", LONG, by=["series"], out="media_movel", method="moments")
+    out = panel.volatility(out, "valor", LONG, by=["series"], out="volatilidade", method="moments")
+    out = panel.accumulate(out.withColumn("taxa", F.col("valor") / 1000000), "taxa", LONG, by=["series"], out="acumulado", method="moments")
+    return out.drop("taxa")
+
+
+@register(
+    "long_corr",
+    f"""WITH {CTE_DAYS},
+L AS (SELECT series, data, (valor - lag(valor) OVER w) / nullif(lag(valor) OVER w, 0) * 100 AS a0,
+             (pedidos - lag(pedidos) OVER w) / nullif(lag(pedidos) OVER w, 0) * 100 AS b0
+      FROM DOR WINDOW w AS (PARTITION BY series ORDER BY data)),
+M AS (SELECT *, CASE WHEN b0 IS NOT NULL THEN a0 END AS a, CASE WHEN a0 IS NOT NULL THEN b0 END AS b FROM L),
+R AS (SELECT *, covar_pop(a, b) OVER w / nullif(stddev_pop(a) OVER w * stddev_pop(b) OVER w, 0) AS c
+      FROM M WINDOW w AS (PARTITION BY series ORDER BY data ROWS BETWEEN {LONG - 1} PRECEDING AND CURRENT ROW))
+SELECT series, data, {r6('a0')} AS variacao, {r6('b0')} AS variacao_pedidos, {r6('c')} AS correlacao FROM R""",
+)
+def q_long_corr(spark, sf):
+    """Correlation of two daily changes over many rows."""
+    changes = (("variacao", "valor"), ("variacao_pedidos", "pedidos"))
+    out = panel.rolling_change_corr(_daily_orders(spark, sf), changes, LONG, by=["series"], out="correlacao", method="moments")
+    return out.select("series", "data", "variacao", "variacao_pedidos", "correlacao")
