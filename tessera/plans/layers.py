@@ -33,6 +33,7 @@ from tessera.sources.files import (
     read_payload,
     read_raw_pairs,
 )
+from tessera.sources.hash_tree import ingest_payload_changes
 from tessera.sources.ingest import (
     HashLedger,
     bronze_from_payload,
@@ -215,12 +216,20 @@ def run_bronze_index(
     payload_path: str,
     meta: dict,
     run_ts=None,
+    changed_only: bool = False,
 ) -> bool:
-    """JSON payload -> typed bronze index rows, unless this payload was ingested."""
+    """JSON payload -> typed bronze index rows, unless this payload was ingested.
+
+    With ``changed_only`` only the months that differ from the last payload
+    are appended, not the whole window again.  Returns True when rows were.
+    """
     payload = read_payload(spark, payload_path)
     h = payload_hash(payload, ["data", "valor"]).first()["payload_hash"]
     rows = bronze_from_payload(payload, {**meta, "payload_hash": h}, run_ts)
-    return ingest_payload(spark, rows, lake.path("bronze", lake.index_table), lake.fmt)
+    target = lake.path("bronze", lake.index_table)
+    if changed_only:
+        return ingest_payload_changes(spark, rows, target, lake.fmt) > 0
+    return ingest_payload(spark, rows, target, lake.fmt)
 
 
 def _publish(

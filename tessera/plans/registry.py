@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import LIMBS, content_hash
-from tessera.session import materialize, shared_path
+from tessera.session import materialize, shared_copy, shared_path
+from tessera.sources import hash_tree
 from tessera.functions.parse import (
     file_basename,
     format_ptbr_number,
@@ -1202,3 +1203,40 @@ def q_long_corr(spark, sf):
     changes = (("variacao", "valor"), ("variacao_pedidos", "pedidos"))
     out = panel.rolling_change_corr(_daily_orders(spark, sf), changes, LONG, by=["series"], out="correlacao", method="moments")
     return out.select("series", "data", "variacao", "variacao_pedidos", "correlacao")
+
+
+# ------------------------------------------------------------ change detection
+
+SQL_VERSIONS = """V AS (SELECT o_orderpriority AS series, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+        o_orderkey % 997 = 0 AS edited, o_orderkey % 1009 = 0 AS lost,
+        o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1995 AS dropped, o_orderpriority = '2-HIGH' AND month(o_orderdate) = 7 AS fresh
+      FROM orders)"""
+
+
+@register(
+    "changed_months",
+    f"""WITH {SQL_VERSIONS},
+M AS (SELECT series, ano, mes, COUNT(*) FILTER (WHERE NOT fresh) AS n_old, COUNT(*) FILTER (WHERE NOT dropped AND NOT lost) AS n_new,
+        COUNT(*) FILTER (WHERE NOT (fresh OR dropped OR lost) AND edited) + COUNT(*) FILTER (WHERE fresh <> (dropped OR lost)) AS touched
+      FROM V GROUP BY 1, 2, 3)
+SELECT series, ano, mes, CASE WHEN n_old = 0 THEN 'added' WHEN n_new = 0 THEN 'removed' ELSE 'changed' END AS status,
+       nullif(n_old, 0) AS n_old, nullif(n_new, 0) AS n_new FROM M WHERE touched > 0 AND n_old + n_new > 0""",
+)
+def q_changed_months(spark, sf):
+    """Months that differ between two versions of the orders, found down a hash tree."""
+    o = table(spark, sf, "orders")
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    rows = o.select(
+        F.col("o_orderpriority").alias("series"),
+        F.year(date).alias("ano"),
+        F.month(date).alias("mes"),
+        "o_orderkey",
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
+    fresh = (F.col("series") == "2-HIGH") & (F.col("mes") == 7)
+    dropped = (F.col("series") == "1-URGENT") & (F.col("ano") == 1995)
+    edited = F.when(key % 997 == 0, F.col("cents") + 1).otherwise(F.col("cents"))
+    keys, cols = ["series", "ano", "mes"], ["o_orderkey", "cents"]
+    old = hash_tree.leaves(rows.filter(~fresh), keys, cols)
+    new = hash_tree.leaves(rows.filter(~dropped & (key % 1009 != 0)).withColumn("cents", edited), keys, cols)
+    return hash_tree.changed_nodes(shared_copy(old, "leaves"), shared_copy(new, "leaves"), keys)
