@@ -128,13 +128,25 @@ def term_counts(distinct: DataFrame) -> DataFrame:
     return rows.withColumn("term", F.col("term").cast("string"))
 
 
-def kept_terms(counts: DataFrame, p: AuditParams) -> DataFrame:
-    """``(lang, term, lang_n)``: the terms in at least ``min_docs`` documents of their language."""
+def kept_postings(counts: DataFrame, p: AuditParams) -> DataFrame:
+    """``(lang, source, term, n, lang_n, first)`` for the terms in at least ``min_docs`` documents of their language.
+
+    ``first`` marks one row per term.  Counts of tasks are added up per source
+    first, so a frequent term has one row per source when its language's sums
+    are taken; rare terms end there and are written nowhere.
+    """
+    summed = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy("lang", "term")
     return (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("lang_docs"))
+        summed.withColumns(
+            {
+                "lang_n": F.sum("n").over(term),
+                "lang_docs": F.sum("docs").over(term),
+                "first": F.row_number().over(term.orderBy("source")) == 1,
+            }
+        )
         .filter(F.col("lang_docs") >= p.min_docs)
-        .drop("lang_docs")
+        .select("lang", "source", "term", "n", "lang_n", "first")
     )
 
 
@@ -308,16 +320,8 @@ def audit(
     source count as empty strings; repeated rows count as often as they occur;
     other columns are ignored; an empty table gives no rows.
     """
-    counts = saved(term_counts(collapsed(docs, text_col, lang_col, source_col)), "term-counts")
-    kept = saved(kept_terms(counts, p), "kept-terms")
-    postings = saved(
-        counts.select("lang", "source", "term", "n")
-        .join(kept, ["lang", "term"])
-        .groupBy("lang", "source", "term", "lang_n")
-        .agg(F.sum("n").alias("n")),
-        "postings",
-    )
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
+    postings = saved(kept_postings(term_counts(collapsed(docs, text_col, lang_col, source_col)), p), "postings")
+    langs = postings.groupBy("lang").agg(F.count_if("first").alias("terms"), F.sum("n").alias("lang_total"))
     totals = postings.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     every = docs.select(_blank(lang_col).alias("lang"), _blank(source_col).alias("source")).distinct()
     zero = F.lit(0).cast("long")
