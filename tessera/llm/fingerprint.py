@@ -1,8 +1,10 @@
 """Document fingerprints: threshold-scaled sketches, DataFrame functions only.
 
 A sketch keeps every five-word shingle hash below a fixed fraction of the hash
-range, so it grows with its document, the sketch of a union is the union of
-the sketches, and containment can be estimated between very unequal documents.
+range, so it grows with its document, the sketch of a union comes from the
+sketches, and containment can be estimated between very unequal documents.  A
+text with words but no hash below the fraction keeps its smallest one, so only
+texts without words have an empty sketch.
 """
 
 from __future__ import annotations
@@ -16,32 +18,43 @@ from tessera.llm.common import materialize, text_or_empty
 WHITE = " \t\n\x0b\f\r"
 
 
+SIGN = -(1 << 63)
+
+
+def _below(hashes: Column, scale: int) -> Column:
+    """Hashes under 1/``scale`` of the range; the smallest one if there are none.
+
+    Hashes are held with the highest bit turned, so that signed order is theirs.
+    """
+    under = F.filter(hashes, lambda h: h < F.lit(SIGN + (1 << 64) // scale))
+    return F.when(F.size(under) > 0, under).when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(hashes)
+
+
 def sketch(text: Column, k: int = 5, scale: int = 4) -> Column:
-    """Sorted distinct hashes (32 bits) of the ``k``-word shingles under 1/``scale`` of the range.
+    """Sorted distinct hashes (64 bits) of the ``k``-word shingles under 1/``scale`` of the range, or the smallest.
 
     Words are lower-cased and split at white space.  Fewer than ``k`` words:
     the whole sequence is the one shingle; no words (or null): no hashes.
     """
     clean = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(WHITE))
-    limit = (1 << 63) // scale
 
     def hashes(words: Column) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(1)))
-        every = F.transform(at, lambda i: F.xxhash64(F.slice(words, i, k)))
-        kept = F.filter(every, lambda h: F.shiftrightunsigned(h, 1) < F.lit(limit))
-        return F.sort_array(F.array_distinct(F.transform(kept, lambda h: F.shiftright(h, 32).cast("int"))))
+        return F.transform(at, lambda i: F.xxhash64(F.slice(words, i, k)).bitwiseXOR(F.lit(SIGN)))
 
-    # the one-element array binds the words once for all uses below
+    # one-element arrays bind the words and the hashes once for all uses
     words = F.array(F.split(clean, r"[ \t\n\x0B\f\r]+"))
-    return F.when(clean == "", F.array().cast("array<int>")).otherwise(F.transform(words, hashes)[0])
+    every = F.transform(words, hashes)
+    kept = F.transform(every, lambda e: F.sort_array(F.array_distinct(_below(e, scale))))
+    return F.when(clean == "", F.array().cast("array<long>")).otherwise(kept[0])
 
 
 def sketch_hex(s: Column) -> Column:
-    return F.array_join(F.transform(s, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
+    return F.array_join(F.transform(s, lambda h: F.lower(F.lpad(F.hex(h.bitwiseXOR(F.lit(SIGN))), 16, "0"))), "")
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the smaller document's shingles in the other; empty sketches: 0, unless both are."""
+    """Estimated share of the smaller document's shingles in the other; a text without words is only like another such."""
     least = F.least(F.size(a), F.size(b))
     return (
         F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
@@ -56,9 +69,9 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(whole == 0, F.lit(1.0)).otherwise(common / F.greatest(whole, F.lit(1)))
 
 
-def merge(a: Column, b: Column) -> Column:
+def merge(a: Column, b: Column, scale: int = 4) -> Column:
     """The sketch of two documents taken together."""
-    return F.sort_array(F.array_union(a, b))
+    return F.sort_array(_below(F.array_union(a, b), scale))
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
@@ -93,12 +106,15 @@ def edited_and_next(
     The edited text has its last ``floor(n/2)`` code points replaced by the
     first as many of the next document (ids ascending, null first; after the
     last: the first).  Rows that repeat id and text are one document there,
-    and each gets that document's result.  Null texts count as empty.
+    and each gets that document's result.  Null texts count as empty; ids of any
+    ordered type do.
     """
     text = text_or_empty(text_col)
+    whole = docs.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    key = F.coalesce("id", F.lit(0)) if whole else F.coalesce(F.col("id").cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
         "id",
-        F.coalesce("id", F.lit(0)).alias("k"),
+        key.alias("k"),
         F.xxhash64("text", F.col("id").isNull()).alias("h"),
         "text",
     )

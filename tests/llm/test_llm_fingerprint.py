@@ -18,9 +18,9 @@ def brute_sketch(text, k=5, scale=4):
         h = 42
         for w in words[i : i + k]:
             h = xxhash.xxh64_intdigest(w.encode(), h)  # Spark feeds one word's hash on as the next one's seed
-        if h < 2**64 // scale:
-            out.add(h >> 32)
-    return sorted(out)
+        out.add(h)
+    under = {h for h in out if h < 2**64 // scale}
+    return sorted(under or {min(out)})
 
 
 def near(a, b):
@@ -38,7 +38,7 @@ def brute(rows):
         half = len(t) // 2
         edited = t[: len(t) - half] + nxt[:half]
         a, b, c = brute_sketch(t), brute_sketch(edited), brute_sketch(nxt)
-        hx = ["".join(f"{x:08x}" for x in s) for s in (a, b)]
+        hx = ["".join(f"{x:016x}" for x in s) for s in (a, b)]
         out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), *hx, round(near(a, b), 9), round(near(a, c), 9)))
     return sorted(out, key=str)
 
@@ -75,6 +75,40 @@ def test_repeated_rows_all_get_the_documents_result(docs):
     assert len(out) == len(rows) + 3 and all(r == one[r[0]] for r in out)
 
 
+def test_unlike_short_texts_are_not_alike(docs):
+    rows = [(1, "totally other words here now"), (2, "alpha beta gamma"), (3, ""), (4, " \n"), (5, "alpha beta gamma")]
+    found = {r[0]: r[5:] for r in got(docs(rows))}
+    assert found[1] == (0.0, 0.0) and found[2] == (0.0, 0.0)  # another next text, an edited text
+    assert found[3][1] == 1.0  # two texts without words
+    near = docs(rows).select(P.containment(P.sketch(F.col("text")), P.sketch(F.lit("Alpha  beta\tgamma"))).alias("c"), "doc_id")
+    assert {r.doc_id: r.c for r in near.collect()} == {1: 0.0, 2: 1.0, 3: 0.0, 4: 0.0, 5: 1.0}
+
+
+def test_no_likeness_of_one_between_unlike_texts(spark):
+    rows = QUERIES["op9_fingerprint"](spark, "/root/testdata/sf0.01")
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    both = rows.join(texts, "doc_id").join(texts.withColumnsRenamed({"doc_id": "next_doc_id", "text": "t2"}), "next_doc_id")
+    words = {r.doc_id: (r.text.lower().split(), r.t2.lower().split()) for r in both.filter("near_next = 1").collect()}
+    for a, b in words.values():
+        parts = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b)]
+        assert a == b or parts[0] & parts[1]
+
+
+def test_text_ids(spark):
+    rows = [("a", "one text with a few words"), ("b", "two"), (None, "three"), ("b", "two")]
+    out = P.edited_and_next(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((str(r.id), str(r.next_id)) for r in out) == [("None", "a"), ("a", "b"), ("b", "None"), ("b", "None")]
+
+
+def test_merge_of_sketches_without_a_hash_under_the_fraction(spark):
+    rows = [(f"a{i} b{i} c{i} d{i} e{i}", f"v{i} w{i} x{i} y{i} z{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in df.select("a", "b", P.sketch_hex(P.merge(P.sketch(F.col("a")), P.sketch(F.col("b")))).alias("m")).collect():
+        every = sorted(brute_sketch(r.a) + brute_sketch(r.b))
+        wanted = [h for h in every if h < 2**62] or every[:1]
+        assert r.m == "".join(f"{h:016x}" for h in wanted)
+
+
 def test_containment_between_unequal_documents_and_merge(spark):
     rng = random.Random(8)
     big = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
