@@ -2,6 +2,7 @@ import itertools
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,11 +27,49 @@ def test_boundaries_are_optimal(seed):
         assert len(ends) <= k and ends[-1] == xs[-1] and padding(cells, ends) == best
 
 
-def test_histogram_cells_are_few_and_tight(spark):
-    df = spark.range(0, 300_000).select(F.col("id"), packing.cell(F.col("id")).alias("c"))
-    bad = df.filter((F.col("c") < F.col("id")) | (F.col("c") - F.col("id") > F.col("id") / 127)).count()
-    assert bad == 0 and df.select("c").distinct().count() < 2_000
-    assert df.filter((F.col("id") <= 256) & (F.col("c") != F.col("id"))).count() == 0
+def exact(cells, buckets):
+    """The quadratic programme over all pairs of cells; least padding with at most ``buckets``."""
+    x, n = np.array([c for c, _ in cells]), np.array([m for _, m in cells])
+    rows, tokens = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(x * n))
+    cost = np.full(len(x) + 1, 1 << 60)
+    cost[0], best = 0, 1 << 60
+    for _ in range(min(buckets, len(x))):
+        new = np.full(len(x) + 1, 1 << 60)
+        for j in range(1, len(x) + 1):
+            new[j] = (cost[:j] + x[j - 1] * (rows[j] - rows[:j]) - (tokens[j] - tokens[:j])).min()
+        cost = new
+        best = min(best, int(cost[-1]))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_boundaries_equal_the_exact_programme_on_long_texts(seed):
+    rng = random.Random(seed)
+    cells = sorted({int(rng.lognormvariate(6, 1.5)) % 20_000: rng.randrange(1, 500) for _ in range(700)}.items())
+    for k in (1, 2, 8, 50):
+        ends = packing.best_boundaries(cells, k)
+        at = np.searchsorted(ends, [x for x, _ in cells])
+        assert sum(n * (ends[i] - x) for i, (x, n) in zip(at, cells)) == exact(cells, k)
+
+
+def test_histogram_cells_are_few_and_end_at_real_lengths(spark):
+    exact_to = 1 << packing.EXACT_BITS
+    df = spark.range(0, 3 * exact_to).select(F.col("id"), packing.cell(F.col("id")).alias("c"))
+    assert df.filter((F.col("id") <= exact_to) & (F.col("c") != F.col("id"))).count() == 0
+    assert df.filter((F.col("c") > F.col("id")) | (F.col("id") - F.col("c") > F.col("id") / 32_768)).count() == 0
+    long = spark.createDataFrame([(10**6 + 3,), (10**6 + 5,), (7,), (None,)], "n_tokens long")
+    assert sorted(tuple(r) for r in packing.histogram(long).collect()) == [(0, 1, 0), (7, 1, 7), (10**6 + 5, 2, 2 * 10**6 + 8)]
+
+
+def test_equal_long_texts_need_no_padding(docs):
+    out = packing.packed(docs([(i, "w " * 1001) for i in range(20)])).collect()
+    assert {r.padded_to for r in out} == {1001} and sum(r.padding for r in out) == 0
+
+
+def test_equal_rows_without_an_id_are_spread(docs, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 10)
+    p = packing.PackParams(budget=100)
+    check(packing.packed(docs([(None, "a b c")] * 200), p).collect(), p, 200)
 
 
 def check(rows, p, n_in):
