@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, langid, packing, simhash, toxicity
-from tessera.llm.common import read_table, saved
+from tessera.llm.common import read_table, remove_folder, shared_path
 
 PACKING = packing.PackParams()
 
@@ -59,9 +59,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages; a stage's folder goes once the next one's is written, and the last one's stays."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_path(spark, f"pipeline-{name}")
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir, materialize
+from tessera.session import materialize, shared_copy, shared_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -18,20 +16,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Written once as Parquet in the shared folder and read again; used where later stages need only some columns.
+saved = shared_copy
+
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again.
 
-    Cuts lineage like ``checkpoint()``; used where later stages need only
-    some of the columns.
-    """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -52,9 +52,11 @@ def count_rows(df: DataFrame) -> int:
 
 __all__ = [
     "count_rows",
+    "free_name",
     "lower_ascii",
     "materialize",
     "read_table",
+    "remove_folder",
     "saved",
     "shared_path",
     "text_or_empty",

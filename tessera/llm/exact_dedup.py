@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import count_rows, lower_ascii, materialize, text_or_empty
+from tessera.llm.common import count_rows, free_name, lower_ascii, materialize, saved, text_or_empty
 
 BLOCK_CELLS = 32_768  # cells of one bitmap_construct_agg bitmap
 
@@ -63,10 +63,12 @@ def possibly_repeated(hashed: DataFrame, bits_per_row: int = 16, k: int = 2) ->
 
     The filter joins on its block number: Spark broadcasts it while its
     measured size is under the broadcast threshold, and otherwise shuffles
-    the narrow ``(id, digest)`` rows.
+    the narrow ``(id, digest)`` rows.  It is cut off by a checkpoint, so both
+    sides are plain exchanges then, and Spark can split a block that the
+    copies of one text fill.
     """
     probes = _with_cells(hashed, count_rows(hashed), bits_per_row, k)
-    bitmap = repeated_cells(probes)
+    bitmap = materialize(repeated_cells(probes))
     suspect = F.coalesce(
         F.forall("cells", lambda c: _is_set(F.col("bits"), c)), F.lit(False)
     )
@@ -106,8 +108,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Rows that repeat id and text stay as often as they occur (ids count as unique).
     Rows go by id and digest: another text under the same id, or under a null id, stays.
     """
+    gone, digest = free_name(docs, "__gone"), free_name(docs, "__digest")
     dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept"))
-    dropped = dropped.select(F.col("id").alias("__id"), F.col("digest").alias("__dropped"))
-    marked = docs.withColumn("__digest", text_digest(text_col))
-    same = marked[id_col].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__dropped"))
-    return marked.join(dropped, same, "left_anti").drop("__digest")
+    # written first: Spark knows the size of what goes, and need not shuffle the texts where it is small
+    dropped = saved(dropped.select(F.struct("id", "digest").alias(gone)), "copies")
+    marked = docs.withColumn(digest, text_digest(text_col))
+    same = marked[id_col].eqNullSafe(F.col(f"{gone}.id")) & (F.col(digest) == F.col(f"{gone}.digest"))
+    return marked.join(dropped, same, "left_anti").drop(digest)

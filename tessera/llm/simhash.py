@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import free_name, materialize, saved
 
 FANOUT = 8
 NODE_ROWS = 8192
@@ -298,7 +298,8 @@ def near_groups(
             "fp", "first", F.coalesce("root", "fp").alias("root")
         )
     )
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # cut off, so that both join sides are plain exchanges and a component of many fingerprints can be split
+    ids = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     labels = materialize(rooted.join(ids, "root").select("fp", "component_id"))
     return prints.join(labels, "fp").select("id", "fp", "component_id")
 
@@ -313,11 +314,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     # the text's hash travels inside the id; nulls last, as a null id is never a component's id
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text.alias("text"))
     keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    gone, mark = free_name(docs, "__gone"), free_name(docs, "__text")
     dropped = (
         near_groups(keyed, "key", "text", k=k, d=d)
         .filter(F.col("id.id") != F.col("component_id.id"))
-        .select(F.col("id.id").alias("__id"), F.col("id.text").alias("__dropped"))
+        .select(F.struct(F.col("id.id").alias("id"), F.col("id.text").alias("text")).alias(gone))
     )
-    marked = docs.withColumn("__text", text)
-    same = (marked[id_col] == F.col("__id")) & (F.col("__text") == F.col("__dropped"))
-    return marked.join(dropped, same, "left_anti").drop("__text")
+    # written first: Spark knows the size of what goes, and need not shuffle the texts where it is small
+    dropped = saved(dropped, "near-copies")
+    marked = docs.withColumn(mark, text)
+    same = (marked[id_col] == F.col(f"{gone}.id")) & (F.col(mark) == F.col(f"{gone}.text"))
+    return marked.join(dropped, same, "left_anti").drop(mark)

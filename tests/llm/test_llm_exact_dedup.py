@@ -76,3 +76,29 @@ def test_query_on_the_whole_table(spark):
     src = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     rows = QUERIES["op1_exact_dedup"](spark, sf).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     assert sorted(map(tuple, rows.collect()), key=str) == brute(src)
+
+
+def test_dedup_keeps_columns_whose_names_clash_with_its_own(docs):
+    from pyspark.sql import functions as F
+
+    from tessera.llm import simhash
+
+    df = docs([(1, "a b c"), (2, "a b c"), (3, "other words")])
+    for c in ("__digest", "__gone", "__GONE_", "__text"):
+        df = df.withColumn(c, F.lit("mine"))
+    for out, kept in ((exact_dedup.dedup(df), [2, 3]), (simhash.dedup(df), [1, 3])):
+        assert out.columns == df.columns
+        assert sorted((r.doc_id, r["__digest"], r["__gone"], r["__text"]) for r in out.collect()) == [(i, *["mine"] * 3) for i in kept]
+
+
+def test_hot_joins_are_between_plain_exchanges(spark, docs):
+    """Skewed partitions can be split only if no operator stands between a join and its exchanges."""
+    df = docs([(i, "hot text" if i % 3 else f"text {i}") for i in range(60)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hashed = exact_dedup.text_digests(df)
+        plan = exact_dedup.possibly_repeated(hashed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan
