@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import saved
+
 #: Kinds in the order in which equal starts are listed; pattern, group that is measured, least length.
 PATTERNS = (
     (
@@ -98,9 +100,28 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def identifier_dictionary(docs: DataFrame, p: SecretParams = SecretParams(), text_col: str = "text") -> bytes:
-    """The words of most documents, commonest last (nearest to the code), cut to ``dict_bytes``."""
+    """The words of most documents, commonest last (nearest to the code), cut to ``dict_bytes``.
+
+    Words of equal counts are taken by their hash.  A histogram of the counts
+    (cells a 64th apart, so some thousands at most) says from which count on
+    words are wanted, and which share of those just there; only about as many
+    words as the dictionary holds come to the driver, at any number of tasks.
+    """
     most = p.dict_bytes // 5  # a word has four letters at least, and a space
-    rows = word_counts(docs, text_col).orderBy(F.desc("docs"), "word").limit(most).collect()
+    counts = saved(word_counts(docs, text_col), "words")
+    power = F.floor(F.log2(F.col("docs").cast("double")))
+    step = F.pow(F.lit(2.0), F.greatest(power - 6, F.lit(0))).cast("long")
+    cell = F.col("docs") - F.col("docs") % step
+    need, floor, share = most, 0, 1.0
+    for r in sorted(counts.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        floor = r.cell
+        if r.n >= need:
+            share = 4.0 * need / r.n
+            break
+        need -= r.n
+    order = F.pmod(F.xxhash64("word"), F.lit(1 << 30))
+    wanted = counts.filter((cell > floor) | ((cell == floor) & (order < F.lit(share * (1 << 30)))))
+    rows = wanted.orderBy(F.desc("docs"), order, "word").limit(most).collect()
     size, words = 0, []
     for r in rows:
         size += len(r.word) + 1
