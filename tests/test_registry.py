@@ -105,7 +105,8 @@ def test_rolling_operators_take_few_exchanges(spark, name, most):
 
 @pytest.mark.parametrize(
     "name,scans",
-    [("layer_counts", 2), ("idempotent_ingest", 1), ("manifest_union", 2), ("hash_exists", 2), ("landing_canonical", 1)],
+    # idempotent_ingest: the arriving documents, and the index of the ledgered ones
+    [("layer_counts", 2), ("idempotent_ingest", 2), ("manifest_union", 2), ("hash_exists", 2), ("landing_canonical", 1)],
 )
 def test_each_table_is_scanned_once_per_branch(spark, name, scans):
     df = QUERIES[name](spark, SF001)
