@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import count_rows, free_name, lower_ascii, materialize, saved, text_or_empty
+from tessera.llm.common import count_rows, free_name, lower_ascii, materialize, text_or_empty
 
 BLOCK_CELLS = 32_768  # cells of one bitmap_construct_agg bitmap
 
@@ -110,8 +110,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     gone, digest = free_name(docs, "__gone"), free_name(docs, "__digest")
     dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept"))
-    # written first: Spark knows the size of what goes, and need not shuffle the texts where it is small
-    dropped = saved(dropped.select(F.struct("id", "digest").alias(gone)), "copies")
+    dropped = dropped.select(F.struct("id", "digest").alias(gone))
     marked = docs.withColumn(digest, text_digest(text_col))
     same = marked[id_col].eqNullSafe(F.col(f"{gone}.id")) & (F.col(digest) == F.col(f"{gone}.digest"))
     return marked.join(dropped, same, "left_anti").drop(digest)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_name, materialize, saved
+from tessera.llm.common import free_name, materialize
 
 FANOUT = 8
 NODE_ROWS = 8192
@@ -320,8 +320,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
         .filter(F.col("id.id") != F.col("component_id.id"))
         .select(F.struct(F.col("id.id").alias("id"), F.col("id.text").alias("text")).alias(gone))
     )
-    # written first: Spark knows the size of what goes, and need not shuffle the texts where it is small
-    dropped = saved(dropped, "near-copies")
     marked = docs.withColumn(mark, text)
     same = (marked[id_col] == F.col(f"{gone}.id")) & (F.col(mark) == F.col(f"{gone}.text"))
     return marked.join(dropped, same, "left_anti").drop(mark)
