@@ -38,6 +38,7 @@ from tessera.operators.basic import (
     keep_series,
     union_ledger,
 )
+from tessera.operators.correlate import correlated_pairs
 from tessera.operators.joins import first_of_new, temporal_join
 from tessera.operators.scan import range_scan
 from tessera.operators.silver import conform, dominant_series, gold_prep
@@ -45,6 +46,7 @@ from tessera.plans.series import (
     cents,
     daily_events,
     index_series,
+    month_of_ts,
     price_series,
     priority_panel,
     table,
@@ -1205,6 +1207,27 @@ def q_long_corr(spark, sf):
     return out.select("series", "data", "variacao", "variacao_pedidos", "correlacao")
 
 
+CORRELATED = 0.3
+
+
+@register(
+    "correlated_pairs",
+    f"""WITH S AS (SELECT l_suppkey AS series, {month('l_shipdate')} AS data, {mean_cents('l_extendedprice')} AS valor
+      FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1, 2),
+C AS (SELECT series, data, (valor - lag(valor) OVER w) / nullif(lag(valor) OVER w, 0) * 100 AS chg
+      FROM S WINDOW w AS (PARTITION BY series ORDER BY data)),
+D AS (SELECT series, data, chg - avg(chg) OVER (PARTITION BY series) AS c FROM C WHERE chg IS NOT NULL),
+Z AS (SELECT series, data, c / nullif(sqrt(sum(c * c) OVER (PARTITION BY series)), 0) AS z FROM D)
+SELECT a.series AS series_a, b.series AS series_b, {r6('sum(a.z * b.z)')} AS correlacao
+FROM Z a JOIN Z b ON a.data = b.data AND a.series < b.series GROUP BY 1, 2 HAVING sum(a.z * b.z) >= {CORRELATED}""",
+)
+def q_correlated_pairs(spark, sf):
+    """Pairs of suppliers whose monthly price changes correlate, found by Fourier sketches in a grid."""
+    months = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("series"), month_of_ts("l_shipdate").alias("data"))
+    means = months.agg((F.sum(cents("l_extendedprice")) / F.count(F.lit(1)) / F.lit(100)).alias("valor"))
+    return correlated_pairs(means, "valor", CORRELATED)
+
+
 # ------------------------------------------------------------ change detection
 
 SQL_VERSIONS = """V AS (SELECT o_orderpriority AS series, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,

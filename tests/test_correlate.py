@@ -1,0 +1,99 @@
+"""Correlated pairs by Fourier sketches: equal to the plain correlation of all pairs, pruned, split."""
+
+import datetime as dt
+import itertools
+
+import numpy as np
+import pytest
+
+from tessera.operators import correlate as C
+
+DAYS = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+
+
+def frame(spark, series):
+    """series: {name: values}, None for a missing value"""
+    rows = [(s, d, None if v is None else float(v)) for s, vs in series.items() for d, v in zip(DAYS, vs)]
+    return spark.createDataFrame(rows, "series string, data date, valor double")
+
+
+def waves(groups, size, noise, seed=7):
+    """Groups of series that follow one slow wave each."""
+    r = np.random.default_rng(seed)
+    out = {}
+    for g in range(groups):
+        base = np.cos(2 * np.pi * (1 + g % 2) * np.arange(60) / 60 + g)
+        for i in range(size):
+            out[f"g{g}-{i:02d}"] = base + noise * r.standard_normal(60)
+    return out
+
+
+def plain(series, threshold):
+    unit = {}
+    for s, vs in series.items():
+        x = np.array([np.nan if v is None else v for v in vs], float)
+        c = x - np.nanmean(x)
+        n = np.sqrt(np.nansum(c * c))
+        if np.sum(~np.isnan(x)) > 1 and n > 1e-9:
+            unit[s] = np.nan_to_num(c / n)
+    pairs = {(a, b): float(unit[a] @ unit[b]) for a, b in itertools.combinations(sorted(unit), 2)}
+    return {p: r for p, r in pairs.items() if r >= threshold}
+
+
+def found(df):
+    rows = [((r.series_a, r.series_b), r.correlacao) for r in df.collect()]
+    assert len(rows) == len(dict(rows))
+    return dict(rows)
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.8, 0.99])
+@pytest.mark.parametrize("grid_dims", [1, 3])
+def test_equal_to_all_pairs(spark, threshold, grid_dims):
+    series = waves(5, 6, 0.3)
+    series["short"] = [1, 2, None, 5] + [None] * 56
+    want = plain(series, threshold)
+    got = found(C.correlated_values(frame(spark, series), "valor", threshold, grid_dims=grid_dims))
+    assert got.keys() == want.keys() and (want or threshold > 0.9)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_cells_of_many_series_are_split_without_loss(spark):
+    series = waves(1, 40, 0.1)
+    want = plain(series, 0.9)
+    assert len(want) == 780
+    assert found(C.correlated_values(frame(spark, series), "valor", 0.9, cell_series=4)).keys() == want.keys()
+
+
+def test_equal_series_constant_series_and_nulls(spark):
+    ramp = list(range(60))
+    df = frame(spark, {"a": ramp, "b": ramp, "c": [0.1] * 60, "d": [None] * 60, "e": [3] + [None] * 59, "f": ramp[::-1]})
+    extra = spark.createDataFrame([(None, DAYS[0], 1.0), ("a", None, 9.0)], df.schema)
+    assert found(C.correlated_values(df.union(extra), "valor", 1 - 1e-9)) == {("a", "b"): pytest.approx(1)}
+    assert found(C.correlated_values(df.limit(0), "valor", 0.5)) == {}
+
+
+def test_calendars_shorter_than_the_frequencies(spark):
+    df = frame(spark, {"a": [1, 2, 4], "b": [2, 4, 8], "c": [3, 2, 1]})
+    assert found(C.correlated_values(df, "valor", 0.9, frequencies=(1, 2, 30))).keys() == {("a", "b")}
+
+
+def test_changes_are_correlated(spark):
+    up = [100 * 1.1 ** (i % 3) for i in range(60)]
+    pairs = found(C.correlated_pairs(frame(spark, {"a": up, "b": [5 * x for x in up], "c": up[::-1]}), "valor", 0.95))
+    assert pairs.keys() == {("a", "b")}
+
+
+def test_the_coefficients_prune(spark):
+    """Pairs that the coefficients let through are few more than the pairs over the threshold."""
+    series = waves(8, 10, 0.05)
+    rows = C.fourier_sketch(C.unit_series(frame(spark, series), "valor"), (1, 2)).collect()
+    near = sum(
+        sum((x - y) ** 2 for x, y in zip(a.sketch, b.sketch)) <= 2 * (1 - 0.9) for a, b in itertools.combinations(rows, 2)
+    )
+    assert len(plain(series, 0.9)) <= near < len(series) * (len(series) - 1) / 4
+
+
+@pytest.mark.parametrize("bad", [0, 1.5, -0.2])
+def test_threshold_is_checked(spark, bad):
+    with pytest.raises(ValueError):
+        C.correlated_values(frame(spark, {"a": [1]}), "valor", bad)
