@@ -4,9 +4,9 @@ Each series' changes become a unit vector over the panel's calendar, so that a
 correlation is a dot product and ``|a - b|^2 = 2 (1 - r)``.  A few Fourier
 coefficients of the vector never lie further apart than the vectors do: a pair
 with ``r >= threshold`` lies in the same or neighbouring cells of a grid whose
-cells are as wide as the largest such distance.  Pairs that meet there are
-checked on their coefficients first and then exactly, inside the join: only
-pairs over the threshold leave it.
+cells are as wide as the largest such distance.  Blocks of series that meet
+there are multiplied as matrices (the exact check), and only pairs over the
+threshold leave the task.
 """
 
 from __future__ import annotations
@@ -15,15 +15,17 @@ import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.panel import panel_pct_change
 from tessera.session import materialize
 
-# Series of one cell in one task: at most this many meet as many others there.
-CELL_SERIES = 4096
+# Series of a cell that meet as many others in one block: about this many.
+CELL_SERIES = 1024
 # Float slack on the bounds, so that rounding never loses a pair; the exact check decides.
 _SLACK = 1e-9
 
@@ -35,9 +37,9 @@ def unit_series(df: DataFrame, value: str, series: str = "series", date: str = "
     two values or without variance.  ``df`` has one row per series and date
     (calendar grain), ``pos`` counts the dates that occur in any series.
     """
-    rows = df.filter(F.col(series).isNotNull() & F.col(date).isNotNull() & F.col(value).isNotNull()).select(
-        series, date, F.col(value).cast("double").alias("_v")
-    )
+    present = F.col(series).isNotNull() & F.col(date).isNotNull() & F.col(value).isNotNull()
+    # calendar-grained, and read three times below: not derived from the facts each time
+    rows = materialize(df.filter(present).select(series, date, F.col(value).cast("double").alias("_v")))
     days = rows.select(date).distinct()
     calendar = days.select(date, (F.row_number().over(Window.orderBy(date)) - 1).alias("pos"))
     own = Window.partitionBy(series)
@@ -75,14 +77,21 @@ def fourier_sketch(units: DataFrame, frequencies: Sequence[int], series: str = "
     return held.select(series, "n_obs", dense.alias("z"), "sketch")
 
 
-def _dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+def _pairs_of_blocks(threshold: float, schema: T.StructType):
+    """Function of two blocks of series: their pairs at ``threshold`` or more."""
 
+    def pairs(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({c: [] for c in schema.names})
+        r = np.stack(a["z_a"].to_numpy()) @ np.stack(b["z_b"].to_numpy()).T
+        i, j = np.nonzero(r >= threshold)
+        left, right = a["s_a"].to_numpy()[i], b["s_b"].to_numpy()[j]
+        # inside one cell every pair is met from both ends
+        keep = left < right if list(a["cell_a"].iloc[0]) == list(a["cell_b"].iloc[0]) else np.ones(len(i), bool)
+        columns = (left[keep], right[keep], np.minimum(r[i, j][keep], 1.0))
+        return pd.DataFrame(dict(zip(schema.names, columns)))
 
-def _distance2(a, b, n: int) -> Column:
-    """Squared distance of the first ``n`` coefficients, unrolled (stays in generated code)."""
-    diff = [F.element_at(a, i + 1) - F.element_at(b, i + 1) for i in range(n)]
-    return sum((d * d for d in diff[1:]), diff[0] * diff[0])
+    return pairs
 
 
 def correlated_pairs(
@@ -91,8 +100,7 @@ def correlated_pairs(
     threshold: float,
     series: str = "series",
     date: str = "data",
-    frequencies: Sequence[int] = (1, 2, 3, 4),
-    grid_dims: int = 2,
+    frequencies: Sequence[int] = (1,),
     cell_series: int = CELL_SERIES,
     out: str = "correlacao",
 ) -> DataFrame:
@@ -101,12 +109,12 @@ def correlated_pairs(
     Output: ``{series}_a, {series}_b, correlacao`` with a < b, each pair once.
     A date on which one of the two has no change counts for neither (its
     change is taken as the mean of its series); for complete series this is
-    Pearson's correlation.  ``frequencies`` should be those in which the
-    panel's energy lies; a poor choice prunes less and loses nothing.
-    ``0 < threshold <= 1``.
+    Pearson's correlation.  ``frequencies`` (waves per calendar) should be
+    those in which the panel's energy lies; the grid has two dimensions for
+    each.  A poor choice prunes less and loses nothing.  ``0 < threshold <= 1``.
     """
     changes = panel_pct_change(panel, value, series, date, out="_chg")
-    return correlated_values(changes, "_chg", threshold, series, date, frequencies, grid_dims, cell_series, out)
+    return correlated_values(changes, "_chg", threshold, series, date, frequencies, cell_series, out)
 
 
 def correlated_values(
@@ -115,27 +123,24 @@ def correlated_values(
     threshold: float,
     series: str = "series",
     date: str = "data",
-    frequencies: Sequence[int] = (1, 2, 3, 4),
-    grid_dims: int = 2,
+    frequencies: Sequence[int] = (1,),
     cell_series: int = CELL_SERIES,
     out: str = "correlacao",
 ) -> DataFrame:
     """:func:`correlated_pairs` of the values themselves, without taking changes first."""
     if not 0 < threshold <= 1:
         raise ValueError(f"threshold must lie in (0, 1], not {threshold}")
-    if not 1 <= grid_dims <= 2 * len(frequencies):
-        raise ValueError("grid_dims must lie between 1 and two per frequency")
-    reach = math.sqrt(2 * (1 - threshold)) + _SLACK
-    width = max(reach, 1e-3)  # narrower cells only add cells
+    dims = 2 * len(frequencies)
+    width = max(math.sqrt(2 * (1 - threshold)), 1e-3) + _SLACK  # narrower cells only add cells
     sketched = fourier_sketch(unit_series(df, value, series, date), frequencies, series)
-    cell = F.array(*[F.floor(F.element_at("sketch", i + 1) / width).cast("int") for i in range(grid_dims)])
+    cell = F.transform("sketch", lambda x: F.floor(x / width).cast("int"))
     # one row per series: computed once, read by both sides and by the cell counts
-    rows = materialize(sketched.select(F.col(series).alias("_s"), "z", "sketch", cell.alias("cell")))
-    # a cell of many series is dealt into chunks; a pair of chunks is one join key
+    rows = materialize(sketched.select(F.col(series).alias("_s"), "z", cell.alias("cell")))
+    # a cell of many series is dealt into chunks; a pair of chunks is one block
     cells = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_series)).cast("int").alias("chunks"))
     dealt = rows.join(cells, "cell").withColumn("chunk", F.pmod(F.xxhash64("_s"), F.col("chunks")).cast("int"))
     # of each two neighbouring cells only one looks for the other
-    ahead = [o for o in itertools.product((-1, 0, 1), repeat=grid_dims) if o >= (0,) * grid_dims]
+    ahead = [o for o in itertools.product((-1, 0, 1), repeat=dims) if o >= (0,) * dims]
 
     def side(offsets, own: str, other: str) -> DataFrame:
         steps = F.explode(F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets]))
@@ -146,23 +151,14 @@ def correlated_values(
             F.col("chunk").alias(f"chunk_{own}"),
             F.col("_n").alias(f"cell_{other}"),
             F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias(f"chunk_{other}"),
-            "_s",
-            "z",
-            "sketch",
+            F.col("_s").alias(f"s_{own}"),
+            F.col("z").alias(f"z_{own}"),
         )
 
-    a = side(ahead, "a", "b").alias("a")
-    b = side([tuple(-x for x in o) for o in ahead], "b", "a").alias("b")
-    keys = ("cell_a", "chunk_a", "cell_b", "chunk_b")
-    meet = F.lit(True)
-    for k in keys:
-        meet = meet & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    # within one cell each pair once; over two cells they meet once anyway
-    meet = meet & ((F.col("a.cell_a") != F.col("a.cell_b")) | (F.col("a._s") < F.col("b._s")))
-    meet = meet & (_distance2(F.col("a.sketch"), F.col("b.sketch"), 2 * len(frequencies)) <= reach * reach)
-    meet = meet & (_dot(F.col("a.z"), F.col("b.z")) >= threshold)
-    return a.join(b, meet).select(
-        F.least("a._s", "b._s").alias(f"{series}_a"),
-        F.greatest("a._s", "b._s").alias(f"{series}_b"),
-        F.least(_dot(F.col("a.z"), F.col("b.z")), F.lit(1.0)).alias(out),
-    )
+    block = ("cell_a", "chunk_a", "cell_b", "chunk_b")
+    a = side(ahead, "a", "b").groupBy(*block)
+    b = side([tuple(-x for x in o) for o in ahead], "b", "a").groupBy(*block)
+    kind = df.schema[series].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("r", T.DoubleType())])
+    met = a.cogroup(b).applyInPandas(_pairs_of_blocks(threshold, schema), schema)
+    return met.select(F.least("a", "b").alias(f"{series}_a"), F.greatest("a", "b").alias(f"{series}_b"), F.col("r").alias(out))
