@@ -12,7 +12,7 @@ import argparse
 import json
 import uuid
 
-from tessera.plans import layers
+from tessera.plans import layers, refresh
 from tessera.session import get_session, size_for
 
 
@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_parser("silver", help="bronze -> silver (+ catalog)")
     s = sub.add_parser("gold", help="silver -> gold tables + dashboard view")
     s.add_argument("--how", default="inner", choices=["inner", "left"])
+    sub.add_parser("refresh", help="silver and gold for the years with new bronze rows (+ catalog)")
     return p
 
 
@@ -65,6 +66,9 @@ def main(argv: list[str] | None = None) -> dict:
         out = {"not_ok": [r.asDict() for r in rows if r["status"] not in ("ok", "extra")]}
     elif args.step == "silver":
         out = layers.run_silver(spark, lake)
+    elif args.step == "refresh":
+        done = refresh.run_refresh(spark, lake)
+        out = {"silver_years": list(done.silver), "gold_years": list(done.gold), "full": done.full}
     else:
         out = {"dashboard_rows": layers.run_gold(spark, lake, args.how).count()}
     print(json.dumps(out))

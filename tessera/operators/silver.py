@@ -88,6 +88,16 @@ def _monthly(silver: DataFrame, value: str, keys: Sequence[str], version: Sequen
     return dedupe_latest(require_key(months, "data"), keys, [*version, value]).drop(*version)
 
 
+def monthly_price(silver: DataFrame) -> DataFrame:
+    """Silver prices at month grain: ``data, ano, mes, preco_boi_gordo``, the latest version of each month."""
+    return _monthly(silver, "preco_boi_gordo", ["data"], ["ingested_at_utc", "file_hash"])
+
+
+def monthly_index(silver: DataFrame) -> DataFrame:
+    """Silver index at month grain, per series."""
+    return _monthly(silver, "ipca_mensal", ["series_id", "data"], ["ingested_at_utc", "payload_hash"])
+
+
 def gold_prep(price: DataFrame, index: DataFrame, how: str = "inner") -> DataFrame:
     """Month key, one row per month, dominant index series, temporal join (Q11).
 
@@ -95,7 +105,5 @@ def gold_prep(price: DataFrame, index: DataFrame, how: str = "inner") -> DataFra
     Output: ``data, ano, mes, preco_boi_gordo, ipca_mensal``; the order by
     ``data`` is left to the writer (``sortWithinPartitions``) or presentation.
     """
-    p = _monthly(price, "preco_boi_gordo", ["data"], ["ingested_at_utc", "file_hash"])
-    i = _monthly(index, "ipca_mensal", ["series_id", "data"], ["ingested_at_utc", "payload_hash"])
-    i = dominant_series(i, "series_id").drop("series_id")
-    return temporal_join(p, i, on=["data"], how=how, coalesce_cols=["ano", "mes"])
+    i = dominant_series(monthly_index(index), "series_id").drop("series_id")
+    return temporal_join(monthly_price(price), i, on=["data"], how=how, coalesce_cols=["ano", "mes"])

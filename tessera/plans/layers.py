@@ -232,12 +232,10 @@ def run_bronze_index(
     return ingest_payload(spark, rows, target, lake.fmt)
 
 
-def _publish(
-    spark: SparkSession, lake: Lakehouse, layer: str, table: str, register: bool, partitioned: bool = False
-) -> None:
-    if register:
-        catalog.ensure_database(spark, layer, lake.path(layer, "")[:-1])
-        catalog.register_table(spark, f"{layer}.{table}", lake.path(layer, table), lake.fmt, partitioned)
+def publish(spark: SparkSession, lake: Lakehouse, layer: str, table: str, written: list[dict] | None = None) -> None:
+    """Register a layer's table; ``written`` as in :func:`tessera.sources.catalog.register_table`."""
+    catalog.ensure_database(spark, layer, lake.path(layer, "")[:-1])
+    catalog.register_table(spark, f"{layer}.{table}", lake.path(layer, table), lake.fmt, True, written)
 
 
 # The bronze layer schemas (column -> type) the layer jobs write.
@@ -261,16 +259,18 @@ def run_validate_bronze(spark: SparkSession, lake: Lakehouse, register: bool = T
     for table, contract in ((lake.price_table, BRONZE_PRICE_CONTRACT), (lake.index_table, BRONZE_INDEX_CONTRACT)):
         rep = schema_contract(lake.read(spark, "bronze", table), contract)
         reports.append(rep.select(F.lit(table).alias("table"), *rep.columns))
-        _publish(spark, lake, "bronze", table, register, partitioned=True)
+        if register:
+            publish(spark, lake, "bronze", table)
     return reports[0].unionByName(reports[1])
 
 
 def run_silver(spark: SparkSession, lake: Lakehouse, register: bool = True) -> dict[str, str]:
-    """Bronze -> silver (conformed, latest version per key), full refresh."""
+    """Bronze -> silver (conformed, latest version per key), full refresh; one partition per year."""
     out = {}
     for table, conform in ((lake.index_table, silver_index), (lake.price_table, silver_price)):
-        overwrite_table(conform(lake.read(spark, "bronze", table)), lake.path("silver", table), lake.fmt)
-        _publish(spark, lake, "silver", table, register)
+        overwrite_table(conform(lake.read(spark, "bronze", table)), lake.path("silver", table), lake.fmt, by=["ano"])
+        if register:
+            publish(spark, lake, "silver", table)
         out[table] = lake.path("silver", table)
     return out
 
@@ -291,12 +291,13 @@ def run_gold(
     joined = gold_prep(
         lake.read(spark, "silver", lake.price_table), lake.read(spark, "silver", lake.index_table), how
     )
-    overwrite_table(joined, lake.path("gold", GOLD_JOINED), lake.fmt, sort_by=["data"])
+    overwrite_table(joined, lake.path("gold", GOLD_JOINED), lake.fmt, sort_by=["data"], by=["ano"])
     j = lake.read(spark, "gold", GOLD_JOINED)
-    overwrite_table(gold.insights(j), lake.path("gold", GOLD_INSIGHTS), lake.fmt, sort_by=["data"])
-    overwrite_table(gold.analytic(j), lake.path("gold", GOLD_ANALYTIC), lake.fmt, sort_by=["data"])
+    overwrite_table(gold.insights(j), lake.path("gold", GOLD_INSIGHTS), lake.fmt, sort_by=["data"], by=["ano"])
+    overwrite_table(gold.analytic(j), lake.path("gold", GOLD_ANALYTIC), lake.fmt, sort_by=["data"], by=["ano"])
     for t in (GOLD_JOINED, GOLD_INSIGHTS, GOLD_ANALYTIC):
-        _publish(spark, lake, "gold", t, register)
+        if register:
+            publish(spark, lake, "gold", t)
     if register:
         view = catalog.create_dashboard_view(spark, f"gold.{GOLD_VIEW}", f"gold.{GOLD_ANALYTIC}")
     else:

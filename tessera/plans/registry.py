@@ -42,6 +42,7 @@ from tessera.operators.correlate import correlated_pairs
 from tessera.operators.joins import first_of_new, temporal_join
 from tessera.operators.scan import range_scan
 from tessera.operators.silver import conform, dominant_series, gold_prep
+from tessera.operators.states import StoredStates, metrics_from_states, pair_states
 from tessera.plans.series import (
     cents,
     daily_events,
@@ -1263,3 +1264,36 @@ def q_changed_months(spark, sf):
     old = hash_tree.leaves(rows.filter(~fresh), keys, cols)
     new = hash_tree.leaves(rows.filter(~dropped & (key % 1009 != 0)).withColumn("cents", edited), keys, cols)
     return hash_tree.changed_nodes(shared_copy(old, "leaves"), shared_copy(new, "leaves"), keys)
+
+
+# ------------------------------------------------------------ stored states
+
+
+@register(
+    "state_metrics",
+    f"""WITH V AS (SELECT l_linenumber AS series, CAST(round(l_extendedprice * 100) AS BIGINT) / 100 AS b,
+        CASE WHEN l_orderkey % 13 <> 0 THEN l_quantity END AS a FROM lineitem),
+G AS (SELECT series, covar_pop(CASE WHEN a IS NOT NULL THEN b END, a) AS co, stddev_pop(CASE WHEN b IS NOT NULL THEN a END) AS sa,
+        stddev_pop(CASE WHEN a IS NOT NULL THEN b END) AS sb, avg(CASE WHEN b IS NOT NULL THEN a END) AS ma,
+        avg(CASE WHEN a IS NOT NULL THEN b END) AS mb FROM V GROUP BY series)
+SELECT series, {r6('co / nullif(sa * sb, 0)')} AS correlacao_global, {hu('ma', 4)} AS media_ipca_global, {hu('mb', 4)} AS media_boi_global,
+       {hu('round((ma + mb) / 2, 4)', 3)} AS media_combinada_global FROM G""",
+)
+def q_state_metrics(spark, sf):
+    """Metrics per line number from stored monthly states, after an insert of a year and corrections of another."""
+    li = table(spark, sf, "lineitem")
+    rows = li.select(
+        F.col("l_linenumber").alias("series"),
+        month_of_ts("l_shipdate").alias("data"),
+        F.when(F.col("l_orderkey") % 13 != 0, F.col("l_quantity").cast("double")).alias("a"),
+        (cents("l_extendedprice") / F.lit(100)).alias("b"),
+    )
+    year, keys = F.year("data"), ["series", "data"]
+    stored = StoredStates(spark, shared_path(spark, "states"), keys)
+    # the first version lacks a year and holds other prices in a second one
+    wrong = F.when(year == 1995, F.col("b") * 2 + 1).otherwise(F.col("b"))
+    stored.update(pair_states(rows.filter(year.isNull() | (year != 1997)).withColumn("b", wrong), keys, "a", "b"))
+    stored.update(pair_states(rows.filter(year.isin(1995, 1997)), keys, "a", "b"))
+    out = metrics_from_states(stored.current(), ["series"])
+    means = {c: F.round(c, d) for c, d in (("media_ipca_global", 4), ("media_boi_global", 4), ("media_combinada_global", 3))}
+    return out.withColumns(means)

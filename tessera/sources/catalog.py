@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,18 +18,29 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def register_table(
-    spark: SparkSession, name: str, path: str, fmt: str = "parquet", partitioned: bool = False
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    partitioned: bool = False,
+    written: Sequence[Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Register an external table over an existing path.
 
-    A partitioned parquet table reads 0 rows until its partitions are
-    recovered, so ``partitioned=True`` runs ``RECOVER PARTITIONS``.  An
-    existing registration is refreshed (its files may have been rewritten).
+    A partitioned parquet table reads 0 rows until its partitions are known
+    to the catalog.  ``written`` names the partitions that a run wrote: a
+    table that is registered already gets these only (ADD IF NOT EXISTS), at
+    no listing of the table.  Without it, or on the first registration, the
+    whole folder is synchronised.  An existing registration is refreshed (its
+    files may have been rewritten).
     """
     existed = spark.catalog.tableExists(name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(name)} USING {fmt} LOCATION '{path}'")
-    if partitioned:
-        spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
+    if partitioned and (written is None or not existed):
+        spark.sql(f"MSCK REPAIR TABLE {_q(name)} SYNC PARTITIONS")
+    elif partitioned and written:
+        specs = " ".join("PARTITION (" + ", ".join(f"`{c}` = {int(v)}" for c, v in p.items()) + ")" for p in written)
+        spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {specs}")
     if existed:
         # the files under LOCATION were rewritten: drop the cached listing
         spark.catalog.refreshTable(name)

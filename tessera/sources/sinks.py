@@ -26,10 +26,25 @@ def append_partitioned(
     return int(obs.get["n"])
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", sort_by: Sequence[str] = ()) -> None:
-    """Full refresh of a table (S10); optional sort inside each output file."""
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.format(fmt).mode("overwrite").save(path)
+def _overwrite(df: DataFrame, path: str, fmt: str, sort_by: Sequence[str], by: Sequence[str], mode: str) -> None:
+    out = df.hint("rebalance", *by) if by else df
+    out = out.sortWithinPartitions(*dict.fromkeys([*by, *sort_by])) if sort_by else out
+    writer = out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)
+    (writer.partitionBy(*by) if by else writer).save(path)
+
+
+def overwrite_table(
+    df: DataFrame, path: str, fmt: str = "parquet", sort_by: Sequence[str] = (), by: Sequence[str] = ()
+) -> None:
+    """Full refresh of a table (S10), partitioned by ``by``; optional sort inside each output file."""
+    _overwrite(df, path, fmt, sort_by, by, "static")
+
+
+def replace_partitions(
+    df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ("ano",), sort_by: Sequence[str] = ()
+) -> None:
+    """Replace the partitions that ``df`` has rows of (S10); files of all others stay as they are."""
+    _overwrite(df, path, fmt, sort_by, by, "dynamic")
 
 
 def write_landing(df: DataFrame, directory: str) -> None:
