@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,11 @@ LANDING_BATCH_SCHEMA = T.StructType(
 )
 
 
+# Files above this many bytes are hashed in chunks of CHUNK bytes (a binary value must stay under 2 GiB).
+STREAM_ABOVE = 256 * 1024 * 1024
+CHUNK = 8 * 1024 * 1024
+
+
 class SourceError(ValueError):
     """A source is missing, malformed or empty where that is an error."""
 
@@ -61,23 +70,50 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def hash_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+def hash_files(
+    spark: SparkSession, path: str | Sequence[str], glob: str | None = None, stream_above: int = STREAM_ABOVE
+) -> DataFrame:
     """SHA-256 of every file under ``path`` (one or several) matching ``glob``.
 
-    ``binaryFile`` spreads files over tasks; only the hash leaves the task.
-    Each file's bytes are held by one task (Spark caps a binaryFile row at
-    2 GiB), which suits landed sheets and payloads, not multi-GB blobs.
+    The scan deals files to tasks by their size; only the hash leaves the
+    task.  Files of up to ``stream_above`` bytes are hashed as binary values;
+    larger ones (a binary value ends at 2 GiB) are read in chunks inside the
+    task, so its memory does not grow with the file.  Files without a byte
+    are left out (Spark's scans plan none for them; they hold no rows).
     Output: ``path, file_name, file_hash, length``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        "path",
-        file_basename("path").alias("file_name"),
-        F.sha2("content", 256).alias("file_hash"),
-        "length",
-    )
+    files = reader.load(path)
+    # the bound is pushed to the scan, which then does not open the larger files
+    whole = files.filter(F.col("length") <= stream_above).select("path", F.sha2("content", 256).alias("file_hash"), "length")
+    large = files.filter(F.col("length") > stream_above).select("path", "length")
+    streamed = large.mapInPandas(_stream_hashes, "path string, file_hash string, length bigint")
+    return whole.unionByName(streamed).select("path", file_basename("path").alias("file_name"), "file_hash", "length")
+
+
+def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(file_hash=[_stream_hash(p, n) for p, n in zip(batch["path"], batch["length"])])
+
+
+def _stream_hash(path: str, length: int) -> str:
+    """SHA-256 of one file, read in chunks; ``path`` as Spark names it (not percent-encoded)."""
+    local = re.match(r"file:/+(.*)", path, re.DOTALL)
+    if local:
+        system, name = arrow_fs.LocalFileSystem(), "/" + local[1]
+    else:
+        scheme, rest = path.split(":", 1)
+        system, name = arrow_fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    digest, read = hashlib.sha256(), 0
+    with system.open_input_stream(name, compression=None) as f:
+        while chunk := f.read(CHUNK):
+            digest.update(chunk)
+            read += len(chunk)
+    if read != length:
+        raise SourceError(f"{path}: {read} bytes read, {length} listed; the file changed meanwhile")
+    return digest.hexdigest()
 
 
 def read_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
