@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import regex
 from pyspark.sql import functions as F
 
 from tessera.llm import (
@@ -157,6 +160,29 @@ QUERIES = {
 }
 
 
+def _plain_license_digest(text: str) -> str | None:
+    """The canonical digest of one known text, in plain Python."""
+    t = text.lower().replace("\r\n", "\n").replace("\r", "\n")
+    t = regex.sub(r"[^\p{L}\p{N}\n]+", "  ", regex.sub(license_scan.COPYRIGHT_LINE.replace("(?md)", "(?m)"), " ", t))
+    for variant, one in license_scan.STEMS:
+        t = t.replace(variant, one)
+    t = "  ".join(["", *t.split(), ""])
+    for variant, one in license_scan.PHRASES:
+        t = t.replace(f" {'  '.join(variant.split())} ", f" {'  '.join(one.split())} ")
+    t = t.strip(" ")
+    return hashlib.sha256(t.encode()).hexdigest() if t else None
+
+
+def plain_license_digests() -> dict[str, str]:
+    """``{digest: license_id}`` of all known texts, the full ones too."""
+    out: dict[str, str] = {}
+    for license_id, text in license_scan.KNOWN + license_scan.with_dress(license_scan.KNOWN):
+        digest = _plain_license_digest(text)
+        if digest:
+            out[digest] = min(license_id, out.get(digest, license_id))
+    return out
+
+
 def _license_sql() -> str:
     """The same canonical form in DuckDB: replacements nested in their order."""
 
@@ -174,9 +200,9 @@ def _license_sql() -> str:
             t = f"replace({t}, '{license_scan._words(variant)}', '{license_scan._words(one)}')"
         return f"sha256(nullif(trim({t}, ' '), ''))"
 
-    known = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in license_scan.KNOWN)
+    known = ", ".join(f"('{d}', '{i}')" for d, i in sorted(plain_license_digests().items()))
     return f"""
-        WITH K AS (SELECT {digest(lines("t"))} AS digest, min(i) AS license_id FROM (VALUES {known}) v(i, t) GROUP BY 1),
+        WITH K AS (SELECT * FROM (VALUES {known}) v(digest, license_id)),
         C AS (SELECT doc_id, {lines("coalesce(text, '')")} AS c FROM documents),
         D AS (SELECT doc_id, {digest("c")} AS text_digest FROM C),
         L AS (SELECT doc_id, unnest(string_split(c, chr(10))) AS line FROM C),
