@@ -154,6 +154,8 @@ def test_cli_steps(spark, tmp_dir):
         assert main(["--root", root, "validate-bronze"]) == {"not_ok": []}
         main(["--root", root, "silver"])
         assert main(["--root", root, "gold"]) == {"dashboard_rows": 2}
+        assert main(["--root", root, "refresh"]) == {"silver_years": [2025], "gold_years": [2025], "full": True}
+        assert main(["--root", root, "refresh"]) == {"silver_years": [], "gold_years": [], "full": False}
     finally:
         for db in ("gold", "silver", "bronze"):
             spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
