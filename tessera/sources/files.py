@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.parse import decoded_path, file_basename
+from tessera.sources.json_array import SourceError, read_json_array
 
 # Column names of the landed files, the file ledger and the payload.
 LANDING_SCHEMA = T.StructType(
@@ -41,10 +42,6 @@ STREAM_ABOVE = 256 * 1024 * 1024
 CHUNK = 8 * 1024 * 1024
 
 
-class SourceError(ValueError):
-    """A source is missing, malformed or empty where that is an error."""
-
-
 def landing_line(c) -> Column:
     """One canonical landing line ("MM/yyyy,valor") that arrives as a column; FAILFAST like the file scan."""
     return F.from_csv(F.col(c), LANDING_SCHEMA.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "FAILFAST"})
@@ -193,8 +190,8 @@ def listed_files(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of ``{data, valor}`` strings (S5); an empty payload is an error."""
-    df = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(path)
+    """JSON array of ``{data, valor}`` strings (S5), split over tasks; an empty payload is an error."""
+    df = read_json_array(spark, path, PAYLOAD_SCHEMA)
     if df.isEmpty():
         raise SourceError(f"empty payload: {path}")
     return df
