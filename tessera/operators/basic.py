@@ -63,14 +63,6 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key when rows are identical on the other columns (A4).
-
-    Rows that differ need :func:`dedupe_latest` with an order that decides.
-    """
-    return df.dropDuplicates(list(keys))
-
-
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple (A4).
 
@@ -99,16 +91,13 @@ def union_ledger(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new)
 
 
-def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per layer with its row count (A7), as a single DataFrame."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n")
-        for name, df in layers.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def layer_counts(df: DataFrame, layers: Mapping[str, Column]) -> DataFrame:
+    """``layer, n``: one row per layer with its row count (A7), all from one pass over ``df``.
+
+    ``layers`` gives each layer's count as an aggregate over ``df``, whose rows
+    may stand for many (a sum of counts).
+    """
+    return df.agg(*[n.alias(name) for name, n in layers.items()]).unpivot([], list(layers), "layer", "n")
 
 
 def hash_exists(df: DataFrame, col: str, value) -> bool:

@@ -42,6 +42,15 @@ def check_pattern(df: DataFrame, col: str, regex: str = MONTH_TEXT) -> dict:
     return r
 
 
+def reason_mask(rules: Mapping[str, Column]) -> Column:
+    """A long with bit ``i`` set where the ``i``-th rule (a condition that a *bad* row meets) holds; 0 for a good row."""
+    bits = [F.when(F.coalesce(bad, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0)) for i, bad in enumerate(rules.values())]
+    mask = F.lit(0)
+    for bit in bits:
+        mask = mask.bitwiseOR(bit)
+    return mask.cast("long")
+
+
 def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, n_null, n_rows) for every column, from one aggregate pass (Q5)."""
     cols = list(cols or df.columns)

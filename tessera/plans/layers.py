@@ -41,10 +41,11 @@ from tessera.sources.ingest import (
     current_entries,
     ingest_files,
     ingest_payload,
+    rejected_path,
     payload_hash,
     with_lineage,
 )
-from tessera.sources.sinks import append_manifest, overwrite_table
+from tessera.sources.sinks import append_manifest, overwrite_table, partitions_path
 
 # New landing files opened by one append; their names are all that the driver holds of them.
 FILES_PER_APPEND = 10_000
@@ -149,11 +150,13 @@ def run_bronze_from_landing(
     ledger_path: str,
     run_id: str,
     run_ts=None,
+    reject: bool = False,
 ) -> int:
     """Landing root (``run_landing`` layout) -> bronze price, new files first.
 
     The ledger says which files are new; only the landing runs that hold them
-    are read, and rows meet their entry by name and hash.
+    are read, and rows meet their entry by name and hash.  Bad rows raise;
+    with ``reject`` they are kept beside the table, with the reasons.
     """
     fresh = _new_entries(spark, lake, read_manifest(spark, ledger_path, strict=True))
     batches = [r[0] for r in fresh.select(landing_batch("converted_at_utc")).distinct().collect()]
@@ -161,7 +164,11 @@ def run_bronze_from_landing(
         return 0
     rows = read_landing_batches(spark, landing_root, sorted(batches))
     enriched = with_lineage(rows, fresh, run_id, run_ts, on=("csv_file", "file_hash"), how="inner")
-    return ingest_files(enriched, fresh, price_ledger(spark, lake))
+    return ingest_files(enriched, fresh, price_ledger(spark, lake), _rejected(lake) if reject else None)
+
+
+def _rejected(lake: Lakehouse) -> str:
+    return rejected_path(lake.path("bronze", lake.price_table))
 
 
 def unlisted_files(spark: SparkSession, landing_dir: str, manifest_path: str) -> DataFrame:
@@ -189,13 +196,15 @@ def run_bronze_price(
     run_id: str,
     run_ts=None,
     on_unlisted: str = "ignore",
+    reject: bool = False,
 ) -> int:
     """Flat landing CSVs + ledger -> bronze price rows not yet ingested; returns rows appended.
 
     The ledger drives it: its current entries minus those in bronze are the
     new files, and only these are opened (in groups of
     :data:`FILES_PER_APPEND`).  A file that no entry names is not read;
-    ``on_unlisted="raise"`` makes it an error.
+    ``on_unlisted="raise"`` makes it an error.  Bad rows raise; with ``reject``
+    they are kept beside the table, with the reasons.
     """
     if on_unlisted == "raise" and not unlisted_files(spark, landing_dir, manifest_path).isEmpty():
         raise DataQualityError(f"files under {landing_dir} are not in the ledger")
@@ -206,7 +215,7 @@ def run_bronze_price(
         entries = fresh.filter(F.col("csv_file").isin(part))
         rows = read_landing(spark, [literal_path(f"{landing_dir.rstrip('/')}/{name}") for name in part])
         enriched = with_lineage(rows, entries, run_id, run_ts, how="inner")
-        n += ingest_files(enriched, entries, price_ledger(spark, lake))
+        n += ingest_files(enriched, entries, price_ledger(spark, lake), _rejected(lake) if reject else None)
     return n
 
 
@@ -254,13 +263,17 @@ BRONZE_INDEX_CONTRACT = {
 
 def run_validate_bronze(spark: SparkSession, lake: Lakehouse, register: bool = True) -> DataFrame:
     """Schema contract of both bronze tables (one report, ``table`` column first);
-    registers them as ``bronze.*`` (partitions recovered)."""
+    registers them as ``bronze.*``, after the first time with the noted
+    partitions only (no listing of the table)."""
     reports = []
     for table, contract in ((lake.price_table, BRONZE_PRICE_CONTRACT), (lake.index_table, BRONZE_INDEX_CONTRACT)):
         rep = schema_contract(lake.read(spark, "bronze", table), contract)
         reports.append(rep.select(F.lit(table).alias("table"), *rep.columns))
         if register:
-            publish(spark, lake, "bronze", table)
+            noted = load_if_exists(spark, partitions_path(lake.path("bronze", table)))
+            # a row per partition of the table, which the catalog holds on the driver too
+            written = None if noted is None else [r.asDict() for r in noted.distinct().na.drop().collect()]
+            publish(spark, lake, "bronze", table, written)
     return reports[0].unionByName(reports[1])
 
 

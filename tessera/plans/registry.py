@@ -36,6 +36,7 @@ from tessera.operators.basic import (
     drop_header_rows,
     duplicate_keys,
     keep_series,
+    layer_counts,
     union_ledger,
 )
 from tessera.operators.correlate import correlated_pairs
@@ -57,6 +58,7 @@ from tessera.functions.rules import pct_change_expr
 from tessera.sources.files import hash_files, landing_line, payload_items
 from tessera.sources.hash_index import HashIndex
 from tessera.sources.ingest import HEADER_NAMES, bronze_from_payload, canonicalize, payload_hash, with_lineage
+from tessera.sources.sinks import split_write
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -399,14 +401,16 @@ def q_layer_counts(spark, sf):
     """Two fact scans: the monthly aggregates carry their row counts, and one join meets them all."""
     p = price_series(spark, sf, rows="p_rows").select("data", "p_rows")
     i = index_series(spark, sf, rows="i_rows").select("data", "i_rows")
-    both = p.join(i, "data", "full").agg(
-        F.coalesce(F.sum("p_rows"), F.lit(0)).alias("bronze_price"),
-        F.coalesce(F.sum("i_rows"), F.lit(0)).alias("bronze_index"),
-        F.count("p_rows").alias("silver_price"),
-        F.count("i_rows").alias("silver_index"),
-        F.count_if(F.col("p_rows").isNotNull() & F.col("i_rows").isNotNull()).alias("gold"),
+    return layer_counts(
+        p.join(i, "data", "full"),
+        {
+            "bronze_price": F.coalesce(F.sum("p_rows"), F.lit(0)),
+            "bronze_index": F.coalesce(F.sum("i_rows"), F.lit(0)),
+            "silver_price": F.count("p_rows"),
+            "silver_index": F.count("i_rows"),
+            "gold": F.count_if(F.col("p_rows").isNotNull() & F.col("i_rows").isNotNull()),
+        },
     )
-    return both.unpivot([], both.columns, "layer", "n")
 
 
 # ------------------------------------------------------ ingestion stand-ins
@@ -778,6 +782,33 @@ def q_dq_month_format(spark, sf):
     return quality.pattern_report(o, "t", by=["o_orderpriority"])
 
 
+@register(
+    "quarantine_split",
+    """SELECT o_orderkey, CASE WHEN r = '' THEN 'good' ELSE 'bad' END AS status, r AS reasons
+FROM (SELECT o_orderkey, concat_ws(',',
+        CASE WHEN t IS NULL OR NOT regexp_matches(t, '^(0[1-9]|1[0-2])/[0-9]{4}$') THEN 'invalid mes_ano' END,
+        CASE WHEN v IS NULL THEN 'without valor' END) AS r
+      FROM (SELECT o_orderkey, CAST(month(o_orderdate) AS VARCHAR) || '/' || strftime(o_orderdate, '%Y') AS t,
+                   CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS v FROM orders))""",
+)
+def q_quarantine_split(spark, sf):
+    """One write of all orders, split into good and bad rows; both sides are read back."""
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey",
+        ntz_text("o_orderdate", "M/yyyy").alias("mes_ano"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("valor"),
+    )
+    month = F.col("mes_ano")
+    rules = {
+        "invalid mes_ano": month.isNull() | ~month.rlike(quality.MONTH_TEXT),
+        "without valor": F.col("valor").isNull(),
+    }
+    split = split_write(rows, shared_path(spark, "quarantine"), rules)
+    good = split.good.select("o_orderkey", F.lit("good").alias("status"), F.lit("").alias("reasons"))
+    bad = split.bad.select("o_orderkey", F.lit("bad").alias("status"), F.array_join("_reasons", ",").alias("reasons"))
+    return good.unionByName(bad)
+
+
 def _dirty_customers(spark, sf):
     c = table(spark, sf, "customer")
     return c.select(

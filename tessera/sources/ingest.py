@@ -21,10 +21,10 @@ from tessera.functions.parse import (
 from tessera.operators.basic import dedupe_latest, with_constants
 from tessera.operators.joins import new_only, with_ledger
 from tessera.operators.quality import MONTH_TEXT, DataQualityError
-from tessera.session import shared_copy
+from tessera.session import shared_copy, shared_path
 from tessera.sources.files import MANIFEST_COLUMNS, load_if_exists
 from tessera.sources.hash_index import HashIndex
-from tessera.sources.sinks import append_partitioned
+from tessera.sources.sinks import append_partitioned, partitions_path, split_write
 
 # Header texts of a repeated header row in the raw sheets, and the bronze columns.
 HEADER_NAMES = {"data_raw": "data", "valor_raw": "valor"}
@@ -208,43 +208,75 @@ def ingest_new(
     by: Sequence[str] = ("ano", "mes"),
     check_month: str | None = "mes_ano",
     in_doubt: DataFrame | None = None,
+    rejected: str | None = None,
 ) -> int:
     """Idempotent append of rows whose ``hash_col`` is not yet in the target (Q2).
 
-    The sources are read once: the new rows go to the shared folder, where
-    invalid month texts and missing hashes are counted, and only a clean batch
-    is appended from there.  Rows of ``in_doubt`` hashes that the target
-    already has (a run stopped during or after its append) are left out.
-    Returns the number of appended rows; a second run appends 0.
+    The sources are read once: one write to the shared folder splits the new
+    rows into good and bad ones (no hash, no valid month text) and counts
+    them.  Bad rows raise, unless ``rejected`` names a table for them: there
+    they are kept with the names of the rules they broke, and the good rows go
+    on.  Rows of ``in_doubt`` hashes that the target already has (a run
+    stopped during or after its append) are left out; such a run may note
+    rejected rows twice (:func:`rejected_rows` gives each once).  Returns the
+    number of appended rows; a second run appends 0.
     """
-    staged = shared_copy(new_rows(df, existing, hash_col, dedupe_on), "staged")
-    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(hash_col).isNull()).alias("unhashed")]
+    rules = {f"without {hash_col}": F.col(hash_col).isNull()}
     if check_month:
         c = F.col(check_month)
-        aggs.append(F.count_if(c.isNull() | ~c.rlike(MONTH_TEXT)).alias("bad"))
-    stats = staged.agg(*aggs).first()
-    if stats["unhashed"] > 0:
-        raise DataQualityError(f"{stats['unhashed']} row(s) without {hash_col}: their file is not in the ledger")
-    if check_month and stats["bad"] > 0:
-        raise DataQualityError(f"{stats['bad']} row(s) with invalid {check_month}")
-    n = stats["n"]
+        rules[f"invalid {check_month}"] = c.isNull() | ~c.rlike(MONTH_TEXT)
+    spark = df.sparkSession
+    split = split_write(new_rows(df, existing, hash_col, dedupe_on), shared_path(spark, "staged"), rules)
+    if split.n_bad:
+        if rejected is None:
+            found = ", ".join(f"{n} row(s) {rule}" for rule, n in split.broken.items() if n)
+            raise DataQualityError(f"{found}; nothing was appended")
+        split.bad.write.mode("append").parquet(rejected)
+    good, n = split.good, split.n_good
     if in_doubt is not None:
-        there = df.sparkSession.read.format(fmt).load(target).select(*dedupe_on)
+        there = spark.read.format(fmt).load(target).select(*dedupe_on)
         there = there.join(in_doubt.select(hash_col).distinct(), hash_col, "left_semi").distinct()
-        staged = shared_copy(staged.join(there, list(dedupe_on), "left_anti"), "staged")
-        n = staged.count()
-    return append_partitioned(staged, target, fmt, by) if n else 0
+        good = shared_copy(good.join(there, list(dedupe_on), "left_anti"), "staged")
+        n = good.count()
+    if not n:
+        return 0
+    _note_partitions(good, target, fmt, by)
+    return append_partitioned(good, target, fmt, by)
 
 
-def ingest_files(rows: DataFrame, entries: DataFrame, ledger: HashLedger) -> int:
+def _note_partitions(rows: DataFrame, target: str, fmt: str, by: Sequence[str]) -> None:
+    """Note the partitions of ``rows`` before their append: one that a stopped run did not reach is registered empty, none is missed."""
+    spark, notes = rows.sparkSession, partitions_path(target)
+    parts = rows.select(*by).distinct()
+    if load_if_exists(spark, notes) is None:
+        older = load_if_exists(spark, target, fmt)
+        if older is not None:
+            parts = parts.union(older.select(*by)).distinct()
+    parts.write.mode("append").parquet(notes)
+
+
+def rejected_path(target: str) -> str:
+    """The table of rejected rows beside a bronze table."""
+    return f"{target.rstrip('/')}_rejected"
+
+
+def rejected_rows(spark: SparkSession, path: str, ignore: Sequence[str] = ("ingest_run_id", "ingested_at_utc")) -> DataFrame | None:
+    """Rejected rows under ``path``, each once (runs that were repeated differ in ``ignore`` only); None if there are none."""
+    found = load_if_exists(spark, path)
+    return None if found is None else found.dropDuplicates([c for c in found.columns if c not in ignore])
+
+
+def ingest_files(rows: DataFrame, entries: DataFrame, ledger: HashLedger, rejected: str | None = None) -> int:
     """Append the rows of the ledger entries that :meth:`HashLedger.new` gave; returns their number.
 
+    ``rejected`` names the table for bad rows (without it they raise).
+
     Safe to run again after any stop: before the append nothing is in the
     table, during or after it the rows in doubt are compared with the table.
     """
     doubt = ledger.in_doubt(entries)
     ledger.begin(entries)
-    n = ingest_new(rows, None, ledger.target, ledger.hash_col, fmt=ledger.fmt, in_doubt=doubt)
+    n = ingest_new(rows, None, ledger.target, ledger.hash_col, fmt=ledger.fmt, in_doubt=doubt, rejected=rejected)
     ledger.commit(entries)
     return n
 

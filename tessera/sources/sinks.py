@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tessera.operators.quality import reason_mask
+
 
 def append_partitioned(
     df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ("ano", "mes")
@@ -26,6 +29,52 @@ def append_partitioned(
     return int(obs.get["n"])
 
 
+@dataclass(frozen=True)
+class SplitRows:
+    """What :func:`split_write` wrote: good rows as they came, bad ones with ``_reasons`` (names of the rules they broke)."""
+
+    good: DataFrame
+    bad: DataFrame
+    n_good: int
+    n_bad: int
+    broken: dict[str, int]  # rows per rule; a row may break several
+
+
+def split_write(df: DataFrame, path: str, rules: Mapping[str, Column]) -> SplitRows:
+    """Good and bad rows in one write of a new Parquet folder, split by a status partition (Q4, Q5, Q8).
+
+    ``rules`` names the conditions that a bad row meets (at most 62); each row
+    gets the bit mask of those it meets.  The counts are observed during the
+    write, so ``df`` is computed once and what was written is not scanned for
+    them; readers of one side do not open the other's files.
+    """
+    if len(rules) > 62:
+        raise ValueError("at most 62 rules fit the bit mask")
+    rows = df.withColumn("_mask", reason_mask(rules))
+    mask = F.col("_mask")
+    counts = [F.count_if(mask == 0).alias("n_good"), F.count_if(mask != 0).alias("n_bad")]
+    counts += [F.count_if(mask.bitwiseAND(F.lit(1 << i)) != 0).alias(f"n{i}") for i in range(len(rules))]
+    obs = Observation("split_write")
+    marked = rows.observe(obs, *counts).withColumn("_status", F.when(mask == 0, "good").otherwise("bad"))
+    marked.write.partitionBy("_status").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    names = F.array(*[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(r)) for i, r in enumerate(rules)])
+    bad = stored.filter("_status = 'bad'").withColumn("_reasons", F.array_compact(names))
+    n = obs.get
+    return SplitRows(
+        stored.filter("_status = 'good'").select(*df.columns),
+        bad.select(*df.columns, "_reasons"),
+        int(n["n_good"]),
+        int(n["n_bad"]),
+        {r: int(n[f"n{i}"]) for i, r in enumerate(rules)},
+    )
+
+
+def partitions_path(path: str) -> str:
+    """Where the partitions that appends to the table under ``path`` wrote are noted."""
+    return f"{path.rstrip('/')}_partitions"
+
+
 def _overwrite(df: DataFrame, path: str, fmt: str, sort_by: Sequence[str], by: Sequence[str], mode: str) -> None:
     out = df.hint("rebalance", *by) if by else df
     out = out.sortWithinPartitions(*dict.fromkeys([*by, *sort_by])) if sort_by else out

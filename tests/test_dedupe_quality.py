@@ -77,9 +77,9 @@ def test_duplicate_keys_and_check_unique(spark):
 
 
 def test_layer_counts(spark):
-    a = spark.range(3)
-    b = spark.range(5)
-    assert sorted(tuple(r) for r in layer_counts({"a": a, "b": b}).collect()) == [("a", 3), ("b", 5)]
+    months = spark.createDataFrame([(3, None), (5, 2), (None, 4)], "a_rows long, b_rows long")
+    layers = {"a": F.sum("a_rows"), "b": F.sum("b_rows"), "both": F.count_if(F.col("a_rows").isNotNull() & F.col("b_rows").isNotNull())}
+    assert sorted(tuple(r) for r in layer_counts(months, layers).collect()) == [("a", 8), ("b", 6), ("both", 1)]
 
 
 def test_schema_contract_type_classes(spark):
