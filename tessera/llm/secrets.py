@@ -59,7 +59,9 @@ WORD_BYTES = range(4, 25)
 #: what the candidate adds; this run always gains, at the same cost with and without it.
 RUN = b"\0" * 64
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-FLUSH_WORDS = 400_000
+#: Words that a task counts before it hands them to Spark, which sums them; rows of a batch handed over.
+FLUSH_WORDS = 50_000
+BATCH_WORDS = 10_000
 
 
 @dataclass(frozen=True)
@@ -74,28 +76,36 @@ class SecretParams:
 # ------------------------------------------------------- identifier dictionary
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(word, docs)``: documents with each word, over all rows; counted per task, then summed."""
+def _counted_words(batches, flush_words: int = FLUSH_WORDS):
+    """``(word, docs)`` batches of the texts in ``batches``; words of one task may come several times.
 
-    def run(batches):
-        count: Counter = Counter()
+    A task holds about ``flush_words`` words at a time, however many its texts
+    have; what it hands over becomes small batches, so that neither side holds
+    a task's words twice.
+    """
+    count: Counter = Counter()
 
-        def flush():
-            words = [w for w in count if len(w) in WORD_BYTES]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([count[w] for w in words], pa.int64())], ["word", "docs"]
+    def flush():
+        words = [w for w in count if len(w) in WORD_BYTES]
+        for at in range(0, len(words), BATCH_WORDS):
+            some = words[at : at + BATCH_WORDS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.string()), pa.array([count[w] for w in some], pa.int64())], ["word", "docs"]
             )
+        count.clear()
+
+    for b in batches:
+        for t in b.column(0):
+            count.update(set((t.as_py() or b"").translate(LETTERS).split()))
+            if len(count) >= flush_words:
+                yield from flush()
+    yield from flush()
 
-        for b in batches:
-            for t in b.column(0):
-                count.update(set((t.as_py() or b"").translate(LETTERS).split()))
-                if len(count) > FLUSH_WORDS:
-                    yield flush()
-                    count = Counter()
-        yield flush()
 
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(word, docs)``: documents with each word, over all rows; counted per task, then summed."""
     texts = docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
-    parts = texts.mapInArrow(run, "word string, docs long")
+    parts = texts.mapInArrow(_counted_words, "word string, docs long")
     return parts.groupBy("word").agg(F.sum("docs").alias("docs"))
 
 

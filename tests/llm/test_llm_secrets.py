@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 import string
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -113,6 +115,23 @@ def test_dictionary_counts_all_texts_and_holds_no_keys(spark, docs):
     assert len(S.identifier_dictionary(docs(rows), S.SecretParams(dict_bytes=12))) <= 12
 
 
+def test_a_task_holds_few_words_and_hands_over_small_batches():
+    r = random.Random(3)
+    word = lambda: "".join(r.choices(string.ascii_lowercase, k=8)).encode()
+    texts = [b"alpha beta " + b" ".join(word() for _ in range(1000)) for _ in range(120)]
+    want = Counter(w for t in texts for w in set(t.split()))
+    source = (pa.RecordBatch.from_arrays([pa.array(texts[i : i + 10], pa.binary())], ["text"]) for i in range(0, 120, 10))
+    got, taken, rows = Counter(), 0, 0
+    for b in S._counted_words(source):
+        assert b.num_rows <= 10_000
+        for w, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[w.encode()] += n
+            rows += 1
+        taken += 1
+    assert got == want and taken >= 12
+    assert rows <= len(want) + 2 * 3  # only the two common words come again, once a flush
+
+
 def test_edge_cases(spark, docs):
     long = "plain words here\n" * 60_000 + f"bearer {KEY}"
     rows = [(1, None), (2, ""), (3, "nothing"), (4, long), (None, "token=abcdefghijkl"), (5, "token=abcdefghijkl"), (5, "token=abcdefghijkl")]
