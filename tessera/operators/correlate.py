@@ -7,6 +7,11 @@ with ``r >= threshold`` lies in the same or neighbouring cells of a grid whose
 cells are as wide as the largest such distance.  Blocks of series that meet
 there are multiplied as matrices (the exact check), and only pairs over the
 threshold leave the task.
+
+Blocks travel by group: the blocks of a cell are dealt into a few groups, a
+pair of groups is one key of a join, and pairs of blocks are made inside the
+join.  So a series is sent a bounded number of times, however many blocks it
+meets, until groups would get too large for a task.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +31,11 @@ from tessera.session import materialize
 
 # Series of a cell that meet as many others in one block: about this many.
 CELL_SERIES = 1024
+# A cell's blocks are dealt into so many groups, if these keep GROUP_SERIES series each, and into more
+# when a group would hold over GROUP_BLOCKS blocks: a task holds one group while others pass it.
+CELL_GROUPS = 6
+GROUP_SERIES = 32
+GROUP_BLOCKS = 64
 # Float slack on the bounds, so that rounding never loses a pair; the exact check decides.
 _SLACK = 1e-9
 
@@ -77,19 +87,53 @@ def fourier_sketch(units: DataFrame, frequencies: Sequence[int], series: str = "
     return held.select(series, "n_obs", dense.alias("z"), "sketch")
 
 
-def _pairs_of_blocks(threshold: float, schema: T.StructType):
-    """Function of two blocks of series: their pairs at ``threshold`` or more."""
+def _cell_sizes(rows: DataFrame, cell_series: int) -> DataFrame:
+    """``cell, chunks, groups``: into how many chunks a cell's series are dealt, and into how many groups its chunks."""
+    n = F.count(F.lit(1))
+    least = F.ceil(n / F.lit(cell_series))
+    few = F.least(F.lit(CELL_GROUPS), F.greatest(least, F.ceil(n / F.lit(GROUP_SERIES))))
+    groups = F.greatest(few, F.ceil(least / F.lit(GROUP_BLOCKS)))
+    return rows.groupBy("cell").agg(F.greatest(least, groups).cast("int").alias("chunks"), groups.cast("int").alias("groups"))
+
+
+def _side(cells: DataFrame, blocks: DataFrame, offsets: Sequence[tuple], own: str, other: str) -> DataFrame:
+    """Each block once for every group it meets, at ``offsets`` from its cell; a cell's own pairs of groups come once."""
+    steps = F.explode(F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets]))
+    near = cells.withColumn("_o", steps).withColumn("_n", F.zip_with("cell", "_o", lambda c, o: c + o))
+    near = near.join(cells.select(F.col("cell").alias("_n"), F.col("groups").alias("_m")), "_n")
+    near = near.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = near.select(
+        "cell",
+        "chunk",
+        (F.col("chunk") % F.col("groups")).alias(f"group_{own}"),
+        F.col("_n").alias(f"cell_{other}"),
+        F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias(f"group_{other}"),
+    ).filter((F.col("cell") != F.col(f"cell_{other}")) | (F.col("group_a") <= F.col("group_b")))
+    return met.join(blocks, ["cell", "chunk"]).select(
+        F.col("cell").alias(f"cell_{own}"),
+        f"cell_{other}",
+        "group_a",
+        "group_b",
+        F.col("chunk").alias(f"chunk_{own}"),
+        F.col("block").alias(own),
+    )
+
+
+def _pairs_of_blocks(threshold: float):
+    """Function of rows ``a, b, same``: the pairs of series of two blocks (or of one, ``same``) at ``threshold`` or more."""
+
+    def matrix(rows) -> np.ndarray:
+        return rows.field("z").flatten().to_numpy().reshape(len(rows), -1)
 
-    def pairs(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({c: [] for c in schema.names})
-        r = np.stack(a["z_a"].to_numpy()) @ np.stack(b["z_b"].to_numpy()).T
-        i, j = np.nonzero(r >= threshold)
-        left, right = a["s_a"].to_numpy()[i], b["s_b"].to_numpy()[j]
-        # inside one cell every pair is met from both ends
-        keep = left < right if list(a["cell_a"].iloc[0]) == list(a["cell_b"].iloc[0]) else np.ones(len(i), bool)
-        columns = (left[keep], right[keep], np.minimum(r[i, j][keep], 1.0))
-        return pd.DataFrame(dict(zip(schema.names, columns)))
+    def pairs(batches):
+        for batch in batches:
+            for a, b, same in zip(*(batch.column(c) for c in ("a", "b", "same"))):
+                a, b = a.values, b.values
+                r = matrix(a) @ matrix(b).T
+                over = r >= threshold
+                i, j = np.nonzero(np.triu(over, 1) if same.as_py() else over)
+                columns = [a.field("_s").take(pa.array(i)), b.field("_s").take(pa.array(j)), pa.array(np.minimum(r[i, j], 1.0))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "r"])
 
     return pairs
 
@@ -136,29 +180,21 @@ def correlated_values(
     cell = F.transform("sketch", lambda x: F.floor(x / width).cast("int"))
     # one row per series: computed once, read by both sides and by the cell counts
     rows = materialize(sketched.select(F.col(series).alias("_s"), "z", cell.alias("cell")))
-    # a cell of many series is dealt into chunks; a pair of chunks is one block
-    cells = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_series)).cast("int").alias("chunks"))
+    # at most one row per series, mostly a few: computed once, read by the chunks and by both sides
+    cells = materialize(_cell_sizes(rows, cell_series))
     dealt = rows.join(cells, "cell").withColumn("chunk", F.pmod(F.xxhash64("_s"), F.col("chunks")).cast("int"))
+    blocks = materialize(dealt.groupBy("cell", "chunk").agg(F.collect_list(F.struct("_s", "z")).alias("block")))
     # of each two neighbouring cells only one looks for the other
     ahead = [o for o in itertools.product((-1, 0, 1), repeat=dims) if o >= (0,) * dims]
 
-    def side(offsets, own: str, other: str) -> DataFrame:
-        steps = F.explode(F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets]))
-        near = dealt.withColumn("_o", steps).withColumn("_n", F.zip_with("cell", "_o", lambda c, o: c + o))
-        near = near.join(cells.select(F.col("cell").alias("_n"), F.col("chunks").alias("_m")), "_n")
-        return near.select(
-            F.col("cell").alias(f"cell_{own}"),
-            F.col("chunk").alias(f"chunk_{own}"),
-            F.col("_n").alias(f"cell_{other}"),
-            F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias(f"chunk_{other}"),
-            F.col("_s").alias(f"s_{own}"),
-            F.col("z").alias(f"z_{own}"),
-        )
-
-    block = ("cell_a", "chunk_a", "cell_b", "chunk_b")
-    a = side(ahead, "a", "b").groupBy(*block)
-    b = side([tuple(-x for x in o) for o in ahead], "b", "a").groupBy(*block)
+    a = _side(cells, blocks, ahead, "a", "b")
+    b = _side(cells, blocks, [tuple(-x for x in o) for o in ahead], "b", "a")
+    one_cell = F.col("cell_a") == F.col("cell_b")
+    met = a.join(b, ["cell_a", "cell_b", "group_a", "group_b"])
+    # inside one group every two blocks are met from both ends
+    met = met.filter(~one_cell | (F.col("group_a") != F.col("group_b")) | (F.col("chunk_a") <= F.col("chunk_b")))
+    met = met.select("a", "b", (one_cell & (F.col("chunk_a") == F.col("chunk_b"))).alias("same"))
     kind = df.schema[series].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("r", T.DoubleType())])
-    met = a.cogroup(b).applyInPandas(_pairs_of_blocks(threshold, schema), schema)
-    return met.select(F.least("a", "b").alias(f"{series}_a"), F.greatest("a", "b").alias(f"{series}_b"), F.col("r").alias(out))
+    found = met.mapInArrow(_pairs_of_blocks(threshold), schema)
+    return found.select(F.least("a", "b").alias(f"{series}_a"), F.greatest("a", "b").alias(f"{series}_b"), F.col("r").alias(out))

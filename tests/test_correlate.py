@@ -64,6 +64,35 @@ def test_cells_of_many_series_are_split_without_loss(spark):
     assert found(C.correlated_values(frame(spark, series), "valor", 0.9, cell_series=4)).keys() == want.keys()
 
 
+@pytest.mark.parametrize("groups, series_each, blocks_each", [(3, 2, 64), (2, 1, 2), (1, 64, 1)])
+@pytest.mark.parametrize("threshold", [0.3, 0.9])
+def test_cells_of_many_groups_lose_and_repeat_no_pair(spark, monkeypatch, groups, series_each, blocks_each, threshold):
+    for name, n in (("CELL_GROUPS", groups), ("GROUP_SERIES", series_each), ("GROUP_BLOCKS", blocks_each)):
+        monkeypatch.setattr(C, name, n)
+    series = waves(3, 9, 0.2)
+    want = plain(series, threshold)
+    got = found(C.correlated_values(frame(spark, series), "valor", threshold, cell_series=2))
+    assert got.keys() == want.keys() and want
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_a_block_is_sent_a_bounded_number_of_times(spark):
+    """Twice the series are twice the blocks sent, not four times as many; all pairs of blocks still meet."""
+    sent = []
+    for n in (100, 200):
+        rows = spark.range(n).selectExpr("id AS _s", "array(int(id % 2) - 1, 0) AS cell")
+        cells = C._cell_sizes(rows, 2)
+        chunks = cells.selectExpr("cell", "explode(sequence(0, chunks - 1)) AS chunk", "0 AS block")
+        ahead = [(0, 0), (1, 0)]
+        a = C._side(cells, chunks, ahead, "a", "b")
+        b = C._side(cells, chunks, [(-x, -y) for x, y in ahead], "b", "a")
+        sent.append(a.count() + b.count())
+        met = a.join(b, ["cell_a", "cell_b", "group_a", "group_b"])
+        pairs = {frozenset([(*r.cell_a, r.chunk_a), (*r.cell_b, r.chunk_b)]) for r in met.collect()}
+        assert len(pairs) == (n // 2) * (n // 2 + 1) // 2
+    assert sent[1] <= 2.1 * sent[0]
+
+
 def test_equal_series_constant_series_and_nulls(spark):
     ramp = list(range(60))
     df = frame(spark, {"a": ramp, "b": ramp, "c": [0.1] * 60, "d": [None] * 60, "e": [3] + [None] * 59, "f": ramp[::-1]})
